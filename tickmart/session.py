@@ -33,7 +33,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def get_session(master: str | None = None, app_name: str = "tickmart",
                 shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
