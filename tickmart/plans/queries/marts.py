@@ -9,14 +9,14 @@ from tickmart.functions import epoch_ms_to_seconds, epoch_ms_to_utc_date, epoch_
 from tickmart.operators import bars as B
 from tickmart.operators.ranking import daily_ranks
 from tickmart.plans import models as M
-from tickmart.plans.queries.oracle_sql import ASSETS, BARS, METRICS, POINTS, with_ctes
+from tickmart.plans.queries.oracle_sql import (
+    ASSETS, BARS, CATEGORIES, CATEGORY_BATCH_TS, DIMENSION, METRICS, POINTS, SUMMARY, with_ctes,
+)
 from tickmart.plans.queries.registry import register
 from tickmart.sources.driver_tables import (
     asset_master, price_points, segment_categories, table,
 )
 
-# Fixed lineage stamp of the category bridge load used by the driver queries.
-CATEGORY_BATCH_TS = "2024-01-31 06:00:00"
 
 
 def _bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,25 +116,7 @@ def rank_losers(spark: SparkSession, sf: str) -> DataFrame:
     return daily_ranks(_metrics(spark, sf), descending=False, rank_col="ranked_loser")
 
 
-# Reference-shaped oracle: two rankings and two left joins.
-MARKET_SUMMARY_SQL = _METRICS_SQL + """,
-totals AS (
-  SELECT date_stamp, CAST(SUM(close_market_cap) AS DECIMAL(38,2)) AS total_market_cap,
-         CAST(CAST(AVG(close_total_volume) AS DECIMAL(38,10)) AS DECIMAL(38,6)) AS average_volume
-  FROM metrics GROUP BY date_stamp
-),
-ranked AS (
-  SELECT coin_id, date_stamp,
-    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg DESC, coin_id) AS ranked_gainer,
-    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg ASC, coin_id) AS ranked_loser
-  FROM metrics WHERE daily_price_change_pcg IS NOT NULL
-),
-top_gainer AS (SELECT date_stamp, coin_id AS top_gainer FROM ranked WHERE ranked_gainer = 1),
-top_loser AS (SELECT date_stamp, coin_id AS top_loser FROM ranked WHERE ranked_loser = 1)
-SELECT t.date_stamp, t.total_market_cap, g.top_gainer, l.top_loser, t.average_volume
-FROM totals t
-LEFT JOIN top_gainer g ON t.date_stamp = g.date_stamp
-LEFT JOIN top_loser l ON t.date_stamp = l.date_stamp"""
+MARKET_SUMMARY_SQL = with_ctes(POINTS, BARS, ASSETS, METRICS, SUMMARY) + "\nSELECT * FROM summary"
 
 
 @register("market_summary", MARKET_SUMMARY_SQL)
@@ -142,45 +124,15 @@ def market_summary(spark: SparkSession, sf: str) -> DataFrame:
     return M.market_summary(_metrics(spark, sf))
 
 
-@register("category_metrics", _METRICS_SQL + f""",
-categories AS (
-  SELECT c_custkey AS coin_id, TRIM(c_mktsegment) AS category,
-         TIMESTAMP '{CATEGORY_BATCH_TS}' AS _ingested_at
-  FROM customer WHERE c_mktsegment IS NOT NULL
-)
-SELECT c.coin_id, c.category, m.name_of_coin, m.prev_day_price, m.daily_price_change_pcg,
-       m.moving_avg_7d, c._ingested_at AS category_ingested_at, m.date_stamp
-FROM categories c LEFT JOIN metrics m ON c.coin_id = m.coin_id""")
+@register("category_metrics", with_ctes(POINTS, BARS, ASSETS, METRICS, CATEGORIES)
+          + "\nSELECT * FROM category_metrics")
 def category_metrics(spark: SparkSession, sf: str) -> DataFrame:
     cats = segment_categories(table(spark, sf, "customer"), CATEGORY_BATCH_TS)
     return M.category_metrics(cats, _metrics(spark, sf))
 
 
-# Reference-shaped oracle: asset x category x day fan-out, then rn = 1.
-ASSET_DIMENSION_SQL = _METRICS_SQL + f""",
-categories AS (
-  SELECT c_custkey AS coin_id, TRIM(c_mktsegment) AS category,
-         TIMESTAMP '{CATEGORY_BATCH_TS}' AS _ingested_at
-  FROM customer WHERE c_mktsegment IS NOT NULL
-),
-int_categories AS (
-  SELECT c.coin_id, c.category, m.name_of_coin
-  FROM categories c LEFT JOIN metrics m ON c.coin_id = m.coin_id
-),
-coin_symbol AS (
-  SELECT c.c_custkey AS name_id, COALESCE(TRIM(COALESCE(n.n_name, 'Unknown')), 'Unknown') AS symbol_name
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-),
-first_seen AS (SELECT coin_id, MIN(coin_date) AS first_seen_date FROM bars GROUP BY coin_id),
-final_coin AS (
-  SELECT i.coin_id, i.name_of_coin AS name, i.category, s.symbol_name, f.first_seen_date,
-         row_number() OVER (PARTITION BY i.coin_id, i.category ORDER BY s.symbol_name) AS rn
-  FROM int_categories i
-  LEFT JOIN coin_symbol s ON i.coin_id = s.name_id
-  LEFT JOIN first_seen f ON i.coin_id = f.coin_id
-)
-SELECT coin_id, name AS coin_name, symbol_name AS symbol, category, first_seen_date
-FROM final_coin WHERE rn = 1"""
+ASSET_DIMENSION_SQL = (with_ctes(POINTS, BARS, ASSETS, METRICS, CATEGORIES, DIMENSION)
+                       + "\nSELECT * FROM dim")
 
 
 @register("asset_dimension", ASSET_DIMENSION_SQL)

@@ -64,3 +64,66 @@ metrics AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+CATEGORY_BATCH_TS = "2024-01-31 06:00:00"
+
+SUMMARY = """
+totals AS (
+  SELECT date_stamp, CAST(SUM(close_market_cap) AS DECIMAL(38,2)) AS total_market_cap,
+         CAST(CAST(AVG(close_total_volume) AS DECIMAL(38,10)) AS DECIMAL(38,6)) AS average_volume
+  FROM metrics GROUP BY date_stamp
+),
+ranked AS (
+  SELECT coin_id, date_stamp,
+    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg DESC, coin_id) AS ranked_gainer,
+    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg ASC, coin_id) AS ranked_loser
+  FROM metrics WHERE daily_price_change_pcg IS NOT NULL
+),
+top_gainer AS (SELECT date_stamp, coin_id AS top_gainer FROM ranked WHERE ranked_gainer = 1),
+top_loser AS (SELECT date_stamp, coin_id AS top_loser FROM ranked WHERE ranked_loser = 1),
+summary AS (
+  SELECT t.date_stamp, t.total_market_cap, g.top_gainer, l.top_loser, t.average_volume
+  FROM totals t
+  LEFT JOIN top_gainer g ON t.date_stamp = g.date_stamp
+  LEFT JOIN top_loser l ON t.date_stamp = l.date_stamp
+)"""
+
+CATEGORIES = f"""
+categories AS (
+  SELECT c_custkey AS coin_id, TRIM(c_mktsegment) AS category,
+         TIMESTAMP '{CATEGORY_BATCH_TS}' AS _ingested_at
+  FROM customer WHERE c_mktsegment IS NOT NULL
+),
+category_metrics AS (
+  SELECT c.coin_id, c.category, m.name_of_coin, m.prev_day_price, m.daily_price_change_pcg,
+         m.moving_avg_7d, c._ingested_at AS category_ingested_at, m.date_stamp
+  FROM categories c LEFT JOIN metrics m ON c.coin_id = m.coin_id
+)"""
+
+# Reference-shaped: asset x category x day fan-out, then rn = 1.
+DIMENSION = """
+coin_symbol AS (
+  SELECT c.c_custkey AS name_id, COALESCE(TRIM(COALESCE(n.n_name, 'Unknown')), 'Unknown') AS symbol_name
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+first_seen AS (SELECT coin_id, MIN(coin_date) AS first_seen_date FROM bars GROUP BY coin_id),
+final_coin AS (
+  SELECT i.coin_id, i.name_of_coin AS name, i.category, s.symbol_name, f.first_seen_date,
+         row_number() OVER (PARTITION BY i.coin_id, i.category ORDER BY s.symbol_name) AS rn
+  FROM category_metrics i
+  LEFT JOIN coin_symbol s ON i.coin_id = s.name_id
+  LEFT JOIN first_seen f ON i.coin_id = f.coin_id
+),
+dim AS (
+  SELECT coin_id, name AS coin_name, symbol_name AS symbol, category, first_seen_date
+  FROM final_coin WHERE rn = 1
+)"""
+
+FACT = """
+fact AS (
+  SELECT coin_id, name_of_coin, date_stamp AS trade_date, open_price AS open_price_usd,
+         high_price AS high_price_usd, low_price AS low_price_usd, close_price AS close_price_usd,
+         close_total_volume AS volume, close_market_cap AS market_cap,
+         daily_price_change_pcg AS daily_price_change_pct, moving_avg_7d AS moving_avg_7d_price
+  FROM metrics
+)"""

@@ -148,7 +148,8 @@ def raw_snapshot_from_customer(customer: DataFrame) -> DataFrame:
     )
 
 
-def _standardise_oracle() -> str:
+def staged_snapshot_ctes() -> str:
+    """DuckDB CTEs ``raw`` (snapshot dressed from customer) and ``markets``."""
     raw = ",\n    ".join(
         [_raw_expr(n, s) for n, s in _RAW_FROM_CUSTOMER]
         + ["CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE "
@@ -167,14 +168,17 @@ def _standardise_oracle() -> str:
         else:
             e = f"COALESCE(CAST({src} AS TIMESTAMP), TIMESTAMP '{AS_OF_TS}')"
         cols.append(f"{e} AS {dst}")
-    return (f"WITH raw AS (\n  SELECT\n    {raw}\n  FROM customer\n)\nSELECT\n  "
-            + ",\n  ".join(cols) + "\nFROM raw")
+    return (f"raw AS (\n  SELECT\n    {raw}\n  FROM customer\n),\nmarkets AS (\n  SELECT\n  "
+            + ",\n  ".join(cols) + "\n  FROM raw\n)")
 
 
-@register("standardise_snapshot", _standardise_oracle())
+def staged_snapshot(customer: DataFrame) -> DataFrame:
+    return standardise_snapshot(raw_snapshot_from_customer(customer), AS_OF_DATE, AS_OF_TS)
+
+
+@register("standardise_snapshot", "WITH " + staged_snapshot_ctes() + "\nSELECT * FROM markets")
 def standardise_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
-    raw = raw_snapshot_from_customer(table(spark, sf, "customer"))
-    return standardise_snapshot(raw, AS_OF_DATE, AS_OF_TS)
+    return staged_snapshot(table(spark, sf, "customer"))
 
 
 # --- SRC-1 / PRJ-1 / FLT-1 / TOP-4 -----------------------------------------
