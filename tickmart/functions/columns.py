@@ -34,14 +34,16 @@ def event_order(ts: Column, tiebreak: Column) -> Column:
     return _dec(micros) * _pow10(20) + shifted
 
 
-def payload_order(seconds: Column, ingested_at: Column, position: Column) -> Column:
-    """Total order of unpacked payload points: (second, ingest time, ordinality).
+def payload_order(ms: Column, ingested_at: Column, position: Column) -> Column:
+    """Total order of unpacked payload points: (epoch ms, ingest time, position).
 
-    The source truncates timestamps to whole seconds, so points in one second
-    tie; the later ingest, then the later array position wins.
+    The source orders by whole seconds and leaves points inside one second
+    in arbitrary order; ordering by the untruncated millis refines that, the
+    later ingest then the later array position break the remaining ties.
+    Digits: ms < 1e14, ingest micros < 1e17, position < 1e7.
     """
     ingest_us = F.unix_micros(ingested_at.cast("timestamp"))
-    return _dec(seconds) * _pow10(27) + _dec(ingest_us) * _pow10(10) + _dec(position)
+    return _dec(ms) * _pow10(24) + _dec(ingest_us) * _pow10(7) + _dec(position)
 
 
 def epoch_ms_to_seconds(ms: Column) -> Column:

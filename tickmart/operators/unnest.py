@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickmart.functions import epoch_ms_to_seconds, epoch_ms_to_utc_ts, payload_order
+from tickmart.functions import epoch_ms_to_utc_ts, payload_order
 
 
 def unnest_series(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -33,7 +33,7 @@ def unnest_series(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         (F.col("pos") + 1).alias("ordinality"),
         ms.alias("price_ms"),
         epoch_ms_to_utc_ts(ms).alias("price_ts"),
-        payload_order(epoch_ms_to_seconds(ms), F.col("_ingested_at"), F.col("pos"))
+        payload_order(ms, F.col("_ingested_at"), F.col("pos"))
         .alias("point_order"),
         F.get(F.col("z.p"), 1).alias("price"),
         F.get(F.col("z.m"), 1).alias("market_cap"),

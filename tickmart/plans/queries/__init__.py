@@ -1,4 +1,4 @@
 """All driver queries, merged from the per-area modules."""
 
-from tickmart.plans.queries import marts, quality, shaping, sinks  # noqa: F401
+from tickmart.plans.queries import incremental, marts, quality, shaping, sinks  # noqa: F401
 from tickmart.plans.queries.registry import ORACLES, QUERIES  # noqa: F401
