@@ -1,6 +1,6 @@
 """All driver queries, merged from the per-area modules."""
 
 from tickmart.plans.queries import (  # noqa: F401
-    history, incremental, marts, quality, shaping, sinks, streams,
+    history, incremental, job, marts, quality, shaping, sinks, streams,
 )
 from tickmart.plans.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -183,16 +183,18 @@ def standardise_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- SRC-1 / PRJ-1 / FLT-1 / TOP-4 -----------------------------------------
 
-def snapshot_payloads(customer: DataFrame) -> DataFrame:
+def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
     """customer -> JSON list payloads of <= 100 coins (50 ids, some twice).
 
     ``roi`` is an object, ``null`` or a string by id; ids ``% 31 == 0`` are
     empty strings; ids ``% 25 == 0`` appear twice (the second copy differs);
-    every tenth payload is an API error object instead of a list.
+    every tenth payload is an API error object instead of a list.  With
+    ``dressed=False`` every id is valid and every payload a list.
     """
     c = customer.select(
         F.col("c_custkey").alias("k"),
-        F.when(_mod("c_custkey", 31) == 0, F.lit("")).otherwise(F.col("c_custkey").cast("string")).alias("id"),
+        F.when(F.lit(dressed) & (_mod("c_custkey", 31) == 0), F.lit(""))
+        .otherwise(F.col("c_custkey").cast("string")).alias("id"),
         F.lower(F.substring("c_mktsegment", 1, 3)).alias("symbol"),
         F.col("c_name").alias("name"),
         (F.col("c_acctbal").cast(PRICE_IN) * F.lit(Decimal("0.125"))).cast(RAW_NUM).alias("current_price"),
@@ -210,7 +212,7 @@ def snapshot_payloads(customer: DataFrame) -> DataFrame:
            .when(_mod("k", 3) == 1, F.lit("null")).otherwise(F.lit('"n/a"')))
     first = c.select("k", F.lit(0).alias("copy"), "id", "symbol", "name", "current_price",
                      "market_cap", "ath_date", "last_updated", roi.alias("roi"))
-    again = (first.where(_mod("k", 25) == 0)
+    again = (first.where(F.lit(dressed) & (_mod("k", 25) == 0))
              .withColumn("copy", F.lit(1))
              .withColumn("current_price", (F.col("current_price") * 2).cast(RAW_NUM)))
     coins = first.unionByName(again)
@@ -225,7 +227,8 @@ def snapshot_payloads(customer: DataFrame) -> DataFrame:
     listing = F.concat(F.lit("["), F.array_join(F.transform("coins", lambda x: x["coin"]), ","),
                        F.lit("]"))
     return payloads.select(
-        F.when(((F.col("chunk") / 50).cast("long") % 10) == 9, F.lit('{"error":"rate limited"}'))
+        F.when(F.lit(dressed) & (((F.col("chunk") / 50).cast("long") % 10) == 9),
+               F.lit('{"error":"rate limited"}'))
         .otherwise(listing).alias("payload"),
         F.format_string("markets-%08d.json", F.col("chunk")).alias("source_file"),
     )

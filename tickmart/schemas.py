@@ -60,10 +60,12 @@ RAW_SNAPSHOT = T.StructType(
        T.StructField("_ingested_at", T.TimestampNTZType())]
 )
 
-# Chart payload: three series of [unix_ms, value] pairs.
+# Chart payload: three series of [unix_ms, value] pairs, in the fetcher's
+# envelope (asset id and requested window length, when it records them).
 SERIES = T.ArrayType(T.ArrayType(RAW_NUM))
 CHART_PAYLOAD = T.StructType([
     T.StructField("id", T.StringType()),
+    T.StructField("chart_days", T.IntegerType()),
     T.StructField("prices", SERIES),
     T.StructField("market_caps", SERIES),
     T.StructField("total_volumes", SERIES),

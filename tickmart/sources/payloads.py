@@ -20,9 +20,14 @@ from tickmart.schemas import CATEGORY_PAYLOAD, CHART_PAYLOAD, RAW_SNAPSHOT, SNAP
 SNAPSHOT_LIST = T.ArrayType(SNAPSHOT_COIN)
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: ``payload`` (text) and ``source_file``."""
-    return (spark.read.option("wholetext", True).text(path)
+def read_payloads(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Landed payloads: ``payload`` (text) and ``source_file``.
+
+    ``whole_files``: one payload per file (API responses as fetched; keeps
+    payload order for keep-first).  Otherwise JSON Lines, one payload per
+    line, for keyed payloads where order within a file does not matter.
+    """
+    return (spark.read.option("wholetext", whole_files).text(path)
             .select(F.col("value").alias("payload"),
                     F.col("_metadata.file_name").alias("source_file")))
 
@@ -67,12 +72,12 @@ def chart_rows(payloads: DataFrame, batch_ts: str | Column, chart_days: int | Co
     """SRC-2: chart payload -> raw series row; a missing/null series becomes ``[]``.
 
     The asset id is the payload's ``id`` field, else ``id_col`` (e.g. the file
-    name stem).
+    name stem); the window is the payload's ``chart_days``, else ``chart_days``.
     """
     c = parse_chart(F.col(payload_col))
     empty = F.array().cast(CHART_PAYLOAD["prices"].dataType)
     coin_id = c["id"] if id_col is None else F.coalesce(c["id"], F.col(id_col))
-    days = F.lit(chart_days) if isinstance(chart_days, int) else chart_days
+    days = F.coalesce(c["chart_days"], F.lit(chart_days) if isinstance(chart_days, int) else chart_days)
     return payloads.select(
         coin_id.alias("coin_id"),
         days.cast("int").alias("chart_days"),
