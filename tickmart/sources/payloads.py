@@ -27,7 +27,7 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = True) -> D
     payload order for keep-first).  Otherwise JSON Lines, one payload per
     line, for keyed payloads where order within a file does not matter.
     """
-    return (spark.read.option("wholetext", whole_files).text(path)
+    return (spark.read.text(path, wholetext=whole_files)
             .select(F.col("value").alias("payload"),
                     F.col("_metadata.file_name").alias("source_file")))
 
