@@ -29,14 +29,15 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     """Insert new keys, overwrite every non-key column of existing ones."""
     if order:
         updates = latest_per_key(updates, keys, order)
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    # A USING join lists the keys first; keep the table's own column order.
+    kept = target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """SNK-4: append rows whose key is new; return (result, colliding batch rows)."""
-    fresh = batch.join(target.select(*keys), list(keys), "left_anti")
-    collisions = batch.join(target.select(*keys), list(keys), "left_semi")
+    fresh = batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    collisions = batch.join(target.select(*keys), list(keys), "left_semi").select(*batch.columns)
     return target.unionByName(fresh, allowMissingColumns=True), collisions
 
 
