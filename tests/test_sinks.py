@@ -84,3 +84,23 @@ def test_anti_join_needs_only_batch_keys(spark):
     t = df(spark, [(i, "t", 0) for i in range(100)])
     plan = upsert(t, df(spark, [(1, "u", 1)]), ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "CartesianProduct" not in plan
+
+
+def test_partition_scoped_upsert_touches_only_batch_months(spark):
+    import datetime as dt
+    import os
+
+    from tickmart.sinks.partitioned import read_partitioned, replace_partitioned, upsert_partitions
+
+    S2 = "k long, d date, v string"
+    path = scratch_dir(spark, "t_parts")
+    replace_partitioned(spark.createDataFrame(
+        [(1, dt.date(2024, 1, 5), "a"), (2, dt.date(2024, 2, 5), "b"), (4, dt.date(2024, 1, 6), "keep")], S2),
+        path, "d")
+    feb = [f for f in os.listdir(path.replace("file:", "") + "/month=2024-02")]
+    months = upsert_partitions(spark.createDataFrame(
+        [(1, dt.date(2024, 1, 5), "A"), (3, dt.date(2024, 1, 9), "c")], S2), path, ["k", "d"], "d")
+    assert months == ["2024-01"]
+    assert os.listdir(path.replace("file:", "") + "/month=2024-02") == feb    # untouched
+    assert rows(read_partitioned(spark, path), "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "keep")]
+    assert upsert_partitions(spark.createDataFrame([], S2), path, ["k", "d"], "d") == []

@@ -26,9 +26,13 @@ from tickmart.operators import quality as Q
 from tickmart.operators.scd2 import scd2_merge
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
 from tickmart.plans import models as M
-from tickmart.plans.incremental import refresh_bars, refresh_metrics
+from tickmart.operators.metrics import daily_metrics
+from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
 from tickmart.session import configure
-from tickmart.sinks.tables import layer_path, publish, read_table, table_exists
+from tickmart.sinks.partitioned import (
+    partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
+)
+from tickmart.sinks.tables import layer_path, publish, read_table, stage, table_exists
 from tickmart.sinks.upsert import LoadReport, load
 from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
@@ -66,6 +70,12 @@ def table_path(cfg: JobConfig, name: str) -> str:
     return layer_path(cfg.warehouse, name, custom_schema=LAYERS[name])
 
 
+def _previous_partitioned(spark: SparkSession, cfg: JobConfig, path: str) -> DataFrame | None:
+    if cfg.full_refresh or not partitioned_exists(spark, path):
+        return None
+    return read_partitioned(spark, path)
+
+
 def _previous(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame | None:
     path = table_path(cfg, name)
     if cfg.full_refresh or not table_exists(spark, path):
@@ -155,12 +165,29 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     as_of_date = cfg.as_of[:10]
     markets = put("stg_coin_markets", standardise_snapshot(raw_markets, as_of_date, cfg.as_of))
     cats = put("stg_coin_categories", standardise_categories(raw_categories))
-    bars_table, changed = refresh_bars(raw_series, _previous(spark, cfg, "stg_coin_price_history"),
-                                       cfg.price_scale, cfg.full_refresh)
-    bars = put("stg_coin_price_history", bars_table)
-    metrics_table, _ = refresh_metrics(bars, changed, _previous(spark, cfg, "int_coin_daily_metrics"),
-                                       markets, cfg.price_scale, cfg.full_refresh)
-    metrics = put("int_coin_daily_metrics", metrics_table)
+    # Bars and metrics grow with history: month-partitioned, and an
+    # incremental run rewrites only the months it touches.
+    bars_path = table_path(cfg, "stg_coin_price_history")
+    prev_bars = _previous_partitioned(spark, cfg, bars_path)
+    if prev_bars is None:
+        bars_table, changed = refresh_bars(raw_series, None, cfg.price_scale, full_refresh=True)
+        replace_partitioned(bars_table, bars_path, "coin_date")
+        changed = None
+    else:
+        _, changed = refresh_bars(raw_series, prev_bars, cfg.price_scale)
+        changed = stage(changed, "changed-bars")  # its inputs are overwritten next
+        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date")
+    res.tables["stg_coin_price_history"] = bars_path
+    bars = read_partitioned(spark, bars_path)
+    met_path = table_path(cfg, "int_coin_daily_metrics")
+    prev_metrics = _previous_partitioned(spark, cfg, met_path)
+    if prev_metrics is None or changed is None:
+        replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
+    else:
+        _, recomputed = refresh_metrics(bars, changed, prev_metrics, markets, cfg.price_scale)
+        upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
+    res.tables["int_coin_daily_metrics"] = met_path
+    metrics = read_partitioned(spark, met_path)
     cat_metrics = put("int_coin_categories", M.category_metrics(cats, metrics))
     dim = put("dim_coins", M.asset_dimension(cats, markets, bars))
     fact = put("fct_daily_coin_performance", M.daily_fact(metrics))

@@ -106,5 +106,5 @@ FROM metrics""")
 def daily_job_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """JOB-1 with SRC-4/5: two daily runs; the fact equals the one-shot fact."""
     warehouse = run_two_days(spark, sf)
-    return read_table(spark, table_path(JobConfig(landing="", warehouse=warehouse, batch_ts="",
-                                                  as_of=""), "fct_daily_coin_performance"))
+    cfg = JobConfig(landing="", warehouse=warehouse, batch_ts="", as_of="")
+    return read_table(spark, table_path(cfg, "fct_daily_coin_performance"))

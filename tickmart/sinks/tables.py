@@ -104,3 +104,15 @@ def schema_name(custom_schema: str | None, default_schema: str) -> str:
 def layer_path(root: str, table: str, custom_schema: str | None = None,
                default_schema: str = "public") -> str:
     return f"{root.rstrip('/')}/{schema_name(custom_schema, default_schema)}/{table}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared scratch root and read it
+    back: cuts lineage (recovery restarts from the files) and freezes a result
+    whose inputs are about to be overwritten."""
+    from tickmart.session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"stage-{name}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
