@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickmart.operators.bars import daily_bars, high_water
+from tickmart.operators.joins import small_side
 from tickmart.operators.metrics import METRIC_COLUMNS, daily_metrics
 from tickmart.operators.unnest import unnest_series
 from tickmart.sinks.upsert import upsert
@@ -50,7 +51,9 @@ def refresh_bars(raw: DataFrame, bars: DataFrame | None, price_scale: int = 2,
         return full, full
     fresh_points = unnest_series(new_raw_rows(raw, bars))
     touched = fresh_points.select("coin_id", F.to_date("price_ts").alias("coin_date")).distinct()
-    assets = touched.select("coin_id").distinct()
+    # The touched assets are few next to the raw rows: broadcast them (size
+    # checked) so raw series are filtered in place, never shuffled.
+    assets = small_side(touched.select("coin_id").distinct())
     points = (unnest_series(raw.join(assets, "coin_id", "left_semi"))
               .withColumn("coin_date", F.to_date("price_ts"))
               .join(touched, BAR_KEYS, "left_semi")

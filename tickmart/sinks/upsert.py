@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickmart.operators.dedupe import keep_latest
+from tickmart.operators.joins import small_side
 from tickmart.sinks.tables import publish, read_table, table_exists
 
 
@@ -25,17 +26,27 @@ def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           order: Sequence[str | Column] | None = None) -> DataFrame:
-    """Insert new keys, overwrite every non-key column of existing ones."""
+           order: Sequence[str | Column] | None = None, batch_rows: int | None = None) -> DataFrame:
+    """Insert new keys, overwrite every non-key column of existing ones.
+
+    With ``batch_rows`` known and under the broadcast limit, the batch keys
+    are broadcast and the target is filtered without being shuffled.
+    """
     if order:
         updates = latest_per_key(updates, keys, order)
+    batch_keys = updates.select(*keys)
+    if batch_rows is not None:
+        batch_keys = small_side(batch_keys, batch_rows)
     # A USING join lists the keys first; keep the table's own column order.
-    kept = target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns)
+    kept = target.join(batch_keys, list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """SNK-4: append rows whose key is new; return (result, colliding batch rows)."""
+    """SNK-4: append rows whose key is new; return (result, colliding batch rows).
+
+    Here the batch is the preserved side; the target's keys are joined as is
+    (Catalyst sizes them)."""
     fresh = batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
     collisions = batch.join(target.select(*keys), list(keys), "left_semi").select(*batch.columns)
     return target.unionByName(fresh, allowMissingColumns=True), collisions
@@ -76,7 +87,7 @@ def load(updates: DataFrame, table_path: str, keys: Sequence[str],
         if mode == "insert_only":
             result, _ = insert_only(target, updates, keys)
         else:
-            result = upsert(target, updates, keys, order)
+            result = upsert(target, updates, keys, order, batch_rows=batch_rows)
     else:
         result = latest_per_key(updates, keys, order) if order else updates
     table_obs = Observation("table")

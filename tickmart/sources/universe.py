@@ -2,8 +2,8 @@
 
 Each entry is trimmed (and lower-cased unless told not to); blanks are
 dropped; a repeated id keeps its first occurrence (line order, then position).
-The universe is applied with a ``left_semi`` join; Catalyst broadcasts it when
-its measured size is under the broadcast threshold and shuffles otherwise.
+The universe is applied with a ``left_semi`` join, broadcast when its row count
+is under the limit (``operators.joins``) and shuffled otherwise.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickmart.operators.dedupe import keep_first
+from tickmart.operators.joins import small_side
 
 
 def parse_universe(lines: DataFrame, text_col: str = "value", order_col: str | None = None,
@@ -29,6 +30,7 @@ def parse_universe(lines: DataFrame, text_col: str = "value", order_col: str | N
 
 
 def restrict_to_universe(df: DataFrame, universe: DataFrame, key: str = "coin_id") -> DataFrame:
-    """Rows of ``df`` whose ``key`` (compared as text) is in the universe."""
-    ids = universe.select(F.col("coin_id").alias("_uid"))
+    """Rows of ``df`` whose ``key`` (compared as text) is in the universe
+    (broadcast when the universe is under the size limit)."""
+    ids = small_side(universe.select(F.col("coin_id").alias("_uid")))
     return df.join(ids, F.col(key).cast("string") == F.col("_uid"), "left_semi")
