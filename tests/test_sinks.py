@@ -104,3 +104,15 @@ def test_partition_scoped_upsert_touches_only_batch_months(spark):
     assert os.listdir(path.replace("file:", "") + "/month=2024-02") == feb    # untouched
     assert rows(read_partitioned(spark, path), "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "keep")]
     assert upsert_partitions(spark.createDataFrame([], S2), path, ["k", "d"], "d") == []
+
+
+def test_upsert_newer_is_order_insensitive(spark):
+    from tickmart.sinks.upsert import upsert_newer
+
+    t = df(spark, [(1, "a", 5), (2, "b", 1)])
+    late_old = df(spark, [(1, "older", 3), (2, "newer", 2), (3, "new", 0)])
+    assert rows(upsert_newer(t, late_old, ["k"], "seq")) == [(1, "a", 5), (2, "newer", 2), (3, "new", 0)]
+    b1, b2 = df(spark, [(1, "x", 7)]), df(spark, [(1, "y", 6)])
+    one = upsert_newer(upsert_newer(t, b1, ["k"], "seq"), b2, ["k"], "seq")
+    two = upsert_newer(upsert_newer(t, b2, ["k"], "seq"), b1, ["k"], "seq")
+    assert rows(one) == rows(two) == [(1, "x", 7), (2, "b", 1)]

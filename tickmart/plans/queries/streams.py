@@ -70,8 +70,9 @@ SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS _seq
 FROM orders""")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """STR-2: three micro-batches (all orders; ``% 3`` revised; ``% 5`` revised
-    again, listed twice with an older copy) upserted by ``o_orderkey``."""
+    """STR-2: three landed batches (all orders; ``% 3`` revised; ``% 5`` revised
+    again, plus older copies) upserted by ``o_orderkey``, newest ``_seq`` wins
+    whatever order the files are picked up in."""
     orders = table(spark, sf, "orders").select(*_ORDER_COLS.split(", "))
     k = F.col("o_orderkey")
     b1 = orders.withColumn("_seq", F.lit(1))
@@ -85,7 +86,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     src = (spark.readStream.schema(b1.schema).option("maxFilesPerTrigger", 1)
            .parquet(f"{root}/source").drop("batch"))
     target = f"{root}/orders"
-    _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], ["_seq"]))
+    _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
          .option("checkpointLocation", f"{root}/checkpoint"))
     return read_table(spark, target)
 

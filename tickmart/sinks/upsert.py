@@ -42,6 +42,25 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str], version: str,
+                 batch_rows: int | None = None) -> DataFrame:
+    """Upsert where a row replaces the stored one only if its ``version`` is
+    not older: applying batches in any order (or twice) gives the same table.
+
+    The stored versions are first narrowed to the batch's keys (broadcast,
+    size checked), so the comparison join never shuffles the table.
+    """
+    newest = latest_per_key(updates, keys, [version])
+    batch_keys = newest.select(*keys)
+    batch_keys = small_side(batch_keys, batch_rows)
+    stored = (target.select(*keys, F.col(version).alias("_stored"))
+              .join(batch_keys, list(keys), "left_semi"))
+    incoming = (newest.join(stored, list(keys), "left")
+                .where(F.col("_stored").isNull() | (F.col(version) >= F.col("_stored")))
+                .select(*newest.columns))
+    return upsert(target, incoming, keys, batch_rows=batch_rows)
+
+
 def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """SNK-4: append rows whose key is new; return (result, colliding batch rows).
 

@@ -1,10 +1,11 @@
 """STR-2: micro-batches upserted into a versioned table.
 
-Each micro-batch is reduced to the newest row per key and upserted
-(``sinks.upsert``); the result is published as a new table version.  A batch
-id already applied (its marker exists) is skipped, and re-applying a batch
-gives the same table anyway, so restarts after a failure are exactly-once in
-effect.
+Each micro-batch is reduced to the newest row per key and upserted; a row
+only replaces a stored row that is not newer by the version column, so the
+table does not depend on the order in which files become micro-batches.  The
+result is published as a new table version.  A batch id already applied (its
+marker exists) is skipped, and re-applying a batch gives the same table
+anyway, so restarts after a failure are exactly-once in effect.
 """
 
 from __future__ import annotations
@@ -14,26 +15,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tickmart.sinks.tables import _fs, publish, read_table, table_exists
-from tickmart.sinks.upsert import latest_per_key, upsert
+from tickmart.sinks.upsert import latest_per_key, upsert_newer
 
 
 def _marker(table_path: str, batch_id: int) -> str:
     return f"{table_path.rstrip('/')}/_batches/{batch_id:012d}"
 
 
-def upsert_batch_writer(table_path: str, keys: Sequence[str], order: Sequence[str]):
-    """A ``foreachBatch`` function applying each micro-batch as a keyed upsert."""
+def upsert_batch_writer(table_path: str, keys: Sequence[str], version: str):
+    """A ``foreachBatch`` function applying each micro-batch as a keyed upsert
+    ordered by the ``version`` column."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fs, marker = _fs(spark, _marker(table_path, batch_id))
         if fs.exists(marker) or batch.isEmpty():
             return
-        newest = latest_per_key(batch, keys, order)
         if table_exists(spark, table_path):
-            result = upsert(read_table(spark, table_path), newest, keys)
+            result = upsert_newer(read_table(spark, table_path), batch, keys, version)
         else:
-            result = newest
+            result = latest_per_key(batch, keys, [version])
         publish(result, table_path)
         fs.create(marker, True).close()
 
