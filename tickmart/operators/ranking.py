@@ -19,4 +19,6 @@ def daily_ranks(metrics: DataFrame, descending: bool, rank_col: str,
     ranked = (metrics.where(v.isNotNull())
               .select("coin_id", "date_stamp", value)
               .withColumn(rank_col, F.row_number().over(w)))
-    return ranked.where(F.col(rank_col) <= top) if top else ranked
+    if top:
+        ranked = ranked.where(F.col(rank_col) <= top)  # filter on the rank itself
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("long"))
