@@ -119,3 +119,19 @@ def test_random_slicing_equals_full_refresh(spark, points, cut1, cut2):
     bars, metrics, fb, fm = run(spark, loads)
     assert rows(bars) == rows(fb)
     assert rows(metrics) == rows(fm)
+
+
+def test_protect_boundary_keeps_stored_first_day(spark):
+    # day 3 stored complete; the re-sent window starts at 20:00 on day 3
+    l1 = {("a", 90): [(3, 1, 10), (3, 20, 12), (4, 1, 13)]}
+    l2 = {("a", 90): [(3, 20, 99), (4, 1, 14), (5, 1, 15)]}
+    raw = materialise(spark, raw_rows(spark, "2024-01-05 06:00:00", l1))
+    bars, _ = refresh_bars(raw, None)
+    bars = materialise(spark, bars)
+    raw2 = materialise(spark, upsert(raw, raw_rows(spark, "2024-01-06 06:00:00", l2), KEYS))
+    plain, _ = refresh_bars(raw2, bars)
+    kept, changed = refresh_bars(raw2, bars, protect_boundary=True)
+    day3 = lambda df: [r for r in df.collect() if r.coin_date.day == 3][0]
+    assert day3(plain).open_price == Decimal("99.00")        # last writer wins by default
+    assert day3(kept).open_price == Decimal("10.00")         # stored full day kept
+    assert sorted(r.coin_date.day for r in changed.collect()) == [4, 5]

@@ -116,3 +116,12 @@ def test_upsert_newer_is_order_insensitive(spark):
     one = upsert_newer(upsert_newer(t, b1, ["k"], "seq"), b2, ["k"], "seq")
     two = upsert_newer(upsert_newer(t, b2, ["k"], "seq"), b1, ["k"], "seq")
     assert rows(one) == rows(two) == [(1, "x", 7), (2, "b", 1)]
+
+
+def test_replace_per_asset_drops_vanished_categories(spark):
+    S3 = "coin_id string, category string, seq int"
+    t = spark.createDataFrame([("a", "L1", 0), ("a", "DeFi", 0), ("b", "Meme", 0)], S3)
+    batch = spark.createDataFrame([("a", "L2", 1)], S3)
+    assert rows(upsert(t, batch, ["coin_id", "category"])) == [
+        ("a", "DeFi", 0), ("a", "L1", 0), ("a", "L2", 1), ("b", "Meme", 0)]   # source behaviour
+    assert rows(upsert(t, batch, ["coin_id"])) == [("a", "L2", 1), ("b", "Meme", 0)]

@@ -58,6 +58,11 @@ class JobConfig:
     price_scale: int = 2
     full_refresh: bool = False
     fail_on_error: bool = True
+    # Skip rebuilding a stored bar from the partial first day of a re-sent window.
+    protect_boundary: bool = False
+    # Categories: per (asset, category) upsert (source behaviour, vanished
+    # categories stay) or replace every category of an asset present in the load.
+    replace_categories_per_asset: bool = False
 
 
 @dataclass
@@ -152,9 +157,10 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     categories = restrict_to_universe(
         category_rows(read_payloads(spark, f"{cfg.landing}/categories", whole_files=False),
                       cfg.batch_ts), universe)
+    category_keys = ["coin_id"] if cfg.replace_categories_per_asset else ["coin_id", "category"]
     for name, rows, keys in (("coin_markets", snapshot, ["id"]),
                              ("coin_price_history", charts, ["coin_id", "chart_days"]),
-                             ("coins_categories", categories, ["coin_id", "category"])):
+                             ("coins_categories", categories, category_keys)):
         res.loads[name] = load(rows, table_path(cfg, name), keys)
         res.tables[name] = table_path(cfg, name)
     raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
@@ -174,7 +180,8 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
         replace_partitioned(bars_table, bars_path, "coin_date")
         changed = None
     else:
-        _, changed = refresh_bars(raw_series, prev_bars, cfg.price_scale)
+        _, changed = refresh_bars(raw_series, prev_bars, cfg.price_scale,
+                                  protect_boundary=cfg.protect_boundary)
         changed = stage(changed, "changed-bars")  # its inputs are overwritten next
         upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date")
     res.tables["stg_coin_price_history"] = bars_path

@@ -44,13 +44,28 @@ def new_raw_rows(raw: DataFrame, bars: DataFrame | None) -> DataFrame:
 
 
 def refresh_bars(raw: DataFrame, bars: DataFrame | None, price_scale: int = 2,
-                 full_refresh: bool = False) -> tuple[DataFrame, DataFrame]:
-    """INC-1 / INC-3 -> (new bars table, changed bars)."""
+                 full_refresh: bool = False, protect_boundary: bool = False,
+                 window_cols: tuple[str, ...] = ("chart_days",)) -> tuple[DataFrame, DataFrame]:
+    """INC-1 / INC-3 -> (new bars table, changed bars).
+
+    ``protect_boundary``: a re-sent rolling window starts mid-day, so its
+    first day holds only part of that day's points; with this flag a new raw
+    row does not rebuild its earliest day when that bar is already stored.
+    """
     if bars is None or full_refresh:
         full = daily_bars(unnest_series(raw), price_scale)
         return full, full
-    fresh_points = unnest_series(new_raw_rows(raw, bars))
-    touched = fresh_points.select("coin_id", F.to_date("price_ts").alias("coin_date")).distinct()
+    fresh = new_raw_rows(raw, bars)
+    if protect_boundary:
+        w = list(window_cols)
+        days = (unnest_series(fresh, keep=tuple(w))
+                .select("coin_id", *w, F.to_date("price_ts").alias("coin_date")))
+        first = days.groupBy("coin_id", *w).agg(F.min("coin_date").alias("coin_date"))
+        stored_first = first.join(bars.select("coin_id", "coin_date"), BAR_KEYS, "left_semi")
+        days = days.join(stored_first, ["coin_id", *w, "coin_date"], "left_anti")
+    else:
+        days = unnest_series(fresh).select("coin_id", F.to_date("price_ts").alias("coin_date"))
+    touched = days.select("coin_id", "coin_date").distinct()
     # The touched assets are few next to the raw rows: broadcast them (size
     # checked) so raw series are filtered in place, never shuffled.
     assets = small_side(touched.select("coin_id").distinct())
