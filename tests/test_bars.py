@@ -93,3 +93,9 @@ def test_bars_plan_is_hash_aggregate_with_partial_combine(spark):
         .executedPlan().toString()
     assert "SortAggregate" not in plan
     assert plan.count("HashAggregate") >= 2     # partial + final
+
+
+def test_sub_cent_price_rounds_to_zero(spark):
+    data = [("a", ts("2024-01-01 00:00:00"), 1, D("0.004"), D("0.004"), D("0.004"), ts("2024-01-01 01:00:00"))]
+    b = daily_bars(points(spark, data)).collect()[0]
+    assert b.open_price == D("0.00") and b.close_price == D("0.00")

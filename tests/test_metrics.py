@@ -55,3 +55,12 @@ def test_one_window_exchange(spark):
     plan = daily_metrics(b, assets(spark, [("a", "A")]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") == 1 or plan.count("Window") >= 1
     assert "CartesianProduct" not in plan
+
+
+def test_sub_cent_prices_round_to_zero_then_change_is_zero(spark):
+    # a sub-cent asset: bars round 0.004 to 0.00, so the next change divides
+    # by 0 -> NULL -> 0 (the source's documented behaviour, D-9)
+    b = bars(spark, "s", [("2024-01-01", "0.00"), ("2024-01-02", "0.01"), ("2024-01-03", "0.02")])
+    got = [(r.prev_day_price, r.daily_price_change_pcg)
+           for r in daily_metrics(b, assets(spark, [])).orderBy("date_stamp").collect()]
+    assert got == [(None, D("0.00")), (D("0.00"), D("0.00")), (D("0.01"), D("100.00"))]

@@ -13,6 +13,7 @@ from tickmart.plans.queries.oracle_sql import (
 )
 from tickmart.plans.queries.registry import register
 from tickmart.plans.queries.shaping import staged_snapshot, staged_snapshot_ctes
+from tickmart.sinks.tables import stage
 from tickmart.sources.driver_tables import (
     asset_master, price_points, segment_categories, table,
 )
@@ -119,9 +120,12 @@ def model_checks() -> list[Q.Check]:
 
 
 def model_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The models the checks run on.  Bars and metrics are written once to the
+    shared scratch root and read back: ~50 checks each prune different
+    columns, so without this every check would rescan the raw points."""
     customer = table(spark, sf, "customer")
-    bars = daily_bars(price_points(table(spark, sf, "events")))
-    metrics = M.daily_metrics(bars, asset_master(customer))
+    bars = stage(daily_bars(price_points(table(spark, sf, "events"))), "dq-bars")
+    metrics = stage(M.daily_metrics(bars, asset_master(customer)), "dq-metrics")
     cats = segment_categories(customer, CATEGORY_BATCH_TS)
     return {
         "markets": staged_snapshot(customer),
