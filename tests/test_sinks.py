@@ -3,8 +3,6 @@
 from conftest import rows
 from hypothesis import given, settings, strategies as st
 
-from pyspark.sql import functions as F
-
 from tickmart.session import scratch_dir
 from tickmart.sinks.tables import (
     committed_versions, layer_path, publish, read_table, schema_name, vacuum, version_path,

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.operators.dedupe import keep_first, keep_latest
+from tickmart.operators.dedupe import keep_first
 from tickmart.plans.queries.registry import register
 from tickmart.session import scratch_dir
 from tickmart.sinks.tables import layer_path, publish, read_table
-from tickmart.sinks.upsert import ensure_columns, insert_only, load, upsert
+from tickmart.sinks.upsert import ensure_columns, load, upsert
 from tickmart.sources.driver_tables import table
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
