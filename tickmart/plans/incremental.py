@@ -84,10 +84,14 @@ def affected_from(changed_bars: DataFrame) -> DataFrame:
 
 def trailing_start(metrics: DataFrame, bars: DataFrame, days: int = LOOKBACK_ROWS) -> DataFrame:
     """FLT-3 + A-7 (the source's bound): every asset recomputes from
-    ``max(stored date) - 6 days``.  Changes older than that are not seen."""
-    bound = metrics.agg((F.max("date_stamp") - F.expr(f"INTERVAL {days} DAYS")).cast("date")
-                        .alias("affected_from"))
-    return bars.select("coin_id").distinct().crossJoin(bound)
+    ``max(stored date) - 6 days``.  Changes older than that are not seen.
+
+    The bound is one scalar; it is fetched and applied as a literal, so date
+    filters on it prune partitions and no join is needed.
+    """
+    latest = metrics.agg(F.max("date_stamp")).first()[0]
+    bound = F.date_sub(F.lit(latest), days) if latest is not None else F.lit(None).cast("date")
+    return bars.select("coin_id").distinct().withColumn("affected_from", bound)
 
 
 def refresh_metrics(bars: DataFrame, changed_bars: DataFrame | None, metrics: DataFrame | None,

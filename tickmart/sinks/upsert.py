@@ -95,12 +95,12 @@ def load(updates: DataFrame, table_path: str, keys: Sequence[str],
     new version is written (no extra pass over the table).
     """
     spark = updates.sparkSession
-    if updates.isEmpty():
-        rows = read_table(spark, table_path).count() if table_exists(spark, table_path) else 0
-        return LoadReport(table_path, 0, rows, True, None)
     # The batch feeds both sides of the upsert, so it is counted on its own
     # (one pass over the incoming slice, never over the table).
     batch_rows = updates.count()
+    if batch_rows == 0:
+        rows = read_table(spark, table_path).count() if table_exists(spark, table_path) else 0
+        return LoadReport(table_path, 0, rows, True, None)
     if table_exists(spark, table_path):
         target = read_table(spark, table_path)
         if mode == "insert_only":

@@ -29,10 +29,13 @@ def upsert_batch_writer(table_path: str, keys: Sequence[str], version: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fs, marker = _fs(spark, _marker(table_path, batch_id))
-        if fs.exists(marker) or batch.isEmpty():
+        if fs.exists(marker):
+            return
+        rows = batch.count()
+        if rows == 0:
             return
         if table_exists(spark, table_path):
-            result = upsert_newer(read_table(spark, table_path), batch, keys, version)
+            result = upsert_newer(read_table(spark, table_path), batch, keys, version, batch_rows=rows)
         else:
             result = latest_per_key(batch, keys, [version])
         publish(result, table_path)
