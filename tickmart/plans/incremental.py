@@ -71,7 +71,7 @@ def refresh_bars(raw: DataFrame, bars: DataFrame | None, price_scale: int = 2,
     assets = small_side(touched.select("coin_id").distinct())
     points = (unnest_series(raw.join(assets, "coin_id", "left_semi"))
               .withColumn("coin_date", F.to_date("price_ts"))
-              .join(touched, BAR_KEYS, "left_semi")
+              .join(small_side(touched), BAR_KEYS, "left_semi")
               .drop("coin_date"))
     changed = daily_bars(points, price_scale)
     return upsert(bars, changed, BAR_KEYS), changed
