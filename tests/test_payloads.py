@@ -103,3 +103,14 @@ def test_top_n_plan_and_ties(spark):
     out = top_n(df, 3, [F.col("cap").desc_nulls_last(), F.col("id").asc()])
     assert [r.id for r in out.collect()] == [2, 5, 8]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_default_universe_when_none_landed(spark, tmp_path):
+    from tickmart.fixed import DEFAULT_UNIVERSE
+    from tickmart.plans.daily_job import JobConfig, _universe_lines
+
+    cfg = JobConfig(landing=str(tmp_path), warehouse=str(tmp_path / "w"), batch_ts="", as_of="")
+    u = parse_universe(_universe_lines(spark, cfg))
+    assert u.count() == len(DEFAULT_UNIVERSE) == 100
+    first = min(u.collect(), key=lambda r: (r.list_order._line, r.list_order._pos))
+    assert first.coin_id == "bitcoin"

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickmart.fixed import UNKNOWN_TEXT
 from tickmart.schemas import money
 
 _D0 = "decimal(38,0)"
@@ -73,7 +74,7 @@ def round_to(c: Column, scale: int = 2) -> Column:
 
 def text_or_unknown(c: Column) -> Column:
     """``trim(coalesce(text, 'Unknown'))`` (trims spaces only)."""
-    return F.trim(F.coalesce(c.cast("string"), F.lit("Unknown")))
+    return F.trim(F.coalesce(c.cast("string"), F.lit(UNKNOWN_TEXT)))
 
 
 def number_or_zero(c: Column) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickmart.fixed import MOVING_AVERAGE_ROWS
 from tickmart.functions import round_to
 
 METRIC_COLUMNS = [
@@ -43,7 +44,7 @@ def with_metrics(bars: DataFrame, price_scale: int = 2) -> DataFrame:
     """
     w = asset_window()
     prev = F.lag("close_price", 1).over(w)
-    avg7 = F.avg("close_price").over(w.rowsBetween(-6, Window.currentRow))
+    avg7 = F.avg("close_price").over(w.rowsBetween(-(MOVING_AVERAGE_ROWS - 1), Window.currentRow))
     return (
         bars
         .withColumn("prev_day_price", prev)

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickmart.fixed import DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FRESHNESS_HOURS, PRICE_SCALE
 from tickmart.operators import quality as Q
 from tickmart.operators.scd2 import scd2_merge
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
@@ -32,7 +33,7 @@ from tickmart.session import configure
 from tickmart.sinks.partitioned import (
     partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
 )
-from tickmart.sinks.tables import layer_path, publish, read_table, stage, table_exists
+from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists
 from tickmart.sinks.upsert import LoadReport, load
 from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
@@ -54,8 +55,8 @@ class JobConfig:
     warehouse: str
     batch_ts: str  # lineage stamp of this run's loads
     as_of: str  # the run's "now" (defaults for missing dates, freshness)
-    chart_days: int = 90
-    price_scale: int = 2
+    chart_days: int = DEFAULT_CHART_DAYS
+    price_scale: int = PRICE_SCALE
     full_refresh: bool = False
     fail_on_error: bool = True
     # Skip rebuilding a stored bar from the partial first day of a re-sent window.
@@ -133,11 +134,8 @@ def model_checks() -> list[Q.Check]:
     ]
 
 
-FRESHNESS = [
-    Q.Freshness("coin_markets", "_ingested_at", 12 * 3600, 24 * 3600),
-    Q.Freshness("coin_price_history", "_ingested_at", 12 * 3600, 24 * 3600),
-    Q.Freshness("coins_categories", "_ingested_at", 3 * 86400, 7 * 86400),
-]
+FRESHNESS = [Q.Freshness(src, "_ingested_at", warn * 3600, error * 3600)
+             for src, (warn, error) in FRESHNESS_HOURS.items()]
 
 
 def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
@@ -151,7 +149,7 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
         return read_table(spark, path)
 
     # --- loads -----------------------------------------------------------------
-    universe = parse_universe(spark.read.text(f"{cfg.landing}/universe"))
+    universe = parse_universe(_universe_lines(spark, cfg))
     snapshot = snapshot_rows(read_payloads(spark, f"{cfg.landing}/markets"), cfg.batch_ts)
     charts = restrict_to_universe(_charts(spark, cfg), universe)
     categories = restrict_to_universe(
@@ -216,6 +214,15 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     return res
 
 
+def _universe_lines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """The landed id lists, else the default universe as one list."""
+    path = f"{cfg.landing}/universe"
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return spark.read.text(path)
+    return spark.createDataFrame([(",".join(DEFAULT_UNIVERSE),)], "value string")
+
+
 def _charts(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Chart payloads; the asset id is the payload's ``id`` or the file name."""
     payloads = read_payloads(spark, f"{cfg.landing}/charts", whole_files=False).withColumn(

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickmart.fixed import MOVING_AVERAGE_ROWS
 from tickmart.operators.bars import daily_bars, high_water
 from tickmart.operators.joins import small_side
 from tickmart.operators.metrics import METRIC_COLUMNS, daily_metrics
@@ -28,7 +29,7 @@ from tickmart.sinks.upsert import upsert
 
 BAR_KEYS = ["coin_id", "coin_date"]
 METRIC_KEYS = ["coin_id", "date_stamp"]
-LOOKBACK_ROWS = 6
+LOOKBACK_ROWS = MOVING_AVERAGE_ROWS - 1  # rows before a change that feed its window
 
 
 def new_raw_rows(raw: DataFrame, bars: DataFrame | None) -> DataFrame:

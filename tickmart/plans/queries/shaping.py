@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickmart.fixed import SNAPSHOT_PAGE_SIZE
 from tickmart.operators.dedupe import keep_first, keep_latest, missing_keys, top_n
 from tickmart.operators.standardise import SNAPSHOT_RULES, standardise_snapshot
 from tickmart.operators.unnest import unnest_series
@@ -347,4 +348,5 @@ SELECT c_custkey, c_name, c_acctbal FROM customer
 ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 100""")
 def top_n_by_cap(spark: SparkSession, sf: str) -> DataFrame:
     cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return top_n(cust, 100, [F.col("c_acctbal").desc_nulls_last(), F.col("c_custkey").asc()])
+    return top_n(cust, SNAPSHOT_PAGE_SIZE,
+                 [F.col("c_acctbal").desc_nulls_last(), F.col("c_custkey").asc()])
