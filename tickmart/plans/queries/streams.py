@@ -1,9 +1,11 @@
 """Driver queries: streaming bars, streaming upsert, streaming dedupe.
 
 The source folders are time-ordered parquet batches copied from the test
-tables into the shared scratch root; each stream runs with ``availableNow``
-(one file batch per trigger) into a file sink or a versioned table, and the
-query returns what was written, read back.
+tables into the shared scratch root, one batch per event day, written in day
+order; each stream runs with ``availableNow`` (one file per trigger) into a
+file sink or a versioned table, and the query returns what was written, read
+back.  A 1-day watermark then never marks a landed point late, whatever the
+order of the files inside one day's batch.
 """
 
 from __future__ import annotations
@@ -20,19 +22,20 @@ from tickmart.streaming.bars import stream_daily_bars
 from tickmart.streaming.dedupe import dedupe_within_watermark
 from tickmart.streaming.upsert import upsert_batch_writer
 
-DAY_SPLITS = ["2024-01-11", "2024-01-21"]
-
-
 def _land_batches(batches: list[DataFrame], folder: str) -> None:
     """Write each batch as its own partition ``batch=k``, oldest first."""
     for k, b in enumerate(batches):
         b.write.parquet(f"{folder}/batch={k:04d}")
 
 
+def _event_days(events: DataFrame) -> list:
+    # One date per landed batch: the distinct days (a few dozen values).
+    return sorted(r[0] for r in events.select(F.to_date("ts")).distinct().collect())
+
+
 def _by_day(events: DataFrame) -> list[DataFrame]:
     day = F.to_date("ts")
-    s0, s1 = (F.lit(d).cast("date") for d in DAY_SPLITS)
-    return [events.where(day < s0), events.where((day >= s0) & (day < s1)), events.where(day >= s1)]
+    return [events.where(day == F.lit(d)) for d in _event_days(events)]
 
 
 def _run(stream_writer) -> None:
@@ -94,18 +97,18 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @register("stream_dedupe", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """STR-3: every tenth event is delivered again (same batch or the next);
-    each event comes out once."""
+    """STR-3: every tenth event is delivered again in the next day's batch and
+    every twentieth twice in its own; each event comes out once."""
     events = table(spark, sf, "events")
-    parts = _by_day(events)
-    repeats = events.where(F.col("event_id") % 10 == 0)
     day = F.to_date("ts")
-    s0, s1 = (F.lit(d).cast("date") for d in DAY_SPLITS)
-    batches = [
-        parts[0].unionByName(repeats.where(day < s0)),
-        parts[1].unionByName(repeats.where(day < s1)),
-        parts[2].unionByName(repeats.where(day >= s1)),
-    ]
+    days = _event_days(events)
+    batches = []
+    for i, d in enumerate(days):
+        b = events.where(day == F.lit(d))
+        b = b.unionByName(b.where(F.col("event_id") % 20 == 0))
+        if i > 0:
+            b = b.unionByName(events.where((day == F.lit(days[i - 1])) & (F.col("event_id") % 10 == 0)))
+        batches.append(b)
     root = scratch_dir(spark, "stream_dedupe")
     _land_batches(batches, f"{root}/source")
     src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
