@@ -69,3 +69,28 @@ def test_two_daily_runs_and_gate(spark, tmp_path):
         run_daily_job(spark, JobConfig(str(tmp_path / "bad"), wh, "2024-01-07 06:00:00", "2024-01-07 08:00:00"))
     failed = read_table(spark, table_path(cfg, "quality_report")).where("status = 'fail'")
     assert failed.count() > 0                                   # the report is written first
+
+
+def test_run_that_dies_before_metrics_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    import tickmart.plans.daily_job as job
+    from tickmart.operators.metrics import daily_metrics
+
+    wh = str(tmp_path / "warehouse")
+    land(tmp_path / "d1", [1, 2, 3])
+    land(tmp_path / "d2", [1, 2, 3, 4, 5])
+    run_daily_job(spark, JobConfig(str(tmp_path / "d1"), wh, "2024-01-04 06:00:00", "2024-01-04 08:00:00"))
+
+    def boom(*a, **k):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(job, "refresh_metrics", boom)
+    cfg2 = JobConfig(str(tmp_path / "d2"), wh, "2024-01-06 06:00:00", "2024-01-06 08:00:00")
+    with pytest.raises(RuntimeError):
+        run_daily_job(spark, cfg2)
+    monkeypatch.undo()
+    run_daily_job(spark, cfg2)                      # same landing, rerun
+    bars = read_partitioned(spark, table_path(cfg2, "stg_coin_price_history"))
+    markets = read_table(spark, table_path(cfg2, "stg_coin_markets"))
+    metrics = read_partitioned(spark, table_path(cfg2, "int_coin_daily_metrics"))
+    assert rows(metrics) == rows(daily_metrics(bars, markets))
+    assert read_table(spark, table_path(cfg2, "pending_bar_changes")).count() == 0

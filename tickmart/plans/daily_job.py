@@ -33,8 +33,8 @@ from tickmart.session import configure
 from tickmart.sinks.partitioned import (
     partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
 )
-from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists
-from tickmart.sinks.upsert import LoadReport, load
+from tickmart.sinks.tables import _fs, layer_path, publish, read_table, table_exists
+from tickmart.sinks.upsert import LoadReport, load, upsert
 from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
@@ -46,6 +46,7 @@ LAYERS = {
     "int_coin_categories": "intermediate", "dim_coins": "marts",
     "fct_daily_coin_performance": "marts", "fct_market_summary": "marts",
     "dim_coins_snapshot": "snapshots", "quality_report": "audit", "source_freshness": "audit",
+    "pending_bar_changes": "audit",
 }
 
 
@@ -170,27 +171,36 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     markets = put("stg_coin_markets", standardise_snapshot(raw_markets, as_of_date, cfg.as_of))
     cats = put("stg_coin_categories", standardise_categories(raw_categories))
     # Bars and metrics grow with history: month-partitioned, and an
-    # incremental run rewrites only the months it touches.
+    # incremental run rewrites only the months it touches.  Changed bars are
+    # recorded before the bars table moves and cleared only once the metrics
+    # caught up, so a run that dies in between is finished by the next one.
     bars_path = table_path(cfg, "stg_coin_price_history")
+    met_path = table_path(cfg, "int_coin_daily_metrics")
+    pending_path = table_path(cfg, "pending_bar_changes")
     prev_bars = _previous_partitioned(spark, cfg, bars_path)
     if prev_bars is None:
-        bars_table, changed = refresh_bars(raw_series, None, cfg.price_scale, full_refresh=True)
+        bars_table, _ = refresh_bars(raw_series, None, cfg.price_scale, full_refresh=True)
         replace_partitioned(bars_table, bars_path, "coin_date")
-        changed = None
+        bars = read_partitioned(spark, bars_path)
+        replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
     else:
-        _, changed = refresh_bars(raw_series, prev_bars, cfg.price_scale,
-                                  protect_boundary=cfg.protect_boundary)
-        changed = stage(changed, "changed-bars")  # its inputs are overwritten next
+        _, new_changes = refresh_bars(raw_series, prev_bars, cfg.price_scale,
+                                      protect_boundary=cfg.protect_boundary)
+        if table_exists(spark, pending_path):
+            # a newer recomputation of the same (asset, day) supersedes the pending one
+            new_changes = upsert(read_table(spark, pending_path), new_changes, BAR_KEYS)
+        publish(new_changes, pending_path)
+        changed = read_table(spark, pending_path)
         upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date")
+        bars = read_partitioned(spark, bars_path)
+        if _previous_partitioned(spark, cfg, met_path) is None:
+            replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
+        else:
+            _, recomputed = refresh_metrics(bars, changed, read_partitioned(spark, met_path),
+                                            markets, cfg.price_scale)
+            upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
+        publish(changed.limit(0), pending_path)  # caught up: nothing pending
     res.tables["stg_coin_price_history"] = bars_path
-    bars = read_partitioned(spark, bars_path)
-    met_path = table_path(cfg, "int_coin_daily_metrics")
-    prev_metrics = _previous_partitioned(spark, cfg, met_path)
-    if prev_metrics is None or changed is None:
-        replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
-    else:
-        _, recomputed = refresh_metrics(bars, changed, prev_metrics, markets, cfg.price_scale)
-        upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
     res.tables["int_coin_daily_metrics"] = met_path
     metrics = read_partitioned(spark, met_path)
     cat_metrics = put("int_coin_categories", M.category_metrics(cats, metrics))
