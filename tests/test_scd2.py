@@ -52,3 +52,12 @@ def test_intervals_disjoint_one_open_per_key(spark, versions):
             assert a.valid_to is not None and a.valid_to <= b.valid_from
     current = {r.coin_id for r in h if r.is_current}
     assert current == set(versions[-1])
+
+
+def test_without_hard_delete_invalidation_gone_keys_stay_open(spark):
+    v1 = spark.createDataFrame([("a", "L1", "A", "AA", None), ("b", "L1", "B", "BB", None)], S)
+    v2 = spark.createDataFrame([("a", "L1", "A", "AX", None)], S)
+    h = scd2_merge(None, v1, KEYS, CHECK, "2024-01-01 00:00:00")
+    h = scd2_merge(h, v2, KEYS, CHECK, "2024-01-02 00:00:00", invalidate_hard_deletes=False)
+    got = rows(h, "coin_id", "symbol", "is_current")
+    assert got == [("a", "AA", False), ("a", "AX", True), ("b", "BB", True)]
