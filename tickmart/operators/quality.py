@@ -47,7 +47,8 @@ def relationship_violations(child: DataFrame, column: str, parent: DataFrame,
     # Parent keys are compared in the child key's type (e.g. text ids vs numbers).
     key_type = child.schema[column].dataType
     parents = (parent.select(F.col(parent_column).try_cast(key_type).alias(column))
-               .where(F.col(column).isNotNull()))
+               .where(F.col(column).isNotNull())
+               .distinct())  # combined map-side: one row per key and task is shuffled
     return values.join(parents, column, "left_anti")
 
 
