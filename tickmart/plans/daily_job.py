@@ -163,7 +163,8 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
         res.loads[name] = load(rows, table_path(cfg, name), keys)
         res.tables[name] = table_path(cfg, name)
     raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
-    raw_series = read_table(spark, table_path(cfg, "coin_price_history"))
+    raw_series = _spread(spark, read_table(spark, table_path(cfg, "coin_price_history")),
+                         res.loads["coin_price_history"].table_rows)
     raw_categories = read_table(spark, table_path(cfg, "coins_categories"))
 
     # --- models ----------------------------------------------------------------
@@ -224,6 +225,18 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     return res
 
 
+def _spread(spark: SparkSession, raw: DataFrame, rows: int) -> DataFrame:
+    """Raw series rows are few and large (one asset window each) and the
+    unnest multiplies them; nothing before it shuffles, so AQE cannot
+    rebalance.  When the scan has fewer partitions than cores but enough
+    rows, spread the rows round-robin so every core unnests and
+    pre-aggregates its share."""
+    cores = spark.sparkContext.defaultParallelism
+    if raw.rdd.getNumPartitions() < cores <= rows:
+        return raw.repartition(cores)
+    return raw
+
+
 def _universe_lines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """The landed id lists, else the default universe as one list."""
     path = f"{cfg.landing}/universe"
