@@ -25,6 +25,7 @@ from tickmart.operators.bars import daily_bars, high_water
 from tickmart.operators.joins import small_side
 from tickmart.operators.metrics import METRIC_COLUMNS, daily_metrics
 from tickmart.operators.unnest import unnest_series
+from tickmart.sinks.tables import stage
 from tickmart.sinks.upsert import upsert
 
 BAR_KEYS = ["coin_id", "coin_date"]
@@ -66,9 +67,10 @@ def refresh_bars(raw: DataFrame, bars: DataFrame | None, price_scale: int = 2,
         days = days.join(stored_first, ["coin_id", *w, "coin_date"], "left_anti")
     else:
         days = unnest_series(fresh).select("coin_id", F.to_date("price_ts").alias("coin_date"))
-    touched = days.select("coin_id", "coin_date").distinct()
-    # The touched assets are few next to the raw rows: broadcast them (size
-    # checked) so raw series are filtered in place, never shuffled.
+    # The touched (asset, day) keys are small: stage them once, so the new raw
+    # rows are unnested a single time, then count and broadcast them (size
+    # checked) so raw series and points are filtered in place, not shuffled.
+    touched = stage(days.select("coin_id", "coin_date").distinct(), "touched-bars")
     assets = small_side(touched.select("coin_id").distinct())
     points = (unnest_series(raw.join(assets, "coin_id", "left_semi"))
               .withColumn("coin_date", F.to_date("price_ts"))
