@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tickmart.operators.dedupe import keep_latest
 from tickmart.operators.joins import small_side
-from tickmart.sinks.tables import publish, read_table, table_exists
+from tickmart.sinks.tables import publish, read_table, stage, table_exists
 
 
 def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -95,9 +95,12 @@ def load(updates: DataFrame, table_path: str, keys: Sequence[str],
     new version is written (no extra pass over the table).
     """
     spark = updates.sparkSession
-    # The batch feeds both sides of the upsert, so it is counted on its own
-    # (one pass over the incoming slice, never over the table).
-    batch_rows = updates.count()
+    # The batch feeds both sides of the upsert and its source may be costly
+    # (parsed payloads): stage it once under the scratch root, counting it on
+    # the way, and upsert from the staged copy.
+    seen = Observation("batch")
+    updates = stage(updates.observe(seen, F.count(F.lit(1)).alias("n")), "load-batch")
+    batch_rows = int(seen.get["n"])
     if batch_rows == 0:
         rows = read_table(spark, table_path).count() if table_exists(spark, table_path) else 0
         return LoadReport(table_path, 0, rows, True, None)
