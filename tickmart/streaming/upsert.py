@@ -31,14 +31,19 @@ def upsert_batch_writer(table_path: str, keys: Sequence[str], version: str):
         fs, marker = _fs(spark, _marker(table_path, batch_id))
         if fs.exists(marker):
             return
-        rows = batch.count()
-        if rows == 0:
-            return
-        if table_exists(spark, table_path):
-            result = upsert_newer(read_table(spark, table_path), batch, keys, version, batch_rows=rows)
-        else:
-            result = latest_per_key(batch, keys, [version])
-        publish(result, table_path)
-        fs.create(marker, True).close()
+        batch.persist()  # counted, then read by both sides of the upsert
+        try:
+            rows = batch.count()
+            if rows == 0:
+                return
+            if table_exists(spark, table_path):
+                result = upsert_newer(read_table(spark, table_path), batch, keys, version,
+                                      batch_rows=rows)
+            else:
+                result = latest_per_key(batch, keys, [version])
+            publish(result, table_path)
+            fs.create(marker, True).close()
+        finally:
+            batch.unpersist()
 
     return write
