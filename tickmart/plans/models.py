@@ -53,7 +53,10 @@ def asset_dimension(categories: DataFrame, assets: DataFrame, bars: DataFrame) -
     first gives the same rows without the blow-up.  The name comes through the
     metrics, so it is NULL for an asset without history.
     """
-    pairs = categories.select("coin_id", "category").dropDuplicates(["coin_id", "category"])
+    # Partition by asset once: the dedupe (clustered on asset, category) and
+    # both asset joins then reuse this partitioning instead of reshuffling.
+    pairs = (categories.select("coin_id", "category").repartition("coin_id")
+             .dropDuplicates(["coin_id", "category"]))
     master = assets.select(F.col("name_id").alias("coin_id"), "name_of_coin",
                            F.col("symbol_name").alias("symbol"))
     seen = first_seen(bars)
