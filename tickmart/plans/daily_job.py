@@ -184,6 +184,8 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
         replace_partitioned(bars_table, bars_path, "coin_date")
         bars = read_partitioned(spark, bars_path)
         replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
+        if table_exists(spark, pending_path):  # rebuilt from scratch: nothing pending
+            publish(read_table(spark, pending_path).limit(0), pending_path)
     else:
         _, new_changes = refresh_bars(raw_series, prev_bars, cfg.price_scale,
                                       protect_boundary=cfg.protect_boundary)

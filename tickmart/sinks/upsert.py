@@ -3,8 +3,10 @@
 ``upsert`` = reduce the batch to one row per key (the last one wins, as with
 row-by-row ``ON CONFLICT DO UPDATE``), drop the target rows whose key is in
 the batch (``left_anti``), append the batch.  The anti-join needs only the
-batch's keys: Catalyst broadcasts them when their measured size is small and
-shuffle-joins otherwise.  Keys are never NULL (FLT-1 / DQ-2 guard that).
+batch's keys: with the batch size known they are broadcast when under the
+row limit (``operators.joins.small_side``), so the table streams through
+without a shuffle; above it the join is a shuffle join.  Keys are never NULL
+(FLT-1 / DQ-2 guard that).
 """
 
 from __future__ import annotations
