@@ -2,7 +2,7 @@
 
 The source folders are time-ordered parquet batches copied from the test
 tables into the shared scratch root, one batch per event day, written in day
-order; each stream runs with ``availableNow`` (one file per trigger) into a
+order; each stream runs with ``availableNow`` (a few files per trigger) into a
 file sink or a versioned table, and the query returns what was written, read
 back.  A 1-day watermark then never marks a landed point late, whatever the
 order of the files inside one day's batch.
@@ -22,6 +22,11 @@ from tickmart.streaming.bars import stream_daily_bars
 from tickmart.streaming.dedupe import dedupe_within_watermark
 from tickmart.streaming.upsert import upsert_batch_writer
 
+# Several files per trigger: batches are whole days and the watermark lags a
+# day, so no file of a later trigger is late, whatever the file order.
+FILES_PER_TRIGGER = 4
+
+
 def _land_batches(batches: list[DataFrame], folder: str) -> None:
     """Write each batch as its own partition ``batch=k``, oldest first."""
     for k, b in enumerate(batches):
@@ -53,7 +58,7 @@ def stream_bars(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     root = scratch_dir(spark, "stream_bars")
     _land_batches(_by_day(events), f"{root}/source")
-    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
            .parquet(f"{root}/source").drop("batch"))
     bars = stream_daily_bars(price_points(src), lateness="1 day")
     _run(bars.writeStream.format("parquet").outputMode("append")
@@ -86,7 +91,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     b3 = b3_new.unionByName(b2.where(k % 5 == 0))
     root = scratch_dir(spark, "stream_upsert")
     _land_batches([b1, b2, b3], f"{root}/source")
-    src = (spark.readStream.schema(b1.schema).option("maxFilesPerTrigger", 1)
+    src = (spark.readStream.schema(b1.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
            .parquet(f"{root}/source").drop("batch"))
     target = f"{root}/orders"
     _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
@@ -111,7 +116,7 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
         batches.append(b)
     root = scratch_dir(spark, "stream_dedupe")
     _land_batches(batches, f"{root}/source")
-    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
            .parquet(f"{root}/source").drop("batch"))
     out = dedupe_within_watermark(src, ["event_id"], "ts", "1 day")
     _run(out.writeStream.format("parquet").outputMode("append")
