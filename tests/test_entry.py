@@ -51,9 +51,10 @@ def test_matches_oracle(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 @pytest.mark.parametrize("name", READ_ONLY)
-def test_plan_has_no_cartesian_or_single_partition(spark, name):
-    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+def test_plan_has_no_cartesian_or_single_partition(spark, name, sf):
+    plan = queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     lines = plan.splitlines()
