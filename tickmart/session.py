@@ -32,13 +32,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str | None = None, app_name: str = "tickmart",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
