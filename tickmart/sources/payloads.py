@@ -1,10 +1,11 @@
 """Landed API payload scans (SRC-1, SRC-2, SRC-3) and the raw-row shaping.
 
-A landed payload is a JSON document per file (one API response).  Files are
-read whole (``wholetext``), so payload order survives as (file, position):
-one payload is bounded by the API page size, many files scale out.
-The same parse functions also take a column of JSON text that was produced
-in Spark (``parse_*``), which is how the driver queries exercise them.
+Snapshot lists are landed one API response per file and read whole
+(``wholetext``), so payload order survives as (file, position) for
+keep-first: a payload is bounded by the API page size and many files scale
+out.  Keyed payloads (charts, categories) may also be landed as JSON Lines.
+The ``*_rows`` functions take any DataFrame with a column of JSON text, so
+payloads built in Spark (as the driver queries do) go through the same parse.
 """
 
 from __future__ import annotations
