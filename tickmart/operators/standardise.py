@@ -13,39 +13,9 @@ from pyspark.sql import functions as F
 
 from tickmart.functions import number_or_zero, text_or_unknown
 from tickmart.operators.dedupe import keep_latest
+from tickmart.fixed import SNAPSHOT_RULES
 from tickmart.schemas import RAW_NUM, TOTAL
 
-# (output column, raw column, rule); fixed column contract of the staged snapshot.
-SNAPSHOT_RULES = [
-    ("name_id", "id", "text"),
-    ("symbol_name", "symbol", "text"),
-    ("name_of_coin", "name", "text"),
-    ("coin_image", "image", "text"),
-    ("current_price", "current_price", "round"),
-    ("market_cap", "market_cap", "round"),
-    ("market_cap_rank", "market_cap_rank", "number"),
-    ("fully_diluted_valuation", "fully_diluted_valuation", "round"),
-    ("total_volume", "total_volume", "number"),
-    ("high_24h", "high_24h", "round"),
-    ("low_24h", "low_24h", "round"),
-    ("price_change_24h", "price_change_24h", "round"),
-    ("market_cap_change_24h", "market_cap_change_24h", "round"),
-    ("circulating_supply", "circulating_supply", "round"),
-    ("total_supply", "total_supply", "round"),
-    ("max_supply", "max_supply", "round"),
-    ("all_time_high", "ath", "round"),
-    ("all_time_high_change_percentage", "ath_change_percentage", "round"),
-    ("all_time_high_date", "ath_date", "date"),
-    ("all_time_low", "atl", "round"),
-    ("all_time_low_change_percentage", "atl_change_percentage", "round"),
-    # The source derives this from ath_date (a defect); atl_date is used here.
-    ("all_time_low_date", "atl_date", "date"),
-    ("return_on_investment_times", "roi_times", "round"),
-    ("return_on_investment_currency", "roi_currency", "text"),
-    ("return_on_investment_percentage", "roi_percentage", "round"),
-    ("last_updated", "last_updated", "timestamp"),
-    ("ingested_at", "_ingested_at", "timestamp"),
-]
 
 
 def _rule(raw: str, rule: str, as_of_date: str, as_of_ts: str):

@@ -22,7 +22,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.fixed import DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FRESHNESS_HOURS, PRICE_SCALE
+from tickmart.fixed import (
+    DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FRESHNESS_HOURS, LAYERS, PRICE_SCALE,
+)
 from tickmart.operators import quality as Q
 from tickmart.operators.scd2 import scd2_merge
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
@@ -38,16 +40,6 @@ from tickmart.sinks.upsert import LoadReport, load, upsert
 from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
-# Layer of every table (schema name in the source project).
-LAYERS = {
-    "coin_markets": "raw", "coin_price_history": "raw", "coins_categories": "raw",
-    "stg_coin_markets": "staging", "stg_coin_categories": "staging",
-    "stg_coin_price_history": "staging", "int_coin_daily_metrics": "intermediate",
-    "int_coin_categories": "intermediate", "dim_coins": "marts",
-    "fct_daily_coin_performance": "marts", "fct_market_summary": "marts",
-    "dim_coins_snapshot": "snapshots", "quality_report": "audit", "source_freshness": "audit",
-    "pending_bar_changes": "audit",
-}
 
 
 @dataclass

@@ -5,23 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickmart.fixed import FACT_COLUMNS
 from tickmart.operators.bars import first_seen
 from tickmart.operators.metrics import daily_metrics  # noqa: F401  (re-export)
 from tickmart.schemas import AVG, TOTAL
 
-FACT_COLUMNS = {
-    "coin_id": "coin_id",
-    "name_of_coin": "name_of_coin",
-    "date_stamp": "trade_date",
-    "open_price": "open_price_usd",
-    "high_price": "high_price_usd",
-    "low_price": "low_price_usd",
-    "close_price": "close_price_usd",
-    "close_total_volume": "volume",
-    "close_market_cap": "market_cap",
-    "daily_price_change_pcg": "daily_price_change_pct",
-    "moving_avg_7d": "moving_avg_7d_price",
-}
 
 
 def daily_fact(metrics: DataFrame) -> DataFrame:
