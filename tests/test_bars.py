@@ -99,3 +99,34 @@ def test_sub_cent_price_rounds_to_zero(spark):
     data = [("a", ts("2024-01-01 00:00:00"), 1, D("0.004"), D("0.004"), D("0.004"), ts("2024-01-01 01:00:00"))]
     b = daily_bars(points(spark, data)).collect()[0]
     assert b.open_price == D("0.00") and b.close_price == D("0.00")
+
+
+def test_hot_asset_matches_brute_force(spark):
+    """One asset holds a third of all points; bars equal a pandas brute force."""
+    import pandas as pd
+
+    n = 30_000
+    pts = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("coin"),
+        F.col("id").alias("seq"),
+        F.timestamp_seconds(F.lit(1704067200) + (F.col("id") * 7919) % (5 * 86400)).alias("t"),
+        ((F.col("id") * 31) % 1000 / 8).cast("decimal(38,18)").alias("p"))
+    df = pts.select(F.col("coin").cast("string").alias("coin_id"),
+                    F.col("t").cast("timestamp_ntz").alias("price_ts"), "seq",
+                    F.col("p").alias("price"), F.col("p").alias("market_cap"),
+                    F.col("p").alias("total_volume"),
+                    F.col("t").cast("timestamp_ntz").alias("_ingested_at"))
+    got = daily_bars(df.withColumn("point_order", event_order(F.col("price_ts"), F.col("seq"))))
+    pdf = df.toPandas()
+    pdf["day"] = pdf.price_ts.dt.date
+    pdf = pdf.sort_values(["price_ts", "seq"])
+    g = pdf.groupby(["coin_id", "day"])
+    want = pd.DataFrame({"open": g.price.first(), "close": g.price.last(),
+                         "high": g.price.max(), "low": g.price.min()}).reset_index()
+    q = D("0.01")
+    expect = sorted((r.coin_id, r.day, *(x.quantize(q, rounding="ROUND_HALF_UP")
+                                         for x in (r.open, r.close, r.high, r.low)))
+                    for r in want.itertuples())
+    assert rows(got, "coin_id", "coin_date", "open_price", "close_price", "high_price",
+                "low_price") == expect
+    assert len(expect) == got.count()
