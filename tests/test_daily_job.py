@@ -94,3 +94,15 @@ def test_run_that_dies_before_metrics_is_finished_by_the_next(spark, tmp_path, m
     metrics = read_partitioned(spark, table_path(cfg2, "int_coin_daily_metrics"))
     assert rows(metrics) == rows(daily_metrics(bars, markets))
     assert read_table(spark, table_path(cfg2, "pending_bar_changes")).count() == 0
+
+
+def test_command_line_entry(spark, tmp_path, capsys):
+    from tickmart.__main__ import main
+
+    land(tmp_path / "d1", [1, 2])
+    code = main(["--landing", str(tmp_path / "d1"), "--warehouse", str(tmp_path / "wh"),
+                 "--batch-ts", "2024-01-03 06:00:00"])
+    assert code == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["loads"]["coin_price_history"]["batch_rows"] == 3
+    assert "fct_daily_coin_performance" in out["tables"]
