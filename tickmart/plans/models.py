@@ -65,7 +65,10 @@ def market_summary(metrics: DataFrame) -> DataFrame:
     Gainer = largest change, loser = smallest; ties go to the smallest id.
     Rows with a NULL change are skipped by both (``min_by`` ignores NULL
     orderings), so a day with only NULL changes keeps NULL winners.
-    Every aggregate is partial-aggregated before the shuffle by date.
+    Every aggregate is partial-aggregated before the shuffle by date.  The
+    (change, id) struct keys make Spark sort each map partition by date; a
+    hash-only form (per-date extremes, then a broadcast pass for the winners)
+    would read the metrics two or three times instead of once.
     """
     pct = F.col("daily_price_change_pcg")
     has_pct = pct.isNotNull()
