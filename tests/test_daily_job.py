@@ -106,3 +106,17 @@ def test_command_line_entry(spark, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["loads"]["coin_price_history"]["batch_rows"] == 3
     assert "fct_daily_coin_performance" in out["tables"]
+
+
+def test_old_versions_are_vacuumed(spark, tmp_path):
+    from tickmart.sinks.tables import committed_versions
+
+    wh = str(tmp_path / "warehouse")
+    land(tmp_path / "d1", [1, 2])
+    land(tmp_path / "d2", [1, 2, 3])
+    for day, ts in (("d1", "2024-01-03 06:00:00"), ("d2", "2024-01-04 06:00:00")):
+        cfg = JobConfig(str(tmp_path / day), wh, ts, ts, keep_versions=1)
+        run_daily_job(spark, cfg)
+    for name in ("coin_markets", "dim_coins", "quality_report", "dim_coins_snapshot"):
+        assert len(committed_versions(spark, table_path(cfg, name))) == 1
+    assert read_table(spark, table_path(cfg, "dim_coins_snapshot")).count() == 3

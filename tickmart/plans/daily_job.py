@@ -35,7 +35,7 @@ from tickmart.session import configure
 from tickmart.sinks.partitioned import (
     partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
 )
-from tickmart.sinks.tables import _fs, layer_path, publish, read_table, table_exists
+from tickmart.sinks.tables import _fs, layer_path, publish, read_table, table_exists, vacuum
 from tickmart.sinks.upsert import LoadReport, load, upsert
 from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
@@ -57,6 +57,8 @@ class JobConfig:
     # Categories: per (asset, category) upsert (source behaviour, vanished
     # categories stay) or replace every category of an asset present in the load.
     replace_categories_per_asset: bool = False
+    # Committed versions kept per versioned table after a successful run.
+    keep_versions: int = 3
 
 
 @dataclass
@@ -216,6 +218,11 @@ def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
                 "coins_categories": raw_categories}, FRESHNESS, cfg.as_of))
     if cfg.fail_on_error:
         Q.gate(report)
+    # Storage stays bounded: older versions of every versioned table go once
+    # the run has passed (a failed run keeps everything for inspection).
+    for path in res.tables.values():
+        if table_exists(spark, path):
+            vacuum(spark, path, keep=cfg.keep_versions)
     return res
 
 
