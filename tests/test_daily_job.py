@@ -120,3 +120,18 @@ def test_old_versions_are_vacuumed(spark, tmp_path):
     for name in ("coin_markets", "dim_coins", "quality_report", "dim_coins_snapshot"):
         assert len(committed_versions(spark, table_path(cfg, name))) == 1
     assert read_table(spark, table_path(cfg, "dim_coins_snapshot")).count() == 3
+
+
+def test_run_scratch_is_removed_after_success(spark, tmp_path):
+    import os
+
+    from tickmart.session import RUN_CONF, scratch_root
+
+    land(tmp_path / "d1", [1])
+    root = scratch_root(spark).replace("file:", "") + "/tickmart"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    run_daily_job(spark, JobConfig(str(tmp_path / "d1"), str(tmp_path / "wh"),
+                                   "2024-01-02 06:00:00", "2024-01-02 06:00:00"))
+    after = set(os.listdir(root))
+    assert not [d for d in after - before if d.startswith("daily-job-")]
+    assert spark.conf.get(RUN_CONF, None) is None

@@ -31,7 +31,7 @@ from tickmart.operators.standardise import standardise_categories, standardise_s
 from tickmart.plans import models as M
 from tickmart.operators.metrics import daily_metrics
 from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
-from tickmart.session import configure
+from tickmart.session import close_run_scratch, configure, open_run_scratch
 from tickmart.sinks.partitioned import (
     partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
 )
@@ -134,7 +134,20 @@ FRESHNESS = [Q.Freshness(src, "_ingested_at", warn * 3600, error * 3600)
 
 
 def run_daily_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
+    """Run the job; its staged intermediates live in one run scratch folder
+    that is removed when the run succeeds (kept for inspection otherwise)."""
     configure(spark)
+    folder = open_run_scratch(spark, "daily-job")
+    ok = False
+    try:
+        res = _run(spark, cfg)
+        ok = True
+        return res
+    finally:
+        close_run_scratch(spark, folder, delete=ok)
+
+
+def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     res = JobResult()
 
     def put(name: str, df: DataFrame) -> DataFrame:

@@ -61,6 +61,27 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+RUN_CONF = "tickmart.scratch.run"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused directory under the shared scratch root."""
-    return f"{scratch_root(spark)}/tickmart/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused directory under the shared scratch root, inside
+    the current run's folder when a job has opened one."""
+    run = spark.conf.get(RUN_CONF, None)
+    base = f"{scratch_root(spark)}/tickmart" + (f"/{run}" if run else "")
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def open_run_scratch(spark: SparkSession, label: str) -> str:
+    """Route this session's scratch folders into one run folder; returns it."""
+    run = f"{label}-{uuid.uuid4().hex[:12]}"
+    spark.conf.set(RUN_CONF, run)
+    return f"{scratch_root(spark)}/tickmart/{run}"
+
+
+def close_run_scratch(spark: SparkSession, folder: str | None, delete: bool) -> None:
+    """Stop routing scratch into the run folder; delete it when asked."""
+    spark.conf.unset(RUN_CONF)
+    if delete and folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
