@@ -63,6 +63,9 @@ def test_two_daily_runs_and_gate(spark, tmp_path):
     assert hist.count() == 3 and {r.is_current for r in hist.collect()} == {True}
     summary = read_table(spark, table_path(cfg, "fct_market_summary"))
     assert summary.count() == 5
+    audit = rows(read_table(spark, table_path(cfg, "load_audit")), "batch_ts", "table_name",
+                 "batch_rows", "skipped")
+    assert len(audit) == 6 and audit[0][1:] == ("coin_markets", 3, False)
 
     land(tmp_path / "bad", [6], cap_sign=-1)
     with pytest.raises(QualityGateError, match="non_negative"):

@@ -169,6 +169,7 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
                              ("coins_categories", categories, category_keys)):
         res.loads[name] = load(rows, table_path(cfg, name), keys)
         res.tables[name] = table_path(cfg, name)
+    _append_load_audit(spark, cfg, res)
     raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
     raw_series = _spread(spark, read_table(spark, table_path(cfg, "coin_price_history")),
                          res.loads["coin_price_history"].table_rows)
@@ -239,6 +240,23 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     return res
 
 
+AUDIT_SCHEMA = ("batch_ts timestamp_ntz, table_name string, batch_rows long, table_rows long, "
+                "skipped boolean, version_path string")
+
+
+def _append_load_audit(spark: SparkSession, cfg: JobConfig, res: JobResult) -> None:
+    """SNK-10: one audit row per load of this run, appended to ``load_audit``."""
+    from datetime import datetime
+
+    ts = datetime.fromisoformat(cfg.batch_ts)
+    rows = [(ts, name, r.batch_rows, r.table_rows, r.skipped, r.version_path)
+            for name, r in res.loads.items()]
+    new = spark.createDataFrame(rows, AUDIT_SCHEMA)  # three rows: the run's loads
+    path = table_path(cfg, "load_audit")
+    publish(read_table(spark, path).unionByName(new) if table_exists(spark, path) else new, path)
+    res.tables["load_audit"] = path
+
+
 def _spread(spark: SparkSession, raw: DataFrame, rows: int) -> DataFrame:
     """Raw series rows are few and large (one asset window each) and the
     unnest multiplies them; nothing before it shuffles, so AQE cannot
