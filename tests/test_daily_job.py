@@ -128,7 +128,7 @@ def test_old_versions_are_vacuumed(spark, tmp_path):
 def test_run_scratch_is_removed_after_success(spark, tmp_path):
     import os
 
-    from tickmart.session import RUN_CONF, scratch_root
+    from tickmart.session import current_run, scratch_root
 
     land(tmp_path / "d1", [1])
     root = scratch_root(spark).replace("file:", "") + "/tickmart"
@@ -137,4 +137,4 @@ def test_run_scratch_is_removed_after_success(spark, tmp_path):
                                    "2024-01-02 06:00:00", "2024-01-02 06:00:00"))
     after = set(os.listdir(root))
     assert not [d for d in after - before if d.startswith("daily-job-")]
-    assert spark.conf.get(RUN_CONF, None) is None
+    assert current_run() is None

@@ -8,6 +8,7 @@ runtime (session-level) options.  Scratch tables live under the cluster's
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 
@@ -61,27 +62,33 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-RUN_CONF = "tickmart.scratch.run"
+# The job's run folder is scoped to the calling thread / context, so queries
+# running concurrently on the same session keep their own scratch folders.
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("tickmart_run", default=None)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused directory under the shared scratch root, inside
     the current run's folder when a job has opened one."""
-    run = spark.conf.get(RUN_CONF, None)
+    run = _RUN.get()
     base = f"{scratch_root(spark)}/tickmart" + (f"/{run}" if run else "")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def current_run() -> str | None:
+    return _RUN.get()
+
+
 def open_run_scratch(spark: SparkSession, label: str) -> str:
-    """Route this session's scratch folders into one run folder; returns it."""
+    """Route this context's scratch folders into one run folder; returns it."""
     run = f"{label}-{uuid.uuid4().hex[:12]}"
-    spark.conf.set(RUN_CONF, run)
+    _RUN.set(run)
     return f"{scratch_root(spark)}/tickmart/{run}"
 
 
 def close_run_scratch(spark: SparkSession, folder: str | None, delete: bool) -> None:
     """Stop routing scratch into the run folder; delete it when asked."""
-    spark.conf.unset(RUN_CONF)
+    _RUN.set(None)
     if delete and folder:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
