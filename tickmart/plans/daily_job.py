@@ -7,9 +7,10 @@ landing/ (payloads as landed)        warehouse/
   charts/     chart payloads (JSONL)   snapshots/dim_coins_snapshot, audit/...
   categories/ category payloads (JSONL)
 
-Order: the three loads (independent), then the models in dependency order,
-then the SCD2 snapshot, then every quality check and the source freshness;
-an error-severity failure raises after the report is written.  Every table
+Order: the three loads (independent, run as concurrent Spark jobs), then the
+models in dependency order, then the SCD2 snapshot, then every quality check
+and the source freshness; an error-severity failure raises after the report
+is written.  Every table
 is written as a new committed version and read back before the next step
 uses it, so each stage restarts from stored data (not lineage) when an
 executor is lost, and a failed run leaves the previous versions current.
@@ -17,6 +18,8 @@ executor is lost, and a failed run leaves the previous versions current.
 
 from __future__ import annotations
 
+import contextvars
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,11 +167,18 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         category_rows(read_payloads(spark, f"{cfg.landing}/categories", whole_files=False),
                       cfg.batch_ts), universe)
     category_keys = ["coin_id"] if cfg.replace_categories_per_asset else ["coin_id", "category"]
-    for name, rows, keys in (("coin_markets", snapshot, ["id"]),
-                             ("coin_price_history", charts, ["coin_id", "chart_days"]),
-                             ("coins_categories", categories, category_keys)):
-        res.loads[name] = load(rows, table_path(cfg, name), keys)
-        res.tables[name] = table_path(cfg, name)
+    loads = (("coin_markets", snapshot, ["id"]),
+             ("coin_price_history", charts, ["coin_id", "chart_days"]),
+             ("coins_categories", categories, category_keys))
+    # The three loads are independent: submit them as concurrent Spark jobs
+    # (each thread carries this run's context, so its scratch stays in the run).
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        futures = {name: pool.submit(contextvars.copy_context().run, load, rows,
+                                     table_path(cfg, name), keys)
+                   for name, rows, keys in loads}
+        for name, fut in futures.items():
+            res.loads[name] = fut.result()  # re-raises a failed load
+            res.tables[name] = table_path(cfg, name)
     _append_load_audit(spark, cfg, res)
     raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
     raw_series = _spread(spark, read_table(spark, table_path(cfg, "coin_price_history")),
