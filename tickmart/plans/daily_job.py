@@ -224,10 +224,14 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     res.tables["stg_coin_price_history"] = bars_path
     res.tables["int_coin_daily_metrics"] = met_path
     metrics = read_partitioned(spark, met_path)
-    cat_metrics = put("int_coin_categories", M.category_metrics(cats, metrics))
-    dim = put("dim_coins", M.asset_dimension(cats, markets, bars))
-    fact = put("fct_daily_coin_performance", M.daily_fact(metrics))
-    summary = put("fct_market_summary", M.market_summary(metrics))
+    marts = _put_concurrently(put, {
+        "int_coin_categories": M.category_metrics(cats, metrics),
+        "dim_coins": M.asset_dimension(cats, markets, bars),
+        "fct_daily_coin_performance": M.daily_fact(metrics),
+        "fct_market_summary": M.market_summary(metrics),
+    })
+    cat_metrics, dim = marts["int_coin_categories"], marts["dim_coins"]
+    fact, summary = marts["fct_daily_coin_performance"], marts["fct_market_summary"]
     history = _previous(spark, cfg, "dim_coins_snapshot")
     put("dim_coins_snapshot", scd2_merge(history, dim, ["coin_id", "category"],
                                          ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts))
@@ -250,6 +254,14 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     return res
 
 
+def _put_concurrently(put, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Publish independent tables as concurrent Spark jobs; returns them read back."""
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = {name: pool.submit(contextvars.copy_context().run, put, name, df)
+                   for name, df in tables.items()}
+        return {name: fut.result() for name, fut in futures.items()}
+
+
 AUDIT_SCHEMA = ("batch_ts timestamp_ntz, table_name string, batch_rows long, table_rows long, "
                 "skipped boolean, version_path string")
 
