@@ -30,13 +30,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--protect-boundary", action="store_true")
     p.add_argument("--replace-categories-per-asset", action="store_true")
+    p.add_argument("--keep-versions", type=int, default=3,
+                   help="committed versions kept per versioned table after a passing run")
     p.add_argument("--no-gate", action="store_true", help="report failures without failing")
     a = p.parse_args(argv)
     cfg = JobConfig(landing=a.landing, warehouse=a.warehouse, batch_ts=a.batch_ts,
                     as_of=a.as_of or a.batch_ts, chart_days=a.chart_days,
                     price_scale=a.price_scale, full_refresh=a.full_refresh,
                     fail_on_error=not a.no_gate, protect_boundary=a.protect_boundary,
-                    replace_categories_per_asset=a.replace_categories_per_asset)
+                    replace_categories_per_asset=a.replace_categories_per_asset,
+                    keep_versions=a.keep_versions)
     spark = get_session()
     try:
         result = run_daily_job(spark, cfg)
