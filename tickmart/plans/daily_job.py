@@ -233,17 +233,20 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     cat_metrics, dim = marts["int_coin_categories"], marts["dim_coins"]
     fact, summary = marts["fct_daily_coin_performance"], marts["fct_market_summary"]
     history = _previous(spark, cfg, "dim_coins_snapshot")
-    put("dim_coins_snapshot", scd2_merge(history, dim, ["coin_id", "category"],
-                                         ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts))
 
-    # --- checks ------------------------------------------------------------------
+    # --- snapshot and checks (independent of each other) --------------------------
     tables = {"stg_coin_markets": markets, "stg_coin_price_history": bars,
               "int_coin_daily_metrics": metrics, "int_coin_categories": cat_metrics,
               "dim_coins": dim, "fct_daily_coin_performance": fact, "fct_market_summary": summary}
-    report = put("quality_report", Q.QualitySuite(tables, model_checks()).report())
-    put("source_freshness", Q.freshness(
-        spark, {"coin_markets": raw_markets, "coin_price_history": raw_series,
-                "coins_categories": raw_categories}, FRESHNESS, cfg.as_of))
+    last = _put_concurrently(put, {
+        "dim_coins_snapshot": scd2_merge(history, dim, ["coin_id", "category"],
+                                         ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts),
+        "quality_report": Q.QualitySuite(tables, model_checks()).report(),
+        "source_freshness": Q.freshness(
+            spark, {"coin_markets": raw_markets, "coin_price_history": raw_series,
+                    "coins_categories": raw_categories}, FRESHNESS, cfg.as_of),
+    })
+    report = last["quality_report"]
     if cfg.fail_on_error:
         Q.gate(report)
     # Storage stays bounded: older versions of every versioned table go once
