@@ -1 +1 @@
-"""Models (the reference's SQL layers) and the jobs that run them."""
+"""Models (the source project's SQL layers) and the jobs that run them."""

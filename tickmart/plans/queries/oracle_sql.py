@@ -100,7 +100,7 @@ category_metrics AS (
   FROM categories c LEFT JOIN metrics m ON c.coin_id = m.coin_id
 )"""
 
-# Reference-shaped: asset x category x day fan-out, then rn = 1.
+# Shaped like the source: asset x category x day fan-out, then rn = 1.
 DIMENSION = """
 coin_symbol AS (
   SELECT c.c_custkey AS name_id, COALESCE(TRIM(COALESCE(n.n_name, 'Unknown')), 'Unknown') AS symbol_name
