@@ -123,3 +123,25 @@ def test_replace_per_asset_drops_vanished_categories(spark):
     assert rows(upsert(t, batch, ["coin_id", "category"])) == [
         ("a", "DeFi", 0), ("a", "L1", 0), ("a", "L2", 1), ("b", "Meme", 0)]   # source behaviour
     assert rows(upsert(t, batch, ["coin_id"])) == [("a", "L2", 1), ("b", "Meme", 0)]
+
+
+def test_small_side_broadcasts_only_under_the_limit(spark):
+    from tickmart.operators.joins import MAX_ROWS_CONF, small_side
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    keys = spark.range(5).withColumnRenamed("id", "k")
+
+    def plan(limit):
+        spark.conf.set(MAX_ROWS_CONF, str(limit))
+        try:
+            j = big.join(small_side(keys), "k", "left_semi")
+            return j._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset(MAX_ROWS_CONF)
+
+    assert "BroadcastHashJoin" in plan(10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(2)        # over the limit: shuffle join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
