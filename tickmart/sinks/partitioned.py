@@ -68,7 +68,9 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], date_c
 
 
 def replace_partitioned(df: DataFrame, path: str, date_col: str) -> None:
-    """Full refresh: the table becomes exactly ``df`` (every month replaced)."""
-    staged = stage(with_month(df, date_col), "full")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    """Full refresh: the table becomes exactly ``df`` (every month replaced).
+
+    A rebuild is computed from other tables, so it is written straight to the
+    table (Spark refuses to overwrite a path the same plan reads from)."""
+    (with_month(df, date_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(PARTITION_COL).parquet(path))
