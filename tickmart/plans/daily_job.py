@@ -212,7 +212,7 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             new_changes = upsert(read_table(spark, pending_path), new_changes, BAR_KEYS)
         publish(new_changes, pending_path)
         changed = read_table(spark, pending_path)
-        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date")
+        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date", stored=True)
         bars = read_partitioned(spark, bars_path)
         if _previous_partitioned(spark, cfg, met_path) is None:
             replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")

@@ -45,11 +45,15 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PARTITION_COL)
 
 
-def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], date_col: str) -> list[str]:
+def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], date_col: str,
+                      stored: bool = False) -> list[str]:
     """Upsert ``updates`` into the month-partitioned table at ``path``;
-    returns the rewritten month values."""
+    returns the rewritten month values.  A computed batch is staged first (it
+    is read twice); ``stored=True`` says it already is a written table."""
     spark = updates.sparkSession
-    batch = stage(with_month(updates, date_col), "batch")
+    batch = with_month(updates, date_col)
+    if not stored:
+        batch = stage(batch, "batch")
     # Partition values only (bounded by the months a batch spans), not rows.
     months = sorted(r[0] for r in batch.select(PARTITION_COL).distinct().collect())
     if not months:
