@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickmart.session import configure
+from tickmart.llm.runtime import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
@@ -86,3 +86,31 @@ def exact_dedup_query(spark, sf_dir):
     from tickmart.llm.exact_dedup import exact_dedup
 
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def token_counts_query(spark, sf_dir):
+    from tickmart.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op7_decontaminate")
+def decontaminate_query(spark, sf_dir):
+    from tickmart.llm.decontaminate import contamination_digests
+
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_suffix_dedup")
+def suffix_dedup_query(spark, sf_dir):
+    from tickmart.llm.suffix_dedup import suffix_dedup_digests
+
+    return suffix_dedup_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_near_dedup")
+def near_dedup_query(spark, sf_dir):
+    from tickmart.llm.near_dup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"))

@@ -124,11 +124,12 @@ def row_chunks(offsets: np.ndarray, limit: int = SEGMENT) -> Iterator[tuple[int,
 
 
 class Words:
-    """Finds and hashes the words of buffers of concatenated documents."""
+    """Finds and hashes the words of buffers of concatenated documents; with
+    ``fold``, words that differ in the case of A-Z only hash alike."""
 
-    def __init__(self, word_bytes: np.ndarray, seed: int = 1):
+    def __init__(self, word_bytes: np.ndarray, seed: int = 1, fold: bool = True):
         self.is_word = word_bytes
-        self.table = byte_table(seed)[fold_table()]
+        self.table = byte_table(seed)[fold_table()] if fold else byte_table(seed)
 
     def _segment(self, data: np.ndarray, cuts: np.ndarray):
         w = self.is_word[data]
