@@ -3,17 +3,20 @@
 A document's set is its distinct 2-word shingles (``size`` words).  Documents of
 one set form a class and only one of them goes on.  Each class has ``COORDINATES``
 minima; it is posted under (coordinate, minimum).  Two sets of similarity 0.8
-agree in at least ``MATCHES`` of them (missed with a probability of about 1e-7), so
+agree in at least ``MATCHES`` of them (missed with a probability of about 1e-6 at exactly 0.8, less above), so
 with the values of a signature ordered from rare to common they meet within the
 first ``COORDINATES - MATCHES + 1``: only those are posted, and values that one class
-alone holds are counted but not posted (prefix).  Sizes too far apart to be
-similar are skipped (skip merging), agreeing coordinates are counted on the two
-signatures, and what is left is confirmed on the full sets.
+alone holds are counted but not posted (prefix).  While lists are merged, pairs
+are skipped whose sizes are too far apart, and those whose sketches differ more
+than similar sets can: a sketch holds the parity of the shingles of each of
+``BITS`` hash values, so it differs in at most as many bits as the sets do in
+shingles (of large sets a fixed fraction of the shingles enters, and six standard
+deviations are allowed).  Coordinates in which both signatures agree are counted,
+and what is left is confirmed on the full sets.
 
 Links only matter as far as they connect.  So each posting list is first joined
-with its leaders (a row a member), and only members still in different
-components are then paired with one another: a large group of near copies costs
-rows in proportion to its size, and no possible link is left out.
+with its leader (a row a member), and only members still in different components
+are then paired with one another: no possible link is left out.
 
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; a text of fewer words than ``size`` is one shingle; rows of one
@@ -34,6 +37,8 @@ from tickmart.sinks.tables import stage
 
 COORDINATES, MATCHES = 32, 14
 PREFIX = COORDINATES - MATCHES + 1
+WORDS_64, BITS = 16, 1024       # of a sketch
+SKETCHED = 768                  # shingles in a sketch, up to which all of them enter
 NULL_ID = -(2**63)
 WORDS = Words(space_word_table(), seed=5)
 STEP = U64(0x9E3779B97F4A7C15 | 1)
@@ -69,11 +74,37 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     return rows[order], hashes[order]
 
 
-def _signature_rows(batches, size: int):
+def _levels(n):
+    """Sets of n shingles enter their sketch with one shingle of 2^level."""
+    return np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / SKETCHED))).astype(np.int64)
+
+
+def _sketches(row: np.ndarray, h: np.ndarray, level: np.ndarray, n_rows: int) -> np.ndarray:
+    """WORDS_64 words a row: the parity of its sampled shingles by hash value."""
+    out = np.zeros((n_rows, WORDS_64), U64)
+    h = mix(h ^ U64(0xD6E8FEB86659FD93))
+    lvl = level[row].astype(U64)
+    taken = (h >> U64(40)) & ((U64(1) << lvl) - U64(1)) == 0
+    row, h = row[taken], h[taken]
+    if len(row):
+        begin = np.flatnonzero(np.diff(row, prepend=-1))
+        bit, word = U64(1) << (h & U64(63)), (h >> U64(6)) & U64(WORDS_64 - 1)
+        for w in range(WORDS_64):
+            out[row[begin], w] = np.bitwise_xor.reduceat(np.where(word == U64(w), bit, U64(0)), begin)
+    return out
+
+
+def _lists(values: np.ndarray, kind) -> pa.ListArray:
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()),
+                                    pa.array(np.ascontiguousarray(values).view(kind).ravel()))
+
+
+def _signature_rows(batches, size: int, percent: int):
     a, b = _seeds(COORDINATES)
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
-        counts, sums, signs = [], [], []
+        counts, sums, signs, own_sketch, up_sketch = [], [], [], [], []
         for lo, hi in row_chunks(offsets):
             own = offsets[lo:hi + 1] - offsets[lo]
             row, h = shingles(data[offsets[lo]:offsets[hi]], own, size)
@@ -87,27 +118,37 @@ def _signature_rows(batches, size: int):
                 total[held, 1] = np.add.reduceat(mix(h ^ STEP), begin)
                 for c in range(COORDINATES):
                     sign[held, c] = np.minimum.reduceat(h * a[c] + b[c], begin) >> U64(32)
-            counts.append(n)
-            sums.append(total)
-            signs.append(sign)
-        n_rows = batch.num_rows
-        sums = np.concatenate(sums).view(np.int64) if sums else np.zeros((0, 2), np.int64)
-        flat = np.concatenate(signs).view(np.int32).ravel() if signs else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1) * COORDINATES, pa.int32()), pa.array(flat))
+            level, above = _levels(n), _levels(n * 100 / percent)
+            sketch = _sketches(row, h, level, hi - lo)
+            upper = sketch.copy()       # as a larger set of similar size would enter
+            differs = above > level
+            if differs.any():
+                more = _sketches(row, h, above, hi - lo)
+                upper[differs] = more[differs]
+            for parts, x in ((counts, n), (sums, total), (signs, sign), (own_sketch, sketch), (up_sketch, upper)):
+                parts.append(x)
+        n = np.concatenate([np.zeros(0, np.int64), *counts])
+        sums = np.concatenate([np.zeros((0, 2), U64), *sums]).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64()),
-             pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1])), lists],
-            names=["id", "n", "set1", "set2", "sign"])
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(np.ascontiguousarray(sums[:, 0])),
+             pa.array(np.ascontiguousarray(sums[:, 1])), pa.array(_levels(n)),
+             _lists(np.concatenate([np.zeros((0, COORDINATES), np.uint32), *signs]), np.int32),
+             _lists(np.concatenate([np.zeros((0, WORDS_64), U64), *own_sketch]), np.int64),
+             _lists(np.concatenate([np.zeros((0, WORDS_64), U64), *up_sketch]), np.int64)],
+            names=["id", "n", "set1", "set2", "level", "sign", "sketch", "upper"])
 
 
 def _id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
 
 
-def signatures(docs: DataFrame, size: int = 2) -> DataFrame:
-    """id, n (shingles), set1 and set2 (128-bit hash of the set), sign (its minima)."""
+def signatures(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
+    """id, n (shingles), set1 and set2 (128-bit hash of the set), level and sketch
+    (upper: the sketch at the level of a set of 100 / percent times the size),
+    sign (the minima)."""
     return docs.select(_id().alias("id"), "text").mapInArrow(
-        lambda it: _signature_rows(it, size), "id long, n long, set1 long, set2 long, sign array<int>")
+        lambda it: _signature_rows(it, size, percent),
+        "id long, n long, set1 long, set2 long, level long, sign array<int>, sketch array<long>, upper array<long>")
 
 
 def _postings(classes: DataFrame, least: int) -> DataFrame:
@@ -129,38 +170,51 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def _leader_pairs(posts: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Each member of a posting list with the list's leader of similar size."""
-    band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + F.lit(salt / 2))
-    banded = posts.withColumn("band", band)
-    rank = F.struct(F.xxhash64(F.col("id"), F.lit(salt)) if salt else F.lit(0).cast("long"), "id", "n")
-    leaders = banded.groupBy("key", "band").agg(F.min(rank).alias("lead"), F.count(F.lit(1)).alias("size"))
-    leaders = leaders.where("size > 1").select("key", "band", F.col("lead.id").alias("b"), F.col("lead.n").alias("nb"))
-    return (banded.join(leaders, ["key", "band"]).where(F.col("id") != F.col("b"))
-            .where(_similar_sizes(F.col("n"), F.col("nb"), percent))
-            .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct())
-
-
-def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one posting list, of similar size and in different components."""
+def _alike(percent: int) -> Column:
+    """May x and y (n of x not above n of y) be similar, as far as sketches tell?"""
+    of_x = F.when(F.col("x.level") == F.col("y.level"), F.col("x.sketch")).otherwise(F.col("x.upper"))
+    differ = sum((F.bit_count(of_x[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(WORDS_64)), F.lit(0))
+    most = (F.col("x.n") + F.col("y.n")) * F.lit((100 - percent) / (100 + percent))
+    taken = most / F.pow(F.lit(2.0), F.col("y.level"))
+    return differ <= F.when(F.col("y.level") == 0, most + 1e-6).otherwise(taken + 6 * F.sqrt(taken) + 6)
+
+
+def _leader_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Each member of a posting list with the leader (smallest id) of its size band."""
+    banded = posts.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
+    leaders = (banded.groupBy("key", "band").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("size"))
+               .where("size > 1").select("key", "band", "b"))
+    pairs = (banded.join(leaders, ["key", "band"]).where("id <> b")
+             .select(F.col("id").alias("a"), "b").distinct())
+    sides = classes.select("id", "n", "level", "sign", "sketch", "upper")
+    both = (pairs.join(sides.select(F.col("id").alias("a"), F.struct(*sides.columns).alias("p")), "a")
+            .join(sides.select(F.col("id").alias("b"), F.struct(*sides.columns).alias("q")), "b"))
+    small_first = F.struct("p.n", "p.id") < F.struct("q.n", "q.id")
+    return (both.select(F.when(small_first, F.col("p")).otherwise(F.col("q")).alias("x"),
+                        F.when(small_first, F.col("q")).otherwise(F.col("p")).alias("y"))
+            .where(_similar_sizes(F.col("x.n"), F.col("y.n"), percent) & _alike(percent) & _agree())
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+
+
+def _agree() -> Column:
+    """Do the signatures agree in MATCHES coordinates or more?"""
+    same = F.zip_with("x.sign", "y.sign", lambda p, q: p == q)
+    return F.size(F.filter(same, lambda t: t)) >= MATCHES
+
+
+def _cross_pairs(posts: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one posting list in different components that may be similar."""
     named = posts.join(labels, posts["id"] == labels["node"], "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo <> hi").select("key")
-    named = stage(named.join(mixed, "key", "left_semi"), "open-postings")
-    x, y = named.alias("x"), named.alias("y")
-    return (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                   & _similar_sizes(F.col("x.n"), F.col("y.n"), percent))
-            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-
-
-def _matching(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree in MATCHES coordinates or more."""
-    signs = classes.select("id", "sign")
-    left = signs.select(F.col("id").alias("a"), F.col("sign").alias("sa"))
-    right = signs.select(F.col("id").alias("b"), F.col("sign").alias("sb"))
-    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    return pairs.join(left, "a").join(right, "b").where(agree >= MATCHES).select("a", "b")
+        "key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo <> hi").select("key"))
+    sides = classes.select("id", "n", "level", "sign", "sketch", "upper")
+    opened = stage(named.join(mixed, "key", "left_semi").join(sides, "id"), "open-postings")
+    x, y = opened.alias("x"), opened.alias("y")
+    return (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+                   & (F.struct("x.n", "x.id") < F.struct("y.n", "y.id"))
+                   & _similar_sizes(F.col("x.n"), F.col("y.n"), percent) & _alike(percent) & _agree())
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
 
 
 def _confirm(batches, size: int, percent: int):
@@ -176,8 +230,9 @@ def _confirm(batches, size: int, percent: int):
         yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
+    texts = docs.select(_id().alias("id"), "text")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
@@ -186,34 +241,24 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 def near_groups(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """id, n, component of every row of ``docs`` (id: doc_id, null as the least long)."""
-    rows = stage(signatures(docs, size), "signatures")
+    rows = stage(signatures(docs, size, percent), "signatures")
+    marks = ["level", "sign", "sketch", "upper"]
     classes = stage(rows.where("n > 0").groupBy("set1", "set2", "n")
-                    .agg(F.min("id").alias("id"), F.first("sign").alias("sign")), "classes")
+                    .agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in marks)), "classes")
     # Of sets of k shingles, two different ones can at best share k of k + 1.
     least = -(-percent // (100 - percent))
     posts = stage(_postings(classes, least), "postings")
-    ids = posts.select("id").distinct()
-    texts = stage(docs.select(_id().alias("id"), "text").join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
     links = None
     labels = docs.sparkSession.createDataFrame([], "node long, component long")
-    for round_ in range(3):
-        if round_ < 2:
-            pairs = _leader_pairs(posts, percent, round_)
-            if links is not None:       # what the first leaders have joined is settled
-                la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-                lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-                pairs = (pairs.join(la, "a", "left").join(lb, "b", "left")
-                         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-        else:
-            pairs = _cross_pairs(posts, labels, percent)
-        pairs = stage(_matching(pairs, classes), "pairs")
+    for joined in (False, True):
+        pairs = stage(_cross_pairs(posts, classes, labels, percent) if joined
+                      else _leader_pairs(posts, classes, percent), "pairs")
         if pairs.isEmpty():
             continue
-        found = stage(_confirmed(pairs, texts, size, percent), "links")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        found = stage(_confirmed(pairs, docs, size, percent), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
     known = (classes.join(labels, classes["id"] == labels["node"], "left")
              .select("set1", "set2", "n", F.coalesce("component", "id").alias("component")))
     return (rows.select("id", "n", "set1", "set2").join(known, ["set1", "set2", "n"], "left")
