@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tickmart.llm.textscan import (U64, Words, alnum_word_table, column_bytes, fold_table, mix,
                                    owners, row_chunks)
+from tickmart.sinks.tables import stage
 
 BLOCK_BYTES = 16 << 20
 LANE = 256              # words of text that one lane of the search goes through
@@ -220,8 +221,8 @@ def contamination_digests(docs: DataFrame, benchmark: DataFrame, size: int = 10)
 
 def clean_only(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item, all columns kept."""
-    bad = (contamination(docs, benchmark, size).where("size(spans) > 0")
-           .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+    bad = stage(contamination(docs, benchmark, size).where("size(spans) > 0")
+                .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "contaminated")
     keyed = docs.withColumn("_text_key", _text_key())
     return (keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed["_text_key"] == bad["_key"]), "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

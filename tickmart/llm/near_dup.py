@@ -278,7 +278,8 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group (the one of the smallest id), all
     columns kept."""
-    kept = near_groups(docs, size, percent).where("id = component").select(F.col("id").alias("_kept_id")).distinct()
+    gone = stage(near_groups(docs, size, percent).where("id <> component")
+                 .select(F.col("id").alias("_gone_id")).distinct(), "near-copies")
     keyed = docs.withColumn("_row_id", _id())
-    return (keyed.join(kept, keyed["_row_id"] == kept["_kept_id"], "left_semi")
+    return (keyed.join(gone, keyed["_row_id"] == gone["_gone_id"], "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

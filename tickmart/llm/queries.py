@@ -114,3 +114,25 @@ def near_dedup_query(spark, sf_dir):
     from tickmart.llm.near_dup import near_dedup
 
     return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op1_quality")
+def quality_query(spark, sf_dir):
+    """``documents`` has no address: its source is the host, its lang the path level."""
+    from tickmart.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_html_main_text")
+def main_text_query(spark, sf_dir):
+    from tickmart.llm.html_main import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op9_language_id")
+def language_id_query(spark, sf_dir):
+    from tickmart.llm.langid import language_id
+
+    return language_id(table(spark, sf_dir, "documents")).drop("text_key")

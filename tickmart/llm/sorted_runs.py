@@ -20,11 +20,11 @@ from tickmart.sinks.tables import stage
 
 
 def _stream(batches: Iterator[pa.RecordBatch], n_keys: int, need: int,
-            schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+            schema: pa.Schema, skip: int = 1) -> Iterator[pa.RecordBatch]:
     """Rows (kind, key..., owner, payload..., n_owners, first_owner).
 
-    ``kind`` 0: not of its run's first owner, and the run has ``need`` owners;
-    1: a row of an edge run, which another partition may go on with; 2: summary
+    ``kind`` 0: the run has ``need`` owners, and the row is not of the first
+    ``skip`` (0 or 1) of them; 1: a row of an edge run, which another partition may go on with; 2: summary
     of an edge run: how many owners it has here, and the first of them.
     """
     open_key = None                     # the run that the last batch ended in
@@ -66,7 +66,7 @@ def _stream(batches: Iterator[pa.RecordBatch], n_keys: int, need: int,
         np.maximum.at(most, run, place)
         most[0] = max(most[0], seen - 1)
         edge = (run == (open_key is None)) if first_run else np.zeros(len(owner), bool)
-        later = ~edge & (place > 0)
+        later = ~edge & (place >= skip)
         enough = most[run] >= need - 1
 
         if waiting and most[0] >= need - 1:
@@ -101,9 +101,10 @@ def _stream(batches: Iterator[pa.RecordBatch], n_keys: int, need: int,
 
 
 def later_owners(rows: DataFrame, key: list[str], owner: str, payload: list[str], need: int,
-                 name: str, descending: bool = False) -> DataFrame:
+                 name: str, descending: bool = False, skip: int = 1) -> DataFrame:
     """Rows (owner, payload...) of the keys that ``need`` owners or more hold,
-    without the rows of each key's first owner (the largest if ``descending``).
+    without the rows of each key's first owner (the largest if ``descending``;
+    with ``skip`` 0, all rows).
 
     ``key``, ``owner`` and ``payload`` are longs, the first two without nulls.
     Stage the input first: range partitioning reads it twice.
@@ -114,12 +115,13 @@ def later_owners(rows: DataFrame, key: list[str], owner: str, payload: list[str]
     n_keys = len(key)
     order = [*(F.col(c) for c in key), F.col(owner).desc() if descending else F.col(owner)]
     ordered = rows.select(*cols).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stage(ordered.mapInArrow(lambda it: _stream(it, n_keys, need, schema), ddl), name)
+    found = stage(ordered.mapInArrow(lambda it: _stream(it, n_keys, need, schema, skip), ddl), name)
     # A run cut between partitions: the owners of its parts add up (equal key and
     # owner are never cut apart), its first owner is the first of any part.
     edges = (found.where("kind = 2").groupBy(*key)
              .agg(F.sum("n_owners").alias("n"),
                   (F.max if descending else F.min)("first_owner").alias("first"))
              .where(F.col("n") >= need).select(*key, "first"))
-    late = (found.where("kind = 1").join(edges, key).where(F.col(owner) != F.col("first")))
+    late = found.where("kind = 1").join(edges, key)
+    late = late.where(F.col(owner) != F.col("first")) if skip else late
     return found.where("kind = 0").select(owner, *payload).unionByName(late.select(owner, *payload))
