@@ -2,13 +2,13 @@
 prefixes of a collection of strings.
 
 Round j inserts one symbol of each string, the j-th from its end, and so the
-suffixes of length j: the rows of all suffixes up to now, in sorted order, are
-dealt out stably by the symbol in front of each (its transform symbol), which
-puts the longer suffixes in order; the common prefix of two neighbours that
-begin with the same symbol is one more than the least common prefix between
-their old rows.  The arrays of a round are read and written front to back; above
-``MEMORY_ROWS`` rows they are unlinked scratch files of the task, the two rounds
-in turn.
+suffixes of length j into the sorted rows of all suffixes up to now.  A row's
+transform symbol is the one in front of its suffix; the new suffix belongs behind
+as many rows as there are smaller transform symbols, and equal ones above the row
+it extends.  Its common prefix with a neighbour that begins with the same symbol
+is one more than the least common prefix between the rows they extend.  The
+arrays of a round are read and written front to back; above ``MEMORY_ROWS`` rows
+they are unlinked scratch files of the task.
 """
 
 from __future__ import annotations
@@ -42,14 +42,21 @@ class RangeMinimum:
     def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Minima of values[lo .. hi], both included."""
         level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
-        out = np.empty(len(lo), self.levels[0].dtype)
-        for k in np.unique(level).tolist():
-            of = level == k
-            a, b = lo[of], hi[of]
-            out[of] = np.minimum(self.levels[k][a], self.levels[k][b - (1 << k) + 1])
+        out = np.empty(len(lo), np.int64)
+        for k in np.flatnonzero(np.bincount(level)).tolist():
+            of = np.flatnonzero(level == k)
+            out[of] = np.minimum(self.levels[k][lo[of]], self.levels[k][hi[of] - (1 << k) + 1])
         return out
 
 
+def _inserted(old: np.ndarray, keep: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """``old`` with ``new`` put at the rows ``at``; ``keep`` marks the other rows."""
+    out = _array(len(keep), old.dtype)
+    out[keep] = old
+    out[at] = new
+    return out
+
+
 def suffixes(data: np.ndarray, offsets: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     """(places in ``data``, common prefix with the one before, at most ``cap``) of
     all suffixes of the strings, in sorted order."""
@@ -57,25 +64,34 @@ def suffixes(data: np.ndarray, offsets: np.ndarray, cap: int) -> tuple[np.ndarra
     sizes = np.diff(offsets)
     # Strings with an end mark in front of each, so that a first symbol is told.
     flat = np.full(len(data) + n + 1, END, np.uint8)
-    place = np.arange(len(data)) + np.repeat(np.arange(n), sizes) + 1
-    flat[place] = data
-    ends = offsets[1:] + np.arange(n) + 1           # of the empty suffixes
-    at, common = ends.astype(np.int64), np.zeros(n, np.uint8)
-    for _ in range(int(sizes.max(initial=0))):
-        symbol = flat[at - 1]
-        rows = np.flatnonzero(symbol != END)
-        rows = rows[np.argsort(symbol[rows], kind="stable")]
-        dealt = symbol[rows]
-        longer = np.zeros(len(rows), np.uint8)
-        same = np.flatnonzero(dealt[1:] == dealt[:-1]) + 1
-        if len(same):
-            least = RangeMinimum(common).of(rows[same - 1] + 1, rows[same])
-            longer[same] = np.minimum(least.astype(np.int64) + 1, cap)
-        new_at, new_common = _array(n + len(rows), np.int64), _array(n + len(rows), np.uint8)
-        new_at[:n], new_common[:n] = ends, 0
-        new_at[n:], new_common[n:] = at[rows] - 1, longer
-        at, common = new_at, new_common
-    string = np.searchsorted(ends, at, side="left")
+    flat[np.arange(len(data)) + np.repeat(np.arange(n), sizes) + 1] = data
+    at = offsets[1:] + np.arange(n) + 1             # the empty suffixes
+    common, symbol = np.zeros(n, np.uint8), flat[at - 1]
+    grown = np.flatnonzero(symbol != END)           # rows that the next round extends
+    while len(grown):
+        order = np.argsort(symbol, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        dealt = place[grown]                        # rank among the transform symbols
+        first, last = symbol[grown], len(order) - 1
+        before, behind = order[np.maximum(dealt - 1, 0)], order[np.minimum(dealt + 1, last)]
+        least = RangeMinimum(common)
+        share, follow = np.zeros(len(grown), np.int64), np.zeros(len(grown), np.int64)
+        some = np.flatnonzero((dealt > 0) & (symbol[before] == first))
+        share[some] = least.of(before[some] + 1, grown[some]) + 1
+        next_ = (dealt < last) & (symbol[behind] == first)
+        some = np.flatnonzero(next_)
+        follow[some] = least.of(grown[some] + 1, behind[some]) + 1
+        to = n + dealt
+        keep = np.ones(len(at) + len(grown), bool)
+        keep[to] = False
+        new_at = at[grown] - 1
+        new_symbol = flat[new_at - 1]
+        at, symbol = _inserted(at, keep, to, new_at), _inserted(symbol, keep, to, new_symbol)
+        common = _inserted(common, keep, to, np.minimum(share, cap))
+        common[to[next_] + 1] = np.minimum(follow[next_], cap)
+        grown = np.sort(to[new_symbol != END])
+    string = np.searchsorted(offsets[1:] + np.arange(n) + 1, at, side="left")
     return at - string - 1, common
 
 
