@@ -15,7 +15,7 @@ deviations are allowed).  Coordinates in which both signatures agree are counted
 and what is left is confirmed on the full sets.
 
 Links only matter as far as they connect.  So each posting list is first joined
-with its leader (a row a member), and only members still in different components
+with its leaders (two rows a member), and only members still in different components
 are then paired with one another: no possible link is left out.
 
 Defined results: null, empty and blank texts have an empty set and are linked
@@ -152,18 +152,21 @@ def signatures(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
 
 
 def _postings(classes: DataFrame, least: int) -> DataFrame:
-    """key, id, n: the prefix postings of classes of ``least`` shingles or more."""
+    """key, id, n, weight: the prefix postings of classes of ``least`` shingles or
+    more.  The weight, how many classes hold a class's values, is largest for the
+    one that the others of a group are copies of."""
     posts = classes.where(F.col("n") >= least).select("id", "n", F.posexplode("sign")).select(
         "id", "n", (F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(
             F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("key"))
     held = posts.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = posts.join(held, "key")
     # At most COORDINATES entries a class; those it lacks are values of its own, the rarest.
-    ordered = shared.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("keys"))
+    ordered = shared.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("keys"),
+                                            F.sum("df").alias("weight"))
     room = F.lit(PREFIX - COORDINATES) + F.size("keys")
     return (ordered.withColumn("room", room).where("room > 0")
-            .select("id", "n", F.explode(F.slice("keys", 1, F.col("room"))).alias("k"))
-            .select(F.col("k.key").alias("key"), "id", "n"))
+            .select("id", "n", "weight", F.explode(F.slice("keys", 1, F.col("room"))).alias("k"))
+            .select(F.col("k.key").alias("key"), "id", "n", "weight"))
 
 
 def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -180,10 +183,14 @@ def _alike(percent: int) -> Column:
 
 
 def _leader_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Each member of a posting list with the leader (smallest id) of its size band."""
+    """Each member of a posting list with the leaders of its size band: the class
+    of the largest weight and the one of the smallest id."""
     banded = posts.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
-    leaders = (banded.groupBy("key", "band").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("key", "band", "b"))
+    leaders = (banded.groupBy("key", "band")
+               .agg(F.min("id").alias("least"), F.max(F.struct("weight", "id")).alias("most"),
+                    F.count(F.lit(1)).alias("size"))
+               .where("size > 1")
+               .select("key", "band", F.explode(F.array_distinct(F.array("least", "most.id"))).alias("b")))
     pairs = (banded.join(leaders, ["key", "band"]).where("id <> b")
              .select(F.col("id").alias("a"), "b").distinct())
     sides = classes.select("id", "n", "level", "sign", "sketch", "upper")

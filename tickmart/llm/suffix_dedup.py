@@ -281,6 +281,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def removed_runs(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
     """owner, text_key, place, extent of the removed runs; they may overlap."""
     keyed = _keyed(docs)
+    # Repeated rows are one document; texts only move for it where there are any.
+    if not keyed.groupBy(*IDS).count().where("count > 1").isEmpty():
+        keyed = keyed.dropDuplicates(IDS)
     rows = keyed.mapInArrow(lambda it: _anchor_rows(it, length, gram), DDL)
     order = ["gram", "span", "left", *IDS, "place"]
     settled = stage(rows.repartition("gram").sortWithinPartitions(*order)
@@ -289,7 +292,7 @@ def removed_runs(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFr
 
     opened = (settled.where("extent = 0").groupBy(*IDS)
               .agg(F.collect_list(F.struct("place", "left", "count")).alias("opened")))
-    strings = stage(keyed.dropDuplicates(IDS).join(opened, IDS).select(*IDS, "text", "opened")
+    strings = stage(keyed.join(opened, IDS).select(*IDS, "text", "opened")
                     .mapInArrow(lambda it: _strings(it, length, gram), STRING_DDL), "strings")
     counts = stage(strings.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "string-keys")
     total = counts.where(F.col("n") <= HOT_STRINGS).agg(F.sum("n")).first()[0] or 0
