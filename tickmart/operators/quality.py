@@ -139,7 +139,9 @@ class QualitySuite:
         else:
             raise ValueError(f"unknown check kind {c.kind}")
         # Failing rows are counted like a test's result set: one per returned row.
-        n = bad.agg(F.count(F.lit(1)).alias("violations"))
+        # A relationship test returns every child row without a parent.
+        n = bad.agg((F.coalesce(F.sum("n_records"), F.lit(0)) if c.kind == "relationships"
+                     else F.count(F.lit(1))).cast("long").alias("violations"))
         return n.select(F.lit(c.table).alias("table_name"), F.lit(c.kind).alias("check_name"),
                         F.lit(c.column_label).alias("column_name"), F.lit(c.severity).alias("severity"),
                         F.col("violations"))

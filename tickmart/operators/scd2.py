@@ -38,12 +38,14 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, keys: Sequence[str]
     if history is None:
         return _open(source, batch_ts)
     closed = history.where(~F.col("is_current"))
-    o = history.where(F.col("is_current")).select(*[F.col(c).alias(f"o_{c}") for c in cols + META])
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols])
-    on = reduce(lambda a, b: a & b, [F.col(f"o_{k}") == F.col(f"s_{k}") for k in keys])
+    o = history.where(F.col("is_current")).select(*[F.col(c).alias(f"o_{c}") for c in cols + META],
+                                                  F.lit(True).alias("_old"))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_new"))
+    # NULL-safe: a NULL key is a key like any other, not one that returns on every run.
+    on = reduce(lambda a, b: a & b, [F.col(f"o_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys])
     j = o.join(s, on, "full_outer")
-    in_old = F.col(f"o_{keys[0]}").isNotNull()
-    in_new = F.col(f"s_{keys[0]}").isNotNull()
+    in_old = F.col("_old").isNotNull()
+    in_new = F.col("_new").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"o_{c}").eqNullSafe(F.col(f"s_{c}")) for c in check_cols])
     j = j.withColumn("_action", F.when(in_old & in_new & same, F.lit("keep"))
                      .when(in_old & in_new, F.lit("change"))

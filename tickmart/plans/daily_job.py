@@ -88,7 +88,7 @@ def _previous(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame | Non
 
 
 def model_checks() -> list[Q.Check]:
-    """The source project's model tests (plus the two it never ran)."""
+    """The source project's model tests (plus the two it never ran)."""
     C, W = Q.Check, Q.WARN
 
     def nn(t, *cs):

@@ -36,29 +36,29 @@ assets AS (
   FROM customer
 )"""
 
+# Days are numbered per coin; the day before and the last seven are joined by number.
 METRICS = """
-named AS (
-  SELECT b.coin_id, a.name_of_coin, b.coin_date AS date_stamp, b.open_price, b.high_price,
-         b.low_price, b.close_price, b.close_market_cap, b.close_total_volume
-  FROM bars b LEFT JOIN assets a ON b.coin_id = a.name_id
+day_no AS (
+  SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY coin_date) AS day FROM bars
 ),
-lagged AS (
-  SELECT *,
-    LAG(close_price, 1, NULL) OVER (PARTITION BY coin_id ORDER BY date_stamp) AS prev_day_price,
-    AVG(close_price) OVER (PARTITION BY coin_id ORDER BY date_stamp
-                           ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg7
-  FROM named
+week AS (
+  SELECT x.coin_id, x.day, AVG(y.close_price) AS mean
+  FROM day_no x JOIN day_no y
+    ON y.coin_id IS NOT DISTINCT FROM x.coin_id AND y.day BETWEEN x.day - 6 AND x.day
+  GROUP BY x.coin_id, x.day
 ),
 metrics AS (
-  SELECT coin_id, name_of_coin, date_stamp, open_price, high_price, low_price, close_price,
-    close_market_cap, close_total_volume, prev_day_price,
-    CAST(COALESCE(CASE
-        WHEN prev_day_price IS NULL THEN 0
-        WHEN prev_day_price = 0 THEN NULL
-        ELSE ROUND(CAST((close_price - prev_day_price) / prev_day_price * 100 AS DECIMAL(38,10)), 2)
-      END, 0) AS DECIMAL(20,2)) AS daily_price_change_pcg,
-    CAST(ROUND(CAST(avg7 AS DECIMAL(38,10)), 2) AS DECIMAL(20,2)) AS moving_avg_7d
-  FROM lagged
+  SELECT d.coin_id, assets.name_of_coin, d.coin_date AS date_stamp, d.open_price, d.high_price,
+    d.low_price, d.close_price, d.close_market_cap, d.close_total_volume,
+    y.close_price AS prev_day_price,
+    CAST(CASE WHEN y.close_price <> 0
+      THEN ROUND(CAST((d.close_price - y.close_price) / y.close_price * 100 AS DECIMAL(38,10)), 2)
+      ELSE 0 END AS DECIMAL(20,2)) AS daily_price_change_pcg,
+    CAST(ROUND(CAST(week.mean AS DECIMAL(38,10)), 2) AS DECIMAL(20,2)) AS moving_avg_7d
+  FROM day_no d
+  JOIN week ON week.coin_id IS NOT DISTINCT FROM d.coin_id AND week.day = d.day
+  LEFT JOIN day_no y ON y.coin_id IS NOT DISTINCT FROM d.coin_id AND y.day = d.day - 1
+  LEFT JOIN assets ON assets.name_id = d.coin_id
 )"""
 
 
@@ -68,24 +68,15 @@ def with_ctes(*ctes: str) -> str:
 CATEGORY_BATCH_TS = "2024-01-31 06:00:00"
 
 SUMMARY = """
-totals AS (
-  SELECT date_stamp, CAST(SUM(close_market_cap) AS DECIMAL(38,2)) AS total_market_cap,
-         CAST(CAST(AVG(close_total_volume) AS DECIMAL(38,10)) AS DECIMAL(38,6)) AS average_volume
-  FROM metrics GROUP BY date_stamp
-),
-ranked AS (
-  SELECT coin_id, date_stamp,
-    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg DESC, coin_id) AS ranked_gainer,
-    row_number() OVER (PARTITION BY date_stamp ORDER BY daily_price_change_pcg ASC, coin_id) AS ranked_loser
-  FROM metrics WHERE daily_price_change_pcg IS NOT NULL
-),
-top_gainer AS (SELECT date_stamp, coin_id AS top_gainer FROM ranked WHERE ranked_gainer = 1),
-top_loser AS (SELECT date_stamp, coin_id AS top_loser FROM ranked WHERE ranked_loser = 1),
 summary AS (
-  SELECT t.date_stamp, t.total_market_cap, g.top_gainer, l.top_loser, t.average_volume
-  FROM totals t
-  LEFT JOIN top_gainer g ON t.date_stamp = g.date_stamp
-  LEFT JOIN top_loser l ON t.date_stamp = l.date_stamp
+  SELECT date_stamp,
+    CAST(SUM(close_market_cap) AS DECIMAL(38,2)) AS total_market_cap,
+    first(coin_id ORDER BY daily_price_change_pcg DESC, coin_id)
+      FILTER (WHERE daily_price_change_pcg IS NOT NULL) AS top_gainer,
+    first(coin_id ORDER BY daily_price_change_pcg, coin_id)
+      FILTER (WHERE daily_price_change_pcg IS NOT NULL) AS top_loser,
+    CAST(CAST(AVG(close_total_volume) AS DECIMAL(38,10)) AS DECIMAL(38,6)) AS average_volume
+  FROM metrics GROUP BY ALL
 )"""
 
 CATEGORIES = f"""
@@ -100,23 +91,17 @@ category_metrics AS (
   FROM categories c LEFT JOIN metrics m ON c.coin_id = m.coin_id
 )"""
 
-# Shaped like the source: asset x category x day fan-out, then rn = 1.
+# Distinct pairs with look-ups; a coin without bars has no name and no first day.
 DIMENSION = """
-coin_symbol AS (
-  SELECT c.c_custkey AS name_id, COALESCE(TRIM(COALESCE(n.n_name, 'Unknown')), 'Unknown') AS symbol_name
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-),
-first_seen AS (SELECT coin_id, MIN(coin_date) AS first_seen_date FROM bars GROUP BY coin_id),
-final_coin AS (
-  SELECT i.coin_id, i.name_of_coin AS name, i.category, s.symbol_name, f.first_seen_date,
-         row_number() OVER (PARTITION BY i.coin_id, i.category ORDER BY s.symbol_name) AS rn
-  FROM category_metrics i
-  LEFT JOIN coin_symbol s ON i.coin_id = s.name_id
-  LEFT JOIN first_seen f ON i.coin_id = f.coin_id
-),
 dim AS (
-  SELECT coin_id, name AS coin_name, symbol_name AS symbol, category, first_seen_date
-  FROM final_coin WHERE rn = 1
+  SELECT pair.coin_id, CASE WHEN seen.coin_id IS NOT NULL THEN assets.name_of_coin END AS coin_name,
+    TRIM(COALESCE(nation.n_name, 'Unknown')) AS symbol, pair.category, seen.first_seen_date
+  FROM (SELECT DISTINCT coin_id, category FROM categories) AS pair
+  JOIN customer ON customer.c_custkey = pair.coin_id
+  LEFT JOIN nation ON nation.n_nationkey = customer.c_nationkey
+  LEFT JOIN assets ON assets.name_id = pair.coin_id
+  LEFT JOIN (SELECT coin_id, MIN(coin_date) AS first_seen_date FROM bars GROUP BY coin_id) AS seen
+    ON seen.coin_id = pair.coin_id
 )"""
 
 FACT = """

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators import quality as Q
 from tickmart.operators.bars import daily_bars
 from tickmart.plans import models as M
+from tickmart.plans.daily_job import model_checks as job_checks
 from tickmart.plans.queries.oracle_sql import (
     ASSETS, BARS, CATEGORIES, CATEGORY_BATCH_TS, DIMENSION, FACT, METRICS, POINTS, SUMMARY,
 )
@@ -87,36 +90,15 @@ def dq_non_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- report over the built models (the source project's model tests) ---------------
 
+# The job's tables as this report names them.
+_NAMES = {"stg_coin_markets": "markets", "stg_coin_price_history": "bars", "int_coin_daily_metrics": "metrics",
+          "int_coin_categories": "category_metrics", "dim_coins": "dim",
+          "fct_daily_coin_performance": "fact", "fct_market_summary": "summary"}
+
+
 def model_checks() -> list[Q.Check]:
-    C, W = Q.Check, Q.WARN
-    nn = lambda t, *cs: [C(t, "not_null", (c,)) for c in cs]
-    return [
-        C("markets", "unique", ("name_id",)), *nn("markets", "name_id"),
-        C("markets", "not_null", ("symbol_name",), W), *nn("markets", "last_updated", "ingested_at"),
-        C("bars", "unique_combination", ("coin_id", "coin_date")),
-        *nn("bars", "coin_id", "coin_date", "high_price", "low_price", "close_price",
-            "close_market_cap", "close_total_volume"),
-        C("metrics", "unique_combination", ("coin_id", "date_stamp")), *nn("metrics", "coin_id"),
-        C("metrics", "relationships", ("coin_id",), parent="bars", parent_column="coin_id"),
-        *nn("metrics", "date_stamp", "close_price", "high_price", "low_price", "close_market_cap"),
-        C("metrics", "non_negative", ("close_market_cap",)), *nn("metrics", "close_total_volume"),
-        C("metrics", "not_null", ("daily_price_change_pcg",), W), *nn("metrics", "moving_avg_7d"),
-        *nn("category_metrics", "coin_id"),
-        C("category_metrics", "relationships", ("coin_id",), parent="markets", parent_column="name_id"),
-        *nn("category_metrics", "category"),
-        C("dim", "unique_combination", ("coin_id", "category")), *nn("dim", "coin_id"),
-        C("dim", "relationships", ("coin_id",), parent="markets", parent_column="name_id"),
-        *nn("dim", "category", "first_seen_date"),
-        C("fact", "unique_combination", ("coin_id", "trade_date")), *nn("fact", "coin_id"),
-        C("fact", "relationships", ("coin_id",), parent="metrics", parent_column="coin_id"),
-        *nn("fact", "trade_date", "close_price_usd", "high_price_usd", "low_price_usd", "volume",
-            "market_cap"),
-        C("fact", "non_negative", ("market_cap",)),
-        *nn("fact", "daily_price_change_pct", "moving_avg_7d_price"),
-        C("summary", "unique", ("date_stamp",)), *nn("summary", "date_stamp", "total_market_cap"),
-        C("summary", "non_negative", ("total_market_cap",)),
-        *nn("summary", "top_gainer", "top_loser", "average_volume"),
-    ]
+    return [replace(c, table=_NAMES[c.table], parent=_NAMES[c.parent] if c.parent else c.parent)
+            for c in job_checks()]
 
 
 def model_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -151,7 +133,7 @@ def _check_sql(c: Q.Check) -> str:
         cols = ", ".join(c.columns)
         n = f"(SELECT count(*) FROM (SELECT {cols} FROM {c.table} GROUP BY {cols} HAVING count(*) > 1))"
     else:
-        n = (f"(SELECT count(DISTINCT {col}) FROM {c.table} WHERE {col} IS NOT NULL AND {col} NOT IN "
+        n = (f"(SELECT count(*) FROM {c.table} WHERE {col} IS NOT NULL AND {col} NOT IN "
              f"(SELECT TRY_CAST({c.parent_column} AS BIGINT) FROM {c.parent} "
              f"WHERE TRY_CAST({c.parent_column} AS BIGINT) IS NOT NULL))")
     return (f"SELECT '{c.table}' AS table_name, '{c.kind}' AS check_name, "

@@ -185,17 +185,16 @@ def standardise_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
 # --- SRC-1 / PRJ-1 / FLT-1 / TOP-4 -----------------------------------------
 
 def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
-    """customer -> JSON list payloads of <= 100 coins (50 ids, some twice).
+    """customer -> JSON list payloads of about 50 to 100 coins (50 ids, some twice).
 
-    ``roi`` is an object, ``null`` or a string by id; ids ``% 31 == 0`` are
-    empty strings; ids ``% 25 == 0`` appear twice (the second copy differs);
-    every tenth payload is an API error object instead of a list.  With
-    ``dressed=False`` every id is valid and every payload a list.
+    ``roi`` is an object, ``null`` or a string by id; beside the real coins, ids
+    ``% 31 == 0`` have a copy without id, ids ``% 25 == 0`` a second copy that
+    differs, and there is an API error object for every tenth payload.  With
+    ``dressed=False`` there are only the real coins.
     """
     c = customer.select(
         F.col("c_custkey").alias("k"),
-        F.when(F.lit(dressed) & (_mod("c_custkey", 31) == 0), F.lit(""))
-        .otherwise(F.col("c_custkey").cast("string")).alias("id"),
+        F.col("c_custkey").cast("string").alias("id"),
         F.lower(F.substring("c_mktsegment", 1, 3)).alias("symbol"),
         F.col("c_name").alias("name"),
         (F.col("c_acctbal").cast(PRICE_IN) * F.lit(Decimal("0.125"))).cast(RAW_NUM).alias("current_price"),
@@ -216,7 +215,8 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
     again = (first.where(F.lit(dressed) & (_mod("k", 25) == 0))
              .withColumn("copy", F.lit(1))
              .withColumn("current_price", (F.col("current_price") * 2).cast(RAW_NUM)))
-    coins = first.unionByName(again)
+    blank = first.where(F.lit(dressed) & (_mod("k", 31) == 0)).withColumn("copy", F.lit(2)).withColumn("id", F.lit(""))
+    coins = first.unionByName(again).unionByName(blank)
     body = F.to_json(F.struct("id", "symbol", "name", "current_price", "market_cap",
                               "ath_date", "last_updated"))
     text = F.concat(F.expr("substr(_body, 1, length(_body) - 1)"), F.lit(',"roi":'), F.col("roi"),
@@ -227,12 +227,13 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("k", "copy", "coin"))).alias("coins"))
     listing = F.concat(F.lit("["), F.array_join(F.transform("coins", lambda x: x["coin"]), ","),
                        F.lit("]"))
+    errors = payloads.where(F.lit(dressed) & (((F.col("chunk") / 50).cast("long") % 10) == 9)).select(
+        F.lit('{"error":"rate limited"}').alias("payload"),
+        F.format_string("markets-%08d-error.json", F.col("chunk")).alias("source_file"))
     return payloads.select(
-        F.when(F.lit(dressed) & (((F.col("chunk") / 50).cast("long") % 10) == 9),
-               F.lit('{"error":"rate limited"}'))
-        .otherwise(listing).alias("payload"),
+        listing.alias("payload"),
         F.format_string("markets-%08d.json", F.col("chunk")).alias("source_file"),
-    )
+    ).unionByName(errors)
 
 
 @register("struct_flatten", """
@@ -245,8 +246,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, lower(substr(c_mktsegment, 1, 3)) AS sy
   CASE WHEN c_custkey % 3 = 0 THEN 'usd' END AS roi_currency,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(CAST(c_acctbal AS DECIMAL(20,4)) * 1.25 AS DECIMAL(38,18)) END AS roi_percentage,
   TIMESTAMP '2024-01-31 06:00:00' AS _ingested_at
-FROM customer
-WHERE c_custkey % 31 <> 0 AND (c_custkey // 50) % 10 <> 9""")
+FROM customer""")
 def struct_flatten(spark: SparkSession, sf: str) -> DataFrame:
     rows = snapshot_rows(snapshot_payloads(table(spark, sf, "customer")), BATCH_TS)
     return rows.select("id", "symbol", "name", "current_price", "market_cap", "ath_date",
@@ -259,27 +259,26 @@ def struct_flatten(spark: SparkSession, sf: str) -> DataFrame:
 SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS coin_id, o_orderpriority AS category,
        TIMESTAMP '{BATCH_TS}' AS _ingested_at
 FROM orders
-WHERE o_custkey % 9 <> 0 AND o_orderpriority IS NOT NULL AND o_custkey IS NOT NULL""")
+WHERE o_orderpriority IS NOT NULL AND o_custkey IS NOT NULL""")
 def bridge_explode(spark: SparkSession, sf: str) -> DataFrame:
-    """orders -> ``{id, categories}`` payload per customer (priorities; NULL list
-    for ids ``% 9 == 0``) -> one row per (asset, category)."""
+    """orders -> ``{id, categories}`` payload per customer (priorities; ids
+    ``% 9 == 0`` have a second payload with a NULL list) -> one row per (asset, category)."""
     orders = table(spark, sf, "orders").where(F.col("o_custkey").isNotNull())
     per_cust = (orders.select("o_custkey", "o_orderpriority").distinct()
                 .groupBy("o_custkey")
                 .agg(F.array_sort(F.collect_list("o_orderpriority")).alias("cats")))
-    payload = per_cust.select(F.to_json(F.struct(
-        F.col("o_custkey").cast("string").alias("id"),
-        F.when(_mod("o_custkey", 9) == 0, F.lit(None)).otherwise(F.col("cats")).alias("categories"),
-    )).alias("payload"))
+    none = per_cust.where(_mod("o_custkey", 9) == 0).withColumn("cats", F.lit(None).cast("array<string>"))
+    payload = per_cust.unionByName(none).select(F.to_json(F.struct(
+        F.col("o_custkey").cast("string").alias("id"), F.col("cats").alias("categories"))).alias("payload"))
     return category_rows(payload, BATCH_TS)
 
 
 # --- SRC-6 / SET-1 ------------------------------------------------------------
 
 def universe_lines(customer: DataFrame) -> DataFrame:
-    """customer -> comma lists of <= 16 ids per line; ids ``% 7 == 0`` are blank
-    entries, ``% 5 == 0`` padded with spaces, ``% 11 == 0`` listed twice."""
-    entry = (F.when(_mod("c_custkey", 7) == 0, F.lit(""))
+    """customer -> comma lists of <= 16 ids per line; ids ``% 7 == 0`` follow a
+    blank entry, ``% 5 == 0`` padded with spaces, ``% 11 == 0`` listed twice."""
+    entry = (F.when(_mod("c_custkey", 7) == 0, F.concat(F.lit(" ,"), F.col("c_custkey").cast("string")))
              .when(_mod("c_custkey", 5) == 0, F.concat(F.lit("  "), F.col("c_custkey").cast("string"), F.lit(" ")))
              .when(_mod("c_custkey", 11) == 0, F.concat_ws(",", F.col("c_custkey").cast("string"),
                                                            F.col("c_custkey").cast("string")))
@@ -299,7 +298,7 @@ def _universe(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("universe_semi", """
 SELECT event_id, user_id, ts, value FROM events
-WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)""")
+WHERE user_id IN (SELECT c_custkey FROM customer)""")
 def universe_semi(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     return restrict_to_universe(ev, _universe(spark, sf), key="user_id")
@@ -307,8 +306,7 @@ def universe_semi(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("missing_assets_anti", """
 SELECT CAST(c_custkey AS VARCHAR) AS coin_id FROM customer
-WHERE c_custkey % 7 <> 0
-  AND c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
+WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
 def missing_assets_anti(spark: SparkSession, sf: str) -> DataFrame:
     fetched = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("coin_id"))
     return missing_keys(_universe(spark, sf).select("coin_id"), fetched, "coin_id")

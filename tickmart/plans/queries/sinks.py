@@ -59,11 +59,11 @@ def upsert_keyed(spark: SparkSession, sf: str) -> DataFrame:
 WITH t AS (
   SELECT {_LC} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
       ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in LI_ORDER)}) AS rn
-    FROM lineitem WHERE l_orderkey % 2 = 0) WHERE rn = 1),
+    FROM lineitem WHERE l_orderkey % 3 <> 2) WHERE rn = 1),
 u AS (
   SELECT {_LC} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
       ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in LI_ORDER)}) AS rn
-    FROM lineitem WHERE l_orderkey % 3 = 0) WHERE rn = 1)
+    FROM lineitem WHERE l_orderkey % 3 <> 0) WHERE rn = 1)
 SELECT * FROM t WHERE NOT EXISTS (
   SELECT 1 FROM u WHERE u.l_orderkey = t.l_orderkey AND u.l_linenumber = t.l_linenumber)
 UNION ALL SELECT * FROM u""")
@@ -71,8 +71,8 @@ def upsert_composite(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-2: composite key; the raw batch repeats keys and is reduced first."""
     li = table(spark, sf, "lineitem")
     path = scratch_dir(spark, "upsert_composite")
-    publish(keep_first(li.where(F.col("l_orderkey") % 2 == 0), LI_KEYS, LI_ORDER), path)
-    load(li.where(F.col("l_orderkey") % 3 == 0), path, LI_KEYS, order=LI_ORDER)
+    publish(keep_first(li.where(F.col("l_orderkey") % 3 != 2), LI_KEYS, LI_ORDER), path)
+    load(li.where(F.col("l_orderkey") % 3 != 0), path, LI_KEYS, order=LI_ORDER)
     return read_table(spark, path)
 
 
@@ -81,9 +81,9 @@ _T1, _T2 = "2024-01-30 06:00:00", "2024-01-31 06:00:00"
 
 @register("upsert_bridge", f"""
 WITH t AS (SELECT c_custkey AS coin_id, c_mktsegment AS category, TIMESTAMP '{_T1}' AS _ingested_at
-           FROM customer WHERE c_custkey % 2 = 0),
+           FROM customer WHERE c_custkey % 3 <> 2),
 u AS (SELECT c_custkey AS coin_id, c_mktsegment AS category, TIMESTAMP '{_T2}' AS _ingested_at
-      FROM customer WHERE c_custkey % 3 = 0
+      FROM customer WHERE c_custkey % 3 <> 0
       UNION ALL
       SELECT c_custkey, 'PREMIUM', TIMESTAMP '{_T2}' FROM customer WHERE c_custkey % 6 = 0)
 SELECT * FROM t WHERE NOT EXISTS (
@@ -99,8 +99,8 @@ def upsert_bridge(spark: SparkSession, sf: str) -> DataFrame:
                                         F.lit(ts).cast("timestamp_ntz").alias("_ingested_at"))
 
     path = scratch_dir(spark, "upsert_bridge")
-    load(pairs(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"), _T1), path, ["coin_id", "category"])
-    batch = pairs(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment"), _T2).unionByName(
+    load(pairs(F.col("c_custkey") % 3 != 2, F.col("c_mktsegment"), _T1), path, ["coin_id", "category"])
+    batch = pairs(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment"), _T2).unionByName(
         pairs(F.col("c_custkey") % 6 == 0, F.lit("PREMIUM"), _T2))
     load(batch, path, ["coin_id", "category"])
     return read_table(spark, path)
@@ -109,17 +109,22 @@ def upsert_bridge(spark: SparkSession, sf: str) -> DataFrame:
 @register("insert_only", f"""
 WITH t AS (SELECT {_OC} FROM orders WHERE o_orderkey % 2 = 0),
 u AS (SELECT o_orderkey, o_custkey, 'N' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-      FROM orders WHERE o_orderkey % 3 = 0)
+      FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)
 SELECT * FROM t UNION ALL
 SELECT * FROM u WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)""")
 def insert_only_q(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-4: colliding keys keep the stored row; only new keys are appended."""
+    """SNK-4: colliding keys keep the stored row; only new keys are appended, once
+    each although the batch repeats some."""
     orders = _orders(spark, sf)
     path = scratch_dir(spark, "insert_only")
     load(orders.where(F.col("o_orderkey") % 2 == 0), path, ["o_orderkey"])
-    batch = orders.where(F.col("o_orderkey") % 3 == 0).withColumn("o_orderstatus", F.lit("N"))
-    load(batch, path, ["o_orderkey"], mode="insert_only")
-    return read_table(spark, path)
+    key = F.col("o_orderkey")
+    batch = orders.where((key % 2 == 1) | (key % 3 == 0)).withColumn("o_orderstatus", F.lit("N"))
+    # Keys repeated within the batch: the last by ``order`` is inserted.
+    repeats = batch.where(key % 5 == 0).withColumn("o_totalprice", F.lit(-1.0))
+    load(batch.withColumn("_seq", F.lit(2)).unionByName(repeats.withColumn("_seq", F.lit(1))),
+         path, ["o_orderkey"], order=["_seq"], mode="insert_only")
+    return read_table(spark, path).select(*ORDER_COLS)
 
 
 @register("schema_evolve", f"""

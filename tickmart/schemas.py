@@ -71,6 +71,10 @@ CHART_PAYLOAD = T.StructType([
     T.StructField("total_volumes", SERIES),
 ])
 
+# The same series as text, for payloads with a number that does not fit.
+SERIES_TEXT = T.ArrayType(T.ArrayType(T.StringType()))
+CHART_TEXT = T.StructType([T.StructField(c, SERIES_TEXT) for c in ("prices", "market_caps", "total_volumes")])
+
 RAW_SERIES = T.StructType([
     T.StructField("coin_id", T.StringType(), False),
     T.StructField("chart_days", T.IntegerType(), False),

@@ -9,6 +9,7 @@ runtime (session-level) options.  Scratch tables live under the cluster's
 from __future__ import annotations
 
 import contextvars
+import re
 import tempfile
 import uuid
 
@@ -21,8 +22,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rewrite only the date partitions a run touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -56,7 +55,9 @@ def scratch_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if not root:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        # Unset only in local runs and tests: make a private one.
+        if not configured and not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        # Unset in local runs and tests only: make a private one.
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tickmart-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")

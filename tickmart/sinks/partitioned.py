@@ -29,7 +29,8 @@ PARTITION_COL = "month"
 
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
-    return df.withColumn(PARTITION_COL, F.date_format(F.col(date_col), "yyyy-MM"))
+    """Rows without a date keep a partition of their own."""
+    return df.withColumn(PARTITION_COL, F.coalesce(F.date_format(F.col(date_col), "yyyy-MM"), F.lit("none")))
 
 
 def partitioned_exists(spark: SparkSession, path: str) -> bool:

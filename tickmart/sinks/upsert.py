@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -63,12 +64,21 @@ def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str], ver
     return upsert(target, incoming, keys, batch_rows=batch_rows)
 
 
-def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """SNK-4: append rows whose key is new; return (result, colliding batch rows).
+def _batch_order(batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Without a given order, the row of the largest other columns wins."""
+    return [f.name for f in batch.schema.fields
+            if f.name not in keys and not isinstance(f.dataType, T.MapType)] or list(keys)
+
+
+def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str],
+                order: Sequence[str | Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """SNK-4: append rows whose key is new, one a key (the last by ``order``);
+    return (result, colliding batch rows).
 
     Here the batch is the preserved side; the target's keys are joined as is
     (Catalyst sizes them)."""
     fresh = batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    fresh = latest_per_key(fresh, keys, order or _batch_order(batch, keys))
     collisions = batch.join(target.select(*keys), list(keys), "left_semi").select(*batch.columns)
     return target.unionByName(fresh, allowMissingColumns=True), collisions
 
@@ -93,7 +103,9 @@ def load(updates: DataFrame, table_path: str, keys: Sequence[str],
          order: Sequence[str | Column] | None = None, mode: str = "upsert") -> LoadReport:
     """SNK-1..4 + SNK-9 + SNK-10: keyed load into a versioned table.
 
-    An empty batch writes nothing.  The table row count is observed while the
+    An empty batch writes nothing; a NULL in a key column is refused; keys that
+    repeat within the batch are reduced to one row (the last by ``order``, or by
+    the other columns).  The table row count is observed while the
     new version is written (no extra pass over the table).
     """
     spark = updates.sparkSession
@@ -101,19 +113,24 @@ def load(updates: DataFrame, table_path: str, keys: Sequence[str],
     # (parsed payloads): stage it once under the scratch root, counting it on
     # the way, and upsert from the staged copy.
     seen = Observation("batch")
-    updates = stage(updates.observe(seen, F.count(F.lit(1)).alias("n")), "load-batch")
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    updates = stage(updates.observe(seen, F.count(F.lit(1)).alias("n"),
+                                    F.count(F.when(no_key, 1)).alias("no_key")), "load-batch")
     batch_rows = int(seen.get["n"])
+    if seen.get["no_key"]:
+        raise ValueError(f"{seen.get['no_key']} rows of the batch for {table_path} have a NULL in {list(keys)}")
+    order = order or _batch_order(updates, keys)
     if batch_rows == 0:
         rows = read_table(spark, table_path).count() if table_exists(spark, table_path) else 0
         return LoadReport(table_path, 0, rows, True, None)
     if table_exists(spark, table_path):
         target = read_table(spark, table_path)
         if mode == "insert_only":
-            result, _ = insert_only(target, updates, keys)
+            result, _ = insert_only(target, updates, keys, order)
         else:
             result = upsert(target, updates, keys, order, batch_rows=batch_rows)
     else:
-        result = latest_per_key(updates, keys, order) if order else updates
+        result = latest_per_key(updates, keys, order)
     table_obs = Observation("table")
     out = publish(result.observe(table_obs, F.count(F.lit(1)).alias("n")), table_path)
     return LoadReport(table_path, batch_rows, int(table_obs.get["n"]), False, out)

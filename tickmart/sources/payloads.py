@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from tickmart.functions import non_blank
 from tickmart.operators.dedupe import keep_first
-from tickmart.schemas import CATEGORY_PAYLOAD, CHART_PAYLOAD, RAW_SNAPSHOT, SNAPSHOT_COIN
+from tickmart.schemas import (CATEGORY_PAYLOAD, CHART_PAYLOAD, CHART_TEXT, RAW_NUM, RAW_SNAPSHOT,
+                              SNAPSHOT_COIN)
 
 SNAPSHOT_LIST = T.ArrayType(SNAPSHOT_COIN)
 
@@ -52,12 +53,12 @@ def snapshot_rows(payloads: DataFrame, batch_ts: str | Column,
     ).where(non_blank(F.col("c.id")))
     first = keep_first(coins, ["c.id"], [F.col("_src"), F.col("_pos")], key_names=["_id"])
     special = {
-        "ath_date": F.to_date("c.ath_date"),
-        "atl_date": F.to_date("c.atl_date"),
+        "ath_date": F.try_to_timestamp("c.ath_date").cast("date"),
+        "atl_date": F.try_to_timestamp("c.atl_date").cast("date"),
         "roi_times": F.col("c.roi.times"),
         "roi_currency": F.col("c.roi.currency"),
         "roi_percentage": F.col("c.roi.percentage"),
-        "last_updated": F.to_timestamp("c.last_updated").cast("timestamp_ntz"),
+        "last_updated": F.try_to_timestamp("c.last_updated").cast("timestamp_ntz"),
         "_ingested_at": _stamp(batch_ts),
     }
     return first.select(*[special.get(f.name, F.col(f"c.{f.name}")).alias(f.name)
@@ -68,23 +69,40 @@ def parse_chart(payload: Column) -> Column:
     return F.from_json(payload, CHART_PAYLOAD)
 
 
+def _has_series(payload_col: str) -> Column:
+    text = F.from_json(F.col(payload_col), CHART_TEXT)
+    return F.coalesce(text["prices"], text["market_caps"], text["total_volumes"]).isNotNull()
+
+
+def rejected_charts(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """The payloads that :func:`chart_rows` takes no row from, for quarantine."""
+    return payloads.where(~_has_series(payload_col) | F.col(payload_col).isNull())
+
+
 def chart_rows(payloads: DataFrame, batch_ts: str | Column, chart_days: int | Column,
                payload_col: str = "payload", id_col: str | None = None) -> DataFrame:
     """SRC-2: chart payload -> raw series row; a missing/null series becomes ``[]``.
 
+    A payload without any series (error object, HTML, half a file) gives no row,
+    so it never overwrites a stored chart; :func:`rejected_charts` returns those.
+    A number that is none or does not fit becomes NULL, the other points stay.
+
     The asset id is the payload's ``id`` field, else ``id_col`` (e.g. the file
     name stem); the window is the payload's ``chart_days``, else ``chart_days``.
     """
-    c = parse_chart(F.col(payload_col))
+    c, text = parse_chart(F.col(payload_col)), F.from_json(F.col(payload_col), CHART_TEXT)
     empty = F.array().cast(CHART_PAYLOAD["prices"].dataType)
     coin_id = c["id"] if id_col is None else F.coalesce(c["id"], F.col(id_col))
     days = F.coalesce(c["chart_days"], F.lit(chart_days) if isinstance(chart_days, int) else chart_days)
-    return payloads.select(
+
+    def series(name: str) -> Column:
+        one_by_one = F.transform(text[name], lambda p: F.transform(p, lambda v: v.try_cast(RAW_NUM)))
+        return F.coalesce(c[name], one_by_one, empty).alias(name)
+
+    return payloads.where(_has_series(payload_col)).select(
         coin_id.alias("coin_id"),
         days.cast("int").alias("chart_days"),
-        F.coalesce(c["prices"], empty).alias("prices"),
-        F.coalesce(c["market_caps"], empty).alias("market_caps"),
-        F.coalesce(c["total_volumes"], empty).alias("total_volumes"),
+        series("prices"), series("market_caps"), series("total_volumes"),
         _stamp(batch_ts).alias("_ingested_at"),
     ).where(non_blank(F.col("coin_id")))
 

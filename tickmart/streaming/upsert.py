@@ -3,8 +3,8 @@
 Each micro-batch is reduced to the newest row per key and upserted; a row
 only replaces a stored row that is not newer by the version column, so the
 table does not depend on the order in which files become micro-batches.  The
-result is published as a new table version.  A batch id already applied (its
-marker exists) is skipped, and re-applying a batch gives the same table
+result is published as a new table version.  A batch that the same stream has
+already applied (its marker exists) is skipped, and re-applying a batch gives the same table
 anyway, so restarts after a failure are exactly-once in effect.
 """
 
@@ -18,8 +18,8 @@ from tickmart.sinks.tables import _fs, publish, read_table, table_exists
 from tickmart.sinks.upsert import latest_per_key, upsert_newer
 
 
-def _marker(table_path: str, batch_id: int) -> str:
-    return f"{table_path.rstrip('/')}/_batches/{batch_id:012d}"
+def _marker(table_path: str, query_id: str, batch_id: int) -> str:
+    return f"{table_path.rstrip('/')}/_batches/{query_id}-{batch_id:012d}"
 
 
 def upsert_batch_writer(table_path: str, keys: Sequence[str], version: str):
@@ -28,7 +28,9 @@ def upsert_batch_writer(table_path: str, keys: Sequence[str], version: str):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fs, marker = _fs(spark, _marker(table_path, batch_id))
+        # The id that the stream's checkpoint holds: another stream counts its own batches.
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        fs, marker = _fs(spark, _marker(table_path, query_id, batch_id))
         if fs.exists(marker):
             return
         batch.persist()  # counted, then read by both sides of the upsert
