@@ -138,3 +138,25 @@ def test_run_scratch_is_removed_after_success(spark, tmp_path):
     after = set(os.listdir(root))
     assert not [d for d in after - before if d.startswith("daily-job-")]
     assert current_run() is None
+
+
+def test_empty_load_fails_and_what_is_missing_is_reported(spark, tmp_path):
+    from tickmart.plans.daily_job import EmptyLoadError
+
+    wh = str(tmp_path / "wh")
+    land(tmp_path / "d1", [1, 2])
+    charts = tmp_path / "d1" / "charts" / "part-0.jsonl"
+    (tmp_path / "d1" / "universe" / "ids.txt").write_text("btc,eth,sol,xrp\n")
+    charts.write_text(charts.read_text() + '{"error":"rate limit","id":"xrp"}\n<html>\n')
+    cfg = JobConfig(str(tmp_path / "d1"), wh, "2024-01-03 06:00:00", "2024-01-03 08:00:00")
+    run_daily_job(spark, cfg)
+    assert rows(read_table(spark, table_path(cfg, "missing_assets")), "coin_id") == [("xrp",)]
+    assert rows(read_table(spark, table_path(cfg, "rejected_charts")), "payload") == [
+        ("<html>",), ('{"error":"rate limit","id":"xrp"}',)]
+    charts.write_text('{"error":"rate limit"}\n')
+    late = JobConfig(str(tmp_path / "d1"), wh, "2024-01-04 06:00:00", "2024-01-04 08:00:00")
+    with pytest.raises(EmptyLoadError, match="coin_price_history"):
+        run_daily_job(spark, late)
+    old = JobConfig(str(tmp_path / "d1"), wh, "2024-01-04 06:00:00", "2024-03-04 08:00:00", allow_empty=True)
+    with pytest.raises(QualityGateError, match="too old"):
+        run_daily_job(spark, old)

@@ -135,3 +135,13 @@ def test_protect_boundary_keeps_stored_first_day(spark):
     assert day3(plain).open_price == Decimal("99.00")        # last writer wins by default
     assert day3(kept).open_price == Decimal("10.00")         # stored full day kept
     assert sorted(r.coin_date.day for r in changed.collect()) == [4, 5]
+
+
+def test_raw_arrays_are_not_shuffled_to_the_high_water_marks(spark):
+    raw = spark.sql("""SELECT CAST(id % 50 AS STRING) AS coin_id, array(array(id, id)) AS prices,
+                       TIMESTAMP_NTZ '2024-01-02 00:00:00' AS _ingested_at FROM range(1000)""")
+    bars = spark.sql("SELECT CAST(id AS STRING) AS coin_id, TIMESTAMP_NTZ '2024-01-03 00:00:00' AS _ingested_at "
+                     "FROM range(40)")
+    fresh = new_raw_rows(raw, bars)
+    assert "Exchange hashpartitioning" not in fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count() == 200

@@ -88,3 +88,16 @@ def test_daily_fact_renames(spark):
     m = m.select("*", *[F.lit(None).cast("decimal(20,2)").alias(c) for c in
                         ("open_price", "high_price", "low_price", "close_price")])
     assert M.daily_fact(m).columns == list(M.FACT_COLUMNS.values())
+
+
+def test_ranks_over_range_parts_equal_one_window(spark):
+    m = spark.sql("""SELECT id AS coin_id, CASE WHEN id % 7 < 5 THEN DATE '2024-01-01' WHEN id % 7 = 5
+                     THEN DATE '2024-01-02' END AS date_stamp,
+                     CASE WHEN id % 11 > 0 THEN id % 13 END AS daily_price_change_pcg FROM range(2000)""")
+    for descending, order in ((True, "DESC"), (False, "ASC")):
+        m.createOrReplaceTempView("m_ranks")
+        want = spark.sql(f"""SELECT coin_id, date_stamp, daily_price_change_pcg, row_number() OVER (
+            PARTITION BY date_stamp ORDER BY daily_price_change_pcg {order}, coin_id) AS r
+            FROM m_ranks WHERE daily_price_change_pcg IS NOT NULL""")
+        got = daily_ranks(m.repartition(4), descending, "r").select(want.columns)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()

@@ -95,15 +95,44 @@ def test_partition_scoped_upsert_touches_only_batch_months(spark):
     replace_partitioned(spark.createDataFrame(
         [(1, dt.date(2024, 1, 5), "a"), (2, dt.date(2024, 2, 5), "b"), (4, dt.date(2024, 1, 6), "keep")], S2),
         path, "d")
-    feb = [f for f in os.listdir(path.replace("file:", "") + "/month=2024-02")]
+    data = path.replace("file:", "") + "/data"
+    (first,) = os.listdir(data)
     months = upsert_partitions(spark.createDataFrame(
         [(1, dt.date(2024, 1, 5), "A"), (3, dt.date(2024, 1, 9), "c")], S2), path, ["k", "d"], "d")
     assert months == ["2024-01"]
-    assert os.listdir(path.replace("file:", "") + "/month=2024-02") == feb    # untouched
+    (second,) = set(os.listdir(data)) - {first}
+    assert [f for f in os.listdir(f"{data}/{second}") if f.startswith("month")] == ["month=2024-01"]
     assert rows(read_partitioned(spark, path), "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "keep")]
     assert upsert_partitions(spark.createDataFrame([], S2), path, ["k", "d"], "d") == []
 
 
+def test_a_failing_refresh_leaves_the_months_readable(spark):
+    import datetime as dt
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tickmart.sinks.partitioned import (read_partitioned, replace_partitioned, upsert_partitions,
+                                            vacuum_partitioned)
+
+    path = scratch_dir(spark, "t_refresh")
+    old = spark.createDataFrame([(1, dt.date(2024, 1, 5), "a"), (2, None, "b")], "k long, d date, v string")
+    replace_partitioned(old, path, "d")
+    bad = old.withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    for fails in (lambda: replace_partitioned(bad, path, "d"),
+                  lambda: upsert_partitions(bad, path, ["k"], "d", stored=True)):
+        with pytest.raises(Exception, match="lost"):
+            fails()
+        assert rows(read_partitioned(spark, path), "k", "v") == [(1, "a"), (2, "b")]
+    replace_partitioned(old.limit(0), path, "d")
+    assert read_partitioned(spark, path).columns == ["k", "d", "v"] and read_partitioned(spark, path).count() == 0
+    replace_partitioned(old, path, "d")
+    vacuum_partitioned(spark, path, keep=1)
+    assert len(os.listdir(path.replace("file:", "") + "/data")) == 1
+    assert rows(read_partitioned(spark, path), "k", "v") == [(1, "a"), (2, "b")]
+
+
 def test_upsert_newer_is_order_insensitive(spark):
     from tickmart.sinks.upsert import upsert_newer
 
@@ -126,22 +155,25 @@ def test_replace_per_asset_drops_vanished_categories(spark):
 
 
 def test_small_side_broadcasts_only_under_the_limit(spark):
-    from tickmart.operators.joins import MAX_ROWS_CONF, small_side
+    from tickmart.operators.joins import MAX_BYTES_CONF, broadcast_bytes, small_side
 
     big = spark.range(1000).withColumnRenamed("id", "k")
     keys = spark.range(5).withColumnRenamed("id", "k")
 
     def plan(limit):
-        spark.conf.set(MAX_ROWS_CONF, str(limit))
+        spark.conf.set(MAX_BYTES_CONF, str(limit))
         try:
             j = big.join(small_side(keys), "k", "left_semi")
             return j._jdf.queryExecution().executedPlan().toString()
         finally:
-            spark.conf.unset(MAX_ROWS_CONF)
+            spark.conf.unset(MAX_BYTES_CONF)
 
-    assert "BroadcastHashJoin" in plan(10)
+    texts = spark.createDataFrame([("x" * 1000,), (None,)], "k string")
+    assert broadcast_bytes(texts) == 1000 + broadcast_bytes(texts.where("k IS NULL")) * 2
+    assert broadcast_bytes(texts.limit(0)) == 0
+    assert "BroadcastHashJoin" in plan(1000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" not in plan(2)        # over the limit: shuffle join
+        assert "BroadcastHashJoin" not in plan(20)       # over the limit: shuffle join
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -164,6 +164,14 @@ def gate(report: DataFrame) -> DataFrame:
     return report
 
 
+def freshness_gate(report: DataFrame) -> DataFrame:
+    """Raise when a source is past its error age; returns the report (a row a source)."""
+    stale = [r.source_name for r in report.where(F.col("status") == ERROR).select("source_name").collect()]
+    if stale:
+        raise QualityGateError("sources too old: " + ", ".join(sorted(stale)))
+    return report
+
+
 # --- freshness ------------------------------------------------------------------------
 
 @dataclass(frozen=True)

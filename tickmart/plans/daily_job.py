@@ -14,6 +14,9 @@ is written.  Every table
 is written as a new committed version and read back before the next step
 uses it, so each stage restarts from stored data (not lineage) when an
 executor is lost, and a failed run leaves the previous versions current.
+A run without any market or any chart row fails, as does one with a source past
+its error age; payloads without a series and universe assets without a chart are
+reported in the audit layer.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from tickmart.fixed import (
     DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FRESHNESS_HOURS, LAYERS, PRICE_SCALE,
 )
 from tickmart.operators import quality as Q
+from tickmart.operators.dedupe import missing_keys
 from tickmart.operators.scd2 import scd2_merge
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
 from tickmart.plans import models as M
@@ -36,11 +40,14 @@ from tickmart.operators.metrics import daily_metrics
 from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
 from tickmart.session import close_run_scratch, configure, open_run_scratch
 from tickmart.sinks.partitioned import (
-    partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
+    commit, partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
+    vacuum_partitioned, write_months,
 )
-from tickmart.sinks.tables import _fs, layer_path, publish, read_table, table_exists, vacuum
+from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists, vacuum
 from tickmart.sinks.upsert import LoadReport, load, upsert
-from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
+from tickmart.sources.payloads import (
+    category_rows, chart_rows, read_payloads, rejected_charts, snapshot_rows,
+)
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
 
@@ -62,6 +69,12 @@ class JobConfig:
     replace_categories_per_asset: bool = False
     # Committed versions kept per versioned table after a successful run.
     keep_versions: int = 3
+    # Go on with the stored rows when no market or no chart row came.
+    allow_empty: bool = False
+
+
+class EmptyLoadError(RuntimeError):
+    """A load that the run needs brought no row."""
 
 
 @dataclass
@@ -160,30 +173,42 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         return read_table(spark, path)
 
     # --- loads -----------------------------------------------------------------
-    universe = parse_universe(_universe_lines(spark, cfg))
+    universe = stage(parse_universe(_universe_lines(spark, cfg)), "universe")
     snapshot = snapshot_rows(read_payloads(spark, f"{cfg.landing}/markets"), cfg.batch_ts)
-    charts = restrict_to_universe(_charts(spark, cfg), universe)
+    chart_payloads = _chart_payloads(spark, cfg)
+    charts = restrict_to_universe(
+        chart_rows(chart_payloads, cfg.batch_ts, cfg.chart_days, id_col="_file_id"), universe)
     categories = restrict_to_universe(
         category_rows(read_payloads(spark, f"{cfg.landing}/categories", whole_files=False),
-                      cfg.batch_ts), universe)
+                      cfg.batch_ts), universe, any_case=True)
     category_keys = ["coin_id"] if cfg.replace_categories_per_asset else ["coin_id", "category"]
     loads = (("coin_markets", snapshot, ["id"]),
              ("coin_price_history", charts, ["coin_id", "chart_days"]),
              ("coins_categories", categories, category_keys))
     # The three loads are independent: submit them as concurrent Spark jobs
     # (each thread carries this run's context, so its scratch stays in the run).
-    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+    with ThreadPoolExecutor(max_workers=len(loads) + 1) as pool:
         futures = {name: pool.submit(contextvars.copy_context().run, load, rows,
                                      table_path(cfg, name), keys)
                    for name, rows, keys in loads}
+        rejected = pool.submit(contextvars.copy_context().run, put, "rejected_charts",
+                               rejected_charts(chart_payloads).withColumn("batch_ts", F.lit(cfg.batch_ts)))
         for name, fut in futures.items():
             res.loads[name] = fut.result()  # re-raises a failed load
             res.tables[name] = table_path(cfg, name)
+        rejected.result()
     _append_load_audit(spark, cfg, res)
+    empty = [name for name in ("coin_markets", "coin_price_history") if res.loads[name].skipped]
+    if empty and not cfg.allow_empty:
+        raise EmptyLoadError(f"no rows landed for {', '.join(empty)}")
     raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
     raw_series = _spread(spark, read_table(spark, table_path(cfg, "coin_price_history")),
                          res.loads["coin_price_history"].table_rows)
     raw_categories = read_table(spark, table_path(cfg, "coins_categories"))
+    # SET-1: universe assets that this run brought no chart of.
+    came = raw_series.where(F.col("_ingested_at") == F.lit(cfg.batch_ts).cast("timestamp_ntz"))
+    put("missing_assets", missing_keys(universe.select("coin_id"), came, "coin_id")
+        .withColumn("batch_ts", F.lit(cfg.batch_ts)))
 
     # --- models ----------------------------------------------------------------
     as_of_date = cfg.as_of[:10]
@@ -199,9 +224,14 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     prev_bars = _previous_partitioned(spark, cfg, bars_path)
     if prev_bars is None:
         bars_table, _ = refresh_bars(raw_series, None, cfg.price_scale, full_refresh=True)
-        replace_partitioned(bars_table, bars_path, "coin_date")
+        # Both are written before either is seen, metrics first: bars that a run
+        # leaves behind are found again by the next one.
+        new_bars = write_months(bars_table, bars_path, "coin_date")
+        new_metrics = write_months(daily_metrics(new_bars.read(spark), markets, cfg.price_scale),
+                                   met_path, "date_stamp")
+        commit(spark, new_metrics)
+        commit(spark, new_bars)
         bars = read_partitioned(spark, bars_path)
-        replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
         if table_exists(spark, pending_path):  # rebuilt from scratch: nothing pending
             publish(read_table(spark, pending_path).limit(0), pending_path)
     else:
@@ -249,11 +279,14 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     report = last["quality_report"]
     if cfg.fail_on_error:
         Q.gate(report)
+        Q.freshness_gate(last["source_freshness"])
     # Storage stays bounded: older versions of every versioned table go once
     # the run has passed (a failed run keeps everything for inspection).
     for path in res.tables.values():
         if table_exists(spark, path):
             vacuum(spark, path, keep=cfg.keep_versions)
+    for path in (bars_path, met_path):
+        vacuum_partitioned(spark, path, keep=cfg.keep_versions)
     return res
 
 
@@ -303,8 +336,7 @@ def _universe_lines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     return spark.createDataFrame([(",".join(DEFAULT_UNIVERSE),)], "value string")
 
 
-def _charts(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+def _chart_payloads(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Chart payloads; the asset id is the payload's ``id`` or the file name."""
-    payloads = read_payloads(spark, f"{cfg.landing}/charts", whole_files=False).withColumn(
+    return read_payloads(spark, f"{cfg.landing}/charts", whole_files=False).withColumn(
         "_file_id", F.regexp_extract("source_file", r"^(.*)\.json$", 1))
-    return chart_rows(payloads, cfg.batch_ts, cfg.chart_days, id_col="_file_id")

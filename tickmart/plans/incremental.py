@@ -38,7 +38,9 @@ def new_raw_rows(raw: DataFrame, bars: DataFrame | None) -> DataFrame:
     stored ``max(_ingested_at)``."""
     if bars is None:
         return raw
-    hw = high_water(bars)
+    # One row an asset: stored and measured, so that the arrays of the raw rows
+    # are not shuffled to it.
+    hw = small_side(stage(high_water(bars), "high-water"))
     return (raw.join(hw, "coin_id", "left")
             .where(F.col("max_ingested_at").isNull()
                    | (F.col("_ingested_at") > F.col("max_ingested_at")))

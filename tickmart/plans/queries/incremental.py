@@ -13,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.plans.incremental import refresh_bars, refresh_metrics
+from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
 from tickmart.plans.queries.oracle_sql import ASSETS
 from tickmart.plans.queries.registry import register
 from tickmart.schemas import RAW_NUM
 from tickmart.session import scratch_dir
-from tickmart.sinks.tables import publish, read_table
+from tickmart.sinks.partitioned import read_partitioned, upsert_partitions
+from tickmart.sinks.tables import publish, read_table, stage
 from tickmart.sinks.upsert import upsert
 from tickmart.sources.driver_tables import PRICE_IN, asset_master, market_cap_of, table
 
@@ -68,12 +69,12 @@ def run_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         batch = load_batch(events, k)
         publish(batch if raw is None else upsert(raw, batch, RAW_KEYS), raw_path)
         raw = read_table(spark, raw_path)
-        new_bars, changed = refresh_bars(raw, bars)
-        publish(new_bars, bars_path)
-        bars_now = read_table(spark, bars_path)
-        new_metrics, _ = refresh_metrics(bars_now, changed, metrics, assets)
-        publish(new_metrics, met_path)
-        bars, metrics = bars_now, read_table(spark, met_path)
+        changed = stage(refresh_bars(raw, bars)[1], "changed-bars")
+        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date", stored=True)
+        bars = read_partitioned(spark, bars_path)
+        _, recomputed = refresh_metrics(bars, changed, metrics, assets)
+        upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
+        metrics = read_partitioned(spark, met_path)
     return bars, metrics
 
 

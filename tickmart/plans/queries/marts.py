@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from tickmart.functions import epoch_ms_to_seconds, epoch_ms_to_utc_date, epoch_ms_to_utc_ts
 from tickmart.operators import bars as B
 from tickmart.operators.ranking import daily_ranks
+from tickmart.operators.standardise import standardise_categories
 from tickmart.plans import models as M
+from tickmart.plans.incremental import refresh_metrics
 from tickmart.plans.queries.oracle_sql import (
     ASSETS, BARS, CATEGORIES, CATEGORY_BATCH_TS, DIMENSION, METRICS, POINTS, SUMMARY, with_ctes,
 )
 from tickmart.plans.queries.registry import register
+from tickmart.sinks.tables import stage
 from tickmart.sources.driver_tables import (
     asset_master, price_points, segment_categories, table,
 )
@@ -153,3 +156,37 @@ def first_seen_q(spark: SparkSession, sf: str) -> DataFrame:
 SELECT coin_id, MAX(_ingested_at) AS max_ingested_at FROM bars GROUP BY coin_id""")
 def high_water_q(spark: SparkSession, sf: str) -> DataFrame:
     return B.high_water(_bars(spark, sf))
+
+
+STORED_BEFORE = "2024-01-21"
+STALE = -1
+
+
+@register("trailing_metrics", with_ctes(POINTS, BARS, ASSETS, METRICS) + f"""
+SELECT * REPLACE (
+  CASE WHEN date_stamp < (SELECT max(coin_date) FROM bars WHERE coin_date < DATE '{STORED_BEFORE}') - 6
+       THEN CAST({STALE} AS DECIMAL(20,2)) ELSE moving_avg_7d END AS moving_avg_7d)
+FROM metrics""")
+def trailing_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-3 / A-7: the stored metrics hold a stale average; the refresh from the
+    newest stored date less six days on replaces it there and leaves it before."""
+    metrics = stage(_metrics(spark, sf), "metrics")
+    average = metrics.schema["moving_avg_7d"].dataType
+    stored = (metrics.where(F.col("date_stamp") < F.lit(STORED_BEFORE).cast("date"))
+              .withColumn("moving_avg_7d", F.lit(STALE).cast(average)))
+    new, _ = refresh_metrics(stage(_bars(spark, sf), "bars"), None, stored,
+                             asset_master(table(spark, sf, "customer")), mode="trailing")
+    return new
+
+
+@register("bridge_cleanup", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS coin_id, TRIM(c_mktsegment) AS category,
+       TIMESTAMP '{CATEGORY_BATCH_TS}' AS _ingested_at
+FROM customer""")
+def bridge_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-4: ids and categories landed with spaces around them."""
+    raw = table(spark, sf, "customer").select(
+        F.concat(F.lit("  "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("coin_id"),
+        F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("   ")).alias("category"),
+        F.lit(CATEGORY_BATCH_TS).cast("timestamp").alias("_ingested_at"))
+    return standardise_categories(raw)

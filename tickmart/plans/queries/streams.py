@@ -1,11 +1,11 @@
 """Driver queries: streaming bars, streaming upsert, streaming dedupe.
 
-The source folders are time-ordered parquet batches copied from the test
-tables into the shared scratch root, one batch per event day, written in day
-order; each stream runs with ``availableNow`` (a few files per trigger) into a
-file sink or a versioned table, and the query returns what was written, read
-back.  A 1-day watermark then never marks a landed point late, whatever the
-order of the files inside one day's batch.
+Each source folder gets its files in two waves, the first half of the days and
+the second, each written by one scan of the table; the stream runs with
+``availableNow`` after each wave and goes on from its checkpoint and state.  The
+sink is a folder of files or a versioned table, and the query returns what was
+written, read back.  A 1-day watermark never marks a point of the second wave
+late, whatever the order of the files inside a wave.
 """
 
 from __future__ import annotations
@@ -22,25 +22,16 @@ from tickmart.streaming.bars import stream_daily_bars
 from tickmart.streaming.dedupe import dedupe_within_watermark
 from tickmart.streaming.upsert import upsert_batch_writer
 
-# Several files per trigger: batches are whole days and the watermark lags a
-# day, so no file of a later trigger is late, whatever the file order.
-FILES_PER_TRIGGER = 4
 
-
-def _land_batches(batches: list[DataFrame], folder: str) -> None:
-    """Write each batch as its own partition ``batch=k``, oldest first."""
-    for k, b in enumerate(batches):
-        b.write.parquet(f"{folder}/batch={k:04d}")
-
-
-def _event_days(events: DataFrame) -> list:
-    # One date per landed batch: the distinct days (a few dozen values).
-    return sorted(r[0] for r in events.select(F.to_date("ts")).distinct().collect())
-
-
-def _by_day(events: DataFrame) -> list[DataFrame]:
-    day = F.to_date("ts")
-    return [events.where(day == F.lit(d)) for d in _event_days(events)]
+def _two_waves(deliveries: DataFrame, folder: str, run) -> None:
+    """Land what is ``delivered`` in the first half of the days, run the stream,
+    land the rest and run it again."""
+    lo, hi = deliveries.agg(F.min("delivered"), F.max("delivered")).first()
+    half = lo + (hi - lo) // 2 if lo is not None else None
+    early = F.coalesce(F.col("delivered") <= F.lit(half).cast("date"), F.lit(False))
+    for wave in (early, ~early):
+        deliveries.where(wave).drop("delivered").write.mode("append").parquet(folder)
+        run()
 
 
 def _run(stream_writer) -> None:
@@ -57,12 +48,14 @@ def stream_bars(spark: SparkSession, sf: str) -> DataFrame:
     """STR-1: equals the batch bars on every day closed by the watermark."""
     events = table(spark, sf, "events")
     root = scratch_dir(spark, "stream_bars")
-    _land_batches(_by_day(events), f"{root}/source")
-    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-           .parquet(f"{root}/source").drop("batch"))
-    bars = stream_daily_bars(price_points(src), lateness="1 day")
-    _run(bars.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
+
+    def run() -> None:
+        src = spark.readStream.schema(events.schema).parquet(f"{root}/source")
+        bars = stream_daily_bars(price_points(src), lateness="1 day")
+        _run(bars.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
+
+    _two_waves(events.withColumn("delivered", F.to_date("ts")), f"{root}/source", run)
     return spark.read.parquet(f"{root}/sink")
 
 
@@ -78,9 +71,10 @@ SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS _seq
 FROM orders""")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """STR-2: three landed batches (all orders; ``% 3`` revised; ``% 5`` revised
-    again, plus older copies) upserted by ``o_orderkey``, newest ``_seq`` wins
-    whatever order the files are picked up in."""
+    """STR-2: all orders and the revised ones (``% 3``) from one stream, those
+    revised again (``% 5``, plus older copies) from a second stream with its own
+    checkpoint into the same table, upserted by ``o_orderkey``; the newest ``_seq``
+    wins whatever order the files are picked up in."""
     orders = table(spark, sf, "orders").select(*_ORDER_COLS.split(", "))
     k = F.col("o_orderkey")
     b1 = orders.withColumn("_seq", F.lit(1))
@@ -90,35 +84,32 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
               .withColumn("o_totalprice", F.col("o_totalprice") * 3).withColumn("_seq", F.lit(3)))
     b3 = b3_new.unionByName(b2.where(k % 5 == 0))
     root = scratch_dir(spark, "stream_upsert")
-    _land_batches([b1, b2, b3], f"{root}/source")
-    src = (spark.readStream.schema(b1.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-           .parquet(f"{root}/source").drop("batch"))
     target = f"{root}/orders"
-    _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
-         .option("checkpointLocation", f"{root}/checkpoint"))
+    for name, batches in (("first", [b1, b2]), ("second", [b3])):
+        for b in batches:
+            b.write.mode("append").parquet(f"{root}/{name}")
+        src = spark.readStream.schema(b1.schema).parquet(f"{root}/{name}")
+        _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
+             .option("checkpointLocation", f"{root}/checkpoint-{name}"))
     return read_table(spark, target)
 
 
 @register("stream_dedupe", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """STR-3: every tenth event is delivered again in the next day's batch and
-    every twentieth twice in its own; each event comes out once."""
+    """STR-3: every tenth event is delivered again the next day and every
+    twentieth twice on its own; each event comes out once."""
     events = table(spark, sf, "events")
-    day = F.to_date("ts")
-    days = _event_days(events)
-    batches = []
-    for i, d in enumerate(days):
-        b = events.where(day == F.lit(d))
-        b = b.unionByName(b.where(F.col("event_id") % 20 == 0))
-        if i > 0:
-            b = b.unionByName(events.where((day == F.lit(days[i - 1])) & (F.col("event_id") % 10 == 0)))
-        batches.append(b)
+    day, none, k = F.to_date("ts"), F.array().cast("array<date>"), F.col("event_id")
+    days = F.concat(F.array(day), F.when(k % 20 == 0, F.array(day)).otherwise(none),
+                    F.when(k % 10 == 0, F.array(F.date_add(day, 1))).otherwise(none))
     root = scratch_dir(spark, "stream_dedupe")
-    _land_batches(batches, f"{root}/source")
-    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-           .parquet(f"{root}/source").drop("batch"))
-    out = dedupe_within_watermark(src, ["event_id"], "ts", "1 day")
-    _run(out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
+
+    def run() -> None:
+        src = spark.readStream.schema(events.schema).parquet(f"{root}/source")
+        out = dedupe_within_watermark(src, ["event_id"], "ts", "1 day")
+        _run(out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
+
+    _two_waves(events.withColumn("delivered", F.explode(days)), f"{root}/source", run)
     return spark.read.parquet(f"{root}/sink")

@@ -1,31 +1,51 @@
-"""Partition-scoped upserts for time-partitioned tables (bars, metrics).
+"""Month-partitioned tables (bars, metrics) whose months change in one step.
 
-A daily increment touches the newest days only, so the table is partitioned
-by month of its date and an upsert rewrites just the touched months:
+A daily increment touches the newest days only, so the rows are partitioned by
+month of their date and an upsert rewrites just the touched months:
 
-1. the touched month values come from the batch (a handful of values);
-2. those partitions are read (static partition pruning), merged with the
-   batch by key (``upsert``) and staged under the shared scratch root, which
-   also cuts lineage;
-3. the staged rows replace exactly those partitions through Spark's dynamic
-   partition overwrite (``partitionOverwriteMode=dynamic``).
+* ``<path>/data/<write>/month=YYYY-MM/``: what one write put there; never
+  changed or deleted while any kept pointer names it.
+* ``<path>/live``: a small versioned table (``sinks.tables.publish``), one row a
+  month, naming the write that holds it.  Publishing it is the only step that
+  changes what readers see, so a write that fails leaves the table as it was.
 
-Untouched months are never read or written.  A rerun of the same batch gives
-the same partitions (the upsert is idempotent).
+Each touched month is read once, merged with the batch by key (``upsert``) and
+written once; other months are neither read nor written.  A rerun of the same
+batch gives the same rows.  One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickmart.session import scratch_dir
-from tickmart.sinks.tables import _fs, stage
+from tickmart.sinks.tables import _fs, committed_versions, publish, read_table, stage, table_exists, vacuum
 from tickmart.sinks.upsert import upsert
 
 PARTITION_COL = "month"
+_LIVE_SCHEMA = "month string, write string, table_schema string"
+
+
+@dataclass
+class Months:
+    """Which write holds each month of the table at ``path``."""
+
+    path: str
+    schema: T.StructType
+    writes: dict[str, str]
+
+    def read(self, spark: SparkSession, months: Sequence[str] | None = None) -> DataFrame:
+        folders = [f"{self.path}/data/{w}/{PARTITION_COL}={m}" for m, w in sorted(self.writes.items())
+                   if months is None or m in months]
+        if not folders:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*folders)
 
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
@@ -34,16 +54,48 @@ def with_month(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def partitioned_exists(spark: SparkSession, path: str) -> bool:
-    """True once any month partition has been written."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(st.isDirectory() and st.getPath().getName().startswith(f"{PARTITION_COL}=")
-               for st in fs.listStatus(p))
+    """True once a write has been committed."""
+    return table_exists(spark, f"{path}/live")
+
+
+def live_months(spark: SparkSession, path: str, version: int | None = None) -> Months:
+    """The live months (one small row each)."""
+    rows = read_table(spark, f"{path}/live", version).collect()
+    return Months(path, T.StructType.fromJson(json.loads(rows[0]["table_schema"])),
+                  {r["month"]: r["write"] for r in rows if r["month"] is not None})
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PARTITION_COL)
+    return live_months(spark, path).read(spark)
+
+
+def commit(spark: SparkSession, live: Months) -> None:
+    """Make ``live`` what readers see."""
+    schema = json.dumps(live.schema.jsonValue())
+    rows = [(m, w, schema) for m, w in sorted(live.writes.items())] or [(None, None, schema)]
+    publish(spark.createDataFrame(rows, _LIVE_SCHEMA).coalesce(1), f"{live.path}/live")
+
+
+def _write(df: DataFrame, path: str) -> Months:
+    """Write rows that have their month; nobody sees them before ``commit``."""
+    spark = df.sparkSession
+    write = f"w{uuid.uuid4().hex}"
+    folder = f"{path}/data/{write}"
+    df.write.partitionBy(PARTITION_COL).parquet(folder)
+    fs, root = _fs(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    months = [n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COL}=")]
+    return Months(path, df.drop(PARTITION_COL).schema, dict.fromkeys(months, write))
+
+
+def write_months(df: DataFrame, path: str, date_col: str) -> Months:
+    """Write ``df`` as the next contents of the whole table, not yet committed."""
+    return _write(with_month(df, date_col), path)
+
+
+def replace_partitioned(df: DataFrame, path: str, date_col: str) -> None:
+    """Full refresh: the table becomes exactly ``df`` (every month replaced)."""
+    commit(df.sparkSession, write_months(df, path, date_col))
 
 
 def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], date_col: str,
@@ -52,30 +104,35 @@ def upsert_partitions(updates: DataFrame, path: str, keys: Sequence[str], date_c
     returns the rewritten month values.  A computed batch is staged first (it
     is read twice); ``stored=True`` says it already is a written table."""
     spark = updates.sparkSession
+    if not partitioned_exists(spark, path):
+        new = write_months(updates, path, date_col)
+        commit(spark, new)
+        return sorted(new.writes)
     batch = with_month(updates, date_col)
     if not stored:
         batch = stage(batch, "batch")
     # Partition values only (bounded by the months a batch spans), not rows.
     months = sorted(r[0] for r in batch.select(PARTITION_COL).distinct().collect())
-    if not months:
-        return []
-    if partitioned_exists(spark, path):
-        current = spark.read.parquet(path).where(F.col(PARTITION_COL).isin(months))
-        merged = upsert(current, batch, list(keys))
-    else:
-        merged = batch
-    staged = scratch_dir(spark, "staged-partitions")
-    merged.write.partitionBy(PARTITION_COL).parquet(staged)
-    (spark.read.parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COL).parquet(path))
+    if months:
+        live = live_months(spark, path)
+        current = with_month(live.read(spark, months), date_col)
+        new = _write(upsert(current, batch, list(keys)), path)
+        commit(spark, Months(path, new.schema, {**live.writes, **new.writes}))
     return months
 
 
-def replace_partitioned(df: DataFrame, path: str, date_col: str) -> None:
-    """Full refresh: the table becomes exactly ``df`` (every month replaced).
-
-    A rebuild is computed from other tables, so it is written straight to the
-    table (Spark refuses to overwrite a path the same plan reads from)."""
-    (with_month(df, date_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(PARTITION_COL).parquet(path))
+def vacuum_partitioned(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Keep the newest ``keep`` pointers and the months that they name."""
+    vacuum(spark, f"{path}/live", keep)
+    named = set()
+    for version in committed_versions(spark, f"{path}/live"):
+        named |= {(w, f"{PARTITION_COL}={m}") for m, w in live_months(spark, path, version).writes.items()}
+    used = {w for w, _ in named}
+    fs, data = _fs(spark, f"{path}/data")
+    for write in fs.listStatus(data):
+        if write.getPath().getName() not in used:
+            fs.delete(write.getPath(), True)
+            continue
+        for month in fs.listStatus(write.getPath()):
+            if month.isDirectory() and (write.getPath().getName(), month.getPath().getName()) not in named:
+                fs.delete(month.getPath(), True)

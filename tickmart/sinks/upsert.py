@@ -3,8 +3,8 @@
 ``upsert`` = reduce the batch to one row per key (the last one wins, as with
 row-by-row ``ON CONFLICT DO UPDATE``), drop the target rows whose key is in
 the batch (``left_anti``), append the batch.  The anti-join needs only the
-batch's keys: with the batch size known they are broadcast when under the
-row limit (``operators.joins.small_side``), so the table streams through
+batch's keys: those of a stored batch are broadcast when under the
+size limit (``operators.joins.small_side``), so the table streams through
 without a shuffle; above it the join is a shuffle join.  Keys are never NULL
 (FLT-1 / DQ-2 guard that).
 """
@@ -32,14 +32,14 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order: Sequence[str | Column] | None = None, batch_rows: int | None = None) -> DataFrame:
     """Insert new keys, overwrite every non-key column of existing ones.
 
-    With ``batch_rows`` known and under the broadcast limit, the batch keys
-    are broadcast and the target is filtered without being shuffled.
+    With ``batch_rows`` known (the batch is stored) and its keys under the broadcast
+    limit, they are broadcast and the target is filtered without being shuffled.
     """
     if order:
         updates = latest_per_key(updates, keys, order)
     batch_keys = updates.select(*keys)
     if batch_rows is not None:
-        batch_keys = small_side(batch_keys, batch_rows)
+        batch_keys = small_side(batch_keys)
     # A USING join lists the keys first; keep the table's own column order.
     kept = target.join(batch_keys, list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(updates, allowMissingColumns=True)
@@ -55,7 +55,7 @@ def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str], ver
     """
     newest = latest_per_key(updates, keys, [version])
     batch_keys = newest.select(*keys)
-    batch_keys = small_side(batch_keys, batch_rows)
+    batch_keys = small_side(batch_keys)
     stored = (target.select(*keys, F.col(version).alias("_stored"))
               .join(batch_keys, list(keys), "left_semi"))
     incoming = (newest.join(stored, list(keys), "left")

@@ -2,8 +2,8 @@
 
 Each entry is trimmed (and lower-cased unless told not to); blanks are
 dropped; a repeated id keeps its first occurrence (line order, then position).
-The universe is applied with a ``left_semi`` join, broadcast when its row count
-is under the limit (``operators.joins``) and shuffled otherwise.
+The universe is applied with a ``left_semi`` join; stored, it has a known size and
+Catalyst broadcasts it when that is small.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickmart.operators.dedupe import keep_first
-from tickmart.operators.joins import small_side
 
 
 def parse_universe(lines: DataFrame, text_col: str = "value", order_col: str | None = None,
@@ -29,8 +28,10 @@ def parse_universe(lines: DataFrame, text_col: str = "value", order_col: str | N
     return first.select("coin_id", F.struct("_line", "_pos").alias("list_order"))
 
 
-def restrict_to_universe(df: DataFrame, universe: DataFrame, key: str = "coin_id") -> DataFrame:
-    """Rows of ``df`` whose ``key`` (compared as text) is in the universe
-    (broadcast when the universe is under the size limit)."""
-    ids = small_side(universe.select(F.col("coin_id").alias("_uid")))
-    return df.join(ids, F.col(key).cast("string") == F.col("_uid"), "left_semi")
+def restrict_to_universe(df: DataFrame, universe: DataFrame, key: str = "coin_id",
+                         any_case: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (compared as text) is in the universe; with
+    ``any_case``, a lower-cased universe also takes ids written in upper case."""
+    ids = universe.select(F.col("coin_id").alias("_uid"))
+    text = F.col(key).cast("string")
+    return df.join(ids, (F.lower(text) if any_case else text) == F.col("_uid"), "left_semi")
