@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 META = ["valid_from", "valid_to", "is_current"]
@@ -38,31 +38,27 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, keys: Sequence[str]
     if history is None:
         return _open(source, batch_ts)
     closed = history.where(~F.col("is_current"))
-    o = history.where(F.col("is_current")).select(*[F.col(c).alias(f"o_{c}") for c in cols + META],
-                                                  F.lit(True).alias("_old"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_new"))
     # NULL-safe: a NULL key is a key like any other, not one that returns on every run.
-    on = reduce(lambda a, b: a & b, [F.col(f"o_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys])
-    j = o.join(s, on, "full_outer")
-    in_old = F.col("_old").isNotNull()
-    in_new = F.col("_new").isNotNull()
-    same = reduce(lambda a, b: a & b, [F.col(f"o_{c}").eqNullSafe(F.col(f"s_{c}")) for c in check_cols])
-    j = j.withColumn("_action", F.when(in_old & in_new & same, F.lit("keep"))
-                     .when(in_old & in_new, F.lit("change"))
-                     .when(in_old, F.lit("gone")).otherwise(F.lit("new")))
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
-    old_cols = [F.col(f"o_{c}").alias(c) for c in cols]
-    keep_actions = ["keep"] if invalidate_hard_deletes else ["keep", "gone"]
-    close_actions = ["change", "gone"] if invalidate_hard_deletes else ["change"]
-    kept = j.where(F.col("_action").isin(keep_actions)).select(
-        *old_cols, *[F.col(f"o_{m}").alias(m) for m in META])
-    closed_now = j.where(F.col("_action").isin(close_actions)).select(
-        *old_cols, F.col("o_valid_from").alias("valid_from"), ts.alias("valid_to"),
-        F.lit(False).alias("is_current"))
-    opened = j.where(F.col("_action").isin("change", "new")).select(
-        *[F.col(f"s_{c}").alias(c) for c in cols], ts.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
-    return closed.unionByName(kept).unionByName(closed_now).unionByName(opened)
+    on = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    j = (history.where(F.col("is_current")).select(F.struct(*cols, *META).alias("o"))
+         .join(source.select(F.struct(*cols).alias("s")), on, "full_outer"))
+    ts, never = F.lit(batch_ts).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz")
+
+    def version(side: str, *meta: Column) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols],
+                        *[m.alias(name) for name, m in zip(META, meta, strict=True)])
+
+    as_is = version("o", *[F.col(f"o.{m}") for m in META])
+    ended = version("o", F.col("o.valid_from"), ts, F.lit(False))
+    opened = version("s", ts, never, F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"s.{c}")) for c in check_cols])
+    # One join; each matched pair gives the versions that it leaves behind.
+    versions = (F.when(F.col("o").isNull(), F.array(opened))
+                .when(F.col("s").isNull(), F.array(ended if invalidate_hard_deletes else as_is))
+                .when(same, F.array(as_is))
+                .otherwise(F.array(ended, opened)))
+    merged = j.select(F.explode(versions).alias("v")).select("v.*")
+    return closed.unionByName(merged)
 
 
 def as_of(history: DataFrame, t: str) -> DataFrame:
