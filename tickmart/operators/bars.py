@@ -15,7 +15,7 @@ before the exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tickmart.functions import round_to
@@ -26,35 +26,35 @@ BAR_COLUMNS = [
 ]
 
 
-def daily_bars(points: DataFrame, price_scale: int = 2) -> DataFrame:
+def closing(price_scale: int = 2) -> list[Column]:
+    """A-2 + A-3: sibling series at the day's last point, latest ingest."""
     order = F.col("point_order")
-    return (
-        points
-        .groupBy("coin_id", F.to_date("price_ts").alias("coin_date"))
-        .agg(
-            round_to(F.min_by("price", order), price_scale).alias("open_price"),
+    return [round_to(F.max_by("market_cap", order), price_scale).alias("close_market_cap"),
+            round_to(F.max_by("total_volume", order), price_scale).alias("close_total_volume"),
+            F.max("_ingested_at").alias("_ingested_at")]
+
+
+def bar_aggregates(price_scale: int = 2) -> list[Column]:
+    """The aggregates of a bar, in batch and in a stream."""
+    order = F.col("point_order")
+    return [round_to(F.min_by("price", order), price_scale).alias("open_price"),
             round_to(F.max_by("price", order), price_scale).alias("close_price"),
             round_to(F.max("price"), price_scale).alias("high_price"),
             round_to(F.min("price"), price_scale).alias("low_price"),
-            round_to(F.max_by("market_cap", order), price_scale).alias("close_market_cap"),
-            round_to(F.max_by("total_volume", order), price_scale).alias("close_total_volume"),
-            F.max("_ingested_at").alias("_ingested_at"),
-        )
-    )
+            *closing(price_scale)]
+
+
+def _by_day(points: DataFrame) -> GroupedData:
+    return points.groupBy("coin_id", F.to_date("price_ts").alias("coin_date"))
+
+
+def daily_bars(points: DataFrame, price_scale: int = 2) -> DataFrame:
+    return _by_day(points).agg(*bar_aggregates(price_scale))
 
 
 def close_of_day(points: DataFrame, price_scale: int = 2) -> DataFrame:
-    """A-2 + A-3 alone: sibling series at the day's last point, latest ingest."""
-    order = F.col("point_order")
-    return (
-        points
-        .groupBy("coin_id", F.to_date("price_ts").alias("coin_date"))
-        .agg(
-            round_to(F.max_by("market_cap", order), price_scale).alias("close_market_cap"),
-            round_to(F.max_by("total_volume", order), price_scale).alias("close_total_volume"),
-            F.max("_ingested_at").alias("_ingested_at"),
-        )
-    )
+    """A-2 + A-3 alone."""
+    return _by_day(points).agg(*closing(price_scale))
 
 
 def first_seen(bars: DataFrame) -> DataFrame:

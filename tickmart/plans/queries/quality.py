@@ -102,22 +102,22 @@ def model_checks() -> list[Q.Check]:
 
 
 def model_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The models the checks run on.  Bars and metrics are written once to the
-    shared scratch root and read back: ~50 checks each prune different
-    columns, so without this every check would rescan the raw points."""
+    """The models the checks run on, each written once to the shared scratch root
+    and read back: ~50 checks each prune different columns, so without this every
+    check would compute its model again."""
     customer = table(spark, sf, "customer")
     bars = stage(daily_bars(price_points(table(spark, sf, "events"))), "dq-bars")
     metrics = stage(M.daily_metrics(bars, asset_master(customer)), "dq-metrics")
     cats = segment_categories(customer, CATEGORY_BATCH_TS)
-    return {
+    assets = asset_master(customer, table(spark, sf, "nation"))
+    rest = {
         "markets": staged_snapshot(customer),
-        "bars": bars,
-        "metrics": metrics,
         "category_metrics": M.category_metrics(cats, metrics),
-        "dim": M.asset_dimension(cats, asset_master(customer, table(spark, sf, "nation")), bars),
-        "fact": M.daily_fact(metrics),
+        "dim": M.asset_dimension(cats, assets, bars),
         "summary": M.market_summary(metrics),
     }
+    return {"bars": bars, "metrics": metrics, "fact": M.daily_fact(metrics),
+            **{name: stage(df, f"dq-{name}") for name, df in rest.items()}}
 
 
 def _check_sql(c: Q.Check) -> str:

@@ -11,26 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickmart.functions import round_to
+from tickmart.operators.bars import bar_aggregates
 
 
 def stream_daily_bars(points: DataFrame, lateness: str = "1 day", price_scale: int = 2) -> DataFrame:
     """``points``: streaming canonical price points (``price_ts`` UTC)."""
-    order = F.col("point_order")
     # Watermarks need a TIMESTAMP column; the session time zone is UTC.
     timed = points.withColumn("_event_time", F.col("price_ts").cast("timestamp"))
     return (
         timed.withWatermark("_event_time", lateness)
         .groupBy("coin_id", F.window("_event_time", "1 day").alias("w"))
-        .agg(
-            round_to(F.min_by("price", order), price_scale).alias("open_price"),
-            round_to(F.max_by("price", order), price_scale).alias("close_price"),
-            round_to(F.max("price"), price_scale).alias("high_price"),
-            round_to(F.min("price"), price_scale).alias("low_price"),
-            round_to(F.max_by("market_cap", order), price_scale).alias("close_market_cap"),
-            round_to(F.max_by("total_volume", order), price_scale).alias("close_total_volume"),
-            F.max("_ingested_at").alias("_ingested_at"),
-        )
+        .agg(*bar_aggregates(price_scale))
         .select("coin_id", F.to_date(F.col("w.start")).alias("coin_date"), "open_price",
                 "close_price", "high_price", "low_price", "close_market_cap",
                 "close_total_volume", "_ingested_at")
