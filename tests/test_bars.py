@@ -130,3 +130,18 @@ def test_hot_asset_matches_brute_force(spark):
     assert rows(got, "coin_id", "coin_date", "open_price", "close_price", "high_price",
                 "low_price") == expect
     assert len(expect) == got.count()
+
+
+def test_a_position_beyond_the_order_key_raises(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tickmart.functions import payload_order
+
+    def orders(position):
+        return spark.range(1).select(payload_order(
+            F.lit(5), F.lit("2024-01-01").cast("timestamp_ntz"), F.lit(position)).alias("o")).collect()
+
+    assert orders(10**7 - 1)[0].o is not None and orders(None)[0].o is None
+    with pytest.raises(Exception, match="order key"):
+        orders(10**7)

@@ -41,10 +41,14 @@ def payload_order(ms: Column, ingested_at: Column, position: Column) -> Column:
     The source orders by whole seconds and leaves points inside one second
     in arbitrary order; ordering by the untruncated millis refines that, the
     later ingest then the later array position break the remaining ties.
-    Digits: ms < 1e14, ingest micros < 1e17, position < 1e7.
+    Digits: ms < 1e14 (beyond, the decimal overflows), ingest micros < 1e17,
+    position < 1e7; a point outside raises, as its order would be wrong.
     """
     ingest_us = F.unix_micros(ingested_at.cast("timestamp"))
-    return _dec(ms) * _pow10(24) + _dec(ingest_us) * _pow10(7) + _dec(position)
+    outside = (ingest_us < 0) | (ingest_us >= 10**17) | (position < 0) | (position >= 10**7)
+    order = _dec(ms) * _pow10(24) + _dec(ingest_us) * _pow10(7) + _dec(position)
+    error = F.raise_error(F.lit("a point's ingest time or array position does not fit its order key"))
+    return F.when(outside, error.cast(_D0)).otherwise(order)
 
 
 def epoch_ms_to_seconds(ms: Column) -> Column:
