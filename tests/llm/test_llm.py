@@ -328,6 +328,30 @@ def test_html(spark):
     assert html_main.main_text(table.limit(0)).count() == 0
 
 
+def test_html_containers_are_evidence(spark):
+    """Repeats decide in class-marked and main containers too; no heading, date, teaser or wrapper does."""
+    prepare(spark)
+    body = "The body of this page has no mark at all and is long enough to count."
+    note = "<p>Follow us on every channel that we have today</p>"
+    bodies = {
+        1: f'<body><h1 class="post-title">Head</h1><time class="entry-date">May</time><div>{body}</div></body>',
+        2: f"<main><article>Teaser one</article><article>Teaser two</article><div>{body}</div></main>",
+        3: f'<body><div class="no-sidebar"><p>{body}</p><div class="sidebar">links</div></div></body>',
+        4: f'<div class="sidebar-left"><main><p>{body}</p></main></div><div>Some more words outside</div>',
+        5: f'<div class="sidebar-page"><p>{body}</p></div>',
+        6: f'<div><article>Short</article><div>{body}</div></div>',
+        **{i: f"<main><p>Story {i} is its own text {i}</p>{note}</main>"
+           for i in (11, 12, 13)},
+        **{i: f"<main><p>{body}</p></main><!-- {i} -->" for i in (21, 22, 23)}}
+    rows = [page(i, {1: "c.org", 2: "d.org"}.get(i // 10, f"own{i}.org"), b) for i, b in bodies.items()]
+    got = {r.page_id: r.text for r in html_main.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: f"Head\nMay\n{body}",
+                   2: f"Teaser one\nTeaser two\n{body}", 3: body, 4: body, 5: body, 6: f"Short\n{body}",
+                   **{i: f"Story {i} is its own text {i}" for i in (11, 12, 13)},
+                   **dict.fromkeys((21, 22, 23), body)}
+
+
 def test_language(spark, docs, empty):
     prepare(spark)
     known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 40")
