@@ -366,6 +366,25 @@ def test_language(spark, docs, empty):
     assert tuple(pages.select(host, suffix, langid.declared_of(pages.html)).first()) == ("a.b.fr", "fr/de", "de")
 
 
+def test_rare_language(spark):
+    """A language far below the sample's share has a table, whatever its share and script."""
+    prepare(spark)
+    rnd = random.Random(3)
+
+    def text(words, n=40):
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    english = "the of and that with from this have which their would about other there".split()
+    rare = {"el": "και των που για την από στην είναι ότι μια".split(), "fi": "että olla joka mutta niin kuin sitä minä hän".split()}
+    rows = [(i, text(english), "en", f"h{i % 7}") for i in range(3000)]
+    rows += [(3000 + 10 * j + i, text(words), code, f"h{i}") for j, (code, words) in enumerate(rare.items())
+             for i in range(4)] + [(None, text(rare["el"]), "el", "h1"), (4000, None, "xx", "h1"), (4001, "12 3", "yy", "h1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert langid.fit(docs, sample=200).languages == ["el", "en", "fi", "und"]
+    got = {r.doc_id: (r.language, r.kept) for r in langid.language_id(docs, sample=200).collect()}
+    assert all(got[d] == ((g, True) if d not in (4000, 4001) else ("und", False)) for d, _, g, _ in rows)
+
+
 def test_quality(spark, docs, empty):
     prepare(spark)
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

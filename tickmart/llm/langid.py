@@ -7,12 +7,13 @@ language is estimated from all documents by grouped aggregation of their text
 posteriors; a host's prior is the mean of its other documents, shrunk towards
 that of its suffix, and that towards the global one.
 
-The trigram tables are fitted on at most ``SAMPLE`` rows with a declared language,
-taken in the order of a hash of their ids; everything else covers all documents.
+The trigram tables are fitted on about ``SAMPLE`` ids of each declared language, the
+ones of smallest hash (all of them, if it has fewer): every declared language with a
+trigram has a table, whatever its share.  Everything else covers all documents.
 
 Defined results: a text without letters (null and empty ones too) is rejected, one
 of too few for a trigram is judged by the other evidence; null declarations, hosts and addresses are values of
-their own; without declared languages in the sample all documents are rejected;
+their own; without declared languages all documents are rejected;
 repeated rows are evidence each; an empty table gives no rows.  Only the named
 columns are looked at.
 """
@@ -28,8 +29,8 @@ from tickmart.llm.evidence import shrunk
 from tickmart.llm.textscan import column_bytes, fold_table, row_chunks
 from tickmart.sinks.tables import stage
 
-SAMPLE = 2_000          # rows that the trigram tables are fitted on
-LEAST_ROWS = 5          # of a declared language in the sample
+SAMPLE = 2_000          # ids of each declared language that its trigram table is fitted on
+HELD = 64               # languages that a task counts at a time
 BINS = 1 << 16
 TEMPER = 1 / 3          # neighbouring trigrams share two of three bytes
 STRENGTH = 10.0         # rows of the level above that a group is weighed against
@@ -82,38 +83,47 @@ class Model:
 
 
 def fit(docs: DataFrame, declared: str = "lang", sample: int = SAMPLE) -> Model:
-    """Trigram tables of the declared languages of a bounded sample of rows."""
-    named = docs.select("doc_id", F.col(f"`{declared}`").alias("declared"), "text").where("declared IS NOT NULL")
-    chosen = named.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id")).limit(sample)
+    """Trigram tables of the declared languages, each of a bounded sample of its ids."""
+    # Rows without id are told apart by their text.  A row has a trigram if it has a letter and three bytes.
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
+    named = (docs.select("doc_id", F.col(f"`{declared}`").cast("string").alias("declared"), "text")
+             .where("declared IS NOT NULL AND octet_length(text) >= 3")
+             .where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+             .select("declared", key.alias("key"), "text"))
+    # The ids whose hash lies in the lowest sample / ids of its range: no task holds a language.
+    ids = named.groupBy("declared").agg(F.approx_count_distinct("key").alias("ids"))
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
+
+        def counted():
+            for code, t in totals.items():
+                at = np.flatnonzero(t)
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(at), pa.string()), pa.array(at), pa.array(t[at])],
+                                                 names=["declared", "bin", "n"])
+            totals.clear()
+
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
             for i, code in enumerate(batch.column(0).to_pylist()):
                 own = data[offsets[i]:offsets[i + 1]]
                 bins, valid = trigrams(own, np.array([0, len(own)]))
-                totals.setdefault(code, np.zeros(BINS, np.int64))
+                if code not in totals:
+                    if len(totals) == HELD:
+                        yield from counted()
+                    totals[code] = np.zeros(BINS, np.int64)
                 totals[code] += np.bincount(bins[valid], minlength=BINS)
-                rows[code] = rows.get(code, 0) + 1
-        for code, t in totals.items():
-            at = np.flatnonzero(t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([code] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1)),
-                 pa.array(np.append(t[at], rows[code]))], names=["declared", "bin", "n"])
+        yield from counted()
 
-    # At most `sample` ids: a size that is safe to broadcast.
-    found = (named.join(F.broadcast(chosen), "doc_id").select("declared", "text")
-             .mapInArrow(count, "declared string, bin long, n long")
+    # A row a declared language: a size that is safe to broadcast.
+    found = (named.join(F.broadcast(ids), "declared").where((F.col("key") / 2.0 ** 64 + 0.5) * F.col("ids") <= sample)
+             .select("declared", "text").mapInArrow(count, "declared string, bin long, n long")
              .groupBy("declared", "bin").agg(F.sum("n").alias("n")).toPandas())
     counts = {}
     for code, part in found.groupby("declared"):
-        if part.loc[part["bin"] == -1, "n"].sum() >= LEAST_ROWS:
-            t = np.zeros(BINS)
-            part = part[part["bin"] >= 0]
-            t[part["bin"].to_numpy(int)] = part["n"].to_numpy(float)
-            counts[code] = t
+        t = np.zeros(BINS)
+        t[part["bin"].to_numpy(int)] = part["n"].to_numpy(float)
+        counts[code] = t
     return Model(counts)
 
 
