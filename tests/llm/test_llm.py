@@ -385,6 +385,60 @@ def test_rare_language(spark):
     assert all(got[d] == ((g, True) if d not in (4000, 4001) else ("und", False)) for d, _, g, _ in rows)
 
 
+def brute_languages(rows, model):
+    """id -> (language, confidence) of rows (id, text, declared, suffix, site)."""
+    n, strength, score, sums = len(model.languages), langid.STRENGTH, [], {}
+    for _, text, *_ in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        bins, valid = langid.trigrams(data, np.array([0, len(data)]))
+        score.append([langid.TEMPER * float(x[bins[valid]].sum(dtype=np.float64)) for x in model.table])
+    text_only = []
+    for x, (_, _, said, end, site) in zip(score, rows):
+        e = [np.exp(v - max(x)) for v in x]
+        text_only.append([v / sum(e) for v in e])
+        for k in ((), ("d", said), ("x", end), ("h", end, site)):
+            old = sums.get(k, (0, [0.0] * n))
+            sums[k] = (old[0] + 1, [a + b for a, b in zip(old[1], text_only[-1])])
+    total, mass = sums[()]
+    out = {}
+    for x, own, (i, _, said, end, site) in zip(score, text_only, rows):
+        (dn, d), (xn, e), (hn, h) = sums["d", said], sums["x", end], sums["h", end, site]
+        post = []
+        for j in range(n):
+            rest = mass[j] - own[j] + strength
+            region = (e[j] - own[j] + strength * (mass[j] + 1) / (total + n)) / (xn - 1 + strength)
+            post.append(x[j] + np.log((d[j] - own[j] + strength * dn / total) / rest)
+                        + np.log((e[j] - own[j] + strength * xn / total) / rest)
+                        + np.log((h[j] - own[j] + strength * region) / (hn - 1 + strength)))
+        top = max(post)
+        out[i] = (model.languages[post.index(top)], 1 / sum(np.exp(v - top) for v in post))
+    return out
+
+
+def test_language_of_pages(spark):
+    """Markup and address evidence against a posterior in plain Python."""
+    prepare(spark)
+    from urllib.parse import urlsplit
+
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = []
+    for i, r in enumerate(table.select("url", "html").collect()):
+        text = " ".join(re.sub(r"(?s)<(script|style).*?</\1>|<[^>]*>", " ", r.html).split())
+        at = urlsplit(r.url)
+        code = at.path.split("/")[1] if at.path else ""
+        code = code.lower() if re.fullmatch("[A-Za-z]{2}", code) else ""
+        said = re.search(r'<html lang="(\w+)"', r.html)[1]
+        rows.append((i, text[:12], said, f"{at.hostname.split('.')[-1]}/{code}", at.hostname, r.url, r.html))
+    docs = spark.createDataFrame([(r[0], r[1], *r[5:]) for r in rows], "doc_id long, text string, url string, html string")
+    docs = docs.withColumn("said", langid.declared_of(docs.html))
+    got = {r.doc_id: r for r in langid.language_id(docs, declared="said", url="url").collect()}
+    want = brute_languages([r[:5] for r in rows], langid.fit(docs, "said"))
+    for i, (language, confidence) in want.items():
+        assert got[i].confidence == pytest.approx(confidence, rel=1e-5)
+        assert got[i].language == (language if re.search(r"[^\W\d_]", rows[i][1]) else "und")
+    assert len({r[3] for r in rows}) > 2 and len({r[2] for r in rows}) > 2
+
+
 def test_quality(spark, docs, empty):
     prepare(spark)
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
