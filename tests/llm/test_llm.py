@@ -240,6 +240,26 @@ def test_token_counts(docs, empty):
     assert token_counts.token_counts(empty, path).count() == 0
 
 
+def test_token_counts_of_long_texts(docs):
+    """The texts that test_token_counts leaves out."""
+    path = vocabulary("piece_bpe_32k.model")
+    scores = token_counts.load_scores(path)
+
+    def one(word):
+        s, best = token_counts.WORD_MARK + word, [(0.0, 0)]
+        for e in range(1, len(s) + 1):
+            ways = [(best[b][0] + scores[s[b:e]], -(-best[b][1] + 1)) for b in range(e) if s[b:e] in scores]
+            if s[e - 1] not in scores:
+                ways.append((best[e - 1][0] + token_counts.UNKNOWN_SCORE, best[e - 1][1] - len(s[e - 1].encode())))
+            best.append(max(ways))
+        return -best[-1][1]
+
+    long = [(d, t) for d, t in PAIRS if len(t or "") >= 3000]
+    assert len(long) >= 2
+    want = [(d, sum(one(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t))) for d, t in long]
+    assert result(token_counts.token_counts(docs.where("length(text) >= 3000"), path)) == expect(want)
+
+
 def items_of(pairs):
     return [(1, " ".join(pairs[9][1].split()[2:20])), (1, "word"), (2, None), (3, " .. "), (None, pairs[30][1]),
             (7, "Two-WORDS"), (7, "Two-WORDS")]
@@ -439,6 +459,17 @@ def test_language_of_pages(spark):
     assert len({r[3] for r in rows}) > 2 and len({r[2] for r in rows}) > 2
 
 
+def test_language_stage(docs):
+    """The rows that the pipeline's language stage keeps, against the posterior in plain Python."""
+    rows = [(i, r[1] or "", r[2] or "", "", r[3] or "") for i, r in enumerate(ROWS)]
+    want = []
+    for i, (language, sure) in brute_languages(rows, langid.fit(docs)).items():
+        if re.search(r"[^\W\d_]", rows[i][1]) and language != langid.UNKNOWN and sure >= 0.5:
+            want.append((ROWS[i][0], ROWS[i][1]))
+    assert 0 < len(want) < len(ROWS)
+    assert result(langid.keep_known(docs).select("doc_id", "text")) == expect(want)
+
+
 def test_quality(spark, docs, empty):
     prepare(spark)
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
