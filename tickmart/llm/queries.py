@@ -136,3 +136,65 @@ def language_id_query(spark, sf_dir):
     from tickmart.llm.langid import language_id
 
     return language_id(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query("op11_toxicity")
+def toxicity_query(spark, sf_dir):
+    from tickmart.llm.toxicity import labelled_toxicity
+
+    return labelled_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_whitening")
+def whitening_query(spark, sf_dir):
+    from tickmart.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_filter_audit", r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 16 ELSE 0 END AS mask
+  FROM texts LEFT JOIN marks USING (doc_id)
+), counts AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM masks GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS fs, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), steps AS (
+  SELECT array_to_string(fs, '') AS filter_order, step, bits[step] AS bit, list_sum(bits[1:step]) - bits[step] AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), audit AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN (mask & (before + bit)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN (mask & before) = 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN (mask & before) <> 0 AND (mask & bit) <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN (mask & before) = 0 AND (mask & bit) <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN (mask & before) = 0 AND (mask & bit) <> 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM audit
+""")
+def filter_audit_query(spark, sf_dir):
+    from tickmart.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
