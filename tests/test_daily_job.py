@@ -75,7 +75,7 @@ def test_two_daily_runs_and_gate(spark, tmp_path):
 
 
 def test_run_that_dies_before_metrics_is_finished_by_the_next(spark, tmp_path, monkeypatch):
-    import tickmart.plans.daily_job as job
+    import tickmart.plans.incremental as job
     from tickmart.operators.metrics import daily_metrics
 
     wh = str(tmp_path / "warehouse")
@@ -86,7 +86,7 @@ def test_run_that_dies_before_metrics_is_finished_by_the_next(spark, tmp_path, m
     def boom(*a, **k):
         raise RuntimeError("executor lost")
 
-    monkeypatch.setattr(job, "refresh_metrics", boom)
+    monkeypatch.setattr(job.S, "recompute", boom)
     cfg2 = JobConfig(str(tmp_path / "d2"), wh, "2024-01-06 06:00:00", "2024-01-06 08:00:00")
     with pytest.raises(RuntimeError):
         run_daily_job(spark, cfg2)
@@ -120,8 +120,9 @@ def test_old_versions_are_vacuumed(spark, tmp_path):
     for day, ts in (("d1", "2024-01-03 06:00:00"), ("d2", "2024-01-04 06:00:00")):
         cfg = JobConfig(str(tmp_path / day), wh, ts, ts, keep_versions=1)
         run_daily_job(spark, cfg)
-    for name in ("coin_markets", "dim_coins", "quality_report", "dim_coins_snapshot"):
-        assert len(committed_versions(spark, table_path(cfg, name))) == 1
+    for name in ("coin_markets/live", "dim_coins", "quality_report", "dim_coins_snapshot"):
+        root, _, rest = name.partition("/")
+        assert len(committed_versions(spark, "/".join([table_path(cfg, root), *([rest] if rest else [])]))) == 1
     assert read_table(spark, table_path(cfg, "dim_coins_snapshot")).count() == 3
 
 
@@ -151,8 +152,9 @@ def test_empty_load_fails_and_what_is_missing_is_reported(spark, tmp_path):
     cfg = JobConfig(str(tmp_path / "d1"), wh, "2024-01-03 06:00:00", "2024-01-03 08:00:00")
     run_daily_job(spark, cfg)
     assert rows(read_table(spark, table_path(cfg, "missing_assets")), "coin_id") == [("xrp",)]
-    assert rows(read_table(spark, table_path(cfg, "rejected_charts")), "payload") == [
-        ("<html>",), ('{"error":"rate limit","id":"xrp"}',)]
+    assert rows(read_table(spark, table_path(cfg, "rejected_input")), "table_name", "raw", "reason") == [
+        ("coin_price_history", "<html>", "not JSON"),
+        ("coin_price_history", '{"error":"rate limit","id":"xrp"}', "no series")]
     charts.write_text('{"error":"rate limit"}\n')
     late = JobConfig(str(tmp_path / "d1"), wh, "2024-01-04 06:00:00", "2024-01-04 08:00:00")
     with pytest.raises(EmptyLoadError, match="coin_price_history"):

@@ -7,7 +7,9 @@ from tickmart.session import scratch_dir
 from tickmart.sinks.tables import (
     committed_versions, layer_path, publish, read_table, schema_name, vacuum, version_path,
 )
-from tickmart.sinks.upsert import ensure_columns, insert_only, load, upsert
+from tickmart.sinks.load import COLLIDED, REFUSED, load
+from tickmart.sinks.partitioned import live_months, read_partitioned, vacuum_partitioned
+from tickmart.sinks.upsert import ensure_columns, insert_only, upsert
 
 S = "k long, v string, seq int"
 
@@ -69,7 +71,50 @@ def test_load_report_and_empty_guard(spark):
     assert (r1.batch_rows, r1.table_rows, r1.skipped) == (2, 2, False)
     assert (r2.batch_rows, r2.table_rows, r2.skipped, r2.version_path) == (0, 2, True, None)
     assert (r3.batch_rows, r3.table_rows) == (2, 3)
-    assert len(committed_versions(spark, path)) == 2
+    assert len(committed_versions(spark, path + "/live")) == 2
+    assert rows(read_partitioned(spark, path)) == [(1, "a", 0), (2, "B", 1), (3, "c", 1)]
+
+
+def test_a_load_rewrites_the_buckets_of_its_keys_only(spark):
+    path = scratch_dir(spark, "t_buckets")
+    load(df(spark, [(i, "t", 0) for i in range(200)]), path, ["k"], buckets=8)
+    before = live_months(spark, path)
+    assert before.layout == "bucket:8:k" and before.table_rows == 200 and len(before.writes) == 8
+    load(df(spark, [(5, "u", 1), (5, "v", 2), (777, "n", 1)]), path, ["k"], order=["seq"])
+    after = live_months(spark, path)
+    changed = {b for b in after.writes if after.writes[b] != before.writes.get(b)}
+    touched = {r[0] for r in before.with_part(df(spark, [(5, "", 0), (777, "", 0)])).select("bucket").collect()}
+    assert changed == touched and 1 <= len(changed) <= 2 and after.table_rows == 201
+    got = {r.k: r.v for r in read_partitioned(spark, path).collect()}
+    assert got[5] == "v" and got[777] == "n" and len(got) == 201
+    vacuum_partitioned(spark, path, keep=1)
+    assert read_partitioned(spark, path).count() == 201
+
+
+def test_outcomes_of_a_load_are_kept(spark):
+    path = scratch_dir(spark, "t_outcomes")
+    load(df(spark, [(1, "a", 0)]), path, ["k"])
+    r = load(df(spark, [(1, "X", 1), (2, "b", 1), (2, "c", 2), (None, "n", 1), (3, None, 1)]), path, ["k"],
+             order=["seq"], mode="insert_only", not_null=["v"], refuse="keep")
+    assert (r.batch_rows, r.collided_rows, r.refused_rows, r.table_rows) == (5, 1, 2, 2)
+    assert rows(r.rows_of(spark, COLLIDED), "k", "v") == [(1, "X")]
+    assert sorted(x._refusal for x in r.rows_of(spark, REFUSED).collect()) == ["null in k", "null in v"]
+    assert rows(read_partitioned(spark, path)) == [(1, "a", 0), (2, "c", 2)]
+
+
+def test_replace_by_and_added_columns(spark):
+    import pytest
+
+    path = scratch_dir(spark, "t_replace")
+    keys = ["a", "c"]
+    first = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "1")], "a string, c string")
+    load(first, path, keys, bucket_by=["a"])
+    load(spark.createDataFrame([("x", "3", 5)], "a string, c string, n int"), path, keys, replace_by=["a"])
+    assert rows(read_partitioned(spark, path)) == [("x", "3", 5), ("y", "1", None)]
+    other = scratch_dir(spark, "t_replace_keys")
+    load(first, other, keys)
+    with pytest.raises(ValueError, match="several buckets"):
+        load(first, other, keys, replace_by=["a"])
 
 
 def test_layer_placement():

@@ -90,7 +90,8 @@ LAYERS = {
     "int_coin_categories": "intermediate", "dim_coins": "marts",
     "fct_daily_coin_performance": "marts", "fct_market_summary": "marts",
     "dim_coins_snapshot": "snapshots", "quality_report": "audit", "source_freshness": "audit",
-    "pending_bar_changes": "audit", "load_audit": "audit", "rejected_charts": "audit",
+    "pending_bar_changes": "audit", "load_audit": "audit", "rejected_input": "audit",
+    "asset_state": "audit", "merged_batches": "audit",
     "missing_assets": "audit",
 }
 # --------------------------------------------------------------------------------

@@ -2,8 +2,9 @@
 
 Missing text becomes ``'Unknown'`` (then trimmed; spaces only), missing
 numbers 0, and missing dates/timestamps the run's ``as_of`` (a parameter, not
-the wall clock, so reruns are reproducible).  ``market_cap_rank`` and
-``total_volume`` are cast but not rounded.
+the wall clock, so reruns are reproducible).  A value that was there but did not
+fit its column (``rejected_fields``) is not missing: it stays NULL.
+``market_cap_rank`` and ``total_volume`` are cast but not rounded.
 """
 
 from __future__ import annotations
@@ -34,8 +35,14 @@ def _rule(raw: str, rule: str, as_of_date: str, as_of_ts: str):
 def standardise_snapshot(raw: DataFrame, as_of_date: str, as_of_ts: str) -> DataFrame:
     """PRJ-3 + TOP-2: one staged row per raw id (newest ingest wins)."""
     one = keep_latest(raw, ["id"], [F.col("_ingested_at"), F.col("last_updated")])
-    return one.select(*[_rule(src, rule, as_of_date, as_of_ts).alias(dst)
-                        for dst, src, rule in SNAPSHOT_RULES])
+
+    def staged(src: str, rule: str):
+        value = _rule(src, rule, as_of_date, as_of_ts)
+        if rule == "text" or "rejected_fields" not in raw.columns:
+            return value
+        return F.when(~F.coalesce(F.array_contains("rejected_fields", src), F.lit(False)), value)
+
+    return one.select(*[staged(src, rule).alias(dst) for dst, src, rule in SNAPSHOT_RULES])
 
 
 def standardise_categories(raw: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ landing/ (payloads as landed)        warehouse/
   universe/   comma-separated ids      raw/coin_markets, raw/coin_price_history,
   markets/    snapshot lists, one      raw/coins_categories
               response per file        staging/..., intermediate/..., marts/...,
-  charts/     chart payloads (JSONL)   snapshots/dim_coins_snapshot, audit/...
-  categories/ category payloads (JSONL)
+  charts/     chart payloads           snapshots/dim_coins_snapshot, audit/...
+  categories/ category payloads
+              (*.json: one response a file, others JSON Lines)
 
 Order: the three loads (independent, run as concurrent Spark jobs), then the
 models in dependency order, then the SCD2 snapshot, then every quality check
@@ -15,8 +16,8 @@ is written as a new committed version and read back before the next step
 uses it, so each stage restarts from stored data (not lineage) when an
 executor is lost, and a failed run leaves the previous versions current.
 A run without any market or any chart row fails, as does one with a source past
-its error age; payloads without a series and universe assets without a chart are
-reported in the audit layer.
+its error age; values and payloads that don't fit (``rejected_input``) and universe assets
+without a chart are reported in the audit layer.
 """
 
 from __future__ import annotations
@@ -36,18 +37,17 @@ from tickmart.operators.dedupe import missing_keys
 from tickmart.operators.scd2 import scd2_merge
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
 from tickmart.plans import models as M
-from tickmart.operators.metrics import daily_metrics
-from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
+from tickmart.plans.incremental import SeriesTables, run_increment
 from tickmart.session import close_run_scratch, configure, open_run_scratch
-from tickmart.sinks.partitioned import (
-    commit, partitioned_exists, read_partitioned, replace_partitioned, upsert_partitions,
-    vacuum_partitioned, write_months,
-)
+from tickmart.sinks.load import LoadReport, load
+from tickmart.sinks.partitioned import partitioned_exists, read_partitioned, vacuum_partitioned
 from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists, vacuum
-from tickmart.sinks.upsert import LoadReport, load, upsert
+from tickmart.sinks.upsert import latest_per_key
 from tickmart.sources.payloads import (
-    category_rows, chart_rows, read_payloads, rejected_charts, snapshot_rows,
+    accepted_charts, accepted_snapshots, category_rows, parse_charts, parse_snapshots, read_keyed_payloads,
+    read_payloads, rejects,
 )
+from tickmart.schemas import RAW_CATEGORIES, RAW_SERIES
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
 
@@ -87,12 +87,6 @@ def table_path(cfg: JobConfig, name: str) -> str:
     return layer_path(cfg.warehouse, name, custom_schema=LAYERS[name])
 
 
-def _previous_partitioned(spark: SparkSession, cfg: JobConfig, path: str) -> DataFrame | None:
-    if cfg.full_refresh or not partitioned_exists(spark, path):
-        return None
-    return read_partitioned(spark, path)
-
-
 def _previous(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame | None:
     path = table_path(cfg, name)
     if cfg.full_refresh or not table_exists(spark, path):
@@ -174,37 +168,58 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
 
     # --- loads -----------------------------------------------------------------
     universe = stage(parse_universe(_universe_lines(spark, cfg)), "universe")
-    snapshot = snapshot_rows(read_payloads(spark, f"{cfg.landing}/markets"), cfg.batch_ts)
-    chart_payloads = _chart_payloads(spark, cfg)
-    charts = restrict_to_universe(
-        chart_rows(chart_payloads, cfg.batch_ts, cfg.chart_days, id_col="_file_id"), universe)
-    categories = restrict_to_universe(
-        category_rows(read_payloads(spark, f"{cfg.landing}/categories", whole_files=False),
-                      cfg.batch_ts), universe, any_case=True)
-    category_keys = ["coin_id"] if cfg.replace_categories_per_asset else ["coin_id", "category"]
-    loads = (("coin_markets", snapshot, ["id"]),
-             ("coin_price_history", charts, ["coin_id", "chart_days"]),
-             ("coins_categories", categories, category_keys))
+    series = SeriesTables(*(table_path(cfg, n) for n in (
+        "coin_price_history", "stg_coin_price_history", "int_coin_daily_metrics", "asset_state", "merged_batches",
+        "pending_bar_changes")))
+
+    # Payloads are parsed once; what a load takes and what it rejects come off the same rows.
+    def markets_load() -> tuple[LoadReport, DataFrame]:
+        parsed = stage(parse_snapshots(read_payloads(spark, f"{cfg.landing}/markets"), cfg.batch_ts), "parsed-markets")
+        return load(accepted_snapshots(parsed), table_path(cfg, "coin_markets"), ["id"]), rejects(parsed)
+
+    def charts_load() -> tuple[LoadReport, DataFrame]:
+        payloads = read_keyed_payloads(spark, f"{cfg.landing}/charts").withColumn(
+            "_file_id", F.regexp_extract("source_file", r"([^/]+)\.json$", 1))
+        parsed = stage(parse_charts(payloads, cfg.batch_ts, cfg.chart_days, id_col="_file_id"), "parsed-charts")
+        rows = restrict_to_universe(accepted_charts(parsed, "landed"), universe)
+        path, log = series.raw, series.log(spark)
+        n = rows.count()
+        report = LoadReport(path, n, log.live().table_rows if log.exists() else 0, n == 0, None)
+        if n:
+            # Of charts of one (asset, window) the one landed last counts.
+            live = log.append(latest_per_key(rows, list(log.keys), ["landed"]).drop("landed"), cfg.batch_ts)
+            report.table_rows, report.version_path = live.table_rows, f"{path}/live"
+        return report, rejects(parsed)
+
+    def categories_load() -> tuple[LoadReport, DataFrame | None]:
+        rows = restrict_to_universe(category_rows(read_keyed_payloads(spark, f"{cfg.landing}/categories"), cfg.batch_ts),
+                                    universe, any_case=True)
+        # Bucketed by asset, so that either way of replacing touches one bucket an asset.
+        return load(rows, table_path(cfg, "coins_categories"), ["coin_id", "category"], bucket_by=["coin_id"],
+                    replace_by=["coin_id"] if cfg.replace_categories_per_asset else None), None
+
     # The three loads are independent: submit them as concurrent Spark jobs
     # (each thread carries this run's context, so its scratch stays in the run).
-    with ThreadPoolExecutor(max_workers=len(loads) + 1) as pool:
-        futures = {name: pool.submit(contextvars.copy_context().run, load, rows,
-                                     table_path(cfg, name), keys)
-                   for name, rows, keys in loads}
-        rejected = pool.submit(contextvars.copy_context().run, put, "rejected_charts",
-                               rejected_charts(chart_payloads).withColumn("batch_ts", F.lit(cfg.batch_ts)))
+    loads = {"coin_markets": markets_load, "coin_price_history": charts_load, "coins_categories": categories_load}
+    refused = []
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        futures = {name: pool.submit(contextvars.copy_context().run, run) for name, run in loads.items()}
         for name, fut in futures.items():
-            res.loads[name] = fut.result()  # re-raises a failed load
+            res.loads[name], bad = fut.result()  # re-raises a failed load
             res.tables[name] = table_path(cfg, name)
-        rejected.result()
+            if bad is not None:
+                refused.append(bad.select(F.lit(cfg.batch_ts).alias("batch_ts"), F.lit(name).alias("table_name"), "*"))
+    rejected = put("rejected_input", refused[0].unionByName(refused[1]))
+    for r in rejected.groupBy("table_name").count().collect():
+        res.loads[r["table_name"]].rejected_rows = r["count"]
     _append_load_audit(spark, cfg, res)
     empty = [name for name in ("coin_markets", "coin_price_history") if res.loads[name].skipped]
     if empty and not cfg.allow_empty:
         raise EmptyLoadError(f"no rows landed for {', '.join(empty)}")
-    raw_markets = read_table(spark, table_path(cfg, "coin_markets"))
-    raw_series = _spread(spark, read_table(spark, table_path(cfg, "coin_price_history")),
-                         res.loads["coin_price_history"].table_rows)
-    raw_categories = read_table(spark, table_path(cfg, "coins_categories"))
+    raw_markets = read_partitioned(spark, table_path(cfg, "coin_markets"))
+    raw_series = series.log(spark).read() if series.log(spark).exists() else spark.createDataFrame([], RAW_SERIES)
+    raw_categories = (read_partitioned(spark, table_path(cfg, "coins_categories"))
+                      if partitioned_exists(spark, table_path(cfg, "coins_categories")) else spark.createDataFrame([], RAW_CATEGORIES))
     # SET-1: universe assets that this run brought no chart of.
     came = raw_series.where(F.col("_ingested_at") == F.lit(cfg.batch_ts).cast("timestamp_ntz"))
     put("missing_assets", missing_keys(universe.select("coin_id"), came, "coin_id")
@@ -214,43 +229,11 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     as_of_date = cfg.as_of[:10]
     markets = put("stg_coin_markets", standardise_snapshot(raw_markets, as_of_date, cfg.as_of))
     cats = put("stg_coin_categories", standardise_categories(raw_categories))
-    # Bars and metrics grow with history: month-partitioned, and an
-    # incremental run rewrites only the months it touches.  Changed bars are
-    # recorded before the bars table moves and cleared only once the metrics
-    # caught up, so a run that dies in between is finished by the next one.
-    bars_path = table_path(cfg, "stg_coin_price_history")
-    met_path = table_path(cfg, "int_coin_daily_metrics")
-    pending_path = table_path(cfg, "pending_bar_changes")
-    prev_bars = _previous_partitioned(spark, cfg, bars_path)
-    if prev_bars is None:
-        bars_table, _ = refresh_bars(raw_series, None, cfg.price_scale, full_refresh=True)
-        # Both are written before either is seen, metrics first: bars that a run
-        # leaves behind are found again by the next one.
-        new_bars = write_months(bars_table, bars_path, "coin_date")
-        new_metrics = write_months(daily_metrics(new_bars.read(spark), markets, cfg.price_scale),
-                                   met_path, "date_stamp")
-        commit(spark, new_metrics)
-        commit(spark, new_bars)
-        bars = read_partitioned(spark, bars_path)
-        if table_exists(spark, pending_path):  # rebuilt from scratch: nothing pending
-            publish(read_table(spark, pending_path).limit(0), pending_path)
-    else:
-        _, new_changes = refresh_bars(raw_series, prev_bars, cfg.price_scale,
-                                      protect_boundary=cfg.protect_boundary)
-        if table_exists(spark, pending_path):
-            # a newer recomputation of the same (asset, day) supersedes the pending one
-            new_changes = upsert(read_table(spark, pending_path), new_changes, BAR_KEYS)
-        publish(new_changes, pending_path)
-        changed = read_table(spark, pending_path)
-        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date", stored=True)
-        bars = read_partitioned(spark, bars_path)
-        if _previous_partitioned(spark, cfg, met_path) is None:
-            replace_partitioned(daily_metrics(bars, markets, cfg.price_scale), met_path, "date_stamp")
-        else:
-            _, recomputed = refresh_metrics(bars, changed, read_partitioned(spark, met_path),
-                                            markets, cfg.price_scale)
-            upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
-        publish(changed.limit(0), pending_path)  # caught up: nothing pending
+    # Bars and metrics grow with history: an increment opens the raw batches and the
+    # months that it touches and no others.
+    bars_path, met_path = series.bars, series.metrics
+    run_increment(spark, series, markets, cfg.price_scale, cfg.full_refresh, cfg.protect_boundary)
+    bars = read_partitioned(spark, bars_path)
     res.tables["stg_coin_price_history"] = bars_path
     res.tables["int_coin_daily_metrics"] = met_path
     metrics = read_partitioned(spark, met_path)
@@ -285,8 +268,12 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     for path in res.tables.values():
         if table_exists(spark, path):
             vacuum(spark, path, keep=cfg.keep_versions)
-    for path in (bars_path, met_path):
-        vacuum_partitioned(spark, path, keep=cfg.keep_versions)
+    for path in (*res.tables.values(), series.state):
+        if partitioned_exists(spark, path):
+            vacuum_partitioned(spark, path, keep=cfg.keep_versions)
+    for path in (series.pending, series.merged, f"{series.raw}/index"):
+        if table_exists(spark, path):
+            vacuum(spark, path, keep=cfg.keep_versions)
     return res
 
 
@@ -299,7 +286,7 @@ def _put_concurrently(put, tables: dict[str, DataFrame]) -> dict[str, DataFrame]
 
 
 AUDIT_SCHEMA = ("batch_ts timestamp_ntz, table_name string, batch_rows long, table_rows long, "
-                "skipped boolean, version_path string")
+                "skipped boolean, version_path string, collided_rows long, refused_rows long, rejected_rows long")
 
 
 def _append_load_audit(spark: SparkSession, cfg: JobConfig, res: JobResult) -> None:
@@ -307,26 +294,14 @@ def _append_load_audit(spark: SparkSession, cfg: JobConfig, res: JobResult) -> N
     from datetime import datetime
 
     ts = datetime.fromisoformat(cfg.batch_ts)
-    rows = [(ts, name, r.batch_rows, r.table_rows, r.skipped, r.version_path)
+    rows = [(ts, name, r.batch_rows, r.table_rows, r.skipped, r.version_path, r.collided_rows, r.refused_rows, r.rejected_rows)
             for name, r in res.loads.items()]
     new = spark.createDataFrame(rows, AUDIT_SCHEMA)  # three rows: the run's loads
     path = table_path(cfg, "load_audit")
-    publish(read_table(spark, path).unionByName(new) if table_exists(spark, path) else new, path)
+    publish(read_table(spark, path).unionByName(new, allowMissingColumns=True) if table_exists(spark, path) else new, path)
     res.tables["load_audit"] = path
 
 
-def _spread(spark: SparkSession, raw: DataFrame, rows: int) -> DataFrame:
-    """Raw series rows are few and large (one asset window each) and the
-    unnest multiplies them; nothing before it shuffles, so AQE cannot
-    rebalance.  When the scan has fewer partitions than cores but enough
-    rows, spread the rows round-robin so every core unnests and
-    pre-aggregates its share."""
-    cores = spark.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() < cores <= rows:
-        return raw.repartition(cores)
-    return raw
-
-
 def _universe_lines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """The landed id lists, else the default universe as one list."""
     path = f"{cfg.landing}/universe"
@@ -334,9 +309,3 @@ def _universe_lines(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     if fs.exists(p):
         return spark.read.text(path)
     return spark.createDataFrame([(",".join(DEFAULT_UNIVERSE),)], "value string")
-
-
-def _chart_payloads(spark: SparkSession, cfg: JobConfig) -> DataFrame:
-    """Chart payloads; the asset id is the payload's ``id`` or the file name."""
-    return read_payloads(spark, f"{cfg.landing}/charts", whole_files=False).withColumn(
-        "_file_id", F.regexp_extract("source_file", r"^(.*)\.json$", 1))

@@ -13,19 +13,31 @@ Both refreshes must give exactly the full-refresh result:
   exact, and rows before the change are left alone.
 
 Every intermediate is keyed by asset; per-asset state is one row per day.
+
+``run_increment`` is the same over stored tables: the raw series are an ingest log
+(``sinks.ingest_log``), of which only the batches not merged yet and those that
+overlap the touched days are opened; the history that bars and metrics go on from is
+the asset state (``plans.asset_state``); bars and metrics change by month.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickmart.fixed import MOVING_AVERAGE_ROWS
 from tickmart.operators.bars import daily_bars, high_water
 from tickmart.operators.joins import small_side
 from tickmart.operators.metrics import METRIC_COLUMNS, daily_metrics
-from tickmart.operators.unnest import unnest_series
-from tickmart.sinks.tables import stage
+from tickmart.operators.unnest import sliced, unnest_series
+from tickmart.plans import asset_state as S
+from tickmart.sinks.ingest_log import IngestLog
+from tickmart.sinks.partitioned import (
+    commit, live_months, partitioned_exists, replace_partitioned, upsert_partitions, write_months,
+)
+from tickmart.sinks.tables import publish, read_table, stage, table_exists
 from tickmart.sinks.upsert import upsert
 
 BAR_KEYS = ["coin_id", "coin_date"]
@@ -40,8 +52,12 @@ def new_raw_rows(raw: DataFrame, bars: DataFrame | None) -> DataFrame:
         return raw
     # One row an asset: stored and measured, so that the arrays of the raw rows
     # are not shuffled to it.
-    hw = small_side(stage(high_water(bars), "high-water"))
-    return (raw.join(hw, "coin_id", "left")
+    return newer_than(raw, stage(high_water(bars), "high-water"))
+
+
+def newer_than(raw: DataFrame, marks: DataFrame) -> DataFrame:
+    """Raw rows whose asset has no mark or an older one (``max_ingested_at``)."""
+    return (raw.join(small_side(marks), "coin_id", "left")
             .where(F.col("max_ingested_at").isNull()
                    | (F.col("_ingested_at") > F.col("max_ingested_at")))
             .drop("max_ingested_at"))
@@ -73,13 +89,18 @@ def refresh_bars(raw: DataFrame, bars: DataFrame | None, price_scale: int = 2,
     # rows are unnested a single time, then count and broadcast them (size
     # checked) so raw series and points are filtered in place, not shuffled.
     touched = stage(days.select("coin_id", "coin_date").distinct(), "touched-bars")
+    changed = _bars_of(raw, touched, price_scale)
+    return upsert(bars, changed, BAR_KEYS), changed
+
+
+def _bars_of(raw: DataFrame, touched: DataFrame, price_scale: int) -> DataFrame:
+    """The touched bars, from all points of the raw rows."""
     assets = small_side(touched.select("coin_id").distinct())
-    points = (unnest_series(raw.join(assets, "coin_id", "left_semi"))
+    points = (unnest_series(sliced(raw.join(assets, "coin_id", "left_semi")))
               .withColumn("coin_date", F.to_date("price_ts"))
               .join(small_side(touched), BAR_KEYS, "left_semi")
               .drop("coin_date"))
-    changed = daily_bars(points, price_scale)
-    return upsert(bars, changed, BAR_KEYS), changed
+    return daily_bars(points, price_scale)
 
 
 def affected_from(changed_bars: DataFrame) -> DataFrame:
@@ -123,3 +144,96 @@ def refresh_metrics(bars: DataFrame, changed_bars: DataFrame | None, metrics: Da
                   .where(F.col("date_stamp") >= F.col("_from"))
                   .select(*METRIC_COLUMNS))
     return upsert(metrics, recomputed, METRIC_KEYS), recomputed
+
+
+# --- over stored tables -----------------------------------------------------------------
+
+@dataclass
+class SeriesTables:
+    """Paths of the stored tables that an increment goes through."""
+
+    raw: str
+    bars: str
+    metrics: str
+    state: str        # asset state
+    merged: str       # ingest batches that the bars hold
+    pending: str      # bars changed, metrics not yet
+
+    def log(self, spark: SparkSession, window_cols: tuple[str, ...] = ("chart_days",)) -> IngestLog:
+        return IngestLog(spark, self.raw, ("coin_id", *window_cols))
+
+
+def changed_bars(log: IngestLog, pending: list[str], state: DataFrame, bars_path: str, price_scale: int = 2,
+                 protect_boundary: bool = False, window_cols: tuple[str, ...] = ("chart_days",)) -> DataFrame | None:
+    """INC-1 + J-1 + FLT-2: the bars that the ``pending`` batches touch, rebuilt from the
+    current rows of every batch that overlaps their days.  None if nothing is touched."""
+    spark = log.spark
+    fresh = newer_than(log.read(pending), state.select("coin_id", "max_ingested_at"))
+    w = list(window_cols) if protect_boundary else []
+    days = unnest_series(sliced(fresh), keep=tuple(w)).select("coin_id", *w, F.to_date("price_ts").alias("coin_date"))
+    touched = stage(days.where(F.col("coin_date").isNotNull()).distinct(), "touched-bars")
+    lo, hi = touched.agg(F.min("coin_date"), F.max("coin_date")).first()
+    if lo is None:
+        return None
+    if protect_boundary:
+        live = live_months(spark, bars_path)
+        months = [m for m in live.writes if f"{lo:%Y-%m}" <= m <= f"{hi:%Y-%m}"]
+        first = touched.groupBy("coin_id", *w).agg(F.min("coin_date").alias("coin_date"))
+        stored = first.join(live.read(spark, months).select(*BAR_KEYS), BAR_KEYS, "left_semi")
+        touched = stage(touched.join(stored, ["coin_id", *w, "coin_date"], "left_anti"), "kept-bars")
+    touched = touched.select(*BAR_KEYS).distinct()
+    day = 86_400_000
+    epoch = (lo - lo.replace(1970, 1, 1)).days, (hi - hi.replace(1970, 1, 1)).days
+    raw = log.read(log.overlapping(epoch[0] * day, (epoch[1] + 1) * day - 1))
+    return _bars_of(raw, touched, price_scale)
+
+
+def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price_scale: int = 2,
+                  full_refresh: bool = False, protect_boundary: bool = False,
+                  window_cols: tuple[str, ...] = ("chart_days",)) -> None:
+    """INC-1..3 over stored tables: bars, metrics and asset state follow the ingest log.
+
+    Changed bars are recorded before the bars table moves and cleared only once metrics
+    and state caught up, and a batch counts as merged after that, so a run that dies in
+    between is finished by the next one.
+    """
+    log = t.log(spark, window_cols)
+    batches = log.batches()
+
+    def done() -> None:
+        publish(spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1), t.merged)
+
+    if full_refresh or not (partitioned_exists(spark, t.bars) and partitioned_exists(spark, t.state)):
+        bars = daily_bars(unnest_series(sliced(log.read())), price_scale)
+        # All are written before any is seen, the bars last: what a run leaves behind is
+        # found again by the next one.
+        new_bars = write_months(bars, t.bars, "coin_date")
+        stored = new_bars.read(spark)
+        new_metrics = write_months(daily_metrics(stored, assets, price_scale), t.metrics, "date_stamp")
+        commit(spark, new_metrics)
+        S.write_state(S.state_of(stored), t.state)
+        commit(spark, new_bars)
+        if table_exists(spark, t.pending):  # rebuilt from scratch: nothing pending
+            publish(read_table(spark, t.pending).limit(0), t.pending)
+        done()
+        return
+    merged = {r["batch"] for r in read_table(spark, t.merged).collect()} if table_exists(spark, t.merged) else set()
+    state = S.read_state(spark, t.state)
+    changes = changed_bars(log, [b for b in batches if b not in merged], state, t.bars, price_scale, protect_boundary, window_cols)
+    left = read_table(spark, t.pending) if table_exists(spark, t.pending) else None
+    if changes is None and (left is None or left.isEmpty()):
+        done()
+        return
+    if changes is not None:
+        # A newer recomputation of the same (asset, day) supersedes one left behind.
+        publish(changes if left is None else upsert(left, changes, BAR_KEYS), t.pending)
+    changed = read_table(spark, t.pending)
+    upsert_partitions(changed, t.bars, BAR_KEYS, "coin_date", stored=True)
+    if not partitioned_exists(spark, t.metrics):
+        replace_partitioned(daily_metrics(live_months(spark, t.bars).read(spark), assets, price_scale), t.metrics, "date_stamp")
+    else:
+        recomputed, _ = S.recompute(spark, t.bars, changed, state, assets, price_scale)
+        upsert_partitions(recomputed, t.metrics, METRIC_KEYS, "date_stamp")
+    S.advance(spark, t.state, t.bars, changed)
+    publish(changed.limit(0), t.pending)
+    done()

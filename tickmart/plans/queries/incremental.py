@@ -3,8 +3,8 @@
 events are landed as packed series rows keyed (asset, event_id div 8), like
 the source's (asset, window) rows.  Load k re-sends every row that gained
 points before cutoff k, carrying all of its points so far, stamped with the
-load time.  The raw table is upserted on its key, then bars and metrics are
-refreshed incrementally; a repeated load changes nothing.  The oracle is the
+load time.  The raw rows go into an ingest log, then bars and metrics follow it
+incrementally; a repeated load changes nothing.  The oracle is the
 full refresh computed straight from events.
 """
 
@@ -13,14 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.plans.incremental import BAR_KEYS, METRIC_KEYS, refresh_bars, refresh_metrics
+from tickmart.plans.incremental import SeriesTables, run_increment
 from tickmart.plans.queries.oracle_sql import ASSETS
 from tickmart.plans.queries.registry import register
 from tickmart.schemas import RAW_NUM
 from tickmart.session import scratch_dir
-from tickmart.sinks.partitioned import read_partitioned, upsert_partitions
-from tickmart.sinks.tables import publish, read_table, stage
-from tickmart.sinks.upsert import upsert
+from tickmart.sinks.partitioned import read_partitioned
+from tickmart.sinks.tables import stage
 from tickmart.sources.driver_tables import PRICE_IN, asset_master, market_cap_of, table
 
 CUTOFFS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00", None]
@@ -59,23 +58,15 @@ def load_batch(events: DataFrame, k: int) -> DataFrame:
                           F.lit(STAMPS[k]).cast("timestamp_ntz").alias("_ingested_at"))
 
 
-def run_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Run loads 1..3 then load 3 again; returns (bars, metrics) read back."""
+def run_loads(spark: SparkSession, sf: str) -> SeriesTables:
+    """Run loads 1..3 then load 3 again; returns the tables."""
     events = table(spark, sf, "events")
-    assets = asset_master(table(spark, sf, "customer"))
-    raw_path, bars_path, met_path = (scratch_dir(spark, n) for n in ("raw", "bars", "metrics"))
-    raw = bars = metrics = None
+    assets = stage(asset_master(table(spark, sf, "customer")), "assets")
+    tables = SeriesTables(*(scratch_dir(spark, n) for n in ("raw", "bars", "metrics", "state", "merged", "pending")))
     for k in (0, 1, 2, 2):
-        batch = load_batch(events, k)
-        publish(batch if raw is None else upsert(raw, batch, RAW_KEYS), raw_path)
-        raw = read_table(spark, raw_path)
-        changed = stage(refresh_bars(raw, bars)[1], "changed-bars")
-        upsert_partitions(changed, bars_path, BAR_KEYS, "coin_date", stored=True)
-        bars = read_partitioned(spark, bars_path)
-        _, recomputed = refresh_metrics(bars, changed, metrics, assets)
-        upsert_partitions(recomputed, met_path, METRIC_KEYS, "date_stamp")
-        metrics = read_partitioned(spark, met_path)
-    return bars, metrics
+        tables.log(spark, ("chunk_id",)).append(load_batch(events, k), STAMPS[k])
+        run_increment(spark, tables, assets, window_cols=("chunk_id",))
+    return tables
 
 
 _CASE_STAMP = ("CASE WHEN max(ts) < TIMESTAMP '{c0}' THEN TIMESTAMP '{s0}' "
@@ -112,8 +103,7 @@ bars AS (
 @register("incremental_bars", "WITH " + FULL_REFRESH_BARS + "\nSELECT * FROM bars")
 def incremental_bars(spark: SparkSession, sf: str) -> DataFrame:
     """INC-1 / SNK-6 / FLT-2 / J-1 / PRJ-2: equals the full refresh."""
-    bars, _ = run_loads(spark, sf)
-    return bars
+    return read_partitioned(spark, run_loads(spark, sf).bars)
 
 
 def _metrics_oracle() -> str:
@@ -126,5 +116,4 @@ def _metrics_oracle() -> str:
 @register("incremental_metrics", _metrics_oracle())
 def incremental_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """INC-2 / INC-3: per-asset recompute with a 6-row halo equals the full refresh."""
-    _, metrics = run_loads(spark, sf)
-    return metrics
+    return read_partitioned(spark, run_loads(spark, sf).metrics)

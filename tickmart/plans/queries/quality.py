@@ -15,6 +15,9 @@ from tickmart.plans.queries.oracle_sql import (
     ASSETS, BARS, CATEGORIES, CATEGORY_BATCH_TS, DIMENSION, FACT, METRICS, POINTS, SUMMARY,
 )
 from tickmart.plans.queries.registry import register
+from tickmart.session import scratch_dir
+from tickmart.sinks.load import REFUSED, load
+from tickmart.sinks.partitioned import read_partitioned
 from tickmart.plans.queries.shaping import staged_snapshot, staged_snapshot_ctes
 from tickmart.sinks.tables import stage
 from tickmart.sources.driver_tables import (
@@ -196,13 +199,32 @@ UNION ALL SELECT 'lineitem', 'not_null', 'l_orderkey', (SELECT count(*) - count(
 UNION ALL SELECT 'lineitem', 'not_null', 'l_linenumber', (SELECT count(*) - count(l_linenumber) FROM lineitem)
 UNION ALL SELECT 'orders', 'primary_key', 'o_orderkey',
   (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
-UNION ALL SELECT 'orders', 'not_null', 'o_orderkey', (SELECT count(*) - count(o_orderkey) FROM orders)""")
+UNION ALL SELECT 'orders', 'not_null', 'o_orderkey', (SELECT count(*) - count(o_orderkey) FROM orders)
+UNION ALL SELECT 'orders', 'refused', 'null in o_custkey', (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 5 <> 0)
+UNION ALL SELECT 'orders', 'refused', 'null in o_orderkey', (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0)
+UNION ALL SELECT 'orders', 'refused', 'null in o_orderkey, o_custkey', (SELECT count(*) FROM orders WHERE o_orderkey % 35 = 0)
+UNION ALL SELECT 'orders', 'accepted', 'o_orderkey', (SELECT count(*) FROM orders)""")
 def write_constraints(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-11: key and NOT NULL constraints checked before a write."""
-    return pre_write_violations({
+    """SNK-11: key and NOT NULL constraints checked before a write; then a load whose
+    batch holds, beside all orders, copies that lost a key or a NOT NULL column: they are
+    refused by reason, and the rest is stored."""
+    orders = table(spark, sf, "orders")
+    before = pre_write_violations({
         "lineitem": (table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
-        "orders": (table(spark, sf, "orders"), ["o_orderkey"]),
+        "orders": (orders, ["o_orderkey"]),
     })
+    key = F.col("o_orderkey")
+    broken = orders.where((key % 5 == 0) | (key % 7 == 0)).select(
+        "*", F.when(key % 5 != 0, key).alias("_key"), F.when(key % 7 != 0, F.col("o_custkey")).alias("_cust"))
+    broken = broken.withColumn("o_orderkey", F.col("_key")).withColumn("o_custkey", F.col("_cust")).drop("_key", "_cust")
+    path = scratch_dir(spark, "write_constraints")
+    report = load(orders.unionByName(broken), path, ["o_orderkey"], not_null=["o_custkey"], refuse="keep")
+    refused = report.rows_of(spark, REFUSED).groupBy(F.col("_refusal").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("violations")).select(F.lit("orders").alias("table_name"), F.lit("refused").alias("check_name"),
+                                                      "column_name", "violations")
+    stored = read_partitioned(spark, path).agg(F.count("o_orderkey").alias("violations")).select(
+        F.lit("orders").alias("table_name"), F.lit("accepted").alias("check_name"), F.lit("o_orderkey").alias("column_name"), "violations")
+    return before.unionByName(refused).unionByName(stored)
 
 
 def pre_write_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

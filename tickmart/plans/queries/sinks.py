@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tickmart.operators.dedupe import keep_first
 from tickmart.plans.queries.registry import register
 from tickmart.session import scratch_dir
+from tickmart.sinks.load import COLLIDED, load
+from tickmart.sinks.partitioned import create_buckets, read_partitioned
 from tickmart.sinks.tables import layer_path, publish, read_table
-from tickmart.sinks.upsert import ensure_columns, load, upsert
+from tickmart.sinks.upsert import ensure_columns, upsert
 from tickmart.sources.driver_tables import table
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -51,8 +53,8 @@ def upsert_keyed(spark: SparkSession, sf: str) -> DataFrame:
     newer = _revised(orders.where(F.col("o_orderkey") % 3 != 0), "U").withColumn("_seq", F.lit(2))
     older = (_revised(orders.where((F.col("o_orderkey") % 3 != 0) & (F.col("o_orderkey") % 5 == 0)), "X")
              .withColumn("_seq", F.lit(1)))
-    load(older.unionByName(newer), path, ["o_orderkey"], order=["_seq"])
-    return read_table(spark, path).drop("_seq")
+    load(older.unionByName(newer), path, ["o_orderkey"], order=["_seq"], transient=["_seq"])
+    return read_partitioned(spark, path)
 
 
 @register("upsert_composite", f"""
@@ -71,9 +73,9 @@ def upsert_composite(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-2: composite key; the raw batch repeats keys and is reduced first."""
     li = table(spark, sf, "lineitem")
     path = scratch_dir(spark, "upsert_composite")
-    publish(keep_first(li.where(F.col("l_orderkey") % 3 != 2), LI_KEYS, LI_ORDER), path)
+    create_buckets(keep_first(li.where(F.col("l_orderkey") % 3 != 2), LI_KEYS, LI_ORDER), path, LI_KEYS)
     load(li.where(F.col("l_orderkey") % 3 != 0), path, LI_KEYS, order=LI_ORDER)
-    return read_table(spark, path)
+    return read_partitioned(spark, path)
 
 
 _T1, _T2 = "2024-01-30 06:00:00", "2024-01-31 06:00:00"
@@ -103,18 +105,23 @@ def upsert_bridge(spark: SparkSession, sf: str) -> DataFrame:
     batch = pairs(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment"), _T2).unionByName(
         pairs(F.col("c_custkey") % 6 == 0, F.lit("PREMIUM"), _T2))
     load(batch, path, ["coin_id", "category"])
-    return read_table(spark, path)
+    return read_partitioned(spark, path)
 
 
 @register("insert_only", f"""
 WITH t AS (SELECT {_OC} FROM orders WHERE o_orderkey % 2 = 0),
 u AS (SELECT o_orderkey, o_custkey, 'N' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-      FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)
-SELECT * FROM t UNION ALL
-SELECT * FROM u WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)""")
+      FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0),
+again AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(-1 AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority
+          FROM u WHERE o_orderkey % 5 = 0)
+SELECT *, 'stored' AS outcome FROM t UNION ALL
+SELECT *, 'inserted' FROM u WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t) UNION ALL
+SELECT *, 'collided' FROM (SELECT * FROM u UNION ALL SELECT * FROM again)
+WHERE o_orderkey IN (SELECT o_orderkey FROM t)""")
 def insert_only_q(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-4: colliding keys keep the stored row; only new keys are appended, once
-    each although the batch repeats some."""
+    """SNK-4: colliding keys keep the stored row and the batch's rows with such keys are
+    kept as collisions; only new keys are appended, once each although the batch
+    repeats some."""
     orders = _orders(spark, sf)
     path = scratch_dir(spark, "insert_only")
     load(orders.where(F.col("o_orderkey") % 2 == 0), path, ["o_orderkey"])
@@ -122,9 +129,11 @@ def insert_only_q(spark: SparkSession, sf: str) -> DataFrame:
     batch = orders.where((key % 2 == 1) | (key % 3 == 0)).withColumn("o_orderstatus", F.lit("N"))
     # Keys repeated within the batch: the last by ``order`` is inserted.
     repeats = batch.where(key % 5 == 0).withColumn("o_totalprice", F.lit(-1.0))
-    load(batch.withColumn("_seq", F.lit(2)).unionByName(repeats.withColumn("_seq", F.lit(1))),
-         path, ["o_orderkey"], order=["_seq"], mode="insert_only")
-    return read_table(spark, path).select(*ORDER_COLS)
+    report = load(batch.withColumn("_seq", F.lit(2)).unionByName(repeats.withColumn("_seq", F.lit(1))),
+                  path, ["o_orderkey"], order=["_seq"], mode="insert_only", transient=["_seq"])
+    table_rows = read_partitioned(spark, path).withColumn("outcome", F.when(key % 2 == 0, "stored").otherwise("inserted"))
+    collided = report.rows_of(spark, COLLIDED).select(*ORDER_COLS).withColumn("outcome", F.lit("collided"))
+    return table_rows.select(*ORDER_COLS, "outcome").unionByName(collided)
 
 
 @register("schema_evolve", f"""

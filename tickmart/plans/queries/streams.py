@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tickmart.plans.queries.oracle_sql import BARS, POINTS, with_ctes
 from tickmart.plans.queries.registry import register
 from tickmart.session import scratch_dir
-from tickmart.sinks.tables import read_table
+from tickmart.sinks.partitioned import read_partitioned
 from tickmart.sources.driver_tables import price_points, table
 from tickmart.streaming.bars import stream_daily_bars
 from tickmart.streaming.dedupe import dedupe_within_watermark
@@ -91,7 +91,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         src = spark.readStream.schema(b1.schema).parquet(f"{root}/{name}")
         _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
              .option("checkpointLocation", f"{root}/checkpoint-{name}"))
-    return read_table(spark, target)
+    return read_partitioned(spark, target)
 
 
 @register("stream_dedupe", """

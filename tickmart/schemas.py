@@ -27,24 +27,6 @@ _SNAPSHOT_NUMERIC = [
     "max_supply", "ath", "ath_change_percentage",
 ]
 
-ROI = T.StructType([
-    T.StructField("times", RAW_NUM),
-    T.StructField("currency", T.StringType()),
-    T.StructField("percentage", RAW_NUM),
-])
-
-# One coin object of the market snapshot payload (a JSON list of these).
-SNAPSHOT_COIN = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("id", "symbol", "name", "image")]
-    + [T.StructField(c, RAW_NUM) for c in _SNAPSHOT_NUMERIC]
-    + [T.StructField("ath_date", T.StringType()),
-       T.StructField("atl", RAW_NUM),
-       T.StructField("atl_change_percentage", RAW_NUM),
-       T.StructField("atl_date", T.StringType()),
-       T.StructField("roi", ROI),
-       T.StructField("last_updated", T.StringType())]
-)
-
 # Raw snapshot table: payload with roi flattened, typed dates, lineage stamp.
 RAW_SNAPSHOT = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("id", "symbol", "name", "image")]
@@ -57,23 +39,13 @@ RAW_SNAPSHOT = T.StructType(
        T.StructField("roi_currency", T.StringType()),
        T.StructField("roi_percentage", RAW_NUM),
        T.StructField("last_updated", T.TimestampNTZType()),
-       T.StructField("_ingested_at", T.TimestampNTZType())]
+       T.StructField("_ingested_at", T.TimestampNTZType()),
+       # Fields whose value did not fit: NULL here, the text is among the rejects.
+       T.StructField("rejected_fields", T.ArrayType(T.StringType()))]
 )
 
-# Chart payload: three series of [unix_ms, value] pairs, in the fetcher's
-# envelope (asset id and requested window length, when it records them).
+# Three series of [unix_ms, value] pairs.
 SERIES = T.ArrayType(T.ArrayType(RAW_NUM))
-CHART_PAYLOAD = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("chart_days", T.IntegerType()),
-    T.StructField("prices", SERIES),
-    T.StructField("market_caps", SERIES),
-    T.StructField("total_volumes", SERIES),
-])
-
-# The same series as text, for payloads with a number that does not fit.
-SERIES_TEXT = T.ArrayType(T.ArrayType(T.StringType()))
-CHART_TEXT = T.StructType([T.StructField(c, SERIES_TEXT) for c in ("prices", "market_caps", "total_volumes")])
 
 RAW_SERIES = T.StructType([
     T.StructField("coin_id", T.StringType(), False),
@@ -84,6 +56,9 @@ RAW_SERIES = T.StructType([
     T.StructField("_ingested_at", T.TimestampNTZType(), False),
 ])
 
+# What a payload held that could not be loaded.
+REJECTS = "batch_ts string, table_name string, id string, field string, raw string, reason string, source_file string"
+
 # Coin detail payload used for the category bridge.
 CATEGORY_PAYLOAD = T.StructType([
     T.StructField("id", T.StringType()),

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A JSON object that repeats a key is read like everywhere: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -1,4 +1,4 @@
-"""Keyed loads (SNK-1..4, SNK-8, SNK-10, J-8).
+"""Keyed merges of a batch into a table (SNK-1..4, SNK-8, J-8).
 
 ``upsert`` = reduce the batch to one row per key (the last one wins, as with
 row-by-row ``ON CONFLICT DO UPDATE``), drop the target rows whose key is in
@@ -12,16 +12,13 @@ without a shuffle; above it the join is a shuffle join.  Keys are never NULL
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickmart.operators.dedupe import keep_latest
 from tickmart.operators.joins import small_side
-from tickmart.sinks.tables import publish, read_table, stage, table_exists
 
 
 def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -29,16 +26,16 @@ def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           order: Sequence[str | Column] | None = None, batch_rows: int | None = None) -> DataFrame:
+           order: Sequence[str | Column] | None = None, stored: bool = False) -> DataFrame:
     """Insert new keys, overwrite every non-key column of existing ones.
 
-    With ``batch_rows`` known (the batch is stored) and its keys under the broadcast
-    limit, they are broadcast and the target is filtered without being shuffled.
+    The keys of a ``stored`` batch are measured and, under the broadcast limit,
+    broadcast: the target is then filtered without being shuffled.
     """
     if order:
         updates = latest_per_key(updates, keys, order)
     batch_keys = updates.select(*keys)
-    if batch_rows is not None:
+    if stored:
         batch_keys = small_side(batch_keys)
     # A USING join lists the keys first; keep the table's own column order.
     kept = target.join(batch_keys, list(keys), "left_anti").select(*target.columns)
@@ -46,7 +43,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
 
 def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str], version: str,
-                 batch_rows: int | None = None) -> DataFrame:
+                 stored: bool = False) -> DataFrame:
     """Upsert where a row replaces the stored one only if its ``version`` is
     not older: applying batches in any order (or twice) gives the same table.
 
@@ -61,7 +58,7 @@ def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str], ver
     incoming = (newest.join(stored, list(keys), "left")
                 .where(F.col("_stored").isNull() | (F.col(version) >= F.col("_stored")))
                 .select(*newest.columns))
-    return upsert(target, incoming, keys, batch_rows=batch_rows)
+    return upsert(target, incoming, keys, stored=stored)
 
 
 def _batch_order(batch: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -88,49 +85,3 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     have = set(df.columns)
     extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have]
     return df.select("*", *extra) if extra else df
-
-
-@dataclass
-class LoadReport:
-    table_path: str
-    batch_rows: int
-    table_rows: int
-    skipped: bool
-    version_path: str | None
-
-
-def load(updates: DataFrame, table_path: str, keys: Sequence[str],
-         order: Sequence[str | Column] | None = None, mode: str = "upsert") -> LoadReport:
-    """SNK-1..4 + SNK-9 + SNK-10: keyed load into a versioned table.
-
-    An empty batch writes nothing; a NULL in a key column is refused; keys that
-    repeat within the batch are reduced to one row (the last by ``order``, or by
-    the other columns).  The table row count is observed while the
-    new version is written (no extra pass over the table).
-    """
-    spark = updates.sparkSession
-    # The batch feeds both sides of the upsert and its source may be costly
-    # (parsed payloads): stage it once under the scratch root, counting it on
-    # the way, and upsert from the staged copy.
-    seen = Observation("batch")
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    updates = stage(updates.observe(seen, F.count(F.lit(1)).alias("n"),
-                                    F.count(F.when(no_key, 1)).alias("no_key")), "load-batch")
-    batch_rows = int(seen.get["n"])
-    if seen.get["no_key"]:
-        raise ValueError(f"{seen.get['no_key']} rows of the batch for {table_path} have a NULL in {list(keys)}")
-    order = order or _batch_order(updates, keys)
-    if batch_rows == 0:
-        rows = read_table(spark, table_path).count() if table_exists(spark, table_path) else 0
-        return LoadReport(table_path, 0, rows, True, None)
-    if table_exists(spark, table_path):
-        target = read_table(spark, table_path)
-        if mode == "insert_only":
-            result, _ = insert_only(target, updates, keys, order)
-        else:
-            result = upsert(target, updates, keys, order, batch_rows=batch_rows)
-    else:
-        result = latest_per_key(updates, keys, order)
-    table_obs = Observation("table")
-    out = publish(result.observe(table_obs, F.count(F.lit(1)).alias("n")), table_path)
-    return LoadReport(table_path, batch_rows, int(table_obs.get["n"]), False, out)
