@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from tickmart.operators.dedupe import missing_keys, top_n
 from tickmart.operators.unnest import unnest_series
-from tickmart.sources.payloads import category_rows, chart_rows, read_payloads, snapshot_rows
+from tickmart.operators.standardise import standardise_snapshot
+from tickmart.sources.payloads import (
+    accepted_charts, category_rows, chart_rows, parse_charts, parse_snapshots, read_keyed_payloads, read_payloads, rejects,
+    snapshot_rows,
+)
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
 BATCH = "2024-01-31 06:00:00"
@@ -114,3 +118,70 @@ def test_default_universe_when_none_landed(spark, tmp_path):
     assert u.count() == len(DEFAULT_UNIVERSE) == 100
     first = min(u.collect(), key=lambda r: (r.list_order._line, r.list_order._pos))
     assert first.coin_id == "bitcoin"
+
+
+def test_snapshot_values_that_do_not_fit_are_rejected_not_zero(spark):
+    text = ('[{"id":"a","current_price":1e21,"market_cap":"n/a","total_volume":"12.5","ath_date":"soon","high_24h":null},'
+            '{"id":"b","current_price":123456789012345678901,"low_24h":{"usd":1}},{"symbol":"x"},'
+            '{"id":"c","ath":99999999999999999999.5,"ath":7}]')
+    parsed = parse_snapshots(payloads(spark, [text, '{"error":"rate limit"}', "<html>"]), BATCH)
+    got = {(r.id, r.field): (r.raw, r.reason) for r in rejects(parsed).collect() if r.field != "payload"}
+    assert got == {("a", "current_price"): ("1.0E21", "out of range"), ("a", "market_cap"): ("n/a", "not a number"),
+                   ("a", "ath_date"): ("soon", "not a date"), ("b", "current_price"): ("123456789012345678901", "out of range"),
+                   ("b", "low_24h"): ('{"usd":1}', "not a number"), (None, "id"): ('{"symbol":"x"}', "no id")}
+    assert sorted(r.raw for r in rejects(parsed).collect() if r.field == "payload") == ["<html>", '{"error":"rate limit"}']
+    raw = {r.id: r for r in snapshot_rows(payloads(spark, [text]), BATCH).collect()}
+    assert set(raw) == {"a", "b", "c"} and raw["a"].rejected_fields == ["current_price", "market_cap", "ath_date"]
+    assert raw["a"].total_volume == D("12.5") and raw["c"].ath == 7 and raw["c"].rejected_fields is None
+    staged = {r.name_id: r for r in standardise_snapshot(snapshot_rows(payloads(spark, [text]), BATCH), "2024-02-01",
+                                                         "2024-02-01 06:00:00").collect()}
+    assert staged["a"].current_price is None and staged["a"].market_cap is None and staged["a"].all_time_high_date is None
+    assert staged["a"].high_24h == 0 and staged["b"].current_price is None and staged["c"].current_price == 0
+    assert str(staged["c"].all_time_high_date) == "2024-02-01"
+
+
+def test_chart_points_that_do_not_fit_are_set_aside(spark):
+    day = 1704067200000
+    text = json.dumps({"id": "a", "prices": [[day, 1.5], [day + 1, 2.5], [day + 2, "BIG"]],
+                       "market_caps": [[day, 10], [day + 1, "n/a"], [day + 2, 30], [day + 3, 40]],
+                       "total_volumes": [[day, None], [day + 1, 2], [day + 2, 3]]}).replace('"BIG"', "1e21")
+    parsed = parse_charts(payloads(spark, [text, '{"id":"b","prices":{}}', '{"prices":[]}']), BATCH, 90)
+    bad = {(r.id, r.field, r.raw, r.reason) for r in rejects(parsed).collect()}
+    assert bad == {("a", "prices[2][1]", "1.0E21", "out of range"), ("a", "market_caps[1][1]", "n/a", "not a number"),
+                   (None, "payload", '{"id":"b","prices":{}}', "no series"), (None, "payload", '{"prices":[]}', "no id")}
+    (pt,) = unnest_series(accepted_charts(parsed)).collect()
+    assert (pt.price, pt.market_cap, pt.total_volume) == (D("1.5"), D(10), None)
+
+
+def test_pretty_printed_files_lines_and_folders(spark, tmp_path):
+    for folder in ("p=1", "p=2"):
+        (tmp_path / "m" / folder).mkdir(parents=True)
+    (tmp_path / "m" / "p=2" / "page.json").write_text('[{"id":"a","symbol":"second"}]')
+    (tmp_path / "m" / "p=1" / "page.json").write_text('[{"id":"a","symbol":"first"}]')
+    assert rows(snapshot_rows(read_payloads(spark, str(tmp_path / "m")), BATCH), "symbol") == [("first",)]
+    charts = tmp_path / "c"
+    charts.mkdir()
+    chart = {"prices": [[1, 2]], "market_caps": [[1, 3]], "total_volumes": [[1, 4]]}
+    (charts / "btc.json").write_text(json.dumps(chart, indent=2))
+    (charts / "two.json").write_text("\n".join(json.dumps({"id": i, **chart}) for i in "xy") + "\n")
+    (charts / "part-0.jsonl").write_text(json.dumps({"id": "z", **chart}) + "\n")
+    read = read_keyed_payloads(spark, str(charts)).withColumn("_id", F.regexp_extract("source_file", r"([^/]+)\.json$", 1))
+    assert rows(chart_rows(read, BATCH, 90, id_col="_id"), "coin_id") == [("btc",), ("x",), ("y",), ("z",)]
+
+
+def test_a_long_series_is_many_tasks_work(spark):
+    from tickmart.operators.unnest import sliced
+    from tickmart.schemas import RAW_SERIES
+
+    def series(n):
+        return [[D(1704067200000 + i), D(i)] for i in range(n)]
+
+    def row(coin, n, m):
+        return (coin, 90, series(n), series(m), series(n), ts(BATCH))
+
+    raw = spark.createDataFrame([row("hot", 3000, 2990), *[row(f"c{i}", 30, 30) for i in range(100)], row("none", 0, 5)], RAW_SERIES)
+    cut = sliced(raw.coalesce(1), points=100)
+    key = ["coin_id", "ordinality", "price_ms", "price", "market_cap", "point_order"]
+    assert rows(unnest_series(cut), *key) == rows(unnest_series(raw), *key)
+    spread = cut.where("coin_id = 'hot'").groupBy(F.spark_partition_id()).agg(F.max(F.size("prices"))).collect()
+    assert len(spread) > 1 and max(r[1] for r in spread) <= 100

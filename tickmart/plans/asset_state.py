@@ -9,6 +9,8 @@ bars, those of the assets it concerns.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from tickmart.fixed import MOVING_AVERAGE_ROWS
 from tickmart.operators.joins import small_side
 from tickmart.operators.metrics import METRIC_COLUMNS, daily_metrics
 from tickmart.sinks.partitioned import (
-    create_buckets, live_months, merge_buckets, partitioned_exists, read_partitioned,
+    Months, create_buckets, live_months, merge_buckets, partitioned_exists, read_partitioned,
 )
 from tickmart.sinks.tables import stage
 from tickmart.sinks.upsert import upsert
@@ -61,63 +63,72 @@ def starts(changed: DataFrame, state: DataFrame) -> DataFrame:
                                                         1, LOOKBACK_ROWS).alias("before"), enough.alias("shallow"))
 
 
-def recompute(spark: SparkSession, bars_path: str, changed: DataFrame, state: DataFrame, assets: DataFrame,
-              price_scale: int = 2) -> tuple[DataFrame, list[str]]:
-    """INC-2 -> (metric rows from each asset's first changed bar on, months of bars read).
+@dataclass
+class Change:
+    """Where the changed assets go on from (``start``, stored), and what that takes of the bars."""
 
-    ``changed`` is stored and already in the bars table.  Of the bars only the months
-    from the first change on are opened; bars before it come from the tails.
-    """
-    start = stage(starts(changed, state), "metric-starts")
-    live = live_months(spark, bars_path)
+    start: DataFrame
+    months: list[str]     # months of bars from the first change on
+    deep: bool            # some change lies beyond its asset's tail
+
+
+def change_of(spark: SparkSession, changed: DataFrame, state: DataFrame) -> Change:
+    """``changed`` is stored and not yet in ``state``."""
+    start = stage(starts(changed, state), "starts")
     seen = start.groupBy("shallow").agg(F.date_format(F.min("affected_from"), "yyyy-MM").alias("month")).collect()
-    months = [m for m in live.writes if any(r["month"] <= m for r in seen)]
-    sides = small_side(start.select("coin_id", "affected_from"))
-    after = live.read(spark, months).join(sides, "coin_id").where(F.col("coin_date") >= F.col("affected_from"))
-    halo = start.where("shallow").select("coin_id", F.explode("before").alias("b")).select(
-        "coin_id", F.col("b.d").alias("coin_date"), F.col("b.c").alias("close_price"))
-    if any(not r["shallow"] for r in seen):
+    return Change(start, [r["month"] for r in seen], any(not r["shallow"] for r in seen))
+
+
+def _bars_from(spark: SparkSession, live: Months, change: Change) -> DataFrame:
+    """The bars of the changed assets from their first change on."""
+    months = [m for m in live.writes if any(first <= m for first in change.months)]
+    sides = small_side(change.start.select("coin_id", "affected_from"))
+    return live.read(spark, months).join(sides, "coin_id").where(F.col("coin_date") >= F.col("affected_from"))
+
+
+def recompute(spark: SparkSession, bars_path: str, change: Change, assets: DataFrame, price_scale: int = 2) -> DataFrame:
+    """INC-2 -> metric rows from each asset's first changed bar on.
+
+    The changed bars are in the bars table already.  Of it only the months from the first
+    change on are opened; bars before it come from the tails.
+    """
+    start, live = change.start, live_months(spark, bars_path)
+    after = _bars_from(spark, live, change)
+    halo = start.where("shallow").select("coin_id", "affected_from", F.explode("before").alias("b"))
+    if change.deep:
         # Changes beyond the tail: the rows before them, of these assets only.
         deep = small_side(start.where(~F.col("shallow")).select("coin_id", "affected_from"))
         old = live.read(spark).select("coin_id", "coin_date", "close_price").join(deep, "coin_id").where(
             F.col("coin_date") < F.col("affected_from"))
-        tails = old.groupBy("coin_id").agg(F.slice(F.reverse(F.array_sort(F.collect_list(_closes()))), 1, LOOKBACK_ROWS).alias("b"))
-        halo = halo.unionByName(tails.select("coin_id", F.explode("b").alias("b")).select(
-            "coin_id", F.col("b.d").alias("coin_date"), F.col("b.c").alias("close_price")))
-        months = sorted(live.writes)
-    window = after.drop("affected_from").unionByName(halo, allowMissingColumns=True)
-    rows = (daily_metrics(window, assets, price_scale)
-            .join(sides.select("coin_id", "affected_from"), "coin_id")
+        tails = old.groupBy("coin_id", "affected_from").agg(F.collect_list(_closes()).alias("b"))
+        halo = halo.unionByName(tails.select("coin_id", "affected_from", F.explode(
+            F.slice(F.reverse(F.array_sort("b")), 1, LOOKBACK_ROWS)).alias("b")))
+    halo = halo.select("coin_id", "affected_from", F.col("b.d").alias("coin_date"), F.col("b.c").alias("close_price"))
+    window = after.unionByName(halo, allowMissingColumns=True)
+    return (daily_metrics(window.drop("affected_from"), assets, price_scale)
+            .join(small_side(start.select("coin_id", "affected_from")), "coin_id")
             .where(F.col("date_stamp") >= F.col("affected_from")).select(*METRIC_COLUMNS))
-    return rows, months
 
 
-def advance(spark: SparkSession, state_path: str, bars_path: str, changed: DataFrame) -> None:
-    """Bring the state of the changed assets up to date (they are few; only their
-    buckets are rewritten).  Running it again for the same change gives the same state."""
-    state = read_state(spark, state_path)
-    start = starts(changed, state).select("coin_id", "affected_from", "shallow")
-    marks = changed.groupBy("coin_id").agg(F.max("_ingested_at").alias("new_mark"))
-    known = start.join(marks, "coin_id").join(state, "coin_id", "left")
+def advance(spark: SparkSession, state_path: str, bars_path: str, changed: DataFrame, change: Change, state: DataFrame) -> None:
+    """Bring the state of the changed assets up to date (only their buckets are
+    rewritten).  Running it again for the same change gives the same state."""
     live = live_months(spark, bars_path)
-    first = changed.agg(F.date_format(F.min("coin_date"), "yyyy-MM")).first()[0]
-    deep = not start.where(~F.col("shallow")).isEmpty()
-    sides = small_side(start.select("coin_id", "affected_from"))
-    bars = live.read(spark, None if deep else [m for m in live.writes if m >= first]).select("coin_id", "coin_date", "close_price")
-    after = (bars.join(sides, "coin_id").where(F.col("coin_date") >= F.col("affected_from"))
-             .groupBy("coin_id").agg(F.collect_list(_closes()).alias("after")))
     none = F.array().cast(state.schema["tail"].dataType)
-    kept = F.filter(F.coalesce("tail", none), lambda x: x["d"] < F.col("affected_from"))
-    gone = F.size(F.filter(F.coalesce("tail", none), lambda x: x["d"] >= F.col("affected_from")))
-    rows = known.join(after, "coin_id", "left").select(
+    after = (_bars_from(spark, live, change).groupBy("coin_id").agg(F.collect_list(_closes()).alias("after")))
+    marks = changed.groupBy("coin_id").agg(F.max("_ingested_at").alias("new_mark"))
+    known = (change.start.select("coin_id", "affected_from", "shallow").join(marks, "coin_id")
+             .join(state, "coin_id", "left").join(after, "coin_id", "left"))
+    tail, after_ = F.coalesce("tail", none), F.coalesce("after", none)
+    kept = F.filter(tail, lambda x: x["d"] < F.col("affected_from"))
+    gone = F.size(tail) - F.size(kept)
+    rows = known.select(
         "coin_id", F.greatest("max_ingested_at", "new_mark").alias("max_ingested_at"),
-        (F.coalesce("n_bars", F.lit(0)) - gone + F.size(F.coalesce("after", none))).alias("n_bars"),
-        _tail(F.concat(kept, F.coalesce("after", none))).alias("tail"), "shallow")
-    # Beyond the tail, count and tail come from all bars of the asset.
-    if deep:
-        every = live.read(spark).join(small_side(start.where(~F.col("shallow")).select("coin_id")), "coin_id", "left_semi")
+        (F.coalesce("n_bars", F.lit(0)) - gone + F.size(after_)).cast("long").alias("n_bars"),
+        _tail(F.concat(kept, after_)).alias("tail"), "shallow")
+    if change.deep:
+        # Beyond the tail, count and tail come from all bars of the asset.
+        every = live.read(spark).join(small_side(change.start.where(~F.col("shallow")).select("coin_id")), "coin_id", "left_semi")
         rows = rows.where("shallow").drop("shallow").unionByName(state_of(every))
-    else:
-        rows = rows.drop("shallow")
-    rows = stage(rows, "asset-state")
+    rows = stage(rows.drop("shallow"), "asset-state")
     merge_buckets(rows, state_path, lambda current: upsert(current, rows, ["coin_id"], stored=True))

@@ -22,6 +22,8 @@ the asset state (``plans.asset_state``); bars and metrics change by month.
 
 from __future__ import annotations
 
+import contextvars
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,7 +39,7 @@ from tickmart.sinks.ingest_log import IngestLog
 from tickmart.sinks.partitioned import (
     commit, live_months, partitioned_exists, replace_partitioned, upsert_partitions, write_months,
 )
-from tickmart.sinks.tables import publish, read_table, stage, table_exists
+from tickmart.sinks.tables import publish, publish_document, read_document, read_table, stage, table_exists
 from tickmart.sinks.upsert import upsert
 
 BAR_KEYS = ["coin_id", "coin_date"]
@@ -201,7 +203,7 @@ def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price
     batches = log.batches()
 
     def done() -> None:
-        publish(spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1), t.merged)
+        publish_document(spark, t.merged, {"batches": batches})
 
     if full_refresh or not (partitioned_exists(spark, t.bars) and partitioned_exists(spark, t.state)):
         bars = daily_bars(unnest_series(sliced(log.read())), price_scale)
@@ -217,7 +219,7 @@ def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price
             publish(read_table(spark, t.pending).limit(0), t.pending)
         done()
         return
-    merged = {r["batch"] for r in read_table(spark, t.merged).collect()} if table_exists(spark, t.merged) else set()
+    merged = set((read_document(spark, t.merged) or {"batches": []})["batches"])
     state = S.read_state(spark, t.state)
     changes = changed_bars(log, [b for b in batches if b not in merged], state, t.bars, price_scale, protect_boundary, window_cols)
     left = read_table(spark, t.pending) if table_exists(spark, t.pending) else None
@@ -229,11 +231,19 @@ def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price
         publish(changes if left is None else upsert(left, changes, BAR_KEYS), t.pending)
     changed = read_table(spark, t.pending)
     upsert_partitions(changed, t.bars, BAR_KEYS, "coin_date", stored=True)
-    if not partitioned_exists(spark, t.metrics):
-        replace_partitioned(daily_metrics(live_months(spark, t.bars).read(spark), assets, price_scale), t.metrics, "date_stamp")
-    else:
-        recomputed, _ = S.recompute(spark, t.bars, changed, state, assets, price_scale)
-        upsert_partitions(recomputed, t.metrics, METRIC_KEYS, "date_stamp")
-    S.advance(spark, t.state, t.bars, changed)
+    change = S.change_of(spark, changed, state)
+
+    def metrics() -> None:
+        if not partitioned_exists(spark, t.metrics):
+            replace_partitioned(daily_metrics(live_months(spark, t.bars).read(spark), assets, price_scale), t.metrics, "date_stamp")
+        else:
+            upsert_partitions(S.recompute(spark, t.bars, change, assets, price_scale), t.metrics, METRIC_KEYS, "date_stamp")
+
+    # Independent of each other: two Spark jobs at a time.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        both = [pool.submit(contextvars.copy_context().run, f, *a) for f, *a in (
+            (metrics,), (S.advance, spark, t.state, t.bars, changed, change, state))]
+        for one in both:
+            one.result()
     publish(changed.limit(0), t.pending)
     done()

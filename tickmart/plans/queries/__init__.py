@@ -13,5 +13,5 @@ READ_ONLY = [
     "series_unnest_positional", "standardise_snapshot", "struct_flatten", "bridge_explode",
     "universe_semi", "missing_assets_anti", "distinct_on_key", "keep_first", "top_n_by_cap",
     "dq_unique", "dq_not_null", "dq_unique_combo", "dq_relationships", "dq_non_negative",
-    "dq_report", "dq_freshness", "write_constraints",
+    "dq_report", "dq_freshness",
 ]

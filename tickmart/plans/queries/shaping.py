@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from tickmart.fixed import SNAPSHOT_PAGE_SIZE
 from tickmart.operators.dedupe import keep_first, keep_latest, missing_keys, top_n
 from tickmart.operators.standardise import SNAPSHOT_RULES, standardise_snapshot
-from tickmart.operators.unnest import unnest_series
+from tickmart.operators.unnest import sliced, unnest_series
 from tickmart.plans.queries.registry import register
-from tickmart.schemas import RAW_NUM
+from tickmart.schemas import RAW_NUM, RAW_SNAPSHOT
 from tickmart.sources.driver_tables import PRICE_IN, market_cap_of, table
-from tickmart.sources.payloads import category_rows, snapshot_rows
+from tickmart.session import scratch_dir
+from tickmart.sinks.tables import stage
+from tickmart.sources.payloads import accepted_charts, category_rows, parse_charts, read_payloads, rejects, snapshot_rows
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
 BATCH_TS = "2024-01-31 06:00:00"
@@ -87,7 +89,8 @@ FROM q
 WHERE pos <= n - GREATEST(CASE WHEN chunk_id % 2 = 1 THEN 1 ELSE 0 END,
                           CASE WHEN chunk_id % 3 = 2 THEN 1 ELSE 0 END)""")
 def series_unnest_positional(spark: SparkSession, sf: str) -> DataFrame:
-    pts = unnest_series(packed_series(table(spark, sf, "events")), keep=("chunk_id",))
+    """J-2: every packed series is cut into slices of 4 points before it is unnested."""
+    pts = unnest_series(sliced(packed_series(table(spark, sf, "events")), points=4), keep=("chunk_id",))
     return pts.select("coin_id", "chunk_id", F.col("ordinality").cast("long").alias("ordinality"),
                       "price_ms", "price_ts", "price", "market_cap", "total_volume")
 
@@ -128,12 +131,7 @@ _RAW_FROM_CUSTOMER = [
     ("roi_currency", "CASE WHEN c_custkey % 3 = 0 THEN ' usd' END"),
     ("roi_percentage", "CASE WHEN c_custkey % 3 = 0 THEN CAST(c_acctbal AS DECIMAL(20,4)) * 1.25 END"),
 ]
-_NUMERIC_RAW = {"current_price", "market_cap", "market_cap_rank", "fully_diluted_valuation",
-                "total_volume", "high_24h", "low_24h", "price_change_24h",
-                "price_change_percentage_24h", "market_cap_change_24h",
-                "market_cap_change_percentage_24h", "circulating_supply", "total_supply",
-                "max_supply", "ath", "ath_change_percentage", "atl", "atl_change_percentage",
-                "roi_times", "roi_percentage"}
+_NUMERIC_RAW = {f.name for f in RAW_SNAPSHOT.fields if f.dataType == RAW_NUM}
 
 
 def _raw_expr(name: str, sql: str) -> str:
@@ -187,7 +185,9 @@ def standardise_snapshot_q(spark: SparkSession, sf: str) -> DataFrame:
 def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
     """customer -> JSON list payloads of about 50 to 100 coins (50 ids, some twice).
 
-    ``roi`` is an object, ``null`` or a string by id; beside the real coins, ids
+    ``roi`` is an object, ``null`` or a string by id; ``high_24h`` is out of range for ids
+    ``% 17 == 0``, ``low_24h`` no number for ids ``% 19 == 0``, and ``last_updated`` no
+    date for ids ``% 23 == 0``; beside the real coins, ids
     ``% 31 == 0`` have a copy without id, ids ``% 25 == 0`` a second copy that
     differs, and there is an API error object for every tenth payload.  With
     ``dressed=False`` there are only the real coins.
@@ -202,7 +202,9 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
         F.date_format(F.date_add(F.lit("2021-11-10").cast("date"), F.col("c_nationkey")),
                       "yyyy-MM-dd'T'00:00:00.000'Z'").alias("ath_date"),
         F.date_format(F.timestamp_seconds(F.lit(1706659200) + F.col("c_custkey")),
-                      "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("last_updated"),
+                      "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("stamp"),
+        (F.col("c_acctbal").cast(PRICE_IN) + 1).cast(RAW_NUM).cast("string").alias("high"),
+        (F.col("c_acctbal").cast(PRICE_IN) - 1).cast(RAW_NUM).cast("string").alias("low"),
         F.to_json(F.struct((F.col("c_acctbal").cast(PRICE_IN) * F.lit(Decimal("0.0125"))).cast(RAW_NUM).alias("times"),
                            F.lit("usd").alias("currency"),
                            (F.col("c_acctbal").cast(PRICE_IN) * F.lit(Decimal("1.25"))).cast(RAW_NUM).alias("percentage")))
@@ -210,8 +212,12 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
     )
     roi = (F.when(_mod("k", 3) == 0, F.col("roi_obj"))
            .when(_mod("k", 3) == 1, F.lit("null")).otherwise(F.lit('"n/a"')))
+    def odd(n: int, value: str, usual: str) -> Column:
+        return F.when(F.lit(dressed) & (_mod("k", n) == 0), F.lit(value)).otherwise(F.col(usual))
+
     first = c.select("k", F.lit(0).alias("copy"), "id", "symbol", "name", "current_price",
-                     "market_cap", "ath_date", "last_updated", roi.alias("roi"))
+                     "market_cap", "ath_date", odd(23, "yesterday", "stamp").alias("last_updated"), roi.alias("roi"),
+                     odd(17, "1e21", "high").alias("high"), odd(19, '"n/a"', "low").alias("low"))
     again = (first.where(F.lit(dressed) & (_mod("k", 25) == 0))
              .withColumn("copy", F.lit(1))
              .withColumn("current_price", (F.col("current_price") * 2).cast(RAW_NUM)))
@@ -219,8 +225,8 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
     coins = first.unionByName(again).unionByName(blank)
     body = F.to_json(F.struct("id", "symbol", "name", "current_price", "market_cap",
                               "ath_date", "last_updated"))
-    text = F.concat(F.expr("substr(_body, 1, length(_body) - 1)"), F.lit(',"roi":'), F.col("roi"),
-                    F.lit("}"))
+    text = F.concat(F.expr("substr(_body, 1, length(_body) - 1)"), F.lit(',"high_24h":'), F.col("high"),
+                    F.lit(',"low_24h":'), F.col("low"), F.lit(',"roi":'), F.col("roi"), F.lit("}"))
     coins = coins.withColumn("_body", body).select(
         (F.col("k") - F.col("k") % 50).alias("chunk"), "k", "copy", text.alias("coin"))
     payloads = coins.groupBy("chunk").agg(
@@ -240,17 +246,94 @@ def snapshot_payloads(customer: DataFrame, dressed: bool = True) -> DataFrame:
 SELECT CAST(c_custkey AS VARCHAR) AS id, lower(substr(c_mktsegment, 1, 3)) AS symbol, c_name AS name,
   CAST(CAST(c_acctbal AS DECIMAL(20,4)) * 0.125 AS DECIMAL(38,18)) AS current_price,
   CAST(CAST(c_acctbal AS DECIMAL(20,4)) * 1000 AS DECIMAL(38,18)) AS market_cap,
+  CASE WHEN c_custkey % 17 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(20,4)) + 1 AS DECIMAL(38,18)) END AS high_24h,
+  CASE WHEN c_custkey % 19 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(20,4)) - 1 AS DECIMAL(38,18)) END AS low_24h,
   DATE '2021-11-10' + c_nationkey AS ath_date,
-  TIMESTAMP '2024-01-31 00:00:00' + to_seconds(c_custkey) AS last_updated,
+  CASE WHEN c_custkey % 23 <> 0 THEN TIMESTAMP '2024-01-31 00:00:00' + to_seconds(c_custkey) END AS last_updated,
+  concat_ws(',', CASE WHEN c_custkey % 17 = 0 THEN 'high_24h' END, CASE WHEN c_custkey % 19 = 0 THEN 'low_24h' END,
+            CASE WHEN c_custkey % 23 = 0 THEN 'last_updated' END) AS rejected,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(CAST(c_acctbal AS DECIMAL(20,4)) * 0.0125 AS DECIMAL(38,18)) END AS roi_times,
   CASE WHEN c_custkey % 3 = 0 THEN 'usd' END AS roi_currency,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(CAST(c_acctbal AS DECIMAL(20,4)) * 1.25 AS DECIMAL(38,18)) END AS roi_percentage,
   TIMESTAMP '2024-01-31 06:00:00' AS _ingested_at
 FROM customer""")
 def struct_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1 / PRJ-1 / FLT-1 / TOP-4: payload lists -> raw rows; numbers and dates that
+    do not fit are NULL and named."""
     rows = snapshot_rows(snapshot_payloads(table(spark, sf, "customer")), BATCH_TS)
-    return rows.select("id", "symbol", "name", "current_price", "market_cap", "ath_date",
-                       "last_updated", "roi_times", "roi_currency", "roi_percentage", "_ingested_at")
+    return rows.select("id", "symbol", "name", "current_price", "market_cap", "high_24h", "low_24h", "ath_date", "last_updated",
+                       F.array_join(F.coalesce("rejected_fields", F.array().cast("array<string>")), ",").alias("rejected"),
+                       "roi_times", "roi_currency", "roi_percentage", "_ingested_at")
+
+
+# --- SRC-2 with payloads as they come ----------------------------------------------------
+
+def chart_payloads(events: DataFrame) -> DataFrame:
+    """events -> one chart payload an asset: all its points, beside them a point out of
+    range (assets ``% 3 == 0``, at the end) or a market cap that is no number (``% 3 == 1``,
+    in front); and an error object for assets ``% 4 == 0``."""
+    price = F.col("value").cast(PRICE_IN)
+    cap = market_cap_of(F.col("props"))
+    asset = F.col("user_id")
+    points = events.select(asset, F.struct(
+        "ts", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), price.cast(RAW_NUM).alias("price"),
+        cap.cast(RAW_NUM).alias("cap"), (price * cap).cast(RAW_NUM).alias("vol")).alias("pt"))
+    packed = points.groupBy("user_id").agg(F.array_sort(F.collect_list("pt")).alias("pts"))
+
+    def series(field: str) -> Column:
+        pairs = F.transform("pts", lambda x: F.concat(F.lit("["), x["ms"].cast("string"), F.lit(","), x[field].cast("string"), F.lit("]")))
+        late = F.when(asset % 3 == 0, F.array(F.lit("[1893456000000,1e21]" if field == "price" else "[1893456000000,1]")))
+        early = F.when(asset % 3 == 1, F.array(F.lit('[0,"n/a"]' if field == "cap" else "[0,1]")))
+        none = F.array().cast("array<string>")
+        listed = F.concat(F.coalesce(early, none), pairs, F.coalesce(late, none))
+        return F.concat(F.lit("["), F.array_join(listed, ",\n  "), F.lit("]"))
+
+    body = F.concat(F.lit('{\n "id": "'), asset.cast("string"), F.lit('",\n "chart_days": 90,\n "prices": '), series("price"),
+                    F.lit(',\n "market_caps": '), series("cap"), F.lit(',\n "total_volumes": '), series("vol"), F.lit("\n}\n"))
+    pretty = packed.where(asset % 5 == 0).select(body.alias("value"), F.lit("files").alias("landed_as"), asset)
+    lines = packed.where(asset % 5 != 0).select(F.regexp_replace(body, "\n *", "").alias("value"), F.lit("lines").alias("landed_as"), asset)
+    errors = packed.where(asset % 4 == 0).select(F.concat(F.lit('{"error":"rate limited","id":"'), asset.cast("string"), F.lit('"}')).alias("value"),
+                                                 F.lit("lines").alias("landed_as"), asset)
+    return pretty.unionByName(lines).unionByName(errors)
+
+
+@register("chart_payloads", """
+WITH p AS (
+  SELECT user_id, CAST(user_id AS VARCHAR) AS id, epoch_us(ts) // 1000 AS ms,
+    CAST(CAST(value AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS price,
+    CAST(CAST(json_extract_string(props, '$.k') AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS market_cap,
+    CAST(CAST(value AS DECIMAL(20,4)) * CAST(json_extract_string(props, '$.k') AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS total_volume,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place,
+    count(*) OVER (PARTITION BY user_id) AS n
+  FROM events WHERE user_id IS NOT NULL
+), assets AS (SELECT user_id, any_value(id) AS id, any_value(n) AS n FROM p GROUP BY user_id)
+SELECT 'point' AS kind, id, place AS ordinality, ms, price, market_cap, total_volume,
+       CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS VARCHAR) AS reason FROM p
+UNION ALL
+SELECT 'reject', id, 0, 0, NULL, NULL, NULL, 'prices[' || n || '][1]', '1.0E21', 'out of range' FROM assets WHERE user_id % 3 = 0
+UNION ALL
+SELECT 'reject', id, 0, 0, NULL, NULL, NULL, 'market_caps[0][1]', 'n/a', 'not a number' FROM assets WHERE user_id % 3 = 1
+UNION ALL
+SELECT 'reject', NULL, 0, 0, NULL, NULL, NULL, 'payload', '{"error":"rate limited","id":"' || id || '"}', 'no series'
+FROM assets WHERE user_id % 4 = 0""")
+def chart_payloads_q(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-2: pretty-printed response files, JSON lines and error objects, read from files:
+    every real point comes out, every value that does not fit is a reject row."""
+    payloads = chart_payloads(table(spark, sf, "events").where(F.col("user_id").isNotNull()))
+    root = scratch_dir(spark, "chart_payloads")
+    lines = payloads.where(F.col("landed_as") == "lines").select("value")
+    lines.write.text(f"{root}/lines")
+    # A file a payload, as fetched.
+    payloads.where(F.col("landed_as") == "files").select("value", "user_id").repartition("user_id").write.partitionBy(
+        "user_id").option("lineSep", "\n").text(f"{root}/files")
+    read = read_payloads(spark, f"{root}/lines", whole_files=False).unionByName(read_payloads(spark, f"{root}/files"))
+    parsed = stage(parse_charts(read, BATCH_TS, 90), "parsed-charts")
+    points = unnest_series(sliced(accepted_charts(parsed))).select(
+        F.lit("point").alias("kind"), F.col("coin_id").alias("id"), F.col("ordinality").cast("long").alias("ordinality"),
+        F.col("price_ms").alias("ms"), "price", "market_cap", "total_volume")
+    none = F.lit(0).cast("long")
+    bad = rejects(parsed).select(F.lit("reject").alias("kind"), "id", none.alias("ordinality"), none.alias("ms"), "field", "raw", "reason")
+    return points.unionByName(bad, allowMissingColumns=True)
 
 
 # --- SRC-3 ------------------------------------------------------------------

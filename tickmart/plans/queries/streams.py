@@ -20,6 +20,7 @@ from tickmart.sinks.partitioned import read_partitioned
 from tickmart.sources.driver_tables import price_points, table
 from tickmart.streaming.bars import stream_daily_bars
 from tickmart.streaming.dedupe import dedupe_within_watermark
+from tickmart.streaming.state import start
 from tickmart.streaming.upsert import upsert_batch_writer
 
 
@@ -34,8 +35,8 @@ def _two_waves(deliveries: DataFrame, folder: str, run) -> None:
         run()
 
 
-def _run(stream_writer) -> None:
-    q = stream_writer.trigger(availableNow=True).start()
+def _run(spark: SparkSession, stream_writer) -> None:
+    q = start(spark, stream_writer.trigger(availableNow=True))
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -52,7 +53,7 @@ def stream_bars(spark: SparkSession, sf: str) -> DataFrame:
     def run() -> None:
         src = spark.readStream.schema(events.schema).parquet(f"{root}/source")
         bars = stream_daily_bars(price_points(src), lateness="1 day")
-        _run(bars.writeStream.format("parquet").outputMode("append")
+        _run(spark, bars.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
 
     _two_waves(events.withColumn("delivered", F.to_date("ts")), f"{root}/source", run)
@@ -89,7 +90,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         for b in batches:
             b.write.mode("append").parquet(f"{root}/{name}")
         src = spark.readStream.schema(b1.schema).parquet(f"{root}/{name}")
-        _run(src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
+        _run(spark, src.writeStream.foreachBatch(upsert_batch_writer(target, ["o_orderkey"], "_seq"))
              .option("checkpointLocation", f"{root}/checkpoint-{name}"))
     return read_partitioned(spark, target)
 
@@ -108,7 +109,7 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     def run() -> None:
         src = spark.readStream.schema(events.schema).parquet(f"{root}/source")
         out = dedupe_within_watermark(src, ["event_id"], "ts", "1 day")
-        _run(out.writeStream.format("parquet").outputMode("append")
+        _run(spark, out.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/sink"))
 
     _two_waves(events.withColumn("delivered", F.explode(days)), f"{root}/source", run)

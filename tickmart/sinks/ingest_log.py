@@ -15,15 +15,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators.joins import small_side
 from tickmart.sinks.partitioned import Months, _write, commit, live_months, partitioned_exists
-from tickmart.sinks.tables import publish, read_table, table_exists
+from tickmart.sinks.tables import publish_document, read_document
 
 BATCH = "batch"
-_INDEX = "batch string, first_ms long, last_ms long"
 
 
 def batch_name(batch_ts: str) -> str:
@@ -47,9 +46,9 @@ class IngestLog:
         """Live batches, oldest first."""
         return sorted(self.live().writes)
 
-    def _index(self) -> dict[str, tuple]:
-        """Range of point times of each live batch (one small row each)."""
-        return {r["batch"]: (r["first_ms"], r["last_ms"]) for r in read_table(self.spark, f"{self.path}/index").collect()}
+    def _index(self) -> dict[str, list]:
+        """Range of point times of each live batch (two numbers each)."""
+        return read_document(self.spark, f"{self.path}/index") or {}
 
     def _keys_of(self, live: Months, batches: Sequence[str]) -> DataFrame:
         """Key columns and batch of the rows of some batches; the arrays are not read."""
@@ -62,7 +61,9 @@ class IngestLog:
     def append(self, rows: DataFrame, batch_ts: str, times: str = "prices") -> Months:
         """Store ``rows`` (one a key) as the batch of ``batch_ts``; running the same
         batch again replaces it."""
-        name = batch_name(batch_ts)
+        name, seen = batch_name(batch_ts), Observation("times")
+        at = F.transform(times, lambda p: F.get(p, 0).cast("long"))
+        rows = rows.observe(seen, F.min(F.array_min(at)).alias("first"), F.max(F.array_max(at)).alias("last"))
         new = _write(rows.withColumn(BATCH, F.lit(name)), self.path, f"{BATCH}:{','.join(self.keys)}")
         old = self.live() if self.exists() else Months(self.path, new.schema, {}, {}, new.layout)
         writes, counts = {**old.writes, **new.writes}, {**old.rows, **new.rows}
@@ -72,13 +73,10 @@ class IngestLog:
             current = {r[0] for r in newest.select(BATCH).distinct().collect()}
             live.writes = {b: w for b, w in writes.items() if b in current}
             live.rows = {b: counts[b] for b in live.writes}
-        index = self._index() if table_exists(self.spark, f"{self.path}/index") else {}
+        index = self._index()
         if name in new.writes:
-            at = F.flatten(F.array(F.transform(times, lambda p: F.get(p, 0).cast("long"))))
-            first, last = new.read(self.spark, [name]).agg(F.min(F.array_min(at)), F.max(F.array_max(at))).first()
-            index[name] = (first, last)
-        rows_ = [(b, *index.get(b, (None, None))) for b in sorted(live.writes)]
-        publish(self.spark.createDataFrame(rows_, _INDEX).coalesce(1), f"{self.path}/index")
+            index[name] = [seen.get["first"], seen.get["last"]]
+        publish_document(self.spark, f"{self.path}/index", {b: index.get(b, [None, None]) for b in live.writes})
         commit(self.spark, live)
         return live
 

@@ -7,10 +7,10 @@ parts:
 
 * ``<path>/data/<write>/month=YYYY-MM/`` or ``.../bucket=N/``: what one write put
   there; never changed or deleted while any kept pointer names it.
-* ``<path>/live``: a small versioned table (``sinks.tables.publish``), one row a
-  part, naming the write that holds it, its rows and the table's layout (with the
-  bucket count).  Publishing it is the only step that changes what readers see, so a
-  write that fails leaves the table as it was.
+* ``<path>/live``: a small versioned document (``sinks.tables.publish_document``):
+  the write that holds each part, its rows, and the table's layout (with the bucket
+  count).  Publishing it is the only step that changes what readers see, so a write
+  that fails leaves the table as it was.
 
 Each touched part is read once, merged with the batch by key (``upsert``) and
 written once; other parts are neither read nor written.  A rerun of the same
@@ -19,7 +19,6 @@ batch gives the same rows.  One writer at a time.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -28,14 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickmart.sinks.tables import _fs, committed_versions, publish, read_table, stage, table_exists, vacuum
+from tickmart.sinks.tables import _fs, committed_versions, publish_document, read_document, stage, table_exists, vacuum
 from tickmart.sinks.upsert import upsert
 
 PARTITION_COL = "month"
 BUCKET_COL = "bucket"
 BUCKETS_CONF = "tickmart.buckets"
 DEFAULT_BUCKETS = 16
-_LIVE_SCHEMA = "month string, write string, table_schema string, rows long, layout string"
 
 
 @dataclass
@@ -91,11 +89,11 @@ def partitioned_exists(spark: SparkSession, path: str) -> bool:
 
 
 def live_months(spark: SparkSession, path: str, version: int | None = None) -> Months:
-    """The live parts (one small row each)."""
-    rows = read_table(spark, f"{path}/live", version).collect()
-    parts = [r for r in rows if r["month"] is not None]
-    return Months(path, T.StructType.fromJson(json.loads(rows[0]["table_schema"])),
-                  {r["month"]: r["write"] for r in parts}, {r["month"]: r["rows"] for r in parts}, rows[0]["layout"])
+    """The live parts (a name and two values each)."""
+    doc = read_document(spark, f"{path}/live", version)
+    if doc is None:
+        raise FileNotFoundError(f"no committed version under {path}")
+    return Months(path, T.StructType.fromJson(doc["schema"]), doc["writes"], doc["rows"], doc["layout"])
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
@@ -104,10 +102,8 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 def commit(spark: SparkSession, live: Months) -> None:
     """Make ``live`` what readers see."""
-    schema = json.dumps(live.schema.jsonValue())
-    rows = [(m, w, schema, live.rows.get(m), live.layout) for m, w in sorted(live.writes.items())]
-    rows = rows or [(None, None, schema, 0, live.layout)]
-    publish(spark.createDataFrame(rows, _LIVE_SCHEMA).coalesce(1), f"{live.path}/live")
+    publish_document(spark, f"{live.path}/live", {"schema": live.schema.jsonValue(), "writes": live.writes,
+                                                  "rows": live.rows, "layout": live.layout})
 
 
 def _write(df: DataFrame, path: str, layout: str = PARTITION_COL) -> Months:

@@ -11,6 +11,7 @@ so the same code works on local disk, HDFS or object stores.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,33 @@ def read_table(spark: SparkSession, table_path: str, version: int | None = None)
     return spark.read.parquet(version_path(table_path, v))
 
 
+def publish_document(spark: SparkSession, path: str, document: dict) -> None:
+    """Write a small JSON document (a pointer, an index) as the next version of ``path``,
+    by the same rule: it counts once its ``_SUCCESS`` is there."""
+    existing = _versions(spark, path, committed_only=False)
+    out = version_path(path, (existing[-1] if existing else 0) + 1)
+    for name, text in (("document.json", json.dumps(document, sort_keys=True)), ("_SUCCESS", "")):
+        fs, p = _fs(spark, f"{out}/{name}")
+        stream = fs.create(p, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+
+def read_document(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
+    """The latest (or a given) committed document; None without one."""
+    versions = committed_versions(spark, path)
+    if not versions:
+        return None
+    fs, p = _fs(spark, f"{version_path(path, versions[-1] if version is None else version)}/document.json")
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
 def vacuum(spark: SparkSession, table_path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` committed versions and any failed
     attempt older than them; returns the removed version numbers."""

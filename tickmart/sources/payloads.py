@@ -49,12 +49,12 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = True, glob
 
 def read_keyed_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Charts or categories, landed either way: a ``*.json`` file is one response as
-    fetched, pretty-printed or not (or lines, if it is no JSON value as a whole); any
-    other file is JSON Lines, which Spark splits."""
+    fetched, pretty-printed or not (or lines, if its first line is a JSON value by
+    itself); any other file is JSON Lines, which Spark splits."""
     lines = read_payloads(spark, path, whole_files=False).where(~F.lower("source_file").endswith(".json"))
     whole = read_payloads(spark, path, glob="*.json")
-    one = F.try_parse_json("payload").isNotNull()
-    parts = F.when(one, F.array("payload")).otherwise(F.filter(F.split("payload", "\n"), lambda x: F.trim(x) != ""))
+    written = F.filter(F.split("payload", "\n"), lambda x: F.trim(x) != "")
+    parts = F.when(F.try_parse_json(F.get(written, F.lit(0))).isNotNull(), written).otherwise(F.array("payload"))
     each = whole.select(F.posexplode(parts).alias("line", "payload"), "source_file", "landed")
     return lines.unionByName(each.select("payload", "source_file",
                                          F.col("landed").withField("line", F.col("line").cast("long")).alias("landed")))
