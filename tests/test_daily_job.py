@@ -8,6 +8,7 @@ from conftest import rows
 
 from tickmart.operators.quality import QualityGateError
 from tickmart.plans.daily_job import JobConfig, run_daily_job, table_path
+from tickmart.sinks.history import read_history
 from tickmart.sinks.partitioned import read_partitioned
 from tickmart.sinks.tables import read_table
 
@@ -47,7 +48,7 @@ def test_two_daily_runs_and_gate(spark, tmp_path):
     assert r1.loads["coins_categories"].batch_rows == 3        # doge is outside the universe
     cfg = JobConfig(str(tmp_path / "d2"), wh, "2024-01-06 06:00:00", "2024-01-06 08:00:00")
     run_daily_job(spark, cfg)
-    fact = read_table(spark, table_path(cfg, "fct_daily_coin_performance"))
+    fact = read_partitioned(spark, table_path(cfg, "fct_daily_coin_performance"))
     assert fact.count() == 15
     bars = read_partitioned(spark, table_path(cfg, "stg_coin_price_history"))
     btc = rows(bars.where("coin_id = 'btc'"), "coin_date", "open_price", "close_price")
@@ -59,7 +60,7 @@ def test_two_daily_runs_and_gate(spark, tmp_path):
     assert dim == [("btc", "L1", "Btc"), ("eth", "L1", "Eth"), ("eth", "Smart Contract", "Eth")]
     fresh = {r.source_name: r.status for r in read_table(spark, table_path(cfg, "source_freshness")).collect()}
     assert fresh == {"coin_markets": "pass", "coin_price_history": "pass", "coins_categories": "pass"}
-    hist = read_table(spark, table_path(cfg, "dim_coins_snapshot"))
+    hist = read_history(spark, table_path(cfg, "dim_coins_snapshot"))
     assert hist.count() == 3 and {r.is_current for r in hist.collect()} == {True}
     summary = read_table(spark, table_path(cfg, "fct_market_summary"))
     assert summary.count() == 5
@@ -120,10 +121,10 @@ def test_old_versions_are_vacuumed(spark, tmp_path):
     for day, ts in (("d1", "2024-01-03 06:00:00"), ("d2", "2024-01-04 06:00:00")):
         cfg = JobConfig(str(tmp_path / day), wh, ts, ts, keep_versions=1)
         run_daily_job(spark, cfg)
-    for name in ("coin_markets/live", "dim_coins", "quality_report", "dim_coins_snapshot"):
+    for name in ("coin_markets/live", "dim_coins", "quality_report", "dim_coins_snapshot/live"):
         root, _, rest = name.partition("/")
         assert len(committed_versions(spark, "/".join([table_path(cfg, root), *([rest] if rest else [])]))) == 1
-    assert read_table(spark, table_path(cfg, "dim_coins_snapshot")).count() == 3
+    assert read_history(spark, table_path(cfg, "dim_coins_snapshot")).count() == 3
 
 
 def test_run_scratch_is_removed_after_success(spark, tmp_path):

@@ -61,3 +61,30 @@ def test_without_hard_delete_invalidation_gone_keys_stay_open(spark):
     h = scd2_merge(h, v2, KEYS, CHECK, "2024-01-02 00:00:00", invalidate_hard_deletes=False)
     got = rows(h, "coin_id", "symbol", "is_current")
     assert got == [("a", "AA", False), ("a", "AX", True), ("b", "BB", True)]
+
+
+def test_closed_parts_are_never_written_again(spark):
+    from tickmart.session import scratch_dir
+    from tickmart.sinks.history import merge_history, read_as_of, read_history
+    from tickmart.sinks.partitioned import live_months, vacuum_partitioned
+
+    path = scratch_dir(spark, "t_history")
+    versions = [[("a", "L1", "A", "1", None), ("b", "L1", "B", "1", None)],
+                [("a", "L1", "A", "2", None), ("b", "L1", "B", "1", None)],
+                [("a", "L1", "A", "2", d("2024-01-01"))], [("a", "L1", "A", "2", d("2024-01-01"))], []]
+    seen, whole = {}, None
+    for i, v in enumerate(versions):
+        ts, src = f"2024-01-0{i + 1} 00:00:00", spark.createDataFrame(v, S)
+        live = merge_history(path, src, KEYS, CHECK, ts)
+        whole = scd2_merge(whole, src, KEYS, CHECK, ts)
+        whole = spark.createDataFrame(whole.collect(), whole.schema)
+        key = ["coin_id", "valid_from"]
+        assert sorted(map(tuple, read_history(spark, path).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str), key
+        for part, write in live.writes.items():
+            if part != "open":
+                assert seen.setdefault(part, write) == write
+        vacuum_partitioned(spark, path, keep=1)
+    assert len(seen) == 3 and "open" not in live_months(spark, path).writes
+    at = read_as_of(spark, path, "2024-01-02 12:00:00")
+    assert rows(at, "coin_id", "symbol") == [("a", "2"), ("b", "1")]
+    assert not any("closed-20240102" in f for f in at.inputFiles())

@@ -31,16 +31,31 @@ def _open(df: DataFrame, batch_ts: str) -> DataFrame:
                      F.lit(True).alias("is_current"))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """One short value that changes if any of ``columns`` does (a NULL is a value)."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
 def scd2_merge(history: DataFrame | None, source: DataFrame, keys: Sequence[str],
                check_cols: Sequence[str], batch_ts: str,
                invalidate_hard_deletes: bool = True) -> DataFrame:
-    cols = source.columns
+    """The whole history after a run."""
     if history is None:
         return _open(source, batch_ts)
-    closed = history.where(~F.col("is_current"))
+    return history.where(~F.col("is_current")).unionByName(
+        scd2_step(history.where(F.col("is_current")), source, keys, check_cols, batch_ts, invalidate_hard_deletes))
+
+
+def scd2_step(current: DataFrame | None, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str],
+              batch_ts: str, invalidate_hard_deletes: bool = True) -> DataFrame:
+    """The versions that a run leaves of the open ones (``current``): open again, or
+    closed now.  Versions closed before are not needed."""
+    cols = source.columns
+    if current is None:
+        return _open(source, batch_ts)
     # NULL-safe: a NULL key is a key like any other, not one that returns on every run.
     on = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
-    j = (history.where(F.col("is_current")).select(F.struct(*cols, *META).alias("o"))
+    j = (current.select(F.struct(*cols, *META).alias("o"))
          .join(source.select(F.struct(*cols).alias("s")), on, "full_outer"))
     ts, never = F.lit(batch_ts).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz")
 
@@ -57,8 +72,7 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, keys: Sequence[str]
                 .when(F.col("s").isNull(), F.array(ended if invalidate_hard_deletes else as_is))
                 .when(same, F.array(as_is))
                 .otherwise(F.array(ended, opened)))
-    merged = j.select(F.explode(versions).alias("v")).select("v.*")
-    return closed.unionByName(merged)
+    return j.select(F.explode(versions).alias("v")).select("v.*")
 
 
 def as_of(history: DataFrame, t: str) -> DataFrame:

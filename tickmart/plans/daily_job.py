@@ -25,22 +25,27 @@ from __future__ import annotations
 import contextvars
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.fixed import (
-    DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FRESHNESS_HOURS, LAYERS, PRICE_SCALE,
+    DEFAULT_CHART_DAYS, DEFAULT_UNIVERSE, FACT_COLUMNS, FRESHNESS_HOURS, LAYERS, PRICE_SCALE,
 )
 from tickmart.operators import quality as Q
 from tickmart.operators.dedupe import missing_keys
-from tickmart.operators.scd2 import scd2_merge
+from tickmart.operators.fingerprint import fingerprint
+from tickmart.operators.metrics import METRIC_COLUMNS
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
 from tickmart.plans import models as M
 from tickmart.plans.incremental import SeriesTables, run_increment
 from tickmart.session import close_run_scratch, configure, open_run_scratch
 from tickmart.sinks.load import LoadReport, load
-from tickmart.sinks.partitioned import partitioned_exists, read_partitioned, vacuum_partitioned
+from tickmart.sinks.history import merge_history, read_history
+from tickmart.sinks.partitioned import (
+    live_months, partitioned_exists, read_partitioned, replace_months, replace_partitioned, vacuum_partitioned,
+)
 from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists, vacuum
 from tickmart.sinks.upsert import latest_per_key
 from tickmart.sources.payloads import (
@@ -87,13 +92,6 @@ def table_path(cfg: JobConfig, name: str) -> str:
     return layer_path(cfg.warehouse, name, custom_schema=LAYERS[name])
 
 
-def _previous(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame | None:
-    path = table_path(cfg, name)
-    if cfg.full_refresh or not table_exists(spark, path):
-        return None
-    return read_table(spark, path)
-
-
 def model_checks() -> list[Q.Check]:
     """The source project's model tests (plus the two it never ran)."""
     C, W = Q.Check, Q.WARN
@@ -139,6 +137,21 @@ def model_checks() -> list[Q.Check]:
     ]
 
 
+# Columns of each table's fingerprint.
+FINGERPRINTS = {
+    "stg_coin_markets": ["name_id", "symbol_name", "name_of_coin", "current_price", "market_cap", "high_24h", "low_24h",
+                         "all_time_high_date", "last_updated", "ingested_at"],
+    "stg_coin_price_history": ["coin_id", "coin_date", "open_price", "close_price", "high_price", "low_price",
+                               "close_market_cap", "close_total_volume"],
+    "int_coin_daily_metrics": METRIC_COLUMNS,
+    "int_coin_categories": ["coin_id", "category", "name_of_coin", "prev_day_price", "daily_price_change_pcg",
+                            "moving_avg_7d", "category_ingested_at", "date_stamp"],
+    "dim_coins": ["coin_id", "coin_name", "symbol", "category", "first_seen_date"],
+    "fct_daily_coin_performance": list(FACT_COLUMNS.values()),
+    "fct_market_summary": ["date_stamp", "total_market_cap", "top_gainer", "top_loser", "average_volume"],
+    "dim_coins_snapshot": ["coin_id", "coin_name", "symbol", "category", "first_seen_date", "valid_from", "valid_to", "is_current"],
+}
+
 FRESHNESS = [Q.Freshness(src, "_ingested_at", warn * 3600, error * 3600)
              for src, (warn, error) in FRESHNESS_HOURS.items()]
 
@@ -232,7 +245,7 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     # Bars and metrics grow with history: an increment opens the raw batches and the
     # months that it touches and no others.
     bars_path, met_path = series.bars, series.metrics
-    run_increment(spark, series, markets, cfg.price_scale, cfg.full_refresh, cfg.protect_boundary)
+    changed_months = run_increment(spark, series, markets, cfg.price_scale, cfg.full_refresh, cfg.protect_boundary)
     bars = read_partitioned(spark, bars_path)
     res.tables["stg_coin_price_history"] = bars_path
     res.tables["int_coin_daily_metrics"] = met_path
@@ -240,20 +253,22 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     marts = _put_concurrently(put, {
         "int_coin_categories": M.category_metrics(cats, metrics),
         "dim_coins": M.asset_dimension(cats, markets, bars),
-        "fct_daily_coin_performance": M.daily_fact(metrics),
         "fct_market_summary": M.market_summary(metrics),
     })
-    cat_metrics, dim = marts["int_coin_categories"], marts["dim_coins"]
-    fact, summary = marts["fct_daily_coin_performance"], marts["fct_market_summary"]
-    history = _previous(spark, cfg, "dim_coins_snapshot")
+    cat_metrics, dim, summary = marts["int_coin_categories"], marts["dim_coins"], marts["fct_market_summary"]
+    fact = _fact(spark, cfg, met_path, changed_months)
+    fact_path = res.tables["fct_daily_coin_performance"] = table_path(cfg, "fct_daily_coin_performance")
 
     # --- snapshot and checks (independent of each other) --------------------------
     tables = {"stg_coin_markets": markets, "stg_coin_price_history": bars,
               "int_coin_daily_metrics": metrics, "int_coin_categories": cat_metrics,
               "dim_coins": dim, "fct_daily_coin_performance": fact, "fct_market_summary": summary}
+    history_path = res.tables["dim_coins_snapshot"] = table_path(cfg, "dim_coins_snapshot")
+    merge_history(history_path, dim, ["coin_id", "category"], ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts)
+    prints = [fingerprint(df, name, FINGERPRINTS[name])
+              for name, df in {**tables, "dim_coins_snapshot": read_history(spark, history_path)}.items()]
     last = _put_concurrently(put, {
-        "dim_coins_snapshot": scd2_merge(history, dim, ["coin_id", "category"],
-                                         ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts),
+        "table_fingerprints": reduce(DataFrame.unionByName, prints).withColumn("batch_ts", F.lit(cfg.batch_ts)),
         "quality_report": Q.QualitySuite(tables, model_checks()).report(),
         "source_freshness": Q.freshness(
             spark, {"coin_markets": raw_markets, "coin_price_history": raw_series,
@@ -277,6 +292,17 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     return res
 
 
+def _fact(spark: SparkSession, cfg: JobConfig, metrics_path: str, months: list[str] | None) -> DataFrame:
+    """JOB-5: the fact follows the metrics month by month (all months if ``months`` is None)."""
+    path = table_path(cfg, "fct_daily_coin_performance")
+    live = live_months(spark, metrics_path)
+    if months is None or not partitioned_exists(spark, path):
+        replace_partitioned(M.daily_fact(live.read(spark)), path, "trade_date")
+    elif months:
+        replace_months(M.daily_fact(live.read(spark, months)), path, "trade_date", months)
+    return read_partitioned(spark, path)
+
+
 def _put_concurrently(put, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Publish independent tables as concurrent Spark jobs; returns them read back."""
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:

@@ -192,8 +192,9 @@ def changed_bars(log: IngestLog, pending: list[str], state: DataFrame, bars_path
 
 def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price_scale: int = 2,
                   full_refresh: bool = False, protect_boundary: bool = False,
-                  window_cols: tuple[str, ...] = ("chart_days",)) -> None:
+                  window_cols: tuple[str, ...] = ("chart_days",)) -> list[str] | None:
     """INC-1..3 over stored tables: bars, metrics and asset state follow the ingest log.
+    Returns the months of the metrics that were rewritten (None: all).
 
     Changed bars are recorded before the bars table moves and cleared only once metrics
     and state caught up, and a batch counts as merged after that, so a run that dies in
@@ -218,14 +219,14 @@ def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price
         if table_exists(spark, t.pending):  # rebuilt from scratch: nothing pending
             publish(read_table(spark, t.pending).limit(0), t.pending)
         done()
-        return
+        return None
     merged = set((read_document(spark, t.merged) or {"batches": []})["batches"])
     state = S.read_state(spark, t.state)
     changes = changed_bars(log, [b for b in batches if b not in merged], state, t.bars, price_scale, protect_boundary, window_cols)
     left = read_table(spark, t.pending) if table_exists(spark, t.pending) else None
     if changes is None and (left is None or left.isEmpty()):
         done()
-        return
+        return []
     if changes is not None:
         # A newer recomputation of the same (asset, day) supersedes one left behind.
         publish(changes if left is None else upsert(left, changes, BAR_KEYS), t.pending)
@@ -233,17 +234,17 @@ def run_increment(spark: SparkSession, t: SeriesTables, assets: DataFrame, price
     upsert_partitions(changed, t.bars, BAR_KEYS, "coin_date", stored=True)
     change = S.change_of(spark, changed, state)
 
-    def metrics() -> None:
+    def metrics() -> list[str] | None:
         if not partitioned_exists(spark, t.metrics):
             replace_partitioned(daily_metrics(live_months(spark, t.bars).read(spark), assets, price_scale), t.metrics, "date_stamp")
-        else:
-            upsert_partitions(S.recompute(spark, t.bars, change, assets, price_scale), t.metrics, METRIC_KEYS, "date_stamp")
+            return None
+        return upsert_partitions(S.recompute(spark, t.bars, change, assets, price_scale), t.metrics, METRIC_KEYS, "date_stamp")
 
     # Independent of each other: two Spark jobs at a time.
     with ThreadPoolExecutor(max_workers=2) as pool:
         both = [pool.submit(contextvars.copy_context().run, f, *a) for f, *a in (
             (metrics,), (S.advance, spark, t.state, t.bars, changed, change, state))]
-        for one in both:
-            one.result()
+        months, _ = [one.result() for one in both]
     publish(changed.limit(0), t.pending)
     done()
+    return months

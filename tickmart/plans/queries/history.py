@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.operators.scd2 import as_of, scd2_merge
 from tickmart.plans.queries.registry import register
 from tickmart.session import scratch_dir
-from tickmart.sinks.tables import publish, read_table
+from tickmart.sinks.history import merge_history, read_as_of, read_history
 from tickmart.sources.driver_tables import table
 
 T1, T2, T3 = "2024-01-10 06:00:00", "2024-01-20 06:00:00", "2024-01-30 06:00:00"
@@ -43,14 +42,12 @@ def dimension_version(customer: DataFrame, v: int) -> DataFrame:
     return dim
 
 
-def run_history(spark: SparkSession, sf: str) -> DataFrame:
+def run_history(spark: SparkSession, sf: str) -> str:
     customer = table(spark, sf, "customer")
     path = scratch_dir(spark, "scd2")
-    history = None
     for v, ts in ((1, T1), (2, T2), (3, T3), (3, T3)):
-        publish(scd2_merge(history, dimension_version(customer, v), KEYS, CHECK, ts), path)
-        history = read_table(spark, path)
-    return history
+        merge_history(path, dimension_version(customer, v), KEYS, CHECK, ts)
+    return path
 
 
 _V1 = """c_custkey AS coin_id, c_name AS coin_name, c_mktsegment AS symbol,
@@ -80,7 +77,7 @@ history AS (
 @register("scd2_history", "WITH " + HISTORY_SQL + "\nSELECT * FROM history")
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     """SCD-1 / SCD-2: changes, NULL -> value, hard deletes, returns, rerun."""
-    return run_history(spark, sf)
+    return read_history(spark, run_history(spark, sf))
 
 
 @register("scd2_as_of", "WITH " + HISTORY_SQL + f"""
@@ -88,4 +85,4 @@ SELECT * FROM history WHERE valid_from <= TIMESTAMP '{AS_OF_T}'
   AND (valid_to IS NULL OR valid_to > TIMESTAMP '{AS_OF_T}')""")
 def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """SCD-3: the dimension between the second and third load."""
-    return as_of(run_history(spark, sf), AS_OF_T)
+    return read_as_of(spark, run_history(spark, sf), AS_OF_T)

@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.plans.daily_job import JobConfig, run_daily_job, table_path
-from tickmart.plans.queries.oracle_sql import ASSETS, BARS, METRICS, POINTS, with_ctes
+from tickmart.operators.fingerprint import fingerprint_sql
+from tickmart.plans.daily_job import FINGERPRINTS, JobConfig, run_daily_job, table_path
+from tickmart.plans.queries.oracle_sql import ASSETS, BARS, FACT, METRICS, POINTS, SUMMARY, with_ctes
 from tickmart.plans.queries.registry import register
 from tickmart.plans.queries.shaping import snapshot_payloads
 from tickmart.schemas import RAW_NUM
 from tickmart.session import scratch_dir
+from tickmart.sinks.partitioned import read_partitioned
 from tickmart.sinks.tables import read_table
 from tickmart.sources.driver_tables import PRICE_IN, market_cap_of, table
 
@@ -97,14 +99,59 @@ _TEXT_IDS = (POINTS.replace("SELECT user_id AS coin_id", "SELECT CAST(user_id AS
              ASSETS.replace("SELECT c_custkey AS name_id", "SELECT CAST(c_custkey AS VARCHAR) AS name_id"))
 
 
-@register("daily_job_end_to_end", with_ctes(_TEXT_IDS[0], BARS, _TEXT_IDS[1], METRICS) + """
-SELECT coin_id, name_of_coin, date_stamp AS trade_date, open_price AS open_price_usd,
-       high_price AS high_price_usd, low_price AS low_price_usd, close_price AS close_price_usd,
-       close_total_volume AS volume, close_market_cap AS market_cap,
-       daily_price_change_pcg AS daily_price_change_pct, moving_avg_7d AS moving_avg_7d_price
-FROM metrics""")
+@register("daily_job_end_to_end", with_ctes(_TEXT_IDS[0], BARS, _TEXT_IDS[1], METRICS, FACT) + "\nSELECT * FROM fact")
 def daily_job_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """JOB-1 with SRC-4/5: two daily runs; the fact equals the one-shot fact."""
-    warehouse = run_two_days(spark, sf)
-    cfg = JobConfig(landing="", warehouse=warehouse, batch_ts="", as_of="")
-    return read_table(spark, table_path(cfg, "fct_daily_coin_performance"))
+    cfg = JobConfig(landing="", warehouse=run_two_days(spark, sf), batch_ts="", as_of="")
+    return read_partitioned(spark, table_path(cfg, "fct_daily_coin_performance"))
+
+
+# What the job's other tables hold after two days, from the test tables alone.
+_JOB_MODELS = f"""
+markets AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS name_id, TRIM(COALESCE(lower(substr(c_mktsegment, 1, 3)), 'Unknown')) AS symbol_name,
+    TRIM(COALESCE(c_name, 'Unknown')) AS name_of_coin,
+    CAST(ROUND(CAST(COALESCE(CAST(c_acctbal AS DECIMAL(20,4)) * 0.125, 0) AS DECIMAL(38,18)), 2) AS DECIMAL(38,2)) AS current_price,
+    CAST(ROUND(CAST(COALESCE(CAST(c_acctbal AS DECIMAL(20,4)) * 1000, 0) AS DECIMAL(38,18)), 2) AS DECIMAL(38,2)) AS market_cap,
+    CAST(ROUND(CAST(COALESCE(CAST(c_acctbal AS DECIMAL(20,4)) + 1, 0) AS DECIMAL(38,18)), 2) AS DECIMAL(38,2)) AS high_24h,
+    CAST(ROUND(CAST(COALESCE(CAST(c_acctbal AS DECIMAL(20,4)) - 1, 0) AS DECIMAL(38,18)), 2) AS DECIMAL(38,2)) AS low_24h,
+    COALESCE(CAST(DATE '2021-11-10' + c_nationkey AS DATE), DATE '{DAYS[1][2][:10]}') AS all_time_high_date,
+    TIMESTAMP '2024-01-31 00:00:00' + to_seconds(c_custkey) AS last_updated, TIMESTAMP '{DAYS[1][1]}' AS ingested_at
+  FROM customer
+), categories AS (
+  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS coin_id, category, TIMESTAMP '{DAYS[1][1]}' AS _ingested_at
+  FROM (SELECT c_custkey, c_mktsegment AS category FROM customer
+        UNION ALL SELECT c_custkey, o_orderpriority FROM customer JOIN orders ON o_custkey = c_custkey)
+  WHERE category IS NOT NULL AND c_custkey IN (SELECT user_id FROM events)
+), category_metrics AS (
+  SELECT c.coin_id, TRIM(c.category) AS category, m.name_of_coin, m.prev_day_price, m.daily_price_change_pcg, m.moving_avg_7d,
+         c._ingested_at AS category_ingested_at, m.date_stamp
+  FROM categories c LEFT JOIN metrics m ON m.coin_id = c.coin_id
+), first_days AS (
+  SELECT coin_id, MIN(coin_date) AS now, MIN(coin_date) FILTER (WHERE coin_date < DATE '{DAYS[0][0][:10]}') AS before
+  FROM bars GROUP BY coin_id
+), both_days AS (
+  SELECT DISTINCT c.coin_id, TRIM(c.category) AS category, m.symbol_name AS symbol, m.name_of_coin AS name, f.now, f.before
+  FROM categories c LEFT JOIN markets m ON m.name_id = c.coin_id LEFT JOIN first_days f ON f.coin_id = c.coin_id
+), dim AS (
+  SELECT coin_id, CASE WHEN now IS NOT NULL THEN name END AS coin_name, symbol, category, now AS first_seen_date FROM both_days
+), history AS (
+  SELECT coin_id, CASE WHEN before IS NOT NULL THEN name END AS coin_name, symbol, category, before AS first_seen_date,
+         TIMESTAMP '{DAYS[0][1]}' AS valid_from,
+         CASE WHEN before IS DISTINCT FROM now THEN TIMESTAMP '{DAYS[1][1]}' END AS valid_to, before IS NOT DISTINCT FROM now AS is_current
+  FROM both_days
+  UNION ALL
+  SELECT coin_id, name, symbol, category, now, TIMESTAMP '{DAYS[1][1]}', NULL, true
+  FROM both_days WHERE before IS DISTINCT FROM now
+)"""
+_SOURCES = {"stg_coin_markets": "markets", "stg_coin_price_history": "bars", "int_coin_daily_metrics": "metrics",
+            "int_coin_categories": "category_metrics", "dim_coins": "dim", "fct_daily_coin_performance": "fact",
+            "fct_market_summary": "summary", "dim_coins_snapshot": "history"}
+
+
+@register("daily_job_models", with_ctes(_TEXT_IDS[0], BARS, _TEXT_IDS[1], METRICS, FACT, SUMMARY, _JOB_MODELS) + "\n"
+          + "\nUNION ALL ".join(fingerprint_sql(name, source, FINGERPRINTS[name]) for name, source in _SOURCES.items()))
+def daily_job_models(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-1..6, SCD-1/2: the fingerprint of every model table after two daily runs."""
+    cfg = JobConfig(landing="", warehouse=run_two_days(spark, sf), batch_ts="", as_of="")
+    return read_table(spark, table_path(cfg, "table_fingerprints")).drop("batch_ts")
