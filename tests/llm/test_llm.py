@@ -372,6 +372,64 @@ def test_html_containers_are_evidence(spark):
                    **dict.fromkeys((21, 22, 23), body)}
 
 
+def test_html_names_and_unclosed_elements():
+    """Names in any spelling, elements never closed, quotes in values, menus without names; linear time."""
+    import time
+
+    def main(body):
+        return html_main.decided(html_main.blocks(body), [])[0]
+
+    for name in ("commentlist", "commentList", "relatedPosts", "newsletterSignup", "cookiebar", "discussion",
+                 "reader-feedback", "comment-list", "siteFooter", "Sidebar_left"):
+        for tag in ("div", "ol"):
+            assert main(f"<article><p>Story text here</p><{tag} class='{name}'>other words</{tag}></article>") == ["Story text here"], name
+    assert main("<article><p>Story</p><div class='commentary shared-content'>more</div></article>") == ["Story", "more"]
+    assert main("<body><nav><a>x</a><article><p>Story text</p></article></body>") == ["Story text"]
+    assert main("<article>Main</article><aside><article>teaser</article></aside>") == ["Main"]
+    assert main("<article><p>Story</p><div class=it's><p>more</p></div><p>tail</p></article>") == ["Story", "more", "tail"]
+    assert main("<form><div>All the text of the page</div></form>") == ["All the text of the page"]
+    menu = "".join(f"<div><a href=/{i}>Link {i}</a></div>" for i in range(4))
+    assert main(f"<body>{menu}<div>Body text of this page</div></body>") == ["Body text of this page"]
+    for page_ in ('<div class="comment">x' * 8000, "<div><p>x" * 8000 + "</p>" * 8000, "<div a= b= c= " * 8000):
+        start = time.perf_counter()
+        html_main.blocks(page_)
+        assert time.perf_counter() - start < 1.0
+
+
+def test_html_repeats_against_brute_force(spark):
+    """The sparse suffix array decides like all runs of all pages do, found in plain Python;
+    pages without article tags, repeated rows, null hosts and a very long page."""
+    prepare(spark)
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").toPandas()
+    note = "<p>Subscribe now and read all stories of this site without any limit</p>"
+    rows = [(int(r.page_id), f"http://h{i % 9}.org/{i}" if i % 31 else None,
+             re.sub("</?article>", "", r.html).replace("</h1>", "</h1>" + note if i % 2 else "</h1>"))
+            for i, r in enumerate(table.itertuples())]
+    rows += [rows[3], rows[3], rows[3], (None, rows[5][1], rows[5][2]), (900, rows[7][1], "<p>" + "word " * 60000 + "</p>" + note)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    held, parsed = {}, []
+    for page_id, url, raw in rows:
+        found = html_main.blocks(raw)
+        host = re.match(r"http://([^/]+)", url)[1] if url else ""
+        tokens = [w for _, t in found for w in t.split()]
+        pieces, at = [], 0
+        for _, t in found:
+            pieces.append((at, tuple(t.split())))
+            at += len(t.split())
+        pieces += [(i, tuple(tokens[i:i + html_main.RUN])) for i in range(len(tokens) - html_main.RUN + 1)]
+        for _, piece in pieces:
+            held.setdefault((host, piece), set()).add((page_id, url, raw))
+        parsed.append((page_id, url, host, found, pieces))
+    want, dropped = [], 0
+    for page_id, url, host, found, pieces in parsed:
+        places = [(at, len(piece)) for at, piece in pieces if len(held[host, piece]) >= html_main.PAGES]
+        kept, how = html_main.decided(found, places)
+        dropped += how == "repeated runs" and len(kept) < sum(z != html_main.OUT for z, _ in found)
+        want.append((page_id, url, "\n".join(kept), how))
+    got = html_main.main_text(pages).select("page_id", "url", "text", "decided_by")
+    assert result(got) == expect(want) and dropped > 100
+
+
 def test_language(spark, docs, empty):
     prepare(spark)
     known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 40")
