@@ -91,7 +91,8 @@ LAYERS = {
     "fct_daily_coin_performance": "marts", "fct_market_summary": "marts",
     "dim_coins_snapshot": "snapshots", "quality_report": "audit", "source_freshness": "audit",
     "pending_bar_changes": "audit", "load_audit": "audit", "rejected_input": "audit",
-    "asset_state": "audit", "table_fingerprints": "audit", "merged_batches": "audit",
+    "asset_state": "audit", "table_fingerprints": "audit",
+    "quality_ledger": "audit", "merged_batches": "audit",
     "missing_assets": "audit",
 }
 # --------------------------------------------------------------------------------

@@ -36,9 +36,11 @@ from tickmart.fixed import (
 from tickmart.operators import quality as Q
 from tickmart.operators.dedupe import missing_keys
 from tickmart.operators.fingerprint import fingerprint
+from tickmart.operators.ledger import LedgerTable, QualityLedger
 from tickmart.operators.metrics import METRIC_COLUMNS
 from tickmart.operators.standardise import standardise_categories, standardise_snapshot
 from tickmart.plans import models as M
+from tickmart.plans.asset_state import read_state
 from tickmart.plans.incremental import SeriesTables, run_increment
 from tickmart.session import close_run_scratch, configure, open_run_scratch
 from tickmart.sinks.load import LoadReport, load
@@ -265,11 +267,18 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
               "dim_coins": dim, "fct_daily_coin_performance": fact, "fct_market_summary": summary}
     history_path = res.tables["dim_coins_snapshot"] = table_path(cfg, "dim_coins_snapshot")
     merge_history(history_path, dim, ["coin_id", "category"], ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts)
+    # Months whose write is the one of the last run keep their counts.
+    parted = {"stg_coin_price_history": (bars_path, "coin_date"), "int_coin_daily_metrics": (met_path, "date_stamp"),
+              "fct_daily_coin_performance": (fact_path, "trade_date")}
+    seen = {name: LedgerTable.of_months(spark, live_months(spark, path), col) for name, (path, col) in parted.items()}
+    seen |= {name: LedgerTable.whole(df, cfg.batch_ts) for name, df in tables.items() if name not in parted}
+    ledger = QualityLedger(spark, table_path(cfg, "quality_ledger")).refresh(
+        seen, model_checks(), {"stg_coin_price_history": read_state(spark, series.state)})
     prints = [fingerprint(df, name, FINGERPRINTS[name])
               for name, df in {**tables, "dim_coins_snapshot": read_history(spark, history_path)}.items()]
     last = _put_concurrently(put, {
         "table_fingerprints": reduce(DataFrame.unionByName, prints).withColumn("batch_ts", F.lit(cfg.batch_ts)),
-        "quality_report": Q.QualitySuite(tables, model_checks()).report(),
+        "quality_report": ledger,
         "source_freshness": Q.freshness(
             spark, {"coin_markets": raw_markets, "coin_price_history": raw_series,
                     "coins_categories": raw_categories}, FRESHNESS, cfg.as_of),
@@ -286,7 +295,7 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     for path in (*res.tables.values(), series.state):
         if partitioned_exists(spark, path):
             vacuum_partitioned(spark, path, keep=cfg.keep_versions)
-    for path in (series.pending, series.merged, f"{series.raw}/index"):
+    for path in (series.pending, series.merged, f"{series.raw}/index", table_path(cfg, "quality_ledger")):
         if table_exists(spark, path):
             vacuum(spark, path, keep=cfg.keep_versions)
     return res

@@ -99,6 +99,11 @@ def daily_change_pct(spark: SparkSession, sf: str) -> DataFrame:
         "coin_id", "date_stamp", "close_price", "prev_day_price", "daily_price_change_pcg")
 
 
+def _assets(spark: SparkSession, sf: str) -> int:
+    """Assets at most (from the files' footers)."""
+    return table(spark, sf, "customer").count()
+
+
 @register("rank_gainers", _METRICS_SQL + """
 SELECT coin_id, date_stamp, daily_price_change_pcg,
        row_number() OVER (PARTITION BY date_stamp
@@ -106,7 +111,7 @@ SELECT coin_id, date_stamp, daily_price_change_pcg,
 FROM metrics WHERE daily_price_change_pcg IS NOT NULL""")
 def rank_gainers(spark: SparkSession, sf: str) -> DataFrame:
     """W-5 / FLT-4: every asset's daily rank by change, largest first."""
-    return daily_ranks(_metrics(spark, sf), descending=True, rank_col="ranked_gainer")
+    return daily_ranks(_metrics(spark, sf), descending=True, rank_col="ranked_gainer", assets=_assets(spark, sf))
 
 
 @register("rank_losers", _METRICS_SQL + """
@@ -116,7 +121,7 @@ SELECT coin_id, date_stamp, daily_price_change_pcg,
 FROM metrics WHERE daily_price_change_pcg IS NOT NULL""")
 def rank_losers(spark: SparkSession, sf: str) -> DataFrame:
     """W-6 / FLT-4: every asset's daily rank by change, smallest first."""
-    return daily_ranks(_metrics(spark, sf), descending=False, rank_col="ranked_loser")
+    return daily_ranks(_metrics(spark, sf), descending=False, rank_col="ranked_loser", assets=_assets(spark, sf))
 
 
 MARKET_SUMMARY_SQL = with_ctes(POINTS, BARS, ASSETS, METRICS, SUMMARY) + "\nSELECT * FROM summary"
