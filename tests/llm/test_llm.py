@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tickmart.llm")
 from tickmart.llm import (byte_bpe, columnwise, decontaminate, exact_dedup, html_main, langid, line_dedup,  # noqa: E402
@@ -190,24 +191,22 @@ def shingle_set(text, size):
 
 
 def brute_near(pairs, size):
-    sets = {}
-    for d, t in pairs:
-        sets.setdefault(d, shingle_set(t, size))
-    parent = {d: d for d in sets}
+    """All pairs of texts; rows of one id are one node."""
+    rows = [(d, shingle_set(t, size)) for d, t in pairs]
+    parent = {d: d for d, _ in rows}
 
     def root(d):
         while parent[d] != d:
             d = parent[d]
         return d
 
-    ids = sorted(sets, key=rank)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1:]:
-            both = len(sets[a] & sets[b])
-            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+    for i, (a, p) in enumerate(rows):
+        for b, q in rows[i + 1:]:
+            both = len(p & q)
+            if both and 100 * both >= 80 * (len(p) + len(q) - both):
                 x, y = sorted((root(a), root(b)), key=rank)
                 parent[y] = x
-    return [(d, len(sets[d]), root(d), root(d) == d) for d, _ in pairs]
+    return [(d, len(own), root(d) if own else d, not own or root(d) == d) for d, own in rows]
 
 
 @pytest.mark.parametrize("size", [2, 5])
@@ -217,6 +216,74 @@ def test_near(docs, empty, size):
         assert near_dup.near_dedup(empty).count() == 0
 
 
+def test_near_ids_with_several_texts(spark):
+    """Rows (3,A), (5,A), (5,B), (7,B) are one group; nulls of different texts are not."""
+    prepare(spark)
+    rnd = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(60)) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, d), (8, d + " tail"), (None, a + " x"), (None, c), (11, None), (11, a), (12, "")]
+    got = near_dup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = sorted(((r.doc_id, r.component_id, r.kept) for r in got.collect()), key=str)
+    ids = {i: next(x for x in out if x[0] == i)[1] for i in (3, 5, 7, 8)}
+    assert ids[3] == ids[5] == ids[7] and len([x for x in out if x[0] == 5 and x[1] == ids[3]]) == 2
+    assert len(out) == len(rows) and (12, 12, True) in out
+    plain = [(i, t) for i, t in rows if i is not None]
+    got = near_dup.near_dedup(spark.createDataFrame(plain, "doc_id long, text string"))
+    assert result(got) == expect(brute_near(plain, 2))
+
+
+def test_near_against_all_pairs(spark):
+    """All pairs at sf0.01, and large sets at similarities around the threshold."""
+    prepare(spark)
+    rnd = random.Random(12)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    for k in range(30):     # sets above SKETCHED shingles, 0.78 to 0.84 alike
+        words = [f"q{k}x{i}" for i in range(1000 + 40 * k)]
+        cut = round(len(words) * rnd.uniform(0.19, 0.25) / 2)
+        other = words[:]
+        other[:cut] = [f"p{k}x{i}" for i in range(cut)]
+        rows += [(10**6 + 2 * k, " ".join(words)), (10**6 + 2 * k + 1, " ".join(other))]
+    sets = [(d, shingle_set(t, 2)) for d, t in rows]
+    held = {}
+    for i, (_, own) in enumerate(sets):
+        for x in own:
+            held.setdefault(x, []).append(i)
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, own) in enumerate(sets):
+        shared = Counter(j for x in own for j in held[x] if j < i)
+        for j, both in shared.items():
+            if 100 * both >= 80 * (len(own) + len(sets[j][1]) - both):
+                x, y = sorted((root(i), root(j)), key=lambda k: rows[k][0])
+                parent[y] = x
+    want = [(d, len(own), rows[root(i)][0], root(i) == i) for i, (d, own) in enumerate(sets)]
+    got = near_dup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert result(got) == expect(want)
+    assert 5 < sum(not w[3] for w in want if w[0] >= 10**6) < 30
+
+
+def test_benchmark_rows_that_repeat_and_long_items(spark, monkeypatch):
+    """A row repeated very often is one item; an item beyond a block is cut, its windows are not."""
+    prepare(spark)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 50)
+    rnd = random.Random(4)
+    long_item = " ".join(f"t{rnd.randint(0, 300)}" for _ in range(3000))
+    words = long_item.split()
+    texts = [" ".join(words[k:k + 30]) + " end" for k in range(0, 2900, 97)] + ["nothing here", None, long_item]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(1, "one two three four five six seven eight nine ten"), (2, long_item), (3, "short item")]
+    many = spark.range(100_000).select(F.lit(1).cast("long").alias("item_id"), F.lit(items[0][1]).alias("text"))
+    bench = spark.createDataFrame(items, "item_id long, text string").unionByName(many)
+    assert max(sum(len(t) for _, t in block) for block in decontaminate._item_blocks(bench, 10)) < 5000
+    assert result(decontaminate.contamination_digests(docs, bench)) == expect(brute_leaks(list(enumerate(texts)), items))
+
+
 def test_token_counts(docs, empty):
     path = vocabulary("piece_bpe_32k.model")
     scores = token_counts.load_scores(path)

@@ -7,9 +7,9 @@ says zero, buckets by the hash of the window's last and first block name the
 test strings to try, and the words themselves are compared.  A task searches
 many stretches of text in step, so every move is one array operation.
 
-Documents never shuffle.  The items are broadcast in blocks of at most about
-``BLOCK_BYTES`` of text, one scan of the documents a block, and only hits of
-several blocks are brought together.
+Documents never shuffle.  The items, made distinct and cut into stretches, are
+broadcast in blocks of at most about ``BLOCK_BYTES`` of text, one scan of the documents
+a block, and only hits of several blocks are brought together.
 
 Defined results: null and empty texts have no words; items without words have
 no windows; items are told apart by their id as a string (a null id is
@@ -29,6 +29,7 @@ from tickmart.llm.textscan import (U64, Words, alnum_word_table, column_bytes, f
 from tickmart.sinks.tables import stage
 
 BLOCK_BYTES = 16 << 20
+PIECE_WORDS = 4096      # windows of an item that stay together
 LANE = 256              # words of text that one lane of the search goes through
 WORDS = Words(alnum_word_table(), seed=7)
 FOLD = fold_table()
@@ -165,9 +166,30 @@ def _search(batches, strings):
             names=[*batch.schema.names[:-1], "n_words", "spans", "items"])
 
 
-def _item_blocks(benchmark: DataFrame):
-    """Lists of (item id as string, text), each of about BLOCK_BYTES at most."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
+def _pieces(batches, size: int, piece: int):
+    """(item id, words): an item in stretches that overlap by ``size - 1`` words, so each of
+    its windows is in one of them.  Words keep their bytes, with a space between."""
+    for batch in batches:
+        names, texts = [], []
+        for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            raw = np.frombuffer((text or "").encode("utf-8"), np.uint8)
+            start, end, _ = WORDS.find(raw, np.array([0, len(raw)]))
+            for lo in range(0, max(1, len(start) - size + 1), piece):
+                stop = min(lo + piece + size - 1, len(start))
+                if lo < stop:
+                    names.append(name)
+                    texts.append(" ".join(raw[s:e].tobytes().decode("utf-8") for s, e in zip(start[lo:stop], end[lo:stop], strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["item_id", "text"])
+
+
+def _item_blocks(benchmark: DataFrame, size: int):
+    """Lists of (item id as string, words), each of about BLOCK_BYTES at most, however often
+    a row repeats and however long an item is."""
+    piece = PIECE_WORDS
+    items = (benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
+             .where(F.length("text") > 0).distinct()
+             .mapInArrow(lambda batches: _pieces(batches, size, piece), "item_id string, text string").distinct())
+    items = stage(items, "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     for block in range(n):
@@ -192,7 +214,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         strings = spark.sparkContext.broadcast(TestStrings(items, size))
         return keyed.mapInArrow(lambda batches: _search(batches, strings), ddl)
 
-    found = [scan(items) for items in _item_blocks(benchmark)] or [scan([])]
+    found = [scan(items) for items in _item_blocks(benchmark, size)] or [scan([])]
     if len(found) == 1:
         return found[0]
     hits = found[0].where("size(spans) > 0")

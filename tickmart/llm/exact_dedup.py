@@ -1,8 +1,9 @@
 """Exact dedup by progressive refinement (operator 10).
 
 Rows are narrowed by byte length, then by a hash of a text prefix, and only
-rows that still share both enter the full-hash grouping.  Texts never shuffle:
-what moves are lengths, hashes and ids.
+rows that still share both enter the full-hash grouping.  ``keep_one`` hashes the full
+text of these rows alone; ``exact_dedup`` returns the hash of every text, and so takes
+all of them in its one scan.  What moves are lengths, hashes and ids.
 
 Defined results: a null text is the empty text, and equal to it; a null
 ``doc_id`` is smaller than any other; repeated rows (same id and text) are one
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickmart.operators.joins import small_side
 from tickmart.sinks.tables import stage
 
 PREFIX_CHARS = 128
@@ -67,13 +69,25 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
 
 def keep_one(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """``docs`` without the dropped copies, all columns kept; repeated rows of
-    one id and text are reduced to one."""
-    # One text key joins and dedupes on the same partitioning: texts move once.
-    def key(sha):
-        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
-
-    kept = (exact_dedup(docs, prefix_chars).where("kept")
-            .select(key(F.col("text_sha256")).alias("_row_key")))
-    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    return (docs.withColumn("_row_key", key(sha)).join(kept, "_row_key", "left_semi")
-            .dropDuplicates(["_row_key"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    one id and text are reduced to one.
+
+    Rows whose length, or length and prefix, no other row has go through unread; the
+    full text is hashed only for the rows that are left.  The lengths and prefixes that
+    repeat are broadcast while they are few, so texts do not move."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumns({"_n_bytes": F.octet_length(text), "_prefix": F.xxhash64(F.substring(text, 1, prefix_chars))})
+    marks = stage(keyed.select(F.col("_n_bytes").alias("n_bytes"), F.col("_prefix").alias("prefix_hash")), "lengths")
+    by_length = _shared(marks, ["n_bytes"])
+    again = stage(by_length.groupBy("n_bytes", "prefix_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                  .select(F.col("n_bytes").alias("_n_bytes"), F.col("prefix_hash").alias("_prefix")), "repeated-prefixes")
+    sides, key = small_side(again), ["_n_bytes", "_prefix"]
+    alone = keyed.join(sides, key, "left_anti")
+    sha = F.sha2(text.cast("binary"), 256)
+    left = keyed.join(sides, key, "left_semi").withColumn("_sha", sha)
+    kept = stage(left.groupBy("_n_bytes", "_sha").agg(F.max("doc_id").alias("_keep")), "kept-copies")
+    # A text's rows with the id that stays, once: (text, id) spreads a text's many copies.
+    same = (F.col("l._sha") == F.col("k._sha")) & F.col("l.doc_id").eqNullSafe(F.col("k._keep"))
+    first = (left.alias("l").join(kept.alias("k"), same, "left_semi")
+             .dropDuplicates(["doc_id", "_sha"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return alone.select(*columns).unionByName(first.select(*columns))

@@ -20,8 +20,8 @@ are then paired with one another: no possible link is left out.
 
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; a text of fewer words than ``size`` is one shingle; rows of one
-doc_id are one node, a null doc_id is the smallest; repeated rows give repeated
-results; an empty table gives no rows.  Other columns are never looked at.
+doc_id are one node whatever their texts, a null doc_id is the smallest and joins no
+rows of different texts; repeated rows give repeated results; an empty table gives no rows.  Other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -246,6 +246,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
             .mapInArrow(lambda it: _confirm(it, size, percent), "a long, b long"))
 
 
+def _one_id_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes in which the rows of one doc_id are (few ids have several texts)."""
+    own = rows.where((F.col("n") > 0) & (F.col("id") != NULL_ID)).select("id", "set1", "set2", "n")
+    whole = F.struct("set1", "set2", "n")
+    several = own.groupBy("id").agg(F.min(whole).alias("lo"), F.max(whole).alias("hi")).where("lo <> hi").select("id")
+    named = (own.join(several, "id", "left_semi")
+             .join(classes.select("set1", "set2", "n", F.col("id").alias("b")), ["set1", "set2", "n"]).select("id", "b").distinct())
+    return (named.join(named.groupBy("id").agg(F.min("b").alias("a")), "id").where("a <> b").select("a", "b"))
+
+
 def near_groups(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """id, n, component of every row of ``docs`` (id: doc_id, null as the least long)."""
     rows = stage(signatures(docs, size, percent), "signatures")
@@ -255,8 +265,8 @@ def near_groups(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     # Of sets of k shingles, two different ones can at best share k of k + 1.
     least = -(-percent // (100 - percent))
     posts = stage(_postings(classes, least), "postings")
-    links = None
-    labels = docs.sparkSession.createDataFrame([], "node long, component long")
+    links = stage(_one_id_links(rows, classes), "one-id-links")
+    labels = components(links) if not links.isEmpty() else docs.sparkSession.createDataFrame([], "node long, component long")
     for joined in (False, True):
         pairs = stage(_cross_pairs(posts, classes, labels, percent) if joined
                       else _leader_pairs(posts, classes, percent), "pairs")
@@ -264,7 +274,7 @@ def near_groups(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
             continue
         found = stage(_confirmed(pairs, docs, size, percent), "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
+            links = links.unionByName(found)
             labels = components(links)
     known = (classes.join(labels, classes["id"] == labels["node"], "left")
              .select("set1", "set2", "n", F.coalesce("component", "id").alias("component")))
