@@ -95,7 +95,34 @@ def token_counts_query(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-@query("op7_decontaminate")
+@query("op7_decontaminate", r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), spots AS (
+  SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM spots
+), places AS (
+  SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m
+), hits AS (
+  SELECT p.doc_id, p.i, p.m, v.item FROM (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM places) p
+  JOIN windows v ON v.m = p.m AND v.phrase = p.phrase
+), words AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS place FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
 def decontaminate_query(spark, sf_dir):
     from tickmart.llm.decontaminate import contamination_digests
 
@@ -109,7 +136,31 @@ def suffix_dedup_query(spark, sf_dir):
     return suffix_dedup_digests(table(spark, sf_dir, "documents"))
 
 
-@query("op5_near_dedup")
+@query("op5_near_dedup", r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT x, y FROM edges UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y
+), least_ids AS (
+  SELECT x, min(y) AS low FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id <= coalesce(low, doc_id) AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_ids ON x = doc_id
+""")
 def near_dedup_query(spark, sf_dir):
     from tickmart.llm.near_dup import near_dedup
 
