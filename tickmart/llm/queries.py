@@ -129,7 +129,30 @@ def decontaminate_query(spark, sf_dir):
     return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op4_suffix_dedup")
+@query("op4_suffix_dedup", r"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), bytes AS (
+  SELECT doc_id, j, substr(h, 2 * j + 1, 2) AS byte, CASE WHEN j + 100 <= n THEN md5(substr(h, 2 * j + 1, 200)) END AS key
+  FROM (SELECT doc_id, h, n, unnest(range(n)) AS j FROM docs)
+), starts AS (
+  SELECT doc_id, j FROM (SELECT doc_id, j, row_number() OVER (PARTITION BY key ORDER BY doc_id, j) AS nth FROM bytes WHERE key IS NOT NULL)
+  WHERE nth > 1
+), marked AS (
+  SELECT b.doc_id, b.j, byte,
+         coalesce(b.j - max(s.j) OVER (PARTITION BY b.doc_id ORDER BY b.j ROWS UNBOUNDED PRECEDING) < 100, false) AS gone
+  FROM bytes b LEFT JOIN starts s ON s.doc_id = b.doc_id AND s.j = b.j
+), edged AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY j), false) AS opens FROM marked
+), left_over AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+         string_agg(byte, '' ORDER BY j) FILTER (NOT gone) AS kept
+  FROM edged GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN left_over USING (doc_id)
+""")
 def suffix_dedup_query(spark, sf_dir):
     from tickmart.llm.suffix_dedup import suffix_dedup_digests
 
