@@ -1,7 +1,7 @@
 """JOB-1: the daily job on hand-written landed payloads."""
 
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import rows
@@ -14,7 +14,8 @@ from tickmart.sinks.tables import read_table
 
 
 def ms(day, hour):
-    return int(datetime(2024, 1, day, hour, tzinfo=timezone.utc).timestamp() * 1000)
+    """Hour of a day counted from 2024-01-01 (day 1)."""
+    return int((datetime(2024, 1, 1, hour, tzinfo=timezone.utc) + timedelta(days=day - 1)).timestamp() * 1000)
 
 
 def land(root, days, cap_sign=1):
@@ -100,6 +101,57 @@ def test_run_that_dies_before_metrics_is_finished_by_the_next(spark, tmp_path, m
     assert read_table(spark, table_path(cfg2, "pending_bar_changes")).count() == 0
 
 
+def test_fact_and_category_metrics_follow_the_metrics(spark, tmp_path, monkeypatch):
+    """Only months of another metrics write are rewritten, those of a run that died too."""
+    import tickmart.plans.daily_job as job
+    from tickmart.plans import models as M
+
+    wh = str(tmp_path / "warehouse")
+    land(tmp_path / "d1", [1, 2, 3])
+    land(tmp_path / "d2", [3, 4, 33])                       # day 33: the month after
+    land(tmp_path / "d3", [34])
+    for day in ("d2", "d3"):
+        (tmp_path / day / "categories" / "part-0.jsonl").write_text("")
+    charts = tmp_path / "d3" / "charts" / "part-0.jsonl"
+    charts.write_text(charts.read_text().replace('"chart_days": 90', '"chart_days": 1'))
+    with (tmp_path / "d1" / "charts" / "part-0.jsonl").open() as f:
+        left = [line for line in f if '"sol"' not in line]   # sol has no history yet
+    (tmp_path / "d1" / "charts" / "part-0.jsonl").write_text("".join(left))
+    cats = tmp_path / "d1" / "categories" / "part-0.jsonl"
+    cats.write_text(cats.read_text().replace("null", '["L1"]'))
+
+    def cfg(day, ts):
+        return JobConfig(str(tmp_path / day), wh, ts, ts, allow_empty=True, fail_on_error=False)
+
+    def check():
+        read = {n: read_partitioned(spark, table_path(cfg("d1", ""), n))
+                for n in ("fct_daily_coin_performance", "int_coin_categories", "int_coin_daily_metrics")}
+        fact, cat, metrics = read.values()
+        stored = read_table(spark, table_path(cfg("d1", ""), "stg_coin_categories"))
+        assert sorted(fact.collect()) == sorted(M.daily_fact(metrics).collect())
+        assert sorted(map(str, cat.collect())) == sorted(map(str, M.category_metrics(stored, metrics).select(*cat.columns).collect()))
+        return [dict(job.live_months(spark, table_path(cfg("d1", ""), n)).writes)
+                for n in ("fct_daily_coin_performance", "int_coin_categories")]
+
+    run_daily_job(spark, cfg("d1", "2024-01-04 06:00:00"))
+    first = check()
+    assert set(first[0]) == {"2024-01"} and set(first[1]) == {"2024-01", "none"}
+
+    def boom(*a, **k):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(job, "follow_months", boom)          # dies after the metrics moved
+    with pytest.raises(RuntimeError):
+        run_daily_job(spark, cfg("d2", "2024-02-03 06:00:00"))
+    monkeypatch.undo()
+    run_daily_job(spark, cfg("d2", "2024-02-03 06:00:00"))   # nothing new for the metrics
+    second = check()
+    assert set(second[0]) == {"2024-01", "2024-02"} == set(second[1])
+    run_daily_job(spark, cfg("d3", "2024-02-04 06:00:00"))
+    third = check()
+    assert all(new["2024-01"] == old["2024-01"] and new["2024-02"] != old["2024-02"] for new, old in zip(third, second))
+
+
 def test_command_line_entry(spark, tmp_path, capsys):
     from tickmart.__main__ import main
 

@@ -23,9 +23,11 @@ without a chart are reported in the audit layer.
 from __future__ import annotations
 
 import contextvars
+import json
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +48,7 @@ from tickmart.session import close_run_scratch, configure, open_run_scratch
 from tickmart.sinks.load import LoadReport, load
 from tickmart.sinks.history import merge_history, read_history
 from tickmart.sinks.partitioned import (
-    live_months, partitioned_exists, read_partitioned, replace_months, replace_partitioned, vacuum_partitioned,
+    NO_DATE, Months, follow_months, live_months, partitioned_exists, read_partitioned, vacuum_partitioned,
 )
 from tickmart.sinks.tables import _fs, layer_path, publish, read_table, stage, table_exists, vacuum
 from tickmart.sinks.upsert import latest_per_key
@@ -247,19 +249,23 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     # Bars and metrics grow with history: an increment opens the raw batches and the
     # months that it touches and no others.
     bars_path, met_path = series.bars, series.metrics
-    changed_months = run_increment(spark, series, markets, cfg.price_scale, cfg.full_refresh, cfg.protect_boundary)
+    run_increment(spark, series, markets, cfg.price_scale, cfg.full_refresh, cfg.protect_boundary)
     bars = read_partitioned(spark, bars_path)
     res.tables["stg_coin_price_history"] = bars_path
     res.tables["int_coin_daily_metrics"] = met_path
     metrics = read_partitioned(spark, met_path)
-    marts = _put_concurrently(put, {
-        "int_coin_categories": M.category_metrics(cats, metrics),
-        "dim_coins": M.asset_dimension(cats, markets, bars),
-        "fct_market_summary": M.market_summary(metrics),
-    })
-    cat_metrics, dim, summary = marts["int_coin_categories"], marts["dim_coins"], marts["fct_market_summary"]
-    fact = _fact(spark, cfg, met_path, changed_months)
     fact_path = res.tables["fct_daily_coin_performance"] = table_path(cfg, "fct_daily_coin_performance")
+    cat_path = res.tables["int_coin_categories"] = table_path(cfg, "int_coin_categories")
+    live = live_months(spark, met_path)
+    marts = _concurrently({
+        "fct_daily_coin_performance": lambda: follow_months(
+            live, fact_path, "trade_date", lambda months: M.daily_fact(live.read(spark, months)), spark),
+        "int_coin_categories": lambda: _category_metrics(
+            spark, live, cats, read_state(spark, series.state), cat_path, _writes(spark, table_path(cfg, "coins_categories"))),
+        "dim_coins": lambda: put("dim_coins", M.asset_dimension(cats, markets, bars)),
+        "fct_market_summary": lambda: put("fct_market_summary", M.market_summary(metrics)),
+    })
+    fact, cat_metrics, dim, summary = marts.values()
 
     # --- snapshot and checks (independent of each other) --------------------------
     tables = {"stg_coin_markets": markets, "stg_coin_price_history": bars,
@@ -269,20 +275,21 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     merge_history(history_path, dim, ["coin_id", "category"], ["coin_name", "symbol", "first_seen_date"], cfg.batch_ts)
     # Months whose write is the one of the last run keep their counts.
     parted = {"stg_coin_price_history": (bars_path, "coin_date"), "int_coin_daily_metrics": (met_path, "date_stamp"),
-              "fct_daily_coin_performance": (fact_path, "trade_date")}
+              "fct_daily_coin_performance": (fact_path, "trade_date"), "int_coin_categories": (cat_path, "date_stamp")}
     seen = {name: LedgerTable.of_months(spark, live_months(spark, path), col) for name, (path, col) in parted.items()}
     seen |= {name: LedgerTable.whole(df, cfg.batch_ts) for name, df in tables.items() if name not in parted}
     ledger = QualityLedger(spark, table_path(cfg, "quality_ledger")).refresh(
         seen, model_checks(), {"stg_coin_price_history": read_state(spark, series.state)})
     prints = [fingerprint(df, name, FINGERPRINTS[name])
               for name, df in {**tables, "dim_coins_snapshot": read_history(spark, history_path)}.items()]
-    last = _put_concurrently(put, {
+    last = {
         "table_fingerprints": reduce(DataFrame.unionByName, prints).withColumn("batch_ts", F.lit(cfg.batch_ts)),
         "quality_report": ledger,
         "source_freshness": Q.freshness(
             spark, {"coin_markets": raw_markets, "coin_price_history": raw_series,
                     "coins_categories": raw_categories}, FRESHNESS, cfg.as_of),
-    })
+    }
+    last = _concurrently({name: partial(put, name, df) for name, df in last.items()})
     report = last["quality_report"]
     if cfg.fail_on_error:
         Q.gate(report)
@@ -295,28 +302,36 @@ def _run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     for path in (*res.tables.values(), series.state):
         if partitioned_exists(spark, path):
             vacuum_partitioned(spark, path, keep=cfg.keep_versions)
-    for path in (series.pending, series.merged, f"{series.raw}/index", table_path(cfg, "quality_ledger")):
+    for path in (series.pending, series.merged, f"{series.raw}/index", table_path(cfg, "quality_ledger"),
+                 f"{fact_path}/followed", f"{cat_path}/followed"):
         if table_exists(spark, path):
             vacuum(spark, path, keep=cfg.keep_versions)
     return res
 
 
-def _fact(spark: SparkSession, cfg: JobConfig, metrics_path: str, months: list[str] | None) -> DataFrame:
-    """JOB-5: the fact follows the metrics month by month (all months if ``months`` is None)."""
-    path = table_path(cfg, "fct_daily_coin_performance")
-    live = live_months(spark, metrics_path)
-    if months is None or not partitioned_exists(spark, path):
-        replace_partitioned(M.daily_fact(live.read(spark)), path, "trade_date")
-    elif months:
-        replace_months(M.daily_fact(live.read(spark, months)), path, "trade_date", months)
-    return read_partitioned(spark, path)
+def _writes(spark: SparkSession, path: str) -> str:
+    """Names the contents of a table in parts."""
+    return json.dumps(live_months(spark, path).writes, sort_keys=True) if partitioned_exists(spark, path) else ""
+
+
+def _category_metrics(spark: SparkSession, live: Months, cats: DataFrame, state: DataFrame, path: str, cats_writes: str) -> DataFrame:
+    """JOB-3: the category metrics follow the metrics month by month; categories that
+    came again carry a new ingest time, so a new category load rewrites all months.
+    Assets without history stand in the part without a date."""
+    def rows(months: Sequence[str] | None) -> DataFrame:
+        if months is None:
+            return M.category_metrics(cats, live.read(spark))
+        some = M.category_metrics(cats, live.read(spark, months), how="inner")
+        without = cats.join(state.select("coin_id"), "coin_id", "left_anti")
+        return some.unionByName(M.category_metrics(without, live.read(spark, [])))
+
+    return follow_months(live, path, "date_stamp", rows, spark, other=cats_writes, always=[NO_DATE])
 
 
-def _put_concurrently(put, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _concurrently(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
     """Publish independent tables as concurrent Spark jobs; returns them read back."""
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = {name: pool.submit(contextvars.copy_context().run, put, name, df)
-                   for name, df in tables.items()}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {name: pool.submit(contextvars.copy_context().run, task) for name, task in tasks.items()}
         return {name: fut.result() for name, fut in futures.items()}
 
 

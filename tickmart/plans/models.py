@@ -11,24 +11,24 @@ from tickmart.operators.metrics import daily_metrics  # noqa: F401  (re-export)
 from tickmart.schemas import AVG, TOTAL
 
 
-
 def daily_fact(metrics: DataFrame) -> DataFrame:
     """JOB-5 / PRJ-5: the daily fact is a renaming projection of the metrics."""
     return metrics.select(*[F.col(src).alias(dst) for src, dst in FACT_COLUMNS.items()])
 
 
-def category_metrics(categories: DataFrame, metrics: DataFrame) -> DataFrame:
+def category_metrics(categories: DataFrame, metrics: DataFrame, how: str = "left") -> DataFrame:
     """JOB-3 / J-4: category bridge ⟕ daily metrics.
 
     One row per (asset, category, day); an asset without history keeps one
-    row with NULL metrics.  Both sides are keyed by asset; an asset's metrics
-    are one row per day, so even a hot asset joins a bounded row set.
+    row with NULL metrics (not with ``how="inner"``).  Both sides are keyed by
+    asset; an asset's metrics are one row per day, so even a hot asset joins a
+    bounded row set.
     """
     cats = categories.select(
         "coin_id", "category", F.col("_ingested_at").alias("category_ingested_at"))
     m = metrics.select("coin_id", "name_of_coin", "prev_day_price",
                        "daily_price_change_pcg", "moving_avg_7d", "date_stamp")
-    return cats.join(m, "coin_id", "left").select(
+    return cats.join(m, "coin_id", how).select(
         "coin_id", "category", "name_of_coin", "prev_day_price", "daily_price_change_pcg",
         "moving_avg_7d", "category_ingested_at", "date_stamp")
 

@@ -20,7 +20,7 @@ batch gives the same rows.  One writer at a time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +31,7 @@ from tickmart.sinks.tables import _fs, committed_versions, publish_document, rea
 from tickmart.sinks.upsert import upsert
 
 PARTITION_COL = "month"
+NO_DATE = "none"
 BUCKET_COL = "bucket"
 BUCKETS_CONF = "tickmart.buckets"
 DEFAULT_BUCKETS = 16
@@ -72,7 +73,7 @@ class Months:
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
     """Rows without a date keep a partition of their own."""
-    return df.withColumn(PARTITION_COL, F.coalesce(F.date_format(F.col(date_col), "yyyy-MM"), F.lit("none")))
+    return df.withColumn(PARTITION_COL, F.coalesce(F.date_format(F.col(date_col), "yyyy-MM"), F.lit(NO_DATE)))
 
 
 def bucket_of(keys: Sequence[str], count: int) -> Column:
@@ -151,6 +152,27 @@ def replace_months(df: DataFrame, path: str, date_col: str, months: Sequence[str
     commit(spark, new)
 
 
+def follow_months(source: Months, path: str, date_col: str, rows: Callable[[Sequence[str] | None], DataFrame],
+                  spark: SparkSession, other: str = "", always: Sequence[str] = ()) -> DataFrame:
+    """Bring the table at ``path`` up to date with ``source`` month by month.
+
+    ``rows(months)`` gives the rows of some months (None: of all).  ``<path>/followed``
+    says which write of the source each month was made from: months made from another
+    write are rewritten, also those that an earlier run left behind, and months that the
+    source lost go.  ``other`` names the state of the model's other inputs: if it changed,
+    all months are rewritten.  ``always`` are rewritten each time."""
+    seen = read_document(spark, f"{path}/followed") if partitioned_exists(spark, path) else None
+    if seen is None or seen["other"] != other:
+        replace_partitioned(rows(None), path, date_col)
+    else:
+        made = seen["writes"]
+        stale = sorted({m for m in {*made, *source.writes} if made.get(m) != source.writes.get(m)} | set(always))
+        if stale:
+            replace_months(rows(stale), path, date_col, stale)
+    publish_document(spark, f"{path}/followed", {"writes": source.writes, "other": other})
+    return read_partitioned(spark, path)
+
+
 # --- buckets of a key hash ----------------------------------------------------------
 
 def bucket_count(spark: SparkSession) -> int:
