@@ -7,6 +7,13 @@ language is estimated from all documents by grouped aggregation of their text
 posteriors; a host's prior is the mean of its other documents, shrunk towards
 that of its suffix, and that towards the global one.
 
+Only likely languages of a row are carried: those whose tempered log likelihood lies
+within ``MARGIN`` of its best.  The other evidence moves a language by log(FLOOR) three
+times (62) at most, so what is left out has less than e^-48 of the best one's probability,
+under the precision of a double.  Languages are scored ``HELD * TABLES`` a scan of the
+documents (134 MB of tables), so neither the driver nor a task holds more, however many
+codes are declared; of the codes themselves the driver holds the list.
+
 The trigram tables are fitted on about ``SAMPLE`` ids of each declared language, the
 ones of smallest hash (all of them, if it has fewer): every declared language with a
 trigram has a table, whatever its share.  Everything else covers all documents.
@@ -27,13 +34,17 @@ from pyspark.sql import functions as F
 
 from tickmart.llm.evidence import shrunk
 from tickmart.llm.textscan import column_bytes, fold_table, row_chunks
+from tickmart.operators.joins import small_side
 from tickmart.sinks.tables import stage
 
 SAMPLE = 2_000          # ids of each declared language that its trigram table is fitted on
-HELD = 64               # languages that a task counts at a time
+HELD = 64               # languages of a table (16 MB); a task counts as many at a time
+TABLES = 8              # tables broadcast for one scan of the documents
 BINS = 1 << 16
 TEMPER = 1 / 3          # neighbouring trigrams share two of three bytes
 STRENGTH = 10.0         # rows of the level above that a group is weighed against
+FLOOR = 1e-9            # least probability of a declaration, a suffix, a host's prior
+MARGIN = 110.0          # see the module's text
 UNKNOWN = "und"
 
 
@@ -64,22 +75,44 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Model:
-    """Log probabilities of the trigram bins by language; the last is UNKNOWN."""
-
-    def __init__(self, counts: dict[str, np.ndarray]):
-        self.languages = [*sorted(counts), UNKNOWN]
-        rows = [np.log((counts[c] + 0.5) / (counts[c].sum() + 0.5 * BINS)) for c in sorted(counts)]
-        self.table = np.stack([*rows, np.full(BINS, -np.log(BINS))]).astype(np.float32)
-
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log likelihoods, letters) of each document."""
-        bins, valid = trigrams(data, offsets)
-        count = np.concatenate(([0], np.cumsum(LETTERS[data] != 32)))
-        out = np.zeros((len(offsets) - 1, len(self.languages)))
-        for j, row in enumerate(self.table):
+    """Trigram counts by language, kept as a stored table; log probabilities are made for
+    a few languages at a time.  The last language is UNKNOWN."""
+
+    def __init__(self, counts: DataFrame):
+        self.counts = counts
+        self.codes = sorted(r[0] for r in counts.select("declared").distinct().collect())
+        self.languages = [*self.codes, UNKNOWN]
+
+    def rows(self, lo: int, hi: int) -> np.ndarray:
+        """Log probabilities of the trigram bins under languages lo to hi."""
+        codes = self.languages[lo:hi]
+        known = codes[:-1] if hi > len(self.codes) else codes
+        table = np.full((len(codes), BINS), -np.log(BINS))
+        if known:
+            order = F.create_map(*(F.lit(x) for j, c in enumerate(known) for x in (c, j)))
+            # At most BINS counts a language.
+            found = (self.counts.where(F.col("declared").isin(known))
+                     .select(order[F.col("declared")].alias("j"), "bin", "n").toPandas())
+            t = np.zeros((len(known), BINS))
+            t[found["j"].to_numpy(int), found["bin"].to_numpy(int)] = found["n"].to_numpy(float)
+            table[:len(known)] = np.log((t + 0.5) / (t.sum(axis=1, keepdims=True) + 0.5 * BINS))
+        return table.astype(np.float32)
+
+    @property
+    def table(self) -> np.ndarray:
+        return self.rows(0, len(self.languages))
+
+
+def log_likelihoods(tables, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log likelihoods, letters) of each document under the rows of the tables."""
+    bins, valid = trigrams(data, offsets)
+    count = np.concatenate(([0], np.cumsum(LETTERS[data] != 32)))
+    columns = []
+    for table in tables:
+        for row in table:
             sums = np.concatenate(([0.0], np.cumsum(np.where(valid, row[bins], 0), dtype=np.float64)))
-            out[:, j] = sums[offsets[1:]] - sums[offsets[:-1]]
-        return out, count[offsets[1:]] - count[offsets[:-1]]
+            columns.append(sums[offsets[1:]] - sums[offsets[:-1]])
+    return np.stack(columns, axis=1), count[offsets[1:]] - count[offsets[:-1]]
 
 
 def fit(docs: DataFrame, declared: str = "lang", sample: int = SAMPLE) -> Model:
@@ -115,16 +148,12 @@ def fit(docs: DataFrame, declared: str = "lang", sample: int = SAMPLE) -> Model:
                 totals[code] += np.bincount(bins[valid], minlength=BINS)
         yield from counted()
 
-    # A row a declared language: a size that is safe to broadcast.
-    found = (named.join(F.broadcast(ids), "declared").where((F.col("key") / 2.0 ** 64 + 0.5) * F.col("ids") <= sample)
+    # A row a declared language, measured before it is broadcast.
+    found = (named.join(small_side(stage(ids, "languages")), "declared")
+             .where((F.col("key") / 2.0 ** 64 + 0.5) * F.col("ids") <= sample)
              .select("declared", "text").mapInArrow(count, "declared string, bin long, n long")
-             .groupBy("declared", "bin").agg(F.sum("n").alias("n")).toPandas())
-    counts = {}
-    for code, part in found.groupby("declared"):
-        t = np.zeros(BINS)
-        t[part["bin"].to_numpy(int)] = part["n"].to_numpy(float)
-        counts[code] = t
-    return Model(counts)
+             .groupBy("declared", "bin").agg(F.sum("n").alias("n")))
+    return Model(stage(found, "trigrams"))
 
 
 def suffix_of(url: Column) -> tuple[Column, Column]:
@@ -141,76 +170,108 @@ def declared_of(page: Column) -> Column:
     return F.when(code != "", code)
 
 
-def _scored(docs: DataFrame, model, n: int, columns: dict[str, Column]) -> DataFrame:
+def _likely(docs: DataFrame, tables: list, first: int, columns: dict[str, Column]) -> DataFrame:
+    """``columns``, n_letters and the likely languages (number, log likelihood) of each
+    row, of those in ``tables`` (broadcasts), which are numbered from ``first``."""
     def run(batches):
         for batch in batches:
             data, offsets = column_bytes(batch.column(batch.num_columns - 1))
-            scores, counts = [np.zeros((0, n))], [np.zeros(0, np.int64)]
+            sizes, js, ss, letters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
             for lo, hi in row_chunks(offsets):
-                s, c = model.value.score(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                scores.append(s)
-                counts.append(c)
-            s, c = np.concatenate(scores) * TEMPER, np.concatenate(counts)
-            p = np.exp(s - s.max(axis=1, keepdims=True)) if len(s) else s
-            p = p / p.sum(axis=1, keepdims=True) if len(s) else p
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(c), *(pa.array(np.ascontiguousarray(s[:, j])) for j in range(n)),
-                 *(pa.array(np.ascontiguousarray(p[:, j])) for j in range(n))],
-                names=[*batch.schema.names[:-1], "n_letters", *(f"s{j}" for j in range(n)), *(f"t{j}" for j in range(n))])
+                s, c = log_likelihoods((t.value for t in tables), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                s *= TEMPER
+                row, j = np.nonzero(s >= s.max(axis=1, keepdims=True) - MARGIN)
+                sizes.append(np.bincount(row, minlength=hi - lo))
+                js.append(j + first)
+                ss.append(s[row, j])
+                letters.append(c)
+            ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32)
+            likely = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(js).astype(np.int32)), pa.array(np.concatenate(ss))], names=["j", "s"]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(letters)), likely],
+                                             names=[*batch.schema.names[:-1], "n_letters", "likely"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = ", ".join([f"doc_id {kind}", *(f"{c} {'long' if c == 'text_key' else 'string'}" for c in columns),
-                     "n_letters long", *(f"s{j} double" for j in range(n)), *(f"t{j} double" for j in range(n))])
+                     "n_letters long", "likely array<struct<j:int,s:double>>"])
     return docs.select("doc_id", *(v.alias(k) for k, v in columns.items()), "text").mapInArrow(run, ddl)
 
 
+def _scored(docs: DataFrame, model: Model, columns: dict[str, Column], held: int, tables: int) -> DataFrame:
+    """Rows with their likely languages and the share ``t`` of each by the text alone."""
+    def scan(lo: int, some: dict[str, Column]) -> DataFrame:
+        last = min(len(model.languages), lo + held * tables)
+        shared = [docs.sparkSession.sparkContext.broadcast(model.rows(at, min(at + held, last))) for at in range(lo, last, held)]
+        return _likely(docs, shared, lo, some)
+
+    rows = scan(0, columns)
+    for lo in range(held * tables, len(model.languages), held * tables):
+        # The likelihoods are of the text: rows of one id and text share them.
+        more = scan(lo, {"text_key": columns["text_key"]}).select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("likely").alias("_likely")).dropDuplicates(["_id", "_key"])
+        rows = stage(rows, "likelihoods").join(more, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+        rows = rows.withColumn("likely", F.concat("likely", "_likely")).drop("_id", "_key", "_likely")
+    best = F.array_max(F.transform("likely", lambda x: x["s"]))
+    rows = rows.withColumn("_best", best).withColumn("likely", F.filter("likely", lambda x: x["s"] >= F.col("_best") - MARGIN))
+    rows = rows.withColumn("_sum", F.aggregate("likely", F.lit(0.0), lambda acc, x: acc + F.exp(x["s"] - F.col("_best"))))
+    share = F.transform("likely", lambda x: F.struct(x["j"].alias("j"), x["s"].alias("s"), (F.exp(x["s"] - F.col("_best")) / F.col("_sum")).alias("t")))
+    return rows.withColumn("likely", share).drop("_best", "_sum")
+
+
 def language_id(docs: DataFrame, declared: str = "lang", host: str | None = "source", url: str | None = None,
-                sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
+                sample: int = SAMPLE, least: float = 0.5, held: int = HELD, tables: int = TABLES) -> DataFrame:
     """doc_id, text_key (hash of the text), language, confidence, kept of every row;
-    ``url`` names an address column that gives host and suffix."""
+    ``url`` names an address column that gives host and suffix.  The languages are scored
+    in ``tables`` tables of ``held`` languages a scan of the documents."""
     model = fit(docs, declared, sample)
     n = len(model.languages)
     address_host, suffix = suffix_of(F.col(f"`{url}`")) if url else (None, F.lit(""))
     site = address_host if url else F.col(f"`{host}`").cast("string") if host else F.lit("")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = stage(_scored(docs, shared, n, {
+    rows = stage(_scored(docs, model, {
         "text_key": F.xxhash64(F.coalesce("text", F.lit(""))),
         "declared": F.coalesce(F.col(f"`{declared}`").cast("string"), F.lit("")),
-        "suffix": F.coalesce(suffix, F.lit("")), "site": F.coalesce(site, F.lit(""))}), "likelihoods")
-
-    ts = [f"t{j}" for j in range(n)]
-    aggs = [F.count(F.lit(1)).alias("n"), *(F.sum(t).alias(t) for t in ts)]
-    # One pass to (declared, suffix, site) counts; every level is summed from these.
-    cells = stage(rows.groupBy("declared", "suffix", "site").agg(*aggs), "language-cells")
-
-    def level(keys: list[str], prefix: str) -> DataFrame:
-        return cells.groupBy(*keys).agg(F.sum("n").alias(f"{prefix}n"), *(F.sum(t).alias(f"{prefix}{t}") for t in ts))
-
-    whole = level([], "g_").first()
-    total = float(whole["g_n"] or 0) or 1.0
-    share = [(float(whole[f"g_{t}"] or 0.0) + 1) / (total + n) for t in ts]
-    mass = [float(whole[f"g_{t}"] or 0.0) for t in ts]
-    joined = (rows.join(level(["declared"], "d_"), "declared").join(level(["suffix"], "x_"), "suffix")
+        "suffix": F.coalesce(suffix, F.lit("")), "site": F.coalesce(site, F.lit(""))}, held, tables), "likelihoods")
+
+    # One pass to (declared, suffix, site, language) sums; every level is summed from these.
+    # The first likely language of a row counts it.
+    cells = stage(rows.select("declared", "suffix", "site", F.posexplode("likely").alias("at", "x"))
+                  .groupBy("declared", "suffix", "site", F.col("x.j").alias("j"))
+                  .agg(F.count_if(F.col("at") == 0).alias("n"), F.sum("x.t").alias("t")), "language-cells")
+    total = float(cells.agg(F.sum("n")).first()[0] or 0) or 1.0
+    mass = stage(cells.groupBy("j").agg(F.sum("t").alias("m")), "language-mass")    # a row a language
+
+    def level(keys: list[str], prefix: str, **more: str) -> DataFrame:
+        """Rows of each group, and a map from its languages to their sums."""
+        sums = cells.groupBy(*keys, "j").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+        if more:
+            sums = sums.join(mass, "j")
+        return sums.groupBy(*keys).agg(F.sum("n").alias(f"{prefix}n"), F.map_from_entries(F.collect_list(
+            F.struct("j", "t"))).alias(f"{prefix}t"), *(F.map_from_entries(F.collect_list(F.struct("j", c))).alias(name) for name, c in more.items()))
+
+    # A language that is likely for a row is in the maps of the row's groups.
+    joined = (rows.join(level(["declared"], "d_", mass="m"), "declared").join(level(["suffix"], "x_"), "suffix")
               .join(level(["suffix", "site"], "h_"), ["suffix", "site"]))
-    scores = []
-    for j, t in enumerate(ts):
-        own = F.col(t)
+
+    def score(x: Column) -> Column:
+        j, own = x["j"], x["t"]
+        d, ends, site_sum, all_ = (F.col(c)[j] for c in ("d_t", "x_t", "h_t", "mass"))
         # P(value | language), shrunk to the value's share of all rows.
-        said = (F.col(f"d_{t}") - own + STRENGTH * F.col("d_n") / total) / (mass[j] - own + STRENGTH)
-        ends = (F.col(f"x_{t}") - own + STRENGTH * F.col("x_n") / total) / (mass[j] - own + STRENGTH)
-        region = shrunk(F.col(f"x_{t}"), F.col("x_n"), own, F.lit(share[j]), STRENGTH)
-        prior = shrunk(F.col(f"h_{t}"), F.col("h_n"), own, region, STRENGTH)
-        floor = F.lit(1e-9)
-        scores.append(F.col(f"s{j}") + F.log(F.greatest(said, floor)) + F.log(F.greatest(ends, floor))
-                      + F.log(F.greatest(prior, floor)))
-    scored = joined.select("doc_id", "text_key", "n_letters", F.array(*scores).alias("score"))
+        said = (d - own + STRENGTH * F.col("d_n") / total) / (all_ - own + STRENGTH)
+        end = (ends - own + STRENGTH * F.col("x_n") / total) / (all_ - own + STRENGTH)
+        region = shrunk(ends, F.col("x_n"), own, (all_ + 1) / (total + n), STRENGTH)
+        prior = shrunk(site_sum, F.col("h_n"), own, region, STRENGTH)
+        floor = F.lit(FLOOR)
+        return x["s"] + F.log(F.greatest(said, floor)) + F.log(F.greatest(end, floor)) + F.log(F.greatest(prior, floor))
+
+    scored = joined.select("doc_id", "text_key", "n_letters", F.transform("likely", lambda x: x["j"]).alias("js"),
+                           F.transform("likely", score).alias("score"))
     top = F.array_max("score")
-    names = F.array(*(F.lit(x) for x in model.languages))
-    best = names[F.array_position("score", top).cast("int") - 1]
+    best = F.element_at("js", F.array_position("score", top).cast("int"))
     sure = 1 / F.aggregate("score", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top")))
+    names = docs.sparkSession.createDataFrame(list(enumerate(model.languages)), "j int, name string")
     known = (F.col("n_letters") > 0) & (F.col("language") != UNKNOWN) & (F.col("confidence") >= least)
-    return (scored.withColumn("top", top).withColumn("language", F.when(F.col("n_letters") > 0, best).otherwise(UNKNOWN))
-            .withColumn("confidence", sure)
+    return (scored.withColumn("top", top).withColumn("j", best).withColumn("confidence", sure).join(names, "j")
+            .withColumn("language", F.when(F.col("n_letters") > 0, F.col("name")).otherwise(UNKNOWN))
             .select("doc_id", "text_key", "language", "confidence", known.alias("kept")))
 
 
