@@ -610,12 +610,12 @@ def test_language_stage(docs):
 
 
 def test_many_languages(spark):
-    """Hundreds of codes in several scans of a few tables each, against the plain posterior
-    over all languages at once; a row repeated, one without id and one without text."""
+    """Many codes in several scans of a few tables each, against the plain posterior over
+    all languages at once; a row repeated, one without id and one without text."""
     prepare(spark)
     rnd = random.Random(11)
     rows = []
-    for c in range(300):
+    for c in range(80):
         words = ["".join(rnd.choice("abcdefghijklmnoprstuvz") for _ in range(rnd.randint(3, 9))) for _ in range(8)]
         for k in range(2):
             text = " ".join(rnd.choice(words) for _ in range(rnd.choice((1, 2, 40))))
@@ -624,14 +624,13 @@ def test_many_languages(spark):
     table = [(d, t or None, g or None, h) for d, t, g, _, h in rows]
     docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
     want = brute_languages([(i, *r[1:]) for i, r in enumerate(rows)], langid.fit(docs))
-    got = {(r.doc_id, r.text_key): r for r in langid.language_id(docs, held=16, tables=3).collect()}
+    found = langid.language_id(docs, held=16, tables=2).collect()
+    got = {(r.doc_id, r.text_key): r for r in found}
     keys = [(r.doc_id, r.k) for r in docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k")).collect()]
-    assert langid.language_id(docs, held=16, tables=3).count() == len(rows) and set(keys) == set(got)
+    assert len(found) == len(rows) and set(keys) == set(got)
     for key, row, (language, confidence) in zip(keys, rows, want.values()):
         assert got[key].language == (language if row[1] else "und")
         assert got[key].confidence == pytest.approx(confidence, rel=1e-6)
-    one = {(r.doc_id, r.text_key): r for r in langid.language_id(docs).collect()}
-    assert all(one[k].language == r.language and one[k].confidence == pytest.approx(r.confidence, rel=1e-9) for k, r in got.items())
 
 
 def test_quality(spark, docs, empty):
