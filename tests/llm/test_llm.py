@@ -650,6 +650,71 @@ def test_quality(spark, docs, empty):
     assert out[1].path_posterior == pytest.approx((0.9 + 5 * out[1].host_posterior) / 6)
 
 
+def plain_features(text):
+    data = (text or "").encode()
+    words = [w.translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))) for w in re.findall(rb"[^\x20\x09-\x0D]+", data)]
+    n, size, signs = max(len(words), 1), max(len(data), 1), b"#$%&*+/<=>@[\\]^_`{|}~"
+
+    def share(chars):
+        return sum(b in chars for b in data) / size
+
+    upper, lower = bytes(range(65, 91)), bytes(range(97, 123))
+    return [np.log1p(len(words)), sum(map(len, words)) / n, share(upper) / max(share(upper + lower), 1e-3), share(signs),
+            share(b"!"), share(b"0123456789"), sum(a == b for a, b in zip(words, words[1:])) / n,
+            np.log1p(len(set(words)) / n ** 0.5), share(b"\n"), sum(w[-1] in signs + b"!" for w in words) / n,
+            sum(len(w) > 25 for w in words) / n]
+
+
+def test_quality_of_all_rows(spark, docs):
+    """Features, fit and hierarchy of every row against plain Python: nulls, empty and very
+    long texts, repeated rows, repeated labels, null hosts and paths."""
+    prepare(spark)
+    ids = sorted({r[0] for r in ROWS if r[0] is not None})
+    labels = [(i, i * 7 % 5 % 2) for i in ids if i % 4] + [(ids[1], 0), (None, 1), (4, None)]
+    best = {}
+    for i, y in labels:
+        if i is not None and y is not None:
+            best[i] = max(best.get(i, 0), y)
+    x = [plain_features(r[1]) for r in ROWS]
+    known = [(f, best[r[0]]) for f, r in zip(x, ROWS) if r[0] in best]
+    fx, y = np.array([f for f, _ in known]), np.array([v for _, v in known], float)
+    centre, scale = fx.mean(0), fx.std(0) + 1e-9
+    z = (fx - centre) / scale
+    # The fit is where the gradient of the penalised likelihood is zero.
+    w, b = quality.fit_logistic(fx, y)
+    p = 1 / (1 + np.exp(-(fx @ w + b)))
+    assert np.abs(z.T @ (p - y) + w * scale).max() < 1e-6 and abs((p - y).sum()) < 1e-4
+    p = [float(1 / (1 + np.exp(-(np.array(f) @ w + b)))) for f in x]
+    groups = {}
+    for v, r in zip(p, ROWS):
+        for k in ((), (r[3],), (r[3], r[2])):
+            groups.setdefault(k, []).append(v)
+    mean = sum(groups[()]) / len(ROWS)
+    hosts = [v for k, v in groups.items() if len(k) == 1 and len(v) >= 5]
+    spread = np.var([sum(v) / len(v) for v in hosts], ddof=1) - np.mean([mean * (1 - mean) / len(v) for v in hosts])
+    strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1000.0) if spread > 0 else 1000.0
+
+    def odds(v):
+        v = min(max(v, 1e-6), 1 - 1e-6)
+        return np.log(v / (1 - v))
+
+    want = []
+    for v, r in zip(p, ROWS):
+        host, path = groups[r[3],], groups[r[3], r[2]]
+        at_host = (sum(host) - v + strength * mean) / (len(host) - 1 + strength)
+        at_path = (sum(path) - v + quality.PATH_STRENGTH * at_host) / (len(path) - 1 + quality.PATH_STRENGTH)
+        want.append((r[0], v, at_host, at_path, 1 / (1 + np.exp(-(odds(v) + odds(at_path) - odds(mean))))))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = [(r.doc_id, r.p_text, r.host_posterior, r.path_posterior, r.quality) for r in quality.quality(docs, marks).collect()]
+    assert len(got) == len(want)
+
+    def ordered(found):
+        return sorted(found, key=lambda r: (r[0] is None, r[0] or 0, round(r[1], 6)))
+
+    for a, e in zip(ordered(got), ordered(want)):
+        assert a[0] == e[0] and a[1:] == pytest.approx(e[1:], rel=1e-5, abs=1e-7)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline as cp
 
