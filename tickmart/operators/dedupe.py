@@ -12,9 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickmart.functions import non_blank
-
-
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -39,11 +36,6 @@ def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, key_names=None)
     return _keep_one(df, keys, [c.desc_nulls_last() for c in _cols(order)], key_names)
 
 
-def drop_missing_ids(df: DataFrame, key: str) -> DataFrame:
-    """FLT-1: rows whose id is NULL or empty are skipped."""
-    return df.where(non_blank(F.col(key)))
-
-
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """TOP-3: first ``n`` rows by ``order`` (plans as ``TakeOrderedAndProject``:
     each task keeps its own top ``n``, the driver merges ``n x tasks`` rows)."""
