@@ -1,4 +1,4 @@
-"""Keep-one-per-key, top-N and set difference (TOP-2, TOP-3, TOP-4, FLT-1, SET-1).
+"""Keep-one-per-key, top-N and set difference (TOP-2, TOP-3, TOP-4, SET-1).
 
 ``keep_first``/``keep_latest`` are ``row_number() = 1`` per key: Catalyst
 plans a partial ``WindowGroupLimit`` before the shuffle, so each map task
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
