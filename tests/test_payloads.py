@@ -10,8 +10,8 @@ from tickmart.operators.dedupe import missing_keys, top_n
 from tickmart.operators.unnest import unnest_series
 from tickmart.operators.standardise import standardise_snapshot
 from tickmart.sources.payloads import (
-    accepted_charts, category_rows, chart_rows, parse_charts, parse_snapshots, read_keyed_payloads, read_payloads, rejects,
-    snapshot_rows,
+    accepted_charts, category_rows, chart_rows, file_stem, parse_charts, parse_snapshots, read_keyed_payloads, read_payloads,
+    read_snapshot_payloads, rejects, snapshot_rows,
 )
 from tickmart.sources.universe import parse_universe, restrict_to_universe
 
@@ -185,3 +185,45 @@ def test_a_long_series_is_many_tasks_work(spark):
     assert rows(unnest_series(cut), *key) == rows(unnest_series(raw), *key)
     spread = cut.where("coin_id = 'hot'").groupBy(F.spark_partition_id()).agg(F.max(F.size("prices"))).collect()
     assert len(spread) > 1 and max(r[1] for r in spread) <= 100
+
+
+def test_snapshot_lists_landed_as_lines(spark, tmp_path):
+    """One response a line: the first coin by line, then position, wins; whole files beside them count too."""
+    (tmp_path / "market_lines").mkdir()
+    (tmp_path / "market_lines" / "a.txt").write_text(
+        '[{"id":"z","symbol":"z1"},{"id":"y","symbol":"first"}]\n[{"id":"y","symbol":"second"},{"id":"x","symbol":"x1"}]\n{"error":"no"}\n')
+    read = read_snapshot_payloads(spark, str(tmp_path))
+    assert rows(snapshot_rows(read, BATCH), "id", "symbol") == [("x", "x1"), ("y", "first"), ("z", "z1")]
+    assert [r.reason for r in rejects(parse_snapshots(read, BATCH)).collect()] == ["not a list"]
+    (tmp_path / "markets").mkdir()
+    (tmp_path / "markets" / "p.json").write_text('[\n{"id":"w",\n"symbol":"w1"}]')
+    assert rows(snapshot_rows(read_snapshot_payloads(spark, str(tmp_path)), BATCH), "id") == [("w",), ("x",), ("y",), ("z",)]
+
+
+def test_landed_files_do_not_grow_with_the_payloads(spark, tmp_path):
+    """Some hundred market payloads are a few files, not a file and a folder each."""
+    from tickmart.plans.queries.job import land_day
+
+    sf = tmp_path / "sf"
+    spark.sql("SELECT id AS c_custkey, concat('C', id) AS c_name, CAST(id % 25 AS INT) AS c_nationkey, 1.5D AS c_acctbal, "
+              "'AUTO' AS c_mktsegment FROM range(15000)").write.parquet(f"{sf}/customer.parquet")
+    spark.sql("SELECT id AS event_id, TIMESTAMP_NTZ '2024-01-05 00:00:00' AS ts, id AS user_id, 'view' AS event_type, 2.5D AS value, "
+              "'{\"k\": 3}' AS props FROM range(40)").write.parquet(f"{sf}/events.parquet")
+    spark.sql("SELECT id AS o_custkey, 'LOW' AS o_orderpriority FROM range(40)").write.parquet(f"{sf}/orders.parquet")
+    land_day(spark, str(sf), str(tmp_path / "landing"), 0)
+    assert len([f for f in (tmp_path / "landing").rglob("*.txt")]) < 60
+    parsed = parse_snapshots(read_snapshot_payloads(spark, str(tmp_path / "landing")), BATCH)
+    assert parsed.count() == 15000 and rejects(parsed).count() == 0
+
+
+def test_numbers_that_do_not_fit_in_one_series_only(spark):
+    """Text is read for series with gaps only; the places taken out and the rejects stay those of all series."""
+    text = ('{"id":"a","prices":[[1,2],[2,"x"],[3,4]],"market_caps":[[1,1],[2,2],[3,null]],"total_volumes":[[1,5],[2,6],[3,7]]}')
+    row, = parse_charts(payloads(spark, [text]), BATCH, 90).collect()
+    assert [int(p[0]) for p in row.prices] == [int(p[0]) for p in row.total_volumes] == [1, 3] and row.market_caps[1][1] is None
+    assert [(r.field, r.raw) for r in row.rejects] == [("prices[1][1]", "x")]
+
+
+def test_file_stem(spark):
+    df = spark.createDataFrame([("file:/a/b.c/btc.json",), ("file:/a/.json",), ("file:/a/part-0.txt",), (None,)], "p string")
+    assert [r[0] for r in df.select(file_stem("p")).collect()] == ["btc", "", None, None]
