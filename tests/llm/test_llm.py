@@ -511,6 +511,27 @@ def test_html_repeats_against_brute_force(spark):
     assert dropped > 100 and same > 0.9 * len(parsed)
 
 
+def test_html_every_suffix_is_sorted(spark):
+    """A run that is just long enough is found wherever it stands in a block that differs, on
+    three pages and not on two; the suffix at every token is in the array."""
+    prepare(spark)
+
+    def body(host, i):
+        own = [f"w{host}x{i}x{k}" for k in range(12)]
+        run = [f"r{host}x{k}" for k in range(html_main.RUN)]
+        at = (host + 3 * i) % 5
+        return (f"<div>Page {i} of host {host} has a long enough text of its own {' '.join(own[6:])}</div>"
+                f"<div>{' '.join(own[:at] + run + own[at:5])}</div>")
+
+    table = [page(100 * h + i, f"s{h}.org", body(h, i)) for h in range(40) for i in range(3 if h % 4 else 2)]
+    got = {r.page_id: r.text.split("\n") for r in html_main.main_text(
+        spark.createDataFrame(table, "page_id long, url string, html string").repartition(3)).collect()}
+    assert {k: len(v) for k, v in got.items()} == {100 * h + i: 1 if h % 4 else 2 for h in range(40) for i in range(3 if h % 4 else 2)}
+    found = html_main.blocks(body(1, 1))
+    tokens = sum(len(t.split()) for _, t in found)
+    assert [*html_main.suffixes(7, found)[1][len(found):]] == [*range(tokens - html_main.RUN + 1)]
+
+
 def test_language(spark, docs, empty):
     prepare(spark)
     known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 40")

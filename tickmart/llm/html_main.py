@@ -12,13 +12,13 @@ else all blocks left.  Two things outweigh repeats: an ``article`` element that
 keeps all its blocks, and a weaker container that repeats as a whole is kept (a page
 under several addresses is no boilerplate).
 
-The suffix array is sparse.  Of the suffixes, cut to ``RUN`` tokens, those are sorted
-whose hash is the smallest of some ``WINDOW`` in a row, and each whole block beside
-them: every shared substring of ``RUN + WINDOW - 1`` tokens, and every shared block
-however short, has a suffix in common, and the ones in a longer substring follow so
-closely that they cover it.  Sorting and counting go by ranges of the hash of host and
-run, a task a range, at most ``PAGES`` rows of one hash from a task before; nothing goes
-through the driver.  Pages that their ``article`` element settles whatever repeats (it
+The suffix array is whole: the suffix at every token of every page is sorted, to a depth
+of ``RUN`` tokens, and each whole block beside them (a block may be shorter).  What
+``PAGES`` pages share from some token on for ``RUN`` tokens or more is found at that
+token; each further ``RUN`` tokens of a longer shared substring are the head of a later
+suffix that the same pages share, so a deeper order would cover no other token.  Sorting
+and counting go by ranges of the hash of host and run, a task a range, at most ``PAGES``
+rows of one hash from a task before; nothing goes through the driver.  Pages that their ``article`` element settles whatever repeats (it
 holds at least half of the text) are evidence for the others, and are cut without
 being looked up.
 
@@ -52,7 +52,6 @@ from tickmart.operators.joins import broadcast_limit
 from tickmart.sinks.tables import stage
 
 RUN = 6         # tokens of a suffix
-WINDOW = 6      # suffixes in a row of which one is sorted
 PAGES = 3       # distinct pages of a host that hold it
 COVERED = 0.5   # share of a block's tokens in such runs, above which it goes
 WRAPS = 0.9     # share of a page's text, from which an element is its wrapper, whatever its class
@@ -296,8 +295,8 @@ def _sizes(found: list[tuple[int, str]]) -> list[int]:
 
 
 def suffixes(host: int, found: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of host and content, first token, tokens) of the sorted suffixes of a page
-    and of its whole blocks."""
+    """(hash of host and content, first token, tokens) of a page's whole blocks and of the
+    suffix at each of its tokens that RUN tokens are left from."""
     sizes = _sizes(found)
     key = np.array([host], np.int64).view(U64)
     ends = np.cumsum([0, *sizes])
@@ -309,13 +308,8 @@ def suffixes(host: int, found: list[tuple[int, str]]) -> tuple[np.ndarray, np.nd
     run = np.full(n, key[0])
     for j in range(RUN):
         run = mix(run ^ t[j:j + n])
-    if n <= WINDOW:
-        at = np.array([int(run.argmin())])
-    else:
-        rows = np.lib.stride_tricks.sliding_window_view(run, WINDOW)
-        at = np.unique(rows.argmin(1) + np.arange(len(rows)))
-    return (np.concatenate((whole, run[at])), np.concatenate((ends[:-1], at)),
-            np.concatenate((np.array(sizes, np.int64), np.full(len(at), RUN))))
+    return (np.concatenate((whole, run)), np.concatenate((ends[:-1], np.arange(n))),
+            np.concatenate((np.array(sizes, np.int64), np.full(n, RUN))))
 
 
 def is_settled(found: list[tuple[int, str]]) -> bool:
@@ -341,13 +335,11 @@ def _packed_suffixes(bits: int):
                                           names=list(kinds))
 
     def packed(waiting) -> pa.RecordBatch:
-        h = np.concatenate([x for x, _ in waiting])
-        pages = np.concatenate([np.full(len(x), p, np.uint32) for x, p in waiting])
-        order = np.lexsort((pages, h))
+        # A page stands here once, each of its hashes once.
+        h = np.concatenate([*waiting.values()])
+        pages = np.repeat(np.array([*waiting], np.uint32), [len(x) for x in waiting.values()])
+        order = np.argsort(h)
         h, pages = h[order], pages[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (pages[1:] != pages[:-1])
-        h, pages = h[new], pages[new]
         enough = np.zeros(len(h), bool)
         enough[PAGES:] = h[PAGES:] == h[:-PAGES]
         h, pages = h[~enough], pages[~enough]
@@ -358,21 +350,21 @@ def _packed_suffixes(bits: int):
         return batch_of(part=parts, hashes=steps, pages=[pages[at[p]:at[p + 1]].tobytes() for p in parts])
 
     def run(batches):
-        waiting, held = [], 0
+        waiting, held = {}, 0
         for batch in batches:
             open_pages = []
             for host, page, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = blocks(raw) if raw else []
                 h, start, size = suffixes(host, found)
-                if len(h):
-                    waiting.append((h, page & 0xFFFFFFFF))
-                    held += len(h)
+                if len(h) and page & 0xFFFFFFFF not in waiting:
+                    own = waiting[page & 0xFFFFFFFF] = np.unique(h)
+                    held += len(own)
                 if not is_settled(found):
                     open_pages.append((-1 - page % (1 << bits), h.tobytes(), page, start.astype(np.int32).tobytes(),
                                        size.astype(np.int32).tobytes()))
                 if held >= CHUNK:
                     yield packed(waiting)
-                    waiting, held = [], 0
+                    waiting, held = {}, 0
             if open_pages:
                 part, h, page, start, size = zip(*open_pages, strict=True)
                 yield batch_of(part=part, hashes=h, page=page, starts=start, sizes=size)
@@ -399,12 +391,18 @@ def _shared_or_open(bits: int):
             every.append(np.cumsum(np.ascontiguousarray(planes.T).view(U64)[:, 0], dtype=U64) + first)
             owners.append(np.frombuffer(pages, np.uint32))
         h, pages = np.concatenate(every), np.concatenate(owners)
+        order = np.argsort(h)
+        h, pages = h[order], pages[order]
+        # Most hashes stand here once: pages are told apart for those that stand PAGES times.
+        often = np.unique(h[PAGES - 1:][h[PAGES - 1:] == h[:max(len(h) - PAGES + 1, 0)]])
+        some = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h if len(often) else np.zeros(len(h), bool)
+        h, pages = h[some], pages[some]
         order = np.lexsort((pages, h))
         h, pages = h[order], pages[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (pages[1:] != pages[:-1])
         h = h[new]
-        shared = np.unique(h[PAGES - 1:][h[PAGES - 1:] == h[:len(h) - PAGES + 1]]).view(np.int64)
+        shared = np.unique(h[PAGES - 1:][h[PAGES - 1:] == h[:max(len(h) - PAGES + 1, 0)]]).view(np.int64)
         none = pa.nulls(len(shared), pa.int32())
         return pa.table({"hash": pa.array(shared), "page": pa.nulls(len(shared), pa.int64()), "start": none, "size": none})
     return run
