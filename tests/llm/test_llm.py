@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -532,6 +533,60 @@ def test_html_every_suffix_is_sorted(spark):
     assert [*html_main.suffixes(7, found)[1][len(found):]] == [*range(tokens - html_main.RUN + 1)]
 
 
+@pytest.mark.parametrize("limit", ["0", "8000000"])
+def test_html_rows_of_a_page_count_once(spark, limit):
+    """A page in several rows, files and tasks is one page of its host, whether the repeated
+    pages are few enough to be told from the others or not."""
+    prepare(spark)
+    run = " ".join(f"r{k}" for k in range(html_main.RUN))
+
+    def body(i):
+        return f"<div>Page {i} has a long enough text of its own here {i}</div><div>{run} {i}</div>"
+
+    table = [page(i, f"s{h}.org", body(i)) for h in range(6) for i in (10 * h, 10 * h, 10 * h, 10 * h + 1, *([10 * h + 2] if h % 2 else []))]
+    old = spark.conf.get("tickmart.broadcast.maxBytes", None)
+    spark.conf.set("tickmart.broadcast.maxBytes", limit)
+    try:
+        got = html_main.main_text(spark.createDataFrame(table, "page_id long, url string, html string").repartition(7)).collect()
+    finally:
+        spark.conf.unset("tickmart.broadcast.maxBytes") if old is None else spark.conf.set("tickmart.broadcast.maxBytes", old)
+    assert len(got) == len(table)
+    assert all(len(r.text.split("\n")) == (1 if r.page_id // 10 % 2 else 2) for r in got)
+
+
+@pytest.mark.parametrize("kind", ["article", "section"])
+def test_html_suffixes_in_few_bytes(monkeypatch, kind):
+    """What tasks send of their suffixes marks, also over several chunks and ranges and where
+    pages come again, just those that three pages have, in few bytes: a hash (and the place of it)
+    takes well under the 9 of a hash and a page (and the 16 more of a place)."""
+    rnd = random.Random(3)
+    shared = [" ".join(f"s{rnd.randrange(10**6)}" for _ in range(9)) for _ in range(30)]
+    pages = [(i % 3, 7919 * i + 1, i % 10 == 0, f"<{kind}><p>" + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(400))
+              + f"</p><p>{shared[i % 30]}</p><p>Two words</p><p>{'same ' * (i % 13)}</p></{kind}>") for i in range(300)]
+    pages += [(1, 5, False, f"<div>{shared[1]}</div><div>And a page that is open</div>"), *pages[::10]]
+    hashes = {(host, key): html_main._hashes(host, html_main.blocks(raw)) for host, key, _, raw in pages}
+    every = Counter(h for own in hashes.values() for h in {*own.tolist()})
+    least = {key: np.packbits([every[h] >= html_main.PAGES for h in own.tolist()]).tobytes()
+             for (_, key), own in hashes.items() if kind == "section" or key == 5}
+    names = ("host", "page", "again", "html")
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*pages[i:i + 50], strict=True)], names=names) for i in range(0, len(pages), 50)]
+
+    def groups(table, name):
+        return [(x, table.filter(pa.compute.equal(table[name], x))) for x in table[name].unique()]
+
+    for chunk in (1 << 22, 20_000):
+        monkeypatch.setattr(html_main, "CHUNK", chunk)
+        for bits in (1, 3):
+            rows = pa.Table.from_batches(html_main._packed_suffixes(bits)(iter(batches)))
+            found = pa.concat_tables(html_main._shared_places(bits)((part,), own) for part, own in groups(rows, "part"))
+            marks = [x for _, own in groups(found, "chunk") for x in html_main._page_marks(own).to_pylist()]
+            assert {(x["page"], x["marks"]) for x in marks} == {x for x in least.items() if any(x[1])}
+            if (chunk, bits) == (1 << 22, 1):
+                counted = rows.filter(pa.compute.is_null(rows["pages"]))
+                size = sum(len(x or b"") for c in ("hashes", "rest", "places") for x in counted[c].to_pylist())
+                assert 90_000 < len(every) and size < (7 if kind == "article" else 11) * len(every)
+
+
 def test_language(spark, docs, empty):
     prepare(spark)
     known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 40")

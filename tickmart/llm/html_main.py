@@ -13,14 +13,20 @@ keeps all its blocks, and a weaker container that repeats as a whole is kept (a
 under several addresses is no boilerplate).
 
 The suffix array is whole: the suffix at every token of every page is sorted, to a depth
-of ``RUN`` tokens, and each whole block beside them (a block may be shorter).  What
-``PAGES`` pages share from some token on for ``RUN`` tokens or more is found at that
+of ``RUN`` tokens, and each block of fewer tokens (a longer one is covered by its runs).
+What ``PAGES`` pages share from some token on for ``RUN`` tokens or more is found at that
 token; each further ``RUN`` tokens of a longer shared substring are the head of a later
 suffix that the same pages share, so a deeper order would cover no other token.  Sorting
-and counting go by ranges of the hash of host and run, a task a range, at most ``PAGES``
-rows of one hash from a task before; nothing goes through the driver.  Pages that their ``article`` element settles whatever repeats (it
-holds at least half of the text) are evidence for the others, and are cut without
-being looked up.
+and counting go by ranges of the hash of host and run, a task a range; nothing goes
+through the driver.  A task before sends each of its hashes once, as the step from the one
+before it (about 5.6 bytes), with the number of its pages up to ``PAGES``: a page that
+stands in one row only is in one task only, so the numbers add up.  Pages that may stand
+in several rows go by name, at most ``PAGES`` of one hash from a task.  Pages that their
+``article`` element settles whatever repeats (it holds at least half of the text) are
+evidence for the others, and are cut without being looked up.  The others are looked up
+where they are counted: a hash has its places in the chunk of its task beside it (3 bytes),
+unless that chunk alone has ``PAGES`` pages of it, so a task has at most ``PAGES - 1`` pages'
+places of a hash from a chunk; what comes back is a bit for each suffix of a page.
 
 Class words that exclude are no proof either: negated ones (``no-sidebar``), those
 around the page's main element or its only article, and those around nearly all of its
@@ -39,6 +45,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -48,7 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickmart.llm.textscan import U64, Words, mix, space_word_table
-from tickmart.operators.joins import broadcast_limit
+from tickmart.operators.joins import broadcast_bytes, broadcast_limit
 from tickmart.sinks.tables import stage
 
 RUN = 6         # tokens of a suffix
@@ -57,8 +64,9 @@ COVERED = 0.5   # share of a block's tokens in such runs, above which it goes
 WRAPS = 0.9     # share of a page's text, from which an element is its wrapper, whatever its class
 
 LINKS, LINKED_BLOCKS = 0.8, 3   # share of a block's letters in links, blocks in a row, of a menu
-CHUNK = 1 << 21                 # suffixes that a task sorts at a time
-PARTS = 32                      # ranges of hashes for each shuffle partition
+CHUNK = 1 << 23                 # suffixes that a task sorts at a time
+PARTS = 8                       # ranges of hashes for each shuffle partition, at least
+PART_CHARS = 1 << 25            # characters of pages for each range, at most
 TOKENS = Words(space_word_table(), seed=11, fold=False)
 
 # Element names and marker words of page structure.
@@ -318,107 +326,237 @@ def is_settled(found: list[tuple[int, str]]) -> bool:
     return inside > 0 and inside >= sum(n for n, (z, _) in zip(_sizes(found), found, strict=True) if OUT < z < ARTICLE) or not found
 
 
-PACKED = "part int, hashes binary, pages binary, page long, starts binary, sizes binary"
+PACKED = "part int, chunk long, hashes binary, rest binary, places binary, pages binary, sizes binary, marks binary"
+KINDS = {"part": pa.int32(), "chunk": pa.int64()}
+FOUND = "chunk long, places binary, pages binary, sizes binary, marks binary"
+LOW = 4         # bytes of a step that are random
+
+
+def _looked_up(found: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which of the whole blocks, first token, tokens) of the suffixes that are looked up: a
+    block of RUN tokens or more is covered by its runs."""
+    sizes = np.array(_sizes(found), np.int64)
+    short = sizes < RUN
+    n = max(int(sizes.sum()) - RUN + 1, 0)
+    return (short, np.concatenate((np.cumsum([0, *sizes])[:-1][short], np.arange(n))),
+            np.concatenate((sizes[short], np.full(n, RUN))))
+
+
+def _hashes(host: int, found: list[tuple[int, str]]) -> np.ndarray:
+    """Hashes of the suffixes that are looked up, in order."""
+    h = suffixes(host, found)[0]
+    return np.concatenate((h[:len(found)][_looked_up(found)[0]], h[len(found):]))
+
+
+def _binary(values: np.ndarray) -> list[bytes]:
+    return [x.tobytes() for x in values.view(np.uint8).reshape(len(values), -1).T]
+
+
+def pack_steps(h: np.ndarray, first: np.uint64, counts: np.ndarray, more: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """Sorted hashes from ``first`` on as steps, byte by byte of all of them: the random bytes,
+    and, each with a code of its own, the others, ``counts`` and ``more``."""
+    steps = _binary(np.diff(h, prepend=first))
+    code = zlib.compressobj(1, zlib.DEFLATED, -15, 8, zlib.Z_RLE)
+    rest = [x for plane in (*steps[LOW:], counts.astype(np.uint8).tobytes(), *(() if more is None else _binary(more.astype(np.uint32))))
+            for x in (code.compress(plane), code.flush(zlib.Z_PARTIAL_FLUSH))]
+    return b"".join(steps[:LOW]), b"".join((*rest, code.flush()))
+
+
+def unpack_steps(low: bytes, rest: bytes, first: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    planes = np.frombuffer(low + zlib.decompress(rest, -15), np.uint8).reshape(-1, len(low) // LOW)
+    steps, more = (np.ascontiguousarray(x.T) for x in (planes[:8], planes[9:]))
+    return (np.cumsum(steps.view(U64)[:, 0], dtype=U64) + first, planes[8].astype(np.int64),
+            more.view(np.uint32)[:, 0] if len(planes) > 9 else None)
+
+
+def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``h`` stand in the sorted ``known``."""
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+
+
+def _summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of ``h`` once, sorted, and the sum of its counts."""
+    if not len(h):
+        return h, counts
+    order = np.argsort(h)
+    h, counts = h[order], counts[order]
+    at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    return h[at], np.add.reduceat(counts, at)
 
 
 def _packed_suffixes(bits: int):
-    """Rows of sorted suffixes by range of their hash (at most PAGES pages of one hash in a
-    chunk), and a row with the suffixes of every page that isn't settled."""
+    """Rows of sorted suffixes by range of their hash.  A page that no other row repeats is one
+    more in the counts of its hashes; pages that may be repeated are named (at most PAGES of
+    one hash in a chunk).  Beside the hash stand the places in the chunk where pages that
+    aren't settled have it, unless PAGES pages of the chunk do: those are in the row of the
+    chunk already."""
     shift = U64(64 - bits)
-    edges = [*(np.arange(1 << bits, dtype=U64) << shift)]
+    edges = np.arange(1 << bits, dtype=U64) << shift
 
     def batch_of(**cols) -> pa.RecordBatch:
         n = len(cols["part"])
-        kinds = {"part": pa.int32(), "hashes": pa.binary(), "pages": pa.binary(), "page": pa.int64(),
-                 "starts": pa.binary(), "sizes": pa.binary()}
-        return pa.RecordBatch.from_arrays([pa.array(cols[k], kind) if k in cols else pa.nulls(n, kind) for k, kind in kinds.items()],
-                                          names=list(kinds))
-
-    def packed(waiting) -> pa.RecordBatch:
+        names = [x.split()[0] for x in PACKED.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(cols.get(k, [None] * n), KINDS.get(k, pa.binary())) for k in names], names=names)
+
+    def cut(h) -> list[int]:
+        return [*np.searchsorted(h, edges).tolist(), len(h)]
+
+    def counted(h, counts, looked, places, chunk) -> pa.RecordBatch:
+        every = np.union1d(h, looked) if len(looked) else h
+        pages = np.zeros(len(every), np.int64)
+        pages[np.searchsorted(every, h)] = np.minimum(counts, PAGES)
+        n = np.searchsorted(looked, every, "right") - np.searchsorted(looked, every) if len(looked) else None
+        at, of = cut(every), cut(looked)
+        parts = [p for p in range(1 << bits) if at[p + 1] > at[p]]
+        cols = {"hashes": [], "rest": [], "places": []}
+        for p in parts:
+            own = slice(at[p], at[p + 1])
+            here = of[p + 1] > of[p]
+            low, rest = pack_steps(every[own], edges[p], pages[own], n[own] if here else None)
+            cols["hashes"].append(low)
+            cols["rest"].append(rest)
+            cols["places"].append(b"".join(_binary(places[of[p]:of[p + 1]])) if here else None)
+        return batch_of(part=parts, chunk=[chunk] * len(parts), **cols)
+
+    def named(repeated) -> pa.RecordBatch:
         # A page stands here once, each of its hashes once.
-        h = np.concatenate([*waiting.values()])
-        pages = np.repeat(np.array([*waiting], np.uint32), [len(x) for x in waiting.values()])
+        h = np.concatenate([*repeated.values()])
+        pages = np.repeat(np.array([p & 0xFFFFFFFF for p in repeated], np.uint32), [len(x) for x in repeated.values()])
         order = np.argsort(h)
         h, pages = h[order], pages[order]
         enough = np.zeros(len(h), bool)
         enough[PAGES:] = h[PAGES:] == h[:-PAGES]
         h, pages = h[~enough], pages[~enough]
-        at = [*np.searchsorted(h, edges), len(h)]
+        at, ones = cut(h), np.ones(len(h), np.int64)
         parts = [p for p in range(1 << bits) if at[p + 1] > at[p]]
-        # Steps from hash to hash, byte by byte of all of them: their leading bytes are zero.
-        steps = [np.diff(h[at[p]:at[p + 1]], prepend=edges[p]).view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts]
-        return batch_of(part=parts, hashes=steps, pages=[pages[at[p]:at[p + 1]].tobytes() for p in parts])
+        low, rest = zip(*(pack_steps(h[at[p]:at[p + 1]], edges[p], ones[at[p]:at[p + 1]]) for p in parts), strict=True)
+        return batch_of(part=parts, hashes=low, rest=rest, pages=[pages[at[p]:at[p + 1]].tobytes() for p in parts])
+
+    def packed(single, repeated, opened):
+        # Each page has each of its hashes once.
+        none = [np.zeros(0, U64)]
+        h = np.sort(np.concatenate(single or none))
+        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+        h, counts = h[at], np.diff(at, append=len(h))
+        looked, places, chunk = none[0], None, None
+        if opened:
+            own = np.concatenate([*repeated.values()] or none)
+            every, pages = _summed(np.concatenate((h, own)), np.concatenate((counts, np.ones(len(own), np.int64))))
+            looked = np.concatenate([x for _, x in opened])
+            places = np.argsort(looked).astype(np.uint32)
+            looked = looked[places]
+            here = _among(looked, every[pages >= PAGES])
+            marks = np.zeros(len(looked), bool)
+            marks[places[here]] = True
+            looked, places = looked[~here], places[~here]
+            keys = np.array([p for p, _ in opened], np.int64).tobytes()
+            chunk = int(np.array([xxhash.xxh3_64_intdigest(keys)], U64).view(np.int64)[0])
+            yield batch_of(part=[-1 - chunk % (1 << bits)], chunk=[chunk], pages=[keys], marks=[np.packbits(marks).tobytes()],
+                           sizes=[np.array([len(x) for _, x in opened], np.int32).tobytes()])
+        if len(h) or len(looked):
+            yield counted(h, counts, looked, places, chunk)
+        if repeated:
+            yield named(repeated)
 
     def run(batches):
-        waiting, held = {}, 0
+        single, repeated, opened, held = [], {}, [], 0
         for batch in batches:
-            open_pages = []
-            for host, page, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for host, page, again, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = blocks(raw) if raw else []
-                h, start, size = suffixes(host, found)
-                if len(h) and page & 0xFFFFFFFF not in waiting:
-                    own = waiting[page & 0xFFFFFFFF] = np.unique(h)
-                    held += len(own)
+                if not found or again and page in repeated:
+                    continue
+                h = _hashes(host, found)
+                own = np.unique(h)
+                if again:
+                    repeated[page] = own
+                else:
+                    single.append(own)
+                held += len(own)
                 if not is_settled(found):
-                    open_pages.append((-1 - page % (1 << bits), h.tobytes(), page, start.astype(np.int32).tobytes(),
-                                       size.astype(np.int32).tobytes()))
+                    opened.append((page, h))
+                    held += len(h)
                 if held >= CHUNK:
-                    yield packed(waiting)
-                    waiting, held = {}, 0
-            if open_pages:
-                part, h, page, start, size = zip(*open_pages, strict=True)
-                yield batch_of(part=part, hashes=h, page=page, starts=start, sizes=size)
-        if waiting:
-            yield packed(waiting)
+                    yield from packed(single, repeated, opened)
+                    single, repeated, opened, held = [], {}, [], 0
+        yield from packed(single, repeated, opened)
     return run
 
 
-def _shared_or_open(bits: int):
-    """Of a range of hashes those that PAGES pages hold (page is null); or the suffixes of open pages."""
+def _shared_places(bits: int):
+    """Of a range of hashes the places, by chunk, of those that PAGES pages hold; or the rows of chunks."""
     def run(key, rows):
         part = key[0].as_py()
         if part < 0:
-            pages = rows.column("page").to_pylist()
-            h, start, size = ([np.frombuffer(x, kind) for x in rows.column(c).to_pylist()]
-                              for c, kind in (("hashes", np.int64), ("starts", np.int32), ("sizes", np.int32)))
-            owner = np.repeat(np.array(pages, np.int64), [len(x) for x in h])
-            return pa.table({"hash": pa.array(np.concatenate(h)), "page": pa.array(owner),
-                             "start": pa.array(np.concatenate(start)), "size": pa.array(np.concatenate(size))})
-        first = np.array([part], U64) << U64(64 - bits)
-        every, owners = [], []
-        for steps, pages in zip(rows.column("hashes").to_pylist(), rows.column("pages").to_pylist(), strict=True):
-            planes = np.frombuffer(steps, np.uint8).reshape(8, -1)
-            every.append(np.cumsum(np.ascontiguousarray(planes.T).view(U64)[:, 0], dtype=U64) + first)
-            owners.append(np.frombuffer(pages, np.uint32))
-        h, pages = np.concatenate(every), np.concatenate(owners)
-        order = np.argsort(h)
-        h, pages = h[order], pages[order]
-        # Most hashes stand here once: pages are told apart for those that stand PAGES times.
-        often = np.unique(h[PAGES - 1:][h[PAGES - 1:] == h[:max(len(h) - PAGES + 1, 0)]])
-        some = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h if len(often) else np.zeros(len(h), bool)
-        h, pages = h[some], pages[some]
-        order = np.lexsort((pages, h))
-        h, pages = h[order], pages[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (pages[1:] != pages[:-1])
-        h = h[new]
-        shared = np.unique(h[PAGES - 1:][h[PAGES - 1:] == h[:max(len(h) - PAGES + 1, 0)]]).view(np.int64)
-        none = pa.nulls(len(shared), pa.int32())
-        return pa.table({"hash": pa.array(shared), "page": pa.nulls(len(shared), pa.int64()), "start": none, "size": none})
+            return rows.select([x.split()[0] for x in FOUND.split(", ")])
+        first = U64(part) << U64(64 - bits)
+        every, held, repeated, owners, asked = [], [], [], [], []
+        for chunk, low, rest, places, pages in zip(*(rows.column(c).to_pylist() for c in ("chunk", "hashes", "rest", "places", "pages")), strict=True):
+            h, counts, n = unpack_steps(low, rest, first)
+            if pages is not None:
+                repeated.append(h)
+                owners.append(np.frombuffer(pages, np.uint32))
+                continue
+            every.append(h)
+            held.append(counts)
+            if n is not None:
+                asked.append((chunk, h, n, np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(4, -1).T).view(np.uint32)[:, 0]))
+        if repeated:                        # each of these pages counts once for each hash
+            h, pages = np.concatenate(repeated), np.concatenate(owners)
+            order = np.lexsort((pages, h))
+            h, pages = h[order], pages[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (pages[1:] != pages[:-1])
+            every.append(h[new])
+            held.append(np.ones(len(every[-1]), np.int64))
+        h, pages = _summed(np.concatenate(every), np.concatenate(held))
+        shared = h[pages >= PAGES]
+        found = [(chunk, places[np.repeat(_among(h, shared), n)].tobytes()) for chunk, h, n, places in asked]
+        found = [x for x in found if x[1]]
+        none = pa.nulls(len(found), pa.binary())
+        return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "places": pa.array([x for _, x in found], pa.binary()),
+                         "pages": none, "sizes": none, "marks": none})
     return run
 
 
+def _page_marks(rows: pa.Table) -> pa.Table:
+    """page, marks (a bit for each suffix that is looked up) of the pages of a chunk."""
+    pages, sizes, marks = (next(x for x in rows.column(c).to_pylist() if x is not None) for c in ("pages", "sizes", "marks"))
+    pages, ends = np.frombuffer(pages, np.int64), np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)
+    bits = np.unpackbits(np.frombuffer(marks, np.uint8), count=int(ends[-1]))
+    for places in rows.column("places").to_pylist():
+        if places is not None:
+            bits[np.frombuffer(places, np.uint32)] = 1
+    own = [(p, np.packbits(x).tobytes()) for p, x in zip(pages.tolist(), np.split(bits, ends[:-1]), strict=True) if x.any()]
+    return pa.table({"page": pa.array([p for p, _ in own], pa.int64()), "marks": pa.array([x for _, x in own], pa.binary())})
+
+
 def repeated_places(pages: DataFrame) -> DataFrame:
-    """page (key), start, size: substrings, of pages that aren't settled, that PAGES pages
-    of the host hold.  Pages are told apart by 32 bits of their key."""
-    width = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")) * PARTS
-    bits = max(1, (width - 1).bit_length())
+    """page (key), marks: substrings, of pages that aren't settled, that PAGES pages of the host
+    hold.  Rows alike in every column are one page; only pages that may stand in several rows
+    are told apart, by 32 bits of their key."""
+    seen = stage(pages.groupBy(_page_key().alias("page")).agg(
+        F.count("*").alias("n"), F.sum(F.length("html")).alias("chars")), "page-keys")
+    twice = seen.where("n > 1").select("page", F.lit(True).alias("again"))
+    chars = seen.agg(F.sum("chars")).first()[0] or 0
+    partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(1, (max(partitions * PARTS, chars // PART_CHARS) - 1).bit_length())
     rows = pages.select(F.xxhash64(_host(F.col("url"))).alias("host"), _page_key().alias("page"), "html")
-    both = stage(rows.mapInArrow(_packed_suffixes(bits), PACKED).groupBy("part").applyInArrow(
-        _shared_or_open(bits), "hash long, page long, start int, size int"), "suffixes")
-    shared = both.where("page IS NULL").select("hash")
-    # A hash that many open pages hold is one row here; Spark splits the other side.
-    return both.where("page IS NOT NULL").join(shared, "hash").select("page", "start", "size")
+    # Where too many rows are repeated for a broadcast every page is named.
+    rows = (rows.join(F.broadcast(twice), "page", "left") if broadcast_bytes(twice) <= broadcast_limit(twice)
+            else rows.withColumn("again", F.lit(True)))
+    found = stage(rows.select("host", "page", "again", "html").mapInArrow(_packed_suffixes(bits), PACKED)
+                  .groupBy("part").applyInArrow(_shared_places(bits), FOUND), "suffixes")
+    # A page in several chunks has the same marks in each.
+    return found.groupBy("chunk").applyInArrow(_page_marks, "page long, marks binary").groupBy("page").agg(F.max("marks").alias("marks"))
+
+
+def marked(found: list[tuple[int, str]], marks: bytes | None) -> list[tuple[int, int]]:
+    """(first token, tokens) of the marked substrings of a page."""
+    if not marks:
+        return []
+    _, starts, sizes = _looked_up(found)
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8), count=len(starts)))
+    return [*zip(starts[at].tolist(), sizes[at].tolist(), strict=True)]
 
 
 def decided(found: list[tuple[int, str]], places: list[tuple[int, int]]) -> tuple[list[str], str]:
@@ -446,11 +584,13 @@ def decided(found: list[tuple[int, str]], places: list[tuple[int, int]]) -> tupl
 
 
 def _texts(batches):
-    """Main text of pages with the places of their repeated substrings."""
+    """Main text of pages with the marks of their repeated substrings."""
     for batch in batches:
-        page_id, url, pages, places = batch.columns
-        done = [decided(blocks(raw or ""), [(p["start"], p["size"]) for p in found or []])
-                for raw, found in zip(pages.to_pylist(), places.to_pylist(), strict=True)]
+        page_id, url, pages, marks = batch.columns
+        done = []
+        for raw, own in zip(pages.to_pylist(), marks.to_pylist(), strict=True):
+            found = blocks(raw or "")
+            done.append(decided(found, marked(found, own)))
         out = ["\n".join(kept) for kept, _ in done]
         yield pa.RecordBatch.from_arrays(
             [page_id, url, pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64()),
@@ -460,11 +600,11 @@ def _texts(batches):
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``, and decided_by: what the
     choice of blocks rests on."""
-    # A page's places are at most as many as its suffixes; settled pages have none.
-    places = stage(repeated_places(pages).distinct().groupBy("page").agg(F.collect_list(F.struct("start", "size")).alias("places")), "places")
-    size = places.agg(F.sum(F.size("places") * 16 + 64)).first()[0] or 0
+    # A page's marks are a bit for each of its suffixes; settled pages have none.
+    places = stage(repeated_places(pages), "places")
+    size = places.agg(F.sum(F.length("marks") + 64)).first()[0] or 0
     side = F.broadcast(places) if size <= broadcast_limit(places) else places
     kind = pages.schema["page_id"].dataType.simpleString()
     return (pages.select("page_id", "url", _page_key().alias("page"), "html").join(side, "page", "left")
-            .select("page_id", "url", "html", "places")
+            .select("page_id", "url", "html", "marks")
             .mapInArrow(_texts, f"page_id {kind}, url string, text string, n_chars long, decided_by string"))
